@@ -1 +1,154 @@
-"""placeholder"""
+"""Checks for HTML extraction: regex forms on ``pages``, dom selectors on ``law_pages``."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from regesto.functions import html as H
+from regesto.functions import keys as K
+from regesto.functions import urls as U
+from regesto.plans.q_scalars import norm_ws_sql
+from regesto.plans.registry import query
+from regesto.sources.fixtures import table, view
+
+
+def sql_str(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def unescape_sql(x: str) -> str:
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        x = f"replace({x}, {sql_str(ent)}, {sql_str(ch)})"
+    return x
+
+
+def inner_text_sql(x: str) -> str:
+    return norm_ws_sql(unescape_sql(f"regexp_replace({x}, {sql_str(H.TAG_RX)}, ' ', 'g')"))
+
+
+BASE = "https://portal.example"
+
+
+@query("html_links", f"""
+SELECT page_id, url, cast(pos as int) AS pos, href,
+  CASE WHEN starts_with(href, 'http') THEN href ELSE concat('{BASE}', href) END AS abs_url
+FROM (SELECT page_id, url, unnest(arr) AS href, unnest(range(1, len(arr) + 1)) AS pos
+      FROM (SELECT page_id, url, regexp_extract_all(html, {sql_str(H.HREF_RX)}, 1) AS arr FROM pages))
+WHERE NOT (href IS NULL OR trim(href) = '' OR contains(lower(href), 'javascript'))""", ops="HTM-1 URL-1 URL-6")
+def html_links(spark, sf):
+    links = H.extract_links(table(spark, sf, "pages"))
+    return links.filter(~U.is_script_link("href")).select(
+        "page_id", "url", "pos", "href", U.absolutise("href", BASE).alias("abs_url")
+    )
+
+
+_ATTR_HREF = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
+_ATTR_TITLE = r"""(?is)\btitle\s*=\s*["']([^"']*)["']"""
+
+
+@query("html_anchors", f"""
+SELECT page_id, url, cast(pos as int) AS pos,
+  nullif(regexp_extract(a, {sql_str(_ATTR_HREF)}, 1), '') AS href,
+  {inner_text_sql('t')} AS text,
+  nullif(regexp_extract(a, {sql_str(_ATTR_TITLE)}, 1), '') AS title
+FROM (SELECT page_id, url, unnest(aa) AS a, unnest(tt) AS t, unnest(range(1, len(aa) + 1)) AS pos
+      FROM (SELECT page_id, url, regexp_extract_all(html, {sql_str(H.ANCHOR_RX)}, 1) AS aa,
+                   regexp_extract_all(html, {sql_str(H.ANCHOR_RX)}, 2) AS tt FROM pages))""", ops="HTM-2")
+def html_anchors(spark, sf):
+    return H.extract_anchors(table(spark, sf, "pages"))
+
+
+_PT = "html"
+for _rx in (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->"):
+    _PT = f"regexp_replace({_PT}, {sql_str(_rx)}, ' ', 'g')"
+
+
+def _elem_sql(tag: str) -> str:
+    inner = f"nullif(regexp_extract(html, {sql_str(rf'(?is)<{tag}\b[^>]*[^>]*>(.*?)</{tag}\s*>')}, 1), '')"
+    return f"nullif({inner_text_sql(inner)}, '')"
+
+
+@query("html_page_text", f"""
+SELECT page_id, {inner_text_sql(_PT)} AS page_text, strlen(html) > 2000 AS big_enough
+FROM pages""", ops="HTM-3 PRD-4")
+def html_page_text(spark, sf):
+    p = table(spark, sf, "pages")
+    return p.select("page_id", H.page_text("html").alias("page_text"), (F.octet_length("html") > 2000).alias("big_enough"))
+
+
+_H1_INNER = f"nullif(regexp_extract(html, {sql_str(r'(?is)<h1\b[^>]*[^>]*>(.*?)</h1\s*>')}, 1), '')"
+_LANG_VALS = f"regexp_extract_all(html, {sql_str(r'''(?is)<html\b[^>]*?\blang\s*=\s*["']([^"']*)["']''')}, 1)"
+
+
+@query("html_elements", f"""
+SELECT page_id,
+  {_elem_sql('h1')} AS h1,
+  coalesce({_elem_sql('h1')}, {_elem_sql('h2')}, {_elem_sql('h3')}, {_elem_sql('h4')}) AS heading,
+  trim(regexp_replace({_H1_INNER}, {sql_str(H.TAG_RX)}, '', 'g')) AS h1_stripped,
+  list_filter(list_transform({_LANG_VALS}, lambda v: nullif(regexp_extract(v, '^([a-z]+)', 1), '')), lambda v: v IS NOT NULL)[1] AS lang
+FROM pages""", ops="HTM-4 HTM-5 HTM-8 HTM-10")
+def html_elements(spark, sf):
+    p = table(spark, sf, "pages")
+    return p.select(
+        "page_id",
+        H.element_text("html", "h1").alias("h1"),
+        H.first_heading("html").alias("heading"),
+        H.strip_tags(H.element_html("html", "h1")).alias("h1_stripped"),
+        H.attr_regex("html", "html", "lang", r"^([a-z]+)").alias("lang"),
+    )
+
+
+# ---------------------------------------------------------------- dom selectors on law_pages
+
+_DMY = "concat(lpad(cast(day(d) as string), 2, '0'), '/', lpad(cast(month(d) as string), 2, '0'), '/', cast(year(d) as string))"
+
+
+@query("dom_law_fields", f"""
+SELECT law_id AS page_id, concat('Legge ', cast(law_id as string)) AS title, hdr AS h1,
+  concat('Testo introduttivo ', cast(law_id as string)) AS after_h1,
+  concat('Titolo ', cast(law_id as string)) AS title_clean,
+  concat('Titolo ', cast(law_id as string), ' BUR 1') AS title_raw,
+  cast(no as string) AS number_label, {_DMY} AS date_label, true AS has_doc
+FROM law_headers""", views=["law_headers"], ops="HTM-0 HTM-4 HTM-7 HTM-9 HTM-11 HTM-12")
+def dom_law_fields(spark, sf):
+    dom = H.parse_dom(view(spark, sf, "law_pages"))
+    return dom.select(
+        "page_id",
+        F.col("dom.title").alias("title"),
+        H.heading_text("dom", "h1").alias("h1"),
+        H.heading_next_text("dom", "h1").alias("after_h1"),
+        H.block_text("dom", id_="titoloAtto").alias("title_clean"),
+        H.block_text("dom", id_="titoloAtto", clean=False).alias("title_raw"),
+        H.label_value("dom", "Numero", digits=True).alias("number_label"),
+        H.label_value("dom", "Data", exclude=("BUR",)).alias("date_label"),
+        H.has_document("dom").alias("has_doc"),
+    )
+
+
+@query("dom_table_cells", f"""
+SELECT law_id AS page_id, 1 AS tbl, 2 AS row, c0.col AS col,
+  CASE c0.col WHEN 1 THEN concat('n. ', cast(no as string)) WHEN 2 THEN {_DMY}
+              WHEN 3 THEN concat('Disposizioni per la legge numero ', cast(no as string), ' della regione ', region)
+              ELSE 'Seleziona' END AS text,
+  c0.btn AS has_button
+FROM law_headers,
+     (SELECT 1 AS col, false AS btn UNION ALL SELECT 2, false UNION ALL SELECT 3, false UNION ALL SELECT 4, true) AS c0""",
+       views=["law_headers"], ops="HTM-6")
+def dom_table_cells(spark, sf):
+    dom = H.parse_dom(view(spark, sf, "law_pages"))
+    cells = H.table_cells(dom)
+    return cells.select(
+        "page_id", F.col("tbl").cast("int").alias("tbl"), F.col("row").cast("int").alias("row"),
+        F.col("col").cast("int").alias("col"), "text", "has_button",
+    )
+
+
+@query("dom_documents", """
+SELECT law_id AS page_id, d.doc_pos AS doc_pos, concat('/doc/', cast(law_id as string), d.suffix) AS href,
+  d.doc_type AS doc_type
+FROM law_headers, (SELECT 1 AS doc_pos, '_it.pdf' AS suffix, 'IT' AS doc_type UNION ALL SELECT 2, '_de.pdf', 'DE') AS d""",
+       views=["law_headers"], ops="HTM-13 KEY-3")
+def dom_documents(spark, sf):
+    dom = H.parse_dom(view(spark, sf, "law_pages"))
+    docs = H.explode_documents(dom)
+    return docs.select("page_id", "doc_pos", "href", K.doc_language("href").alias("doc_type"))

@@ -73,8 +73,33 @@ SELECT l_orderkey AS law_id, l_linenumber AS pos,
 FROM lineitem""",
 }
 
+_D_DMY = (
+    "concat(lpad(cast(day(d) as string), 2, '0'), '/', lpad(cast(month(d) as string), 2, '0'), '/', "
+    "cast(year(d) as string))"
+)
+
+# One detail page per law header (base markup, invented).  Expected values sit in
+# law_headers' columns, so an oracle never parses HTML.
+VIEW_SQL["law_pages"] = f"""
+SELECT law_id AS page_id,
+       concat('https://leggi.example/dettaglio?id=', cast(law_id as string)) AS url,
+       concat('<html><head><title>Legge ', cast(law_id as string), '</title></head><body>',
+              '<h1>', hdr, '</h1>Testo introduttivo ', cast(law_id as string),
+              '<div id="titoloAtto">Titolo ', cast(law_id as string), '<div class="bur">BUR 1</div></div>',
+              '<p><strong>Numero della legge:</strong> ', cast(no as string), '</p>',
+              '<p><strong>Data BUR:</strong> 01/01/2000</p>',
+              '<p><strong>Data:</strong> ', {_D_DMY}, '</p>',
+              '<table><tr><th>Numero</th><th>Data</th><th>Titolo</th><th></th></tr>',
+              '<tr><td>n. ', cast(no as string), '</td><td>', {_D_DMY}, '</td>',
+              '<td>Disposizioni per la legge numero ', cast(no as string), ' della regione ', region, '</td>',
+              '<td><button>Seleziona</button></td></tr></table>',
+              '<div class="download-list"><a href="/doc/', cast(law_id as string), '_it.pdf">Testo IT</a>',
+              '<a href="/doc/', cast(law_id as string), '_de.pdf">Text DE</a></div>',
+              '<p><a href="/allegato.pdf">Allegato</a></p></body></html>') AS html
+FROM law_headers"""
+
 # views that other views read (in dependency order)
-VIEW_DEPS: dict[str, tuple[str, ...]] = {}
+VIEW_DEPS: dict[str, tuple[str, ...]] = {"law_pages": ("law_headers",)}
 
 
 def register_base(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None:
@@ -104,9 +129,10 @@ def _closure(names) -> list[str]:
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build a derived view as a Spark DataFrame from the shared SQL text."""
     register_base(spark, sf_dir)
-    for n in _closure([name]):
+    deps = _closure([name])
+    for n in deps[:-1]:
         spark.sql(VIEW_SQL[n]).createOrReplaceTempView(n)
-    return spark.table(name)
+    return spark.sql(VIEW_SQL[name])
 
 
 def with_views(names, body: str) -> str:
