@@ -151,6 +151,13 @@ def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", htm
             spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     except Exception:  # noqa: BLE001 - conf may be read-only on some platforms
         pass
+    # the Python pass is the costly step: never let a small/odd input run it in a few tasks
+    par = spark.sparkContext.defaultParallelism
+    try:
+        if pages.rdd.getNumPartitions() < par:
+            pages = pages.repartition(par)
+    except Exception:  # noqa: BLE001 - e.g. no RDD access (Connect): keep the input partitioning
+        pass
     key_type = pages.schema[key].dataType
     out_schema = T.StructType([T.StructField(key, key_type), T.StructField("dom", DOM_SCHEMA)])
     drops = tuple(drop_classes)

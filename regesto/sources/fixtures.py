@@ -138,4 +138,9 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def with_views(names, body: str) -> str:
     """Oracle SQL: the views as CTEs ahead of ``body`` (DuckDB has only the base tables)."""
     ctes = [f"{n} AS ({VIEW_SQL[n]})" for n in _closure(names)]
-    return ("WITH " + ",\n".join(ctes) + "\n" + body) if ctes else body
+    if not ctes:
+        return body
+    head = body.lstrip()
+    if head[:5].upper() == "WITH ":  # merge the body's own CTEs after the views
+        return "WITH " + ",\n".join(ctes) + ",\n" + head[5:]
+    return "WITH " + ",\n".join(ctes) + "\n" + body
