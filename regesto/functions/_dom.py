@@ -113,17 +113,16 @@ def text_of(node, drop=()) -> str:
 
 
 def _next_text(node):
-    """Text of the first following sibling (text node or element) that has any."""
+    """Text of the node right after this one (a text node or an element), whitespace-collapsed."""
     parent = node.parent
     if parent is None:
         return None
     sibs = parent.children
     i = next(k for k, ch in enumerate(sibs) if ch is node)
-    for ch in sibs[i + 1:]:
-        t = " ".join(ch.split()) if isinstance(ch, str) else text_of(ch)
-        if t:
-            return t
-    return None
+    if i + 1 >= len(sibs):
+        return None
+    ch = sibs[i + 1]
+    return " ".join(ch.split()) if isinstance(ch, str) else text_of(ch)
 
 
 def _ancestor_classes(node):
@@ -172,7 +171,7 @@ def parse_html(html: str, drop=("bur",)) -> dict:
                 header = bool(tds) and all(c.tag == "th" for c in tds) or _nearest(r, "thead") is not None
                 for ci, c in enumerate(tds, 1):
                     desc = list(_descendants(c))
-                    btn = any(d.tag == "button" or (d.tag == "input" and d.attrs.get("type") in ("button", "submit"))
+                    btn = any(d.tag == "button" or (d.tag == "input" and d.attrs.get("type") in ("button", "submit", "image"))
                               for d in desc)
                     href = next((d.attrs.get("href") for d in desc if d.tag == "a" and "href" in d.attrs), None)
                     cells.append({"tbl": tbl_no, "row": ri, "col": ci, "text": text_of(c), "has_button": btn,
@@ -211,6 +210,8 @@ def _nearest(node, tag):
     return None
 
 
-def parse_frame(pdf: pd.DataFrame, key: str, html: str, drop) -> pd.DataFrame:
+def parse_frame(pdf: pd.DataFrame, cols, html: str, drop) -> pd.DataFrame:
     dropset = frozenset(drop)
-    return pd.DataFrame({key: pdf[key].values, "dom": [parse_html(h, dropset) for h in pdf[html].values]})
+    out = {c: pdf[c].values for c in cols}
+    out["dom"] = [parse_html(h, dropset) for h in pdf[html].values]
+    return pd.DataFrame(out)

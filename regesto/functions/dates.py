@@ -114,7 +114,7 @@ def bilingual_date(c) -> Column:
 
 def it_month_name(d) -> Column:
     """Italian month name of a DATE."""
-    return F.element_at(F.array(*[F.lit(m) for m in IT_MONTHS]), F.month(col_of(d)))
+    return F.try_element_at(F.array(*[F.lit(m) for m in IT_MONTHS]), F.month(col_of(d)))
 
 
 def date_display(d, style: str) -> Column:
@@ -139,7 +139,7 @@ def date_display(d, style: str) -> Column:
         mon = F.initcap(mon)
     elif style not in ("d_month", "dd_month"):
         raise ValueError(f"unknown date style {style!r}")
-    return F.concat_ws(" ", day, mon, F.year(x).cast("string"))
+    return F.when(x.isNotNull(), F.concat_ws(" ", day, mon, F.year(x).cast("string")))
 
 
 YEAR_RX = r"(20\d{2}|19\d{2})"

@@ -137,8 +137,8 @@ DOM_SCHEMA = T.StructType([
 ])
 
 
-def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", html: str = "html") -> DataFrame:
-    """HTM-0: ``(key, html)`` -> ``(key, dom)`` in one ``mapInPandas`` pass.
+def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", html: str = "html", keep=()) -> DataFrame:
+    """HTM-0: ``(key, *keep, html)`` -> ``(key, *keep, dom)`` in one ``mapInPandas`` pass.
 
     ``drop_classes``: elements with one of these classes are left out of their
     ancestors' ``clean_text`` (HTM-7, e.g. the bulletin line inside a title).
@@ -158,15 +158,17 @@ def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", htm
             pages = pages.repartition(par)
     except Exception:  # noqa: BLE001 - e.g. no RDD access (Connect): keep the input partitioning
         pass
-    key_type = pages.schema[key].dataType
-    out_schema = T.StructType([T.StructField(key, key_type), T.StructField("dom", DOM_SCHEMA)])
+    keep = tuple(keep)
+    fields = [pages.schema[c] for c in (key, *keep)]
+    out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField("dom", DOM_SCHEMA)])
     drops = tuple(drop_classes)
+    cols = (key, *keep)
 
     def run(batches):
         for pdf in batches:
-            yield _dom.parse_frame(pdf, key, html, drops)
+            yield _dom.parse_frame(pdf, cols, html, drops)
 
-    return pages.select(key, html).mapInPandas(run, out_schema)
+    return pages.select(*cols, html).mapInPandas(run, out_schema)
 
 
 # ----------------------------------------------------------------------------- selectors over dom
