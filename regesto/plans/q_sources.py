@@ -1 +1,119 @@
-"""placeholder"""
+"""Checks for scans, sinks and the streaming form."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from regesto.functions import dates as D
+from regesto.functions import keys as K
+from regesto.operators import joins as J
+from regesto.plans import regions as RG
+from regesto.plans.q_regions import ORACLE_SELECTS
+from regesto.plans.q_scalars import LAW_HEADERS_ORACLE, law_index_from_headers
+from regesto.plans.registry import query
+from regesto.sources import readers as R
+from regesto.sources import sinks as W
+from regesto.sources.fixtures import table, view
+from regesto.streaming import stream as ST
+
+
+@query("src_read_pages", "SELECT page_id, url, cast(length(html) as int) AS n_chars FROM pages", ops="SRC-1")
+def src_read_pages(spark, sf):
+    p = R.read_pages(spark, f"{sf}/pages.parquet")
+    return p.select("page_id", "url", F.length("html").alias("n_chars"))
+
+
+@query("snk_index_roundtrip", f"SELECT * FROM ({LAW_HEADERS_ORACLE}) UNION ALL SELECT * FROM ({LAW_HEADERS_ORACLE})",
+       views=["law_headers"], ops="SNK-1 SNK-3 SRC-3")
+def snk_index_roundtrip(spark, sf):
+    idx = law_index_from_headers(view(spark, sf, "law_headers"))
+    path = ST.scratch_dir(spark, "index")
+    W.write_index(idx, path)
+    W.append_index(idx, path)
+    back = R.read_index(spark, path, schema=idx.schema)
+    return back.select(*idx.columns)
+
+
+_LIGURIA_DISPLAY = ", ".join(f'{canon} AS "{disp}"' for disp, canon in RG.DISPLAY_COLUMNS["liguria"].items())
+
+
+@query("snk_conform", f"SELECT {_LIGURIA_DISPLAY} FROM ({ORACLE_SELECTS['liguria']})", views=["law_headers"],
+       ops="SNK-2 SNK-5")
+def snk_conform(spark, sf):
+    idx = RG.extract_liguria(view(spark, sf, "pages_liguria"))
+    idx = W.drop_internal(idx, ["page_no", "not_a_column"])
+    return RG.conform(idx, "liguria")
+
+
+@query("src_state_todo", "SELECT y, n FROM probe_grid WHERE NOT found AND y >= 1997", views=["probe_grid"],
+       ops="SRC-4 SNK-6 JON-1")
+def src_state_todo(spark, sf):
+    g = view(spark, sf, "probe_grid").withColumn("key", F.concat_ws("_", "y", "n"))
+    path = ST.scratch_dir(spark, "state")
+    W.write_state(g.filter("found").select(F.col("key").alias("done_keys")), path, batch_id=0)
+    W.write_state(g.filter(F.col("y") < 1997).select(F.col("y").alias("done_years")).distinct(), path, batch_id=1)
+    state = R.read_state(spark, path, multiline=False)
+    todo = J.todo(g.select("y", "n", "key"), state["done_keys"], on="key", done_years=state["done_years"], year="y")
+    return todo.select("y", "n")
+
+
+@query("src_page_grid", """
+SELECT y.year, cast(p.range AS int) AS page,
+       concat('https://aosta.example/ricerca?anno=', cast(y.year as string), '&page=', cast(p.range as string)) AS url
+FROM (SELECT DISTINCT cast(year(d) as int) AS year FROM law_headers) y, range(1, 6) p""", views=["law_headers"], ops="SRC-6")
+def src_page_grid(spark, sf):
+    years = view(spark, sf, "law_headers").select(F.year("d").alias("year"))
+    return R.page_grid(spark, "https://aosta.example/ricerca?anno={year}&page={page}", 1, 5, years=years)
+
+
+@query("src_file_inventory", ops="SRC-7 WIN-5 SET-6")
+def src_file_inventory(spark, sf):
+    idx = law_index_from_headers(view(spark, sf, "law_headers"))
+    path = ST.scratch_dir(spark, "files")
+    W.write_index(idx, path)
+    inv = R.file_inventory(spark, path, glob="*.parquet")
+    return inv.select("name", (F.col("length") > 0).alias("non_empty"), F.regexp_extract("path", r"region=([^/]+)", 1).alias("region"))
+
+
+@query("snk_payload", """
+SELECT law_id, CASE WHEN law_id % 3 = 0 THEN 'pdf' ELSE 'html' END AS payload_kind,
+       concat('Legge_', cast(law_id as string), CASE WHEN law_id % 3 = 0 THEN '.pdf' ELSE '.html' END) AS payload_name
+FROM law_headers""", views=["law_headers"], ops="SNK-7")
+def snk_payload(spark, sf):
+    lh = view(spark, sf, "law_pages")
+    df = lh.select(
+        F.col("page_id").alias("law_id"), "html",
+        F.when(F.col("page_id") % 3 == 0, F.encode(F.concat(F.lit("%PDF-1.4 "), F.col("url")), "UTF-8")).alias("pdf"),
+        F.concat(F.lit("Legge_"), F.col("page_id").cast("string")).alias("filename_stem"),
+    )
+    return W.payload_table(df).select("law_id", "payload_kind", "payload_name")
+
+
+def _stage_files(df, spark, name, parts=8):
+    path = ST.scratch_dir(spark, name)
+    df.repartition(parts).write.parquet(path)
+    return path
+
+
+@query("str_dedupe_upsert", "SELECT DISTINCT url FROM listing", views=["listing"], ops="STR-1 STR-2 STR-3 SET-7")
+def str_dedupe_upsert(spark, sf):
+    li = view(spark, sf, "listing")
+    src = _stage_files(li, spark, "stream-in")
+    s = ST.stream_pages(spark, src, li.schema, max_files=3)
+    records = ST.stream_dedupe(s, "url").select("url", "page_no", "pos")
+    log = ST.scratch_dir(spark, "index-log")
+    q = ST.stream_upsert_index(records, log, ST.scratch_dir(spark, "ckpt"))
+    q.awaitTermination()
+    return ST.read_upserted_index(spark, log, key="url").select("url")
+
+
+@query("str_status_counts", "SELECT status, count(*) AS n FROM fetch_log GROUP BY status", views=["fetch_log"], ops="STR-4")
+def str_status_counts(spark, sf):
+    fl = view(spark, sf, "fetch_log")
+    src = _stage_files(fl, spark, "status-in")
+    s = ST.stream_pages(spark, src, fl.schema, max_files=3)
+    out = ST.scratch_dir(spark, "status-out")
+    ST.run_counts(ST.stream_status_counts(s, "status"), out, ST.scratch_dir(spark, "ckpt"))
+    res = spark.read.parquet(out)
+    last = res.agg(F.max("batch_id").alias("b"))
+    return res.join(last, res.batch_id == last.b).select("status", "n")

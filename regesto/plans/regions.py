@@ -23,6 +23,7 @@ from regesto.functions._util import nz, rx
 from regesto.operators import cutoffs as C
 from regesto.operators import dedupe as S
 from regesto.operators import filters as P
+from regesto.sources.readers import key_grid
 
 LAW_INDEX = [
     ("region", "string"), ("law_title", "string"), ("law_number", "string"), ("law_number_int", "int"),
@@ -132,14 +133,6 @@ def extract_basilicata(pages: DataFrame) -> DataFrame:
 CD_DATE_RX = r"\d{1,2}\s+[a-zà]+\s+\d{4}"
 
 
-def key_grid(spark, y0: int, y1: int, n_max: DataFrame, k: int = 10) -> DataFrame:
-    """SRC-5: every (year, number) probe key: 1 .. (highest number captured that year) + k.
-    ``n_max`` is (y, n_max); years without captures still get k probes (they stop at once)."""
-    years = spark.range(y0, y1 + 1).select(F.col("id").cast("int").alias("y"))
-    per_year = years.join(n_max, ["y"], "left").select("y", (F.coalesce("n_max", F.lit(0)) + k).alias("top"))
-    return per_year.select("y", F.explode(F.sequence(F.lit(1), F.col("top"))).alias("n"))
-
-
 def date_from_sources(header: Column, text: Column) -> Column:
     """HTM-15: date text from Content-Disposition first, then from the first-page text (lower case)."""
     return F.coalesce(rx(F.lower(header), f"({CD_DATE_RX})"), rx(F.lower(text), f"({CD_DATE_RX})"))
@@ -149,7 +142,7 @@ def extract_calabria(captures: DataFrame, y0: int = 1971, y1: int = 2025, k: int
     """Key probe: grid -> captures -> valid PDF -> stop after k misses per year -> records."""
     spark = captures.sparkSession
     n_max = captures.groupBy("y").agg(F.max("n").alias("n_max"))
-    grid = key_grid(spark, y0, y1, n_max, k)
+    grid = key_grid(spark, y0, y1, n_max, k).select("y", "n")
     probes = grid.join(captures, ["y", "n"], "left")
     valid = P.valid_capture(probes.filter(F.col("status").isNotNull()), "status", "body").select("y", "n", F.lit(True).alias("found"))
     marked = probes.join(valid, ["y", "n"], "left").withColumn("found", F.coalesce("found", F.lit(False)))
