@@ -12,7 +12,7 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regesto.functions._util import col_of, nz
+from regesto.functions._util import col_of, let, nz
 from regesto.functions.text import norm_ws, safe_name_delete
 
 # Month names in calendar order.
@@ -43,9 +43,10 @@ def month_number(name, english: bool = False) -> Column:
 
 
 def make_date(y, m, d) -> Column:
-    """DATE from parts (strings or ints); NULL if any part is NULL or the date is invalid."""
+    """DATE from parts (strings or ints); NULL if any part is missing/empty or the date is invalid
+    (``concat_ws`` skips NULLs, so a missing part leaves a string the pattern rejects)."""
     s = F.concat_ws("-", col_of(y).cast("string"), col_of(m).cast("string"), col_of(d).cast("string"))
-    return F.when(col_of(y).isNotNull() & col_of(m).isNotNull() & col_of(d).isNotNull(), F.try_to_date(s, "yyyy-M-d"))
+    return F.try_to_date(s, "yyyy-M-d")
 
 
 def it_date_parts(c) -> Column:
@@ -65,24 +66,22 @@ def it_date_parts(c) -> Column:
 
 def it_date(c) -> Column:
     """DAT-1 / DAT-3: first Italian textual date (``1°`` accepted) as DATE."""
-    x = col_of(c)
-    return make_date(
-        nz(F.regexp_extract(x, IT_DATE_RX, 3)),
-        month_number(nz(F.regexp_extract(x, IT_DATE_RX, 2))),
-        nz(F.regexp_extract(x, IT_DATE_RX, 1)),
-    )
+    return let(c, lambda x: make_date(
+        F.regexp_extract(x, IT_DATE_RX, 3),
+        month_number(F.regexp_extract(x, IT_DATE_RX, 2)),
+        F.regexp_extract(x, IT_DATE_RX, 1),
+    ))
 
 
 def slash_date(c, strict: bool = False) -> Column:
     """DAT-2: ``dd/mm/yyyy`` (also ``-`` and ``.``) as DATE; ``strict`` wants two-digit ``/`` only."""
     rx = STRICT_SLASH_DATE_RX if strict else SLASH_DATE_RX
-    x = col_of(c)
-    return make_date(nz(F.regexp_extract(x, rx, 3)), nz(F.regexp_extract(x, rx, 2)), nz(F.regexp_extract(x, rx, 1)))
+    return let(c, lambda x: make_date(F.regexp_extract(x, rx, 3), F.regexp_extract(x, rx, 2), F.regexp_extract(x, rx, 1)))
 
 
 def any_date(c) -> Column:
     """DAT-4: textual Italian date first, then numeric."""
-    return F.coalesce(it_date(c), slash_date(c))
+    return let(c, lambda x: F.coalesce(it_date(x), slash_date(x)))
 
 
 # Trentino-style patterns: numeric, then "d month yyyy", then "month d, yyyy" (IT and EN months)
@@ -93,23 +92,17 @@ _BI_MDY = r"([a-zA-Z]+)\s+(\d{1,2}),?\s+(\d{4})"
 
 def bilingual_date(c) -> Column:
     """DAT-5: the first pattern that *matches* decides; an unknown month word gives NULL."""
-    x = F.trim(F.replace(F.replace(col_of(c), F.lit("Data"), F.lit("")), F.lit("\n"), F.lit(" ")))
-    num = make_date(nz(F.regexp_extract(x, _BI_NUM, 3)), nz(F.regexp_extract(x, _BI_NUM, 2)), nz(F.regexp_extract(x, _BI_NUM, 1)))
-    dmy = make_date(
-        nz(F.regexp_extract(x, _BI_DMY, 3)),
-        month_number(nz(F.regexp_extract(x, _BI_DMY, 2)), english=True),
-        nz(F.regexp_extract(x, _BI_DMY, 1)),
-    )
-    mdy = make_date(
-        nz(F.regexp_extract(x, _BI_MDY, 3)),
-        month_number(nz(F.regexp_extract(x, _BI_MDY, 1)), english=True),
-        nz(F.regexp_extract(x, _BI_MDY, 2)),
-    )
-    return (
-        F.when(x.rlike(_BI_NUM), num)
-        .when(x.rlike(_BI_DMY), dmy)
-        .otherwise(mdy)
-    )
+    cleaned = F.trim(F.replace(F.replace(col_of(c), F.lit("Data"), F.lit("")), F.lit("\n"), F.lit(" ")))
+
+    def parse(x):
+        num = make_date(F.regexp_extract(x, _BI_NUM, 3), F.regexp_extract(x, _BI_NUM, 2), F.regexp_extract(x, _BI_NUM, 1))
+        dmy = make_date(F.regexp_extract(x, _BI_DMY, 3), month_number(F.regexp_extract(x, _BI_DMY, 2), english=True),
+                        F.regexp_extract(x, _BI_DMY, 1))
+        mdy = make_date(F.regexp_extract(x, _BI_MDY, 3), month_number(F.regexp_extract(x, _BI_MDY, 1), english=True),
+                        F.regexp_extract(x, _BI_MDY, 2))
+        return F.when(x.rlike(_BI_NUM), num).when(x.rlike(_BI_DMY), dmy).otherwise(mdy)
+
+    return let(cleaned, parse)
 
 
 def it_month_name(d) -> Column:
@@ -124,7 +117,12 @@ def date_display(d, style: str) -> Column:
     ``d_month`` d mese yyyy, ``d_Month`` d Mese yyyy, ``dd_month`` dd mese yyyy,
     ``d_english`` d Month yyyy in English (the C-locale ``%B`` of two scripts).
     """
-    x = col_of(d)
+    if style not in ("dmy", "dmy_dash", "iso", "d_english"):
+        return let(d, lambda v: _date_display(v, style))
+    return _date_display(col_of(d), style)
+
+
+def _date_display(x: Column, style: str) -> Column:
     if style == "dmy":
         return F.date_format(x, "dd/MM/yyyy")
     if style == "dmy_dash":

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regesto.functions._util import col_of, nz, rx
+from regesto.functions._util import col_of, let, nz, rx
 from regesto.functions.dates import IT_MONTH_ALT, any_date, it_date, slash_date
 
 # The law-number patterns.
@@ -42,9 +42,11 @@ def law_no_alt(c) -> Column:
 
 def cell_number(c) -> Column:
     """NUM-4: a table cell that *is* a number: under 15 chars, no '/', whole text ``[n[.][ ]]digits``."""
-    x = F.trim(col_of(c))
-    ok = (F.length(x) < 15) & ~x.contains("/") & F.lower(x).rlike(r"^(n\.? ?)?\d+$")
-    return F.when(ok, F.regexp_extract(x, r"(\d+)", 1))
+    def pick(x):
+        ok = (F.length(x) < 15) & ~x.contains("/") & F.lower(x).rlike(r"^(n\.? ?)?\d+$")
+        return F.when(ok, F.regexp_extract(x, r"(\d+)", 1))
+
+    return let(F.trim(col_of(c)), pick)
 
 
 # HDR-1: "<d[°] mese yyyy> ... n. <no>" ; HDR-2: "n. <no> del <date>"
@@ -54,26 +56,22 @@ HDR2_RX = rf"(?iU)(?:n\.|numero)\s*(\d+)\s+del\s+(\d{{1,2}}/\d{{1,2}}/\d{{4}}|\d
 
 def header_date_no(c) -> Column:
     """HDR-1 as struct(law_date DATE, law_no STRING, date_text STRING); all NULL on no match."""
-    x = col_of(c)
-    dtext = rx(x, HDR1_RX, 1)
-    return F.struct(it_date(dtext).alias("law_date"), rx(x, HDR1_RX, 2).alias("law_no"), dtext.alias("date_text"))
+    return let(c, lambda x: let(rx(x, HDR1_RX, 1), lambda dtext: F.struct(
+        it_date(dtext).alias("law_date"), rx(x, HDR1_RX, 2).alias("law_no"), dtext.alias("date_text"))))
 
 
 def header_no_date(c) -> Column:
     """HDR-2 as struct(law_date, law_no, date_text)."""
-    x = col_of(c)
-    dtext = rx(x, HDR2_RX, 2)
-    return F.struct(
+    return let(c, lambda x: let(rx(x, HDR2_RX, 2), lambda dtext: F.struct(
         F.coalesce(slash_date(dtext), it_date(dtext)).alias("law_date"),
         rx(x, HDR2_RX, 1).alias("law_no"),
         dtext.alias("date_text"),
-    )
+    )))
 
 
 def header_fields(c) -> Column:
     """HDR-1, and only when it does not match, HDR-2 (the first pattern that matches decides)."""
-    x = col_of(c)
-    return F.when(x.rlike(HDR1_RX), header_date_no(x)).otherwise(header_no_date(x))
+    return let(c, lambda x: F.when(x.rlike(HDR1_RX), header_date_no(x)).otherwise(header_no_date(x)))
 
 
 __all__ = [

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regesto.functions._util import col_of
+from regesto.functions._util import col_of, let
 
 # Characters a file name may not hold (backslash / * ? : " < > |).
 UNSAFE_NAME_CLASS = r'[\\/*?:"<>|]'
@@ -43,11 +43,13 @@ def safe_name_50(c) -> Column:
 
 def safe_name_spaces(c) -> Column:
     """TXT-5: slashes -> '-', delete * : ? " < > |, collapse whitespace; empty -> 'Unknown'."""
-    x = col_of(c)
-    x = F.translate(x, "/\\", "--")
-    x = F.regexp_replace(x, UNSAFE_NAME_CLASS_NO_SLASH, "")
-    x = F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
-    return F.when(col_of(c).isNull() | (col_of(c) == ""), F.lit("Unknown")).otherwise(x)
+    def clean(v):
+        x = F.translate(v, "/\\", "--")
+        x = F.regexp_replace(x, UNSAFE_NAME_CLASS_NO_SLASH, "")
+        x = F.trim(F.regexp_replace(x, r"(?U)\s+", " "))
+        return F.when(v.isNull() | (v == ""), F.lit("Unknown")).otherwise(x)
+
+    return let(c, clean)
 
 
 def norm_quotes(c) -> Column:
@@ -67,20 +69,17 @@ def strip_phrase(c, phrase: str) -> Column:
 
 def cap_month(c) -> Column:
     """TXT-9: Python ``str.capitalize``: first character upper, the rest lower."""
-    x = col_of(c)
-    return F.concat(F.upper(F.left(x, F.lit(1))), F.lower(F.substring(x, 2, 1 << 30)))
+    return let(c, lambda x: F.concat(F.upper(F.left(x, F.lit(1))), F.lower(F.substring(x, 2, 1 << 30))))
 
 
 def zfill2(c) -> Column:
     """TXT-10: left-pad with '0' to 2 characters, never truncating longer input."""
-    x = col_of(c).cast("string")
-    return F.lpad(x, F.greatest(F.lit(2), F.length(x)), "0")
+    return let(col_of(c).cast("string"), lambda x: F.lpad(x, F.greatest(F.lit(2), F.length(x)), "0"))
 
 
 def to_int_or_null(c) -> Column:
     """TXT-11: integer value of a digit string, NULL otherwise."""
-    digits = F.trim(col_of(c))
-    return F.when(digits.rlike(r"^[0-9]{1,9}$"), digits.cast("int"))
+    return let(F.trim(col_of(c)), lambda d: F.when(d.rlike(r"^[0-9]{1,9}$"), d.cast("int")))
 
 
 # line boundaries of Python ``str.splitlines``

@@ -15,6 +15,7 @@ from regesto.operators import reports as R
 from regesto.operators import sorting as O
 from regesto.plans.q_scalars import law_index_from_headers
 from regesto.plans.registry import query
+from regesto.session import spread
 from regesto.sources.fixtures import table, view
 
 ISO = "strftime(d, '%Y-%m-%d')"
@@ -227,7 +228,7 @@ _LINES_SQL = r"""(SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1
 
 
 def _doc_lines(spark, sf):
-    d = table(spark, sf, "documents")
+    d = spread(table(spark, sf, "documents"))
     return d.select("doc_id", F.posexplode(T.lines_split("text")).alias("p0", "line")).select(
         "doc_id", (F.col("p0") + 1).alias("pos"), "line")
 

@@ -47,3 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+def spread(df):
+    """Give CPU-heavy per-row work (regexes over whole texts) at least one task per core.
+
+    Inputs read from few large files (or derived from them) can arrive as one partition; a
+    round-robin repartition then costs one cheap shuffle and buys full parallelism.  Inputs that
+    already have enough partitions (any real-size table) are returned untouched."""
+    sc = df.sparkSession.sparkContext
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Connect): keep the input as is
+        return df
+    return df.repartition(sc.defaultParallelism) if n < sc.defaultParallelism else df

@@ -69,7 +69,7 @@ def read_state(spark: SparkSession, path: str, multiline: bool = True) -> dict[s
         short = name.removeprefix("done_").rstrip("s")
         col = F.col(name)
         if isinstance(raw.schema[name].dataType, T.ArrayType):
-            out[name] = raw.select(F.explode(col).cast(typ).alias(short)).distinct()
+            out[name] = raw.select(F.explode(col).alias(short)).select(F.col(short).cast(typ).alias(short)).distinct()
         else:
             out[name] = raw.where(col.isNotNull()).select(col.cast(typ).alias(short)).distinct()
     return out
