@@ -11,6 +11,7 @@ from bisect import bisect_right
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = frozenset(
@@ -135,7 +136,12 @@ def _ancestor_classes(node):
     return " ".join(out)
 
 
-def parse_html(html: str, drop=("bur",)) -> dict:
+ALL_PARTS = frozenset(("title", "text", "headings", "links", "cells", "paras", "items", "labels", "blocks"))
+
+
+def parse_html(html: str, drop=("bur",), want=ALL_PARTS) -> dict:
+    """``want``: the dom parts to build (the others come back empty), so a job pays only for
+    the selectors it uses."""
     b = _Builder()
     try:
         b.feed(html or "")
@@ -143,17 +149,19 @@ def parse_html(html: str, drop=("bur",)) -> dict:
     except Exception:  # noqa: BLE001 - a broken page still yields what was read
         pass
     els = b.elements
-    title = next((text_of(e) for e in els if e.tag == "title"), None)
+    title = next((text_of(e) for e in els if e.tag == "title"), None) if "title" in want else None
     headings, links, cells, paras, items, labels, blocks = [], [], [], [], [], [], []
-    ps = [e for e in els if e.tag == "p"]
+    w_head, w_links, w_cells = "headings" in want, "links" in want, "cells" in want
+    w_paras, w_items, w_labels, w_blocks = "paras" in want, "items" in want, "labels" in want, "blocks" in want
+    ps = [e for e in els if e.tag == "p"] if w_links else []
     p_orders = [e.order for e in ps]
     tbl_no = 0
     for e in els:
         t = e.tag
-        if t in HEADINGS:
+        if t in HEADINGS and w_head:
             headings.append({"pos": len(headings) + 1, "tag": t, "id": e.attrs.get("id"), "cls": e.attrs.get("class"),
                              "text": text_of(e), "next_text": _next_text(e)})
-        elif t == "a" and "href" in e.attrs:
+        elif t == "a" and w_links and "href" in e.attrs:
             par = e.parent
             k = bisect_right(p_orders, e.order)
             nxt = ps[k] if k < len(ps) else None
@@ -163,7 +171,7 @@ def parse_html(html: str, drop=("bur",)) -> dict:
                 "parent_text": text_of(par) if par is not None else None,
                 "next_para": text_of(nxt) if nxt is not None else None, "in_cls": _ancestor_classes(e),
             })
-        elif t == "table":
+        elif t == "table" and w_cells:
             tbl_no += 1
             rows = [r for r in _descendants(e) if r.tag == "tr" and _nearest(r, "table") is e]
             for ri, r in enumerate(rows, 1):
@@ -176,21 +184,21 @@ def parse_html(html: str, drop=("bur",)) -> dict:
                     href = next((d.attrs.get("href") for d in desc if d.tag == "a" and "href" in d.attrs), None)
                     cells.append({"tbl": tbl_no, "row": ri, "col": ci, "text": text_of(c), "has_button": btn,
                                   "is_header": header, "href": href})
-        elif t == "p":
+        elif t == "p" and w_paras:
             style = e.attrs.get("style", "")
             align = e.attrs.get("align") or ("center" if "text-align:center" in style.replace(" ", "") else None)
             paras.append({"pos": len(paras) + 1, "align": align, "cls": e.attrs.get("class"), "text": text_of(e)})
-        elif t == "li":
+        elif t == "li" and w_items:
             items.append(text_of(e))
-        if t in ("strong", "b"):
+        if w_labels and t in ("strong", "b"):
             blk = e.parent
             while blk is not None and blk.tag not in LABEL_BLOCKS and blk.tag != "#root":
                 blk = blk.parent
             labels.append({"label": text_of(e), "block_text": text_of(blk) if blk is not None else None})
-        if e.attrs.get("id") or e.attrs.get("class"):
+        if w_blocks and (e.attrs.get("id") or e.attrs.get("class")):
             blocks.append({"tag": t, "id": e.attrs.get("id"), "cls": e.attrs.get("class"),
                            "text": text_of(e), "clean_text": text_of(e, drop)})
-    return {"title": title, "text": text_of(b.root), "headings": headings, "links": links, "cells": cells,
+    return {"title": title, "text": text_of(b.root) if "text" in want else None, "headings": headings, "links": links, "cells": cells,
             "paras": paras, "items": items, "labels": labels, "blocks": blocks}
 
 
@@ -210,8 +218,29 @@ def _nearest(node, tag):
     return None
 
 
-def parse_frame(pdf: pd.DataFrame, cols, html: str, drop) -> pd.DataFrame:
+def parse_frame(pdf: pd.DataFrame, cols, html: str, drop, want=ALL_PARTS) -> pd.DataFrame:
     dropset = frozenset(drop)
     out = {c: pdf[c].values for c in cols}
-    out["dom"] = [parse_html(h, dropset) for h in pdf[html].values]
+    out["dom"] = [parse_html(h, dropset, want) for h in pdf[html].values]
     return pd.DataFrame(out)
+
+
+_ARROW_DOM = None
+
+
+def _dom_arrow_type():
+    global _ARROW_DOM
+    if _ARROW_DOM is None:
+        from pyspark.sql.pandas.types import to_arrow_type
+
+        from regesto.functions.html import DOM_SCHEMA
+
+        _ARROW_DOM = to_arrow_type(DOM_SCHEMA)
+    return _ARROW_DOM
+
+
+def parse_batch(batch: pa.RecordBatch, cols, html: str, drop, want=ALL_PARTS) -> pa.RecordBatch:
+    dropset = frozenset(drop)
+    doms = [parse_html(h, dropset, want) for h in batch.column(html).to_pylist()]
+    arrays = [batch.column(c) for c in cols] + [pa.array(doms, type=_dom_arrow_type())]
+    return pa.RecordBatch.from_arrays(arrays, names=[*cols, "dom"])

@@ -4,7 +4,7 @@ Two layers:
 
 * regex forms on the ``html`` column (links, anchors, page text, first element,
   attributes) -- built-in expressions, no Python;
-* ``parse_dom``: ONE Arrow pass (``mapInPandas``) that turns a page into a nested
+* ``parse_dom``: ONE Arrow pass (``mapInArrow``) that turns a page into a nested
   ``dom`` column; every tree-shaped selector after it is a native higher-order
   function over that column.  Filters on url/id should be applied *before*
   ``parse_dom`` (pushdown does not cross a Python boundary).
@@ -137,11 +137,13 @@ DOM_SCHEMA = T.StructType([
 ])
 
 
-def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", html: str = "html", keep=()) -> DataFrame:
-    """HTM-0: ``(key, *keep, html)`` -> ``(key, *keep, dom)`` in one ``mapInPandas`` pass.
+def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", html: str = "html", keep=(),
+              parts=None) -> DataFrame:
+    """HTM-0: ``(key, *keep, html)`` -> ``(key, *keep, dom)`` in one Arrow pass (``mapInArrow``).
 
     ``drop_classes``: elements with one of these classes are left out of their
     ancestors' ``clean_text`` (HTM-7, e.g. the bulletin line inside a title).
+    ``parts``: the dom parts a job reads (default all); the others come back empty.
     """
     from regesto.functions import _dom
 
@@ -159,16 +161,18 @@ def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", htm
     except Exception:  # noqa: BLE001 - e.g. no RDD access (Connect): keep the input partitioning
         pass
     keep = tuple(keep)
-    fields = [pages.schema[c] for c in (key, *keep)]
+    cols = (key, *keep)
+    fields = [pages.schema[c] for c in cols]
     out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField("dom", DOM_SCHEMA)])
     drops = tuple(drop_classes)
-    cols = (key, *keep)
+    want = _dom.ALL_PARTS if parts is None else frozenset(parts)
 
     def run(batches):
-        for pdf in batches:
-            yield _dom.parse_frame(pdf, cols, html, drops)
+        # Arrow in, Arrow out: no pandas objects; the dom list is converted by pyarrow in C++
+        for batch in batches:
+            yield _dom.parse_batch(batch, cols, html, drops, want)
 
-    return pages.select(*cols, html).mapInPandas(run, out_schema)
+    return pages.select(*cols, html).mapInArrow(run, out_schema)
 
 
 # ----------------------------------------------------------------------------- selectors over dom

@@ -23,6 +23,7 @@ from regesto.functions._util import nz, rx
 from regesto.operators import cutoffs as C
 from regesto.operators import dedupe as S
 from regesto.operators import filters as P
+from regesto.session import spread
 from regesto.sources.readers import key_grid
 
 LAW_INDEX = [
@@ -68,10 +69,18 @@ def conform(df: DataFrame, region: str, fill_missing: bool = True) -> DataFrame:
     return df.select(*out)
 
 
-def _dom(pages: DataFrame, url_filter: str | None = None, drop=("bur",)) -> DataFrame:
+def _dom(pages: DataFrame, url_filter: str | None = None, drop=("bur",), parts=None) -> DataFrame:
     if url_filter:  # before the Python hop: the filter reaches the scan
         pages = pages.filter(F.col("url").rlike(url_filter))
-    return H.parse_dom(pages, drop_classes=drop, keep=("url",))
+    return H.parse_dom(pages, drop_classes=drop, keep=("url",), parts=parts)
+
+
+def _flat(pages: DataFrame, url_filter: str | None = None, contains: bool = False) -> DataFrame:
+    """Pages for the regex-form extractors (no Python pass): URL filter first, then at least one
+    task per core for the regex work."""
+    if url_filter:
+        pages = pages.filter(F.col("url").contains(url_filter) if contains else F.col("url").rlike(url_filter))
+    return spread(pages)
 
 
 def _block(id_=None, cls=None, prefix=None, clean=True) -> Column:
@@ -99,7 +108,7 @@ DATE_CELL_RX = r"(\d{2})/(\d{2})/(\d{4})"
 
 def extract_basilicata(pages: DataFrame) -> DataFrame:
     """Table rows with a select button: longest plain cell = title, last number cell, last date cell."""
-    dom = _dom(pages)
+    dom = _dom(pages, parts=("cells",))
     rows = dom.select("url", "dom", F.explode(F.array_distinct(F.transform(
         F.filter(F.col("dom.cells"), lambda c: c["has_button"]),
         lambda c: F.struct(c["tbl"].alias("t"), c["row"].alias("r"))))).alias("rw"))
@@ -169,15 +178,15 @@ CAMPANIA_DATE_RX = r"(?iU)(\d{1,2}°?\s+[a-zàèìòù]+\s+\d{4})"
 
 def extract_campania(pages: DataFrame) -> DataFrame:
     """h1, number, textual date and a document link are all required; one row per law id."""
-    dom = _dom(pages, "dettaglio-documento")
-    text = F.col("dom.text")
-    x = dom.select(
+    p = _flat(pages, "dettaglio-documento", contains=True)
+    text = H.page_text("html")
+    x = p.select(
         "url",
         U.query_param("url", "id").alias("law_id"),
-        H.heading_text("dom", "h1").alias("title"),
+        H.element_text("html", "h1").alias("title"),
         N.law_no(text).alias("no"),
         rx(text, CAMPANIA_DATE_RX).alias("date_text"),
-        F.exists("dom.links", lambda l: F.coalesce(l["href"], F.lit("")).contains("prendiDocumento")).alias("has_pdf"),
+        F.exists(H.attr_values("html", "a", "href"), lambda h: h.contains("prendiDocumento")).alias("has_pdf"),
     )
     x = P.require_fields(x.filter("has_pdf"), ["title", "no", "date_text"])
     x = S.distinct_ordered(x, "law_id", ["url"])
@@ -202,7 +211,7 @@ def fvg_date_display(raw: Column) -> Column:
 
 def extract_friuli(pages: DataFrame) -> DataFrame:
     """Category pages with IndiceLex rows; Success rows only."""
-    dom = _dom(pages, "IndiceLex")
+    dom = _dom(pages, "IndiceLex", parts=("blocks", "links"))
     title = F.coalesce(nz(_block(id_="PageBody_lbOggettolegge")), F.lit("Title Not Found"))
     cat_link = F.try_element_at(F.filter("dom.links", lambda l: F.coalesce(l["href"], F.lit("")).contains("Lista.aspx?materia=")), F.lit(1))
     x = dom.select(
@@ -229,7 +238,7 @@ LAZIO_DATE_BODY_RX = r"(?iU)Data[:\s]*([0-3]?\d\s+[A-Za-zàèéìòù]+\s+\d{4}|
 
 def extract_lazio(pages: DataFrame) -> DataFrame:
     """First heading; bold labels Numero / Data (not BUR), body regexes as fallback; ID_ key."""
-    dom = _dom(pages, "leggiregionalidettaglio")
+    dom = _dom(pages, "leggiregionalidettaglio", parts=("headings", "labels", "text"))
     heads = F.filter("dom.headings", lambda h: h["tag"].isin("h1", "h2", "h3", "h4") & (h["text"] != ""))
     first_head = F.array_min(F.transform(heads, lambda h: F.struct(
         F.array_position(F.array(*[F.lit(t) for t in ("h1", "h2", "h3", "h4")]), h["tag"]).alias("k"), h["pos"].alias("p"), h["text"].alias("t"))))["t"]
@@ -258,15 +267,17 @@ def _header_law(x: DataFrame, text: Column, region: str, prefix: str, title: Col
 
 
 def extract_liguria(pages: DataFrame) -> DataFrame:
-    """h1 title; HDR-1 then HDR-2 on the page text; display ``d Month yyyy`` (English month, Q4)."""
-    dom = _dom(pages, "articolo|view|id=")
-    return _header_law(dom, F.col("dom.text"), "Liguria", "Liguria", H.heading_text("dom", "h1"), "Unknown Title")
+    """h1 title; HDR-1 then HDR-2 on the page text; display ``d Month yyyy`` (English month, Q4).
+    Flat selectors only, so regex forms on the html column (no Python pass)."""
+    p = _flat(pages, "articolo|view|id=")
+    return _header_law(p, H.page_text("html"), "Liguria", "Liguria", H.element_text("html", "h1"), "Unknown Title")
 
 
 def extract_toscana(pages: DataFrame) -> DataFrame:
     """As Liguria with the ``#titolo_doc`` title; Region Toscana, file prefix Tuscany."""
-    dom = _dom(pages, "articolo\\?urndoc=")
-    return _header_law(dom, F.col("dom.text"), "Toscana", "Tuscany", _block(id_="titolo_doc"), "Unknown Title")
+    p = _flat(pages, "articolo\\?urndoc=")
+    title = H.element_text("html", "div", r"""\bid\s*=\s*["']titolo_doc["']""")
+    return _header_law(p, H.page_text("html"), "Toscana", "Tuscany", title, "Unknown Title")
 
 
 # ---------------------------------------------------------------------------------- REG-07
@@ -275,7 +286,7 @@ LOMBARDIA_RX = rf"(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}}).*?n\.?\s*(\d+)
 
 def extract_lombardia(pages: DataFrame, base: str = "https://www.lombardia.example/") -> DataFrame:
     """Year listing links (``view=showdoc``); date and number from the link text."""
-    links = H.extract_anchors(pages.filter(F.col("url").contains("anno=")), keep=("page_id", "url"))
+    links = H.extract_anchors(_flat(pages, "anno=", contains=True), keep=("page_id", "url"))
     links = links.filter(F.col("href").contains("view=showdoc"))
     t = F.lower(F.trim("text"))
     d = D.make_date(rx(t, LOMBARDIA_RX, 3), D.month_number(rx(t, LOMBARDIA_RX, 2)), rx(t, LOMBARDIA_RX, 1))
@@ -296,7 +307,7 @@ MARCHE_DATE_RX = rf"(?i)(\d{{1,2}}°?\s+(?:{D.IT_MONTH_ALT})\s+\d{{4}})"
 
 def extract_marche(pages: DataFrame) -> DataFrame:
     """Regexes on the raw html (no dom); one row per source URL (Q9: never collapse NA_NA names)."""
-    p = pages.filter(F.col("url").contains("dettaglio.php?arc=vig"))
+    p = _flat(pages, "dettaglio.php?arc=vig", contains=True)
     h1 = H.strip_tags(H.element_html("html", "h1"))
     x = p.select(
         "url",
@@ -321,7 +332,7 @@ def _molise_date(text: Column):
 
 def extract_molise(pages: DataFrame) -> DataFrame:
     """Title: longest of cells > 40, li with 'legge regionale', p > 40, headings; number: NUM-2 on the body."""
-    dom = _dom(pages, "OpenDocument")
+    dom = _dom(pages, "OpenDocument", parts=("cells", "items", "paras", "headings", "text", "title"))
     cells = F.transform(F.filter("dom.cells", lambda c: F.length(c["text"]) > 40), lambda c: c["text"])
     lis = F.filter("dom.items", lambda t: F.lower(t).contains("legge regionale"))
     ps = F.transform(F.filter("dom.paras", lambda p: F.length(p["text"]) > 40), lambda p: p["text"])
@@ -348,7 +359,7 @@ PIEMONTE_DATE_RX = r"(?i)del\s+(\d{1,2})°?\s+([a-zA-Z]+)\s+(\d{4})"
 def extract_piemonte(pages: DataFrame, min_bytes: int = 2000) -> DataFrame:
     """``#titoloAtto`` minus ``.bur``; lead span loose ``n.``; ``del <data>``; strict repeal rule; payload > 2 KB."""
     p = P.min_size(pages.filter(F.col("url").contains("dettaglioLegge.do")), "html", min_bytes)
-    dom = _dom(p, drop=("bur",))
+    dom = _dom(p, drop=("bur",), parts=("blocks", "text"))
     dom = P.drop_repealed_strict(dom.withColumn("__t", F.col("dom.text")), "__t")
     lead = F.coalesce(_block(cls="lead"), F.col("dom.text"))
     day, mon, yr = rx(lead, PIEMONTE_DATE_RX, 1), rx(lead, PIEMONTE_DATE_RX, 2), rx(lead, PIEMONTE_DATE_RX, 3)
@@ -368,12 +379,17 @@ def extract_piemonte(pages: DataFrame, min_bytes: int = 2000) -> DataFrame:
 # ---------------------------------------------------------------------------------- REG-11
 def extract_puglia(pages: DataFrame) -> DataFrame:
     """Fields by element id; title = first centred paragraph over 15 characters."""
-    dom = _dom(pages, "LeggeNavscroll.aspx")
-    title = F.try_element_at(F.filter("dom.paras", lambda p: (p["align"] == "center") & (F.length(p["text"]) > 15)), F.lit(1))["text"]
-    raw_date = F.coalesce(nz(_block(id_="ContentPlaceHolder1_lblData")), F.lit("01/01/1900"))
-    x = dom.select("url", F.coalesce(title, F.lit("Title Not Found")).alias("title"),
-                   F.coalesce(nz(_block(id_="ContentPlaceHolder1_lblNumero")), F.lit("Unknown")).alias("no"),
-                   raw_date.alias("raw"))
+    p = _flat(pages, "LeggeNavscroll.aspx", contains=True)
+    centred = F.transform(F.regexp_extract_all("html", F.lit(r"""(?is)<p\b[^>]*\balign\s*=\s*["']center["'][^>]*>(.*?)</p\s*>"""), F.lit(1)), H.inner_text)
+    title = F.try_element_at(F.filter(centred, lambda t: F.length(t) > 15), F.lit(1))
+
+    def by_id(i):
+        return H.element_text("html", "span", rf"""\bid\s*=\s*["']{i}["']""")
+
+    raw_date = F.coalesce(by_id("ContentPlaceHolder1_lblData"), F.lit("01/01/1900"))
+    x = p.select("url", F.coalesce(title, F.lit("Title Not Found")).alias("title"),
+                 F.coalesce(by_id("ContentPlaceHolder1_lblNumero"), F.lit("Unknown")).alias("no"),
+                 raw_date.alias("raw"))
     d = F.when(F.col("raw").rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), D.slash_date("raw"))
     d = F.when(d != F.lit("1900-01-01").cast("date"), d)
     return to_law_index(
@@ -390,7 +406,7 @@ SARD_HDR2 = r"(?i)Legge regionale\s+n\.\s*(\d+)\s+del\s+(.*)"
 
 def extract_sardinia(pages: DataFrame) -> DataFrame:
     """Every ``.pdf`` link; HDR-1 then HDR-2 on the link text, else the row is dropped."""
-    dom = _dom(pages)
+    dom = _dom(pages, parts=("links",))
     links = dom.select("url", F.explode(F.filter("dom.links", lambda l: F.lower(F.coalesce(l["href"], F.lit(""))).endswith(".pdf"))).alias("l"))
     t = F.trim(F.col("l.text"))
     m1 = t.rlike(SARD_HDR1)
@@ -410,7 +426,7 @@ def extract_sardinia(pages: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------- REG-13
 def extract_trentino(pages: DataFrame) -> DataFrame:
     """Title after h1; dates from candidates (numeric, IT/EN textual), else the title's year; 1:N documents."""
-    dom = _dom(pages, "/content/view/full/")
+    dom = _dom(pages, "/content/view/full/", parts=("headings", "blocks", "links"))
     h1 = H.heading_text("dom", "h1")
     after = H.heading_next_text("dom", "h1")
     title = F.when(F.length(F.coalesce(after, F.lit(""))) > 5, after).otherwise(F.coalesce(h1, F.lit("Unknown")))
@@ -435,14 +451,14 @@ UMBRIA_DATE_RX = rf"(?iU)(\d{{1,2}}°?\s+(?:{D.IT_MONTH_ALT})\s+\d{{4}})"
 
 def extract_umbria(pages: DataFrame) -> DataFrame:
     """First long td not starting with a digit, else heading; strict ``n.``, else ``-(N).`` of the link."""
-    dom = _dom(pages, "mostra_atto.php")
-    td = F.try_element_at(F.filter("dom.cells", lambda c: (F.length(c["text"]) > 20) & ~c["text"].rlike(r"^\d")), F.lit(1))["text"]
-    heads = F.filter("dom.headings", lambda h: h["tag"].isin("h1", "h2", "h3"))
-    title = F.coalesce(td, F.try_element_at(heads, F.lit(1))["text"], F.lit("No Title Found"))
-    body = F.col("dom.text")
-    dtext = rx(body, UMBRIA_DATE_RX)
-    x = dom.select("url", title.alias("title"), F.coalesce(N.law_no(body), rx("url", N.LINK_NO_RX), F.lit("Unknown")).alias("no"),
-                   dtext.alias("dtext"))
+    p = _flat(pages, "mostra_atto.php", contains=True)
+    tds = F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1)), H.inner_text)
+    td = F.try_element_at(F.filter(tds, lambda t: (F.length(t) > 20) & ~t.rlike(r"^\d")), F.lit(1))
+    head = F.try_element_at(F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<(h[123])\b[^>]*>(.*?)</\1\s*>"), F.lit(2)), H.inner_text), F.lit(1))
+    title = F.coalesce(td, head, F.lit("No Title Found"))
+    x = p.select("url", title.alias("title"), H.page_text("html").alias("body")).select(
+        "url", "title", F.coalesce(N.law_no("body"), rx("url", N.LINK_NO_RX), F.lit("Unknown")).alias("no"),
+        rx("body", UMBRIA_DATE_RX).alias("dtext"))
     d = D.it_date("dtext")
     return to_law_index(
         x, region=F.lit("Umbria"), law_title=F.col("title"), law_number=F.col("no"),
@@ -457,11 +473,12 @@ VENETO_RX = r"(?i)Legge\s+regionale\s+(.*?)(?:,|\s+)\s+n\.\s+(\d+)"
 
 def extract_veneto(pages: DataFrame) -> DataFrame:
     """``p.font-18`` title; number and date from the h2 pattern; no PDF button -> 'No PDF'."""
-    dom = _dom(pages, "dettaglio-legge")
-    h2 = F.coalesce(F.try_element_at(F.filter("dom.headings", lambda h: (h["tag"] == "h2") & F.coalesce(h["cls"], F.lit("")).contains("title")), F.lit(1))["text"], F.lit(""))
-    title = F.try_element_at(F.filter("dom.paras", lambda p: F.coalesce(p["cls"], F.lit("")).contains("font-18")), F.lit(1))["text"]
-    has_pdf = F.exists("dom.links", lambda l: F.lower(F.coalesce(l["text"], F.lit(""))).contains("pdf testo"))
-    x = dom.select("url", F.coalesce(title, F.lit("No Title")).alias("title"),
+    p = _flat(pages, "dettaglio-legge", contains=True)
+    h2 = F.coalesce(H.element_text("html", "h2", r"""\bclass\s*=\s*["'][^"']*\btitle\b"""), F.lit(""))
+    title = H.element_text("html", "p", r"""\bclass\s*=\s*["'][^"']*\bfont-18\b""")
+    anchor_texts = F.transform(F.regexp_extract_all("html", F.lit(H.ANCHOR_RX), F.lit(2)), H.inner_text)
+    has_pdf = F.exists(anchor_texts, lambda t: F.lower(t).contains("pdf testo"))
+    x = p.select("url", F.coalesce(title, F.lit("No Title")).alias("title"),
                    F.coalesce(F.trim(rx(h2, VENETO_RX, 2)), F.lit("Unknown")).alias("no"),
                    F.coalesce(F.trim(rx(h2, VENETO_RX, 1)), F.lit("Unknown")).alias("dtext"), has_pdf.alias("has_pdf"))
     d = D.it_date("dtext")
@@ -480,7 +497,7 @@ AOSTA_DATE_RX = rf"(?iU)(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}})"
 def extract_aosta(pages: DataFrame) -> DataFrame:
     """Search listing links ``dettaglio?pk_lr=``: header text -> date and number, next paragraph -> title;
     repeal phrases drop a law; one row per URL."""
-    dom = _dom(pages)
+    dom = _dom(pages, parts=("links",))
     links = dom.select("url", F.explode(F.filter("dom.links", lambda l: F.coalesce(l["href"], F.lit("")).contains("dettaglio?pk_lr="))).alias("l"))
     hdr = F.trim(F.col("l.text"))
     src = U.url_join(F.col("url"), F.col("l.href"))
@@ -507,7 +524,7 @@ EMILIA_RX = r"(?i)Legge regionale\s+(.*?),\s+n\.(\d+)"
 
 def extract_emilia(pages: DataFrame, base: str = "https://emilia.example") -> DataFrame:
     """``a.hitelement_button`` titles less the prefix; ``Legge regionale <date>, n.<no>``; zero-padded display."""
-    a = H.extract_anchors(pages, keep=("page_id", "url"))
+    a = H.extract_anchors(_flat(pages), keep=("page_id", "url"))
     a = a.filter(F.col("title").isNotNull())
     full = T.strip_phrase(H.unescape(F.col("title")), "Accedi al documento ")
     x = a.select(full.alias("full"), U.absolutise(F.col("href"), base).alias("src"))

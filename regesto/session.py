@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     # keep Arrow batches small: one batch holds whole html pages
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
