@@ -52,12 +52,18 @@ def drop_repealed_phrases(df: DataFrame, text: str = "text", phrases=REPEAL_PHRA
 PDF_MAGIC = bytes("%PDF", "ascii")
 
 
-def valid_capture(df: DataFrame, status: str = "status", body: str = "body", content_type: str | None = None) -> DataFrame:
-    """PRD-3: HTTP 200 and a PDF body (magic ``%PDF``), or a content type naming ``application/pdf``."""
+def is_valid_capture(status="status", body="body", content_type=None) -> Column:
+    """PRD-3 predicate: HTTP 200 and a PDF body (magic ``%PDF``), or a content type naming
+    ``application/pdf``; never NULL."""
     is_pdf = F.substring(col_of(body), 1, 4) == F.lit(PDF_MAGIC)
     if content_type is not None:
         is_pdf = is_pdf | F.lower(F.coalesce(col_of(content_type), F.lit(""))).contains("application/pdf")
-    return df.filter((col_of(status) == 200) & F.coalesce(is_pdf, F.lit(False)))
+    return F.coalesce((col_of(status) == 200) & is_pdf, F.lit(False))
+
+
+def valid_capture(df: DataFrame, status: str = "status", body: str = "body", content_type: str | None = None) -> DataFrame:
+    """PRD-3."""
+    return df.filter(is_valid_capture(status, body, content_type))
 
 
 def min_size(df: DataFrame, payload: str = "body", n: int = 2000) -> DataFrame:

@@ -193,3 +193,31 @@ query(
     + f"\nUNION ALL\n(SELECT * FROM ({CALABRIA_ORACLE.strip().replace(chr(10), ' ')}) cal)) GROUP BY region",
     views=["law_headers", "calabria_captures"], ops="REG-ALL SET-5",
 )(lambda spark, sf: all_regions(spark, sf).groupBy("region").agg(F.count(F.lit(1)).alias("n_laws"), F.count("law_date").alias("n_dated")))
+
+
+# ------------------------------------------------------------------ shape A end to end
+from regesto.plans import flows as FL  # noqa: E402
+from regesto.sources.fixtures import VIEW_DEPS, VIEW_SQL  # noqa: E402
+
+_LAZIO_FILE = f"""CASE WHEN {FORM} = 3 THEN concat('Lazio_ID_', {ID}, '_unknown_date.pdf')
+                     ELSE concat('Lazio_', {NO}, '_', CASE WHEN {FORM} = 2 THEN {DITD} ELSE {DIT} END, '.pdf') END"""
+VIEW_SQL["lazio_done"] = "SELECT o_orderkey AS law_id FROM orders WHERE o_orderstatus = 'O'"
+VIEW_SQL["lazio_inventory"] = f"""
+SELECT DISTINCT {_LAZIO_FILE} AS name FROM law_headers JOIN orders ON law_id = o_orderkey WHERE o_orderstatus = 'P'"""
+VIEW_DEPS["lazio_inventory"] = ("law_headers",)
+
+_LAZIO_COLS = ", ".join(c for c, _ in RG.LAW_INDEX if c != "status")
+
+
+@query("flow_lazio", f"""
+SELECT {_LAZIO_COLS}, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY filename ORDER BY source_url) AS r FROM (
+    SELECT {_LAZIO_COLS},
+           cast(CASE WHEN filename IN (SELECT name FROM lazio_inventory) THEN 'Skipped (Exists)' ELSE 'Pending' END as varchar) AS status
+    FROM ({ORACLE_SELECTS['lazio']}) x
+    WHERE cast(regexp_extract(source_url, 'id=([0-9]+)', 1) as bigint) NOT IN (SELECT law_id FROM lazio_done)))
+WHERE r = 1""", views=["law_headers", "lazio_done", "lazio_inventory"], ops="shape A: JON-1 REG-05 JON-2 CND-2 SET-4 SET-1")
+def flow_lazio(spark, sf):
+    pages = view(spark, sf, "pages_lazio")
+    return FL.index_pages("lazio", pages, done_ids=view(spark, sf, "lazio_done"), id_param="id",
+                          inventory=view(spark, sf, "lazio_inventory"))

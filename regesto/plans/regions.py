@@ -152,10 +152,8 @@ def extract_calabria(captures: DataFrame, y0: int = 1971, y1: int = 2025, k: int
     spark = captures.sparkSession
     n_max = captures.groupBy("y").agg(F.max("n").alias("n_max"))
     grid = key_grid(spark, y0, y1, n_max, k).select("y", "n")
-    probes = grid.join(captures, ["y", "n"], "left")
-    valid = P.valid_capture(probes.filter(F.col("status").isNotNull()), "status", "body").select("y", "n", F.lit(True).alias("found"))
-    marked = probes.join(valid, ["y", "n"], "left").withColumn("found", F.coalesce("found", F.lit(False)))
-    kept = C.cut_after_misses(marked, "y", "n", "found", k).filter("found")
+    probes = grid.join(captures, ["y", "n"], "left").withColumn("found", P.is_valid_capture("status", "body"))
+    kept = C.cut_after_misses(probes, "y", "n", "found", k).filter("found")
     dtext = date_from_sources(F.col("content_disposition"), F.col("first_page_text"))
     parsed = D.it_date(dtext)
     x = kept.select(
