@@ -106,13 +106,18 @@ def _iso_or(d: Column, default: str) -> Column:
 DATE_CELL_RX = r"(\d{2})/(\d{2})/(\d{4})"
 
 
+ROW_RX = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
+CELL_RX = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
+
+
 def extract_basilicata(pages: DataFrame) -> DataFrame:
-    """Table rows with a select button: longest plain cell = title, last number cell, last date cell."""
-    dom = _dom(pages, parts=("cells",))
-    rows = dom.select("url", "dom", F.explode(F.array_distinct(F.transform(
-        F.filter(F.col("dom.cells"), lambda c: c["has_button"]),
-        lambda c: F.struct(c["tbl"].alias("t"), c["row"].alias("r"))))).alias("rw"))
-    rc = F.filter(F.col("dom.cells"), lambda c: (c["tbl"] == F.col("rw.t")) & (c["row"] == F.col("rw.r")) & (c["text"] != ""))
+    """Grid rows with a select button: longest plain cell = title, last number cell, last date cell.
+    The grid is flat markup, so rows and cells are regex forms (no Python pass)."""
+    p = _flat(pages)
+    rows = F.filter(F.regexp_extract_all("html", F.lit(ROW_RX), F.lit(1)), lambda r: r.rlike(r"(?i)<(input|button)\b"))
+    x = p.select("url", F.explode(rows).alias("row"))
+    texts = F.transform(F.regexp_extract_all("row", F.lit(CELL_RX), F.lit(1)), H.inner_text)
+    cells = F.filter(F.transform(texts, lambda t, i: F.struct(t.alias("text"), (i + 1).alias("col"))), lambda c: c["text"] != "")
 
     def is_date(c):
         return c["text"].rlike(r"\d{2}/\d{2}/\d{4}")
@@ -120,11 +125,11 @@ def extract_basilicata(pages: DataFrame) -> DataFrame:
     def is_num(c):
         return N.cell_number(c["text"]).isNotNull()
 
-    date_txt = F.try_element_at(F.filter(rc, is_date), F.lit(-1))["text"]
-    num_txt = F.try_element_at(F.filter(rc, lambda c: ~is_date(c) & is_num(c)), F.lit(-1))["text"]
-    cands = F.filter(rc, lambda c: ~is_date(c) & ~is_num(c))
+    date_txt = F.try_element_at(F.filter(cells, is_date), F.lit(-1))["text"]
+    num_txt = F.try_element_at(F.filter(cells, lambda c: ~is_date(c) & is_num(c)), F.lit(-1))["text"]
+    cands = F.filter(cells, lambda c: ~is_date(c) & ~is_num(c))
     title = F.array_max(F.transform(cands, lambda c: F.struct(F.length(c["text"]).alias("l"), (-c["col"]).alias("o"), c["text"].alias("t"))))["t"]
-    x = rows.select(
+    x = x.select(
         "url",
         F.coalesce(title, F.lit("Unknown")).alias("title"),
         F.coalesce(N.cell_number(num_txt), F.lit("0")).alias("no"),
