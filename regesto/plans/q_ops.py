@@ -211,13 +211,18 @@ def agg_completeness(spark, sf):
     return R.completeness(idx, "law_number", "law_date", by="region")
 
 
+def _with_source(li):
+    # the listing's portal = the URL host (one portal here; a real listing table holds many)
+    return li.withColumn("source", F.regexp_extract("url", r"^https?://([^/?#]+)", 1))
+
+
 @query("agg_links_per_page", """
 WITH f AS (SELECT url, min(page_no) AS p FROM listing GROUP BY url),
      n AS (SELECT p AS page_no, count(*) AS new FROM f GROUP BY p)
-SELECT 'portal' AS source, l.page_no, count(*) AS found, coalesce(max(n.new), 0) AS new
+SELECT 'x.example' AS source, l.page_no, count(*) AS found, coalesce(max(n.new), 0) AS new
 FROM listing l LEFT JOIN n ON l.page_no = n.page_no GROUP BY l.page_no""", views=["listing"], ops="AGG-4")
 def agg_links_per_page(spark, sf):
-    li = view(spark, sf, "listing").withColumn("source", F.lit("portal"))
+    li = _with_source(view(spark, sf, "listing"))
     return R.links_per_page(li, "source", "page_no", "url")
 
 
@@ -292,7 +297,7 @@ WITH f AS (SELECT url, min(page_no) AS p FROM listing GROUP BY url),
      st AS (SELECT min(page_no) AS stop FROM pg WHERE new = 0)
 SELECT page_no, pos FROM listing, st WHERE st.stop IS NULL OR page_no < st.stop""", views=["listing"], ops="WIN-3")
 def win_cut_no_news(spark, sf):
-    li = view(spark, sf, "listing").withColumn("source", F.lit("portal"))
+    li = _with_source(view(spark, sf, "listing"))
     return C.cut_when_no_news(li, "source", "page_no", "url").select("page_no", "pos")
 
 
