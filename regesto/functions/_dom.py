@@ -1,6 +1,6 @@
 """Per-page helper for ``parse_dom``: stdlib ``html.parser`` -> the nested ``dom`` value.
 
-Runs inside Spark tasks (``mapInPandas``); Spark partitions the pages.  It does
+Runs inside Spark tasks (``mapInArrow``); Spark partitions the pages.  It does
 the small amount of tree repair real pages need: void tags, unclosed ``<p>``,
 ``<li>``, ``<td>``/``<tr>``, stray end tags, and script/style content.
 """
@@ -10,7 +10,6 @@ from __future__ import annotations
 from bisect import bisect_right
 from html.parser import HTMLParser
 
-import pandas as pd
 import pyarrow as pa
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -218,13 +217,6 @@ def _nearest(node, tag):
     return None
 
 
-def parse_frame(pdf: pd.DataFrame, cols, html: str, drop, want=ALL_PARTS) -> pd.DataFrame:
-    dropset = frozenset(drop)
-    out = {c: pdf[c].values for c in cols}
-    out["dom"] = [parse_html(h, dropset, want) for h in pdf[html].values]
-    return pd.DataFrame(out)
-
-
 _ARROW_DOM = None
 
 

@@ -15,9 +15,6 @@ ID, NO, DMY, ISO, DIT, DITD, TITLE, FORM = RP.ID, RP.NO, RP.DMY, RP.ISO, RP.DIT,
 DAY, DAY2, YEAR, IT = RP.DAY, RP.DAY2, RP.YEAR, RP.IT
 EN_LONG = "strftime(d, '%-d %B %Y')"
 
-TYPES = dict(RG.LAW_INDEX)
-
-
 def oracle_select(where: str = "", src: str = "law_headers", **exprs: str) -> str:
     cols = []
     if "law_number_int" not in exprs and "law_number" in exprs:

@@ -304,7 +304,7 @@ def extract_lombardia(pages: DataFrame, base: str = "https://www.lombardia.examp
 
 # ---------------------------------------------------------------------------------- REG-08
 MARCHE_TITLE_RX = r"(?s)<td>\s*([^<]*?)\s*</td>\s*</tr>"
-MARCHE_NO_RX = r"(?i)n\.\s?(\d+)"
+MARCHE_NO_RX = N.ONE_SPACE_NO_RX
 MARCHE_DATE_RX = rf"(?i)(\d{{1,2}}°?\s+(?:{D.IT_MONTH_ALT})\s+\d{{4}})"
 
 

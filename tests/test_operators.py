@@ -126,3 +126,22 @@ def test_laws_per_year_spine(spark):
     df = spark.createDataFrame([(2001,), (2001,), (2003,)], "year int")
     got = {r["year"]: r["n_laws"] for r in R.laws_per_year(df, "year", 2000, 2004).collect()}
     assert got == {2000: 0, 2001: 2, 2002: 0, 2003: 1, 2004: 0}
+
+
+def test_cut_after_misses_property(spark):
+    """Random grids (hypothesis): the join/aggregate form equals the sequential loop, for any k."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.lists(st.booleans(), min_size=1, max_size=40), min_size=1, max_size=4), st.integers(1, 5))
+    def check(years, k):
+        data = [(y, n + 1, hit) for y, hits in enumerate(years) for n, hit in enumerate(hits)]
+        df = spark.createDataFrame(data, "y int, n int, found boolean").repartition(3)
+        got = {(r["y"], r["n"]) for r in C.cut_after_misses(df, "y", "n", "found", k=k).collect()}
+        want = set()
+        for y, hits in enumerate(years):
+            want |= {(y, n) for n in brute_misses([(i + 1, h) for i, h in enumerate(hits)], k)}
+        assert got == want
+
+    check()
