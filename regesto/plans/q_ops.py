@@ -195,16 +195,16 @@ def agg_status_counts(spark, sf):
 
 
 @query("agg_status_wide", """
-SELECT count_if(status = 'Downloaded') AS downloaded, count_if(status = 'Skipped') AS skipped,
-       count_if(status = 'Failed') AS failed FROM fetch_log""", views=["fetch_log"], ops="AGG-2")
+SELECT cast(count_if(status = 'Downloaded') as bigint) AS downloaded, cast(count_if(status = 'Skipped') as bigint) AS skipped,
+       cast(count_if(status = 'Failed') as bigint) AS failed FROM fetch_log""", views=["fetch_log"], ops="AGG-2")
 def agg_status_wide(spark, sf):
     return R.status_counts(view(spark, sf, "fetch_log"), "status",
                            wide={"downloaded": ["Downloaded"], "skipped": ["Skipped"], "failed": ["Failed"]})
 
 
 @query("agg_completeness", """
-SELECT region, count_if(law_id % 4 = 3) AS missing_number, count_if(law_id % 4 = 3) AS missing_date,
-       count_if(law_id % 4 <> 3) AS complete, count(*) AS total FROM law_headers GROUP BY region""",
+SELECT region, cast(count_if(law_id % 4 = 3) as bigint) AS missing_number, cast(count_if(law_id % 4 = 3) as bigint) AS missing_date,
+       cast(count_if(law_id % 4 <> 3) as bigint) AS complete, count(*) AS total FROM law_headers GROUP BY region""",
        views=["law_headers"], ops="AGG-3")
 def agg_completeness(spark, sf):
     idx = law_index_from_headers(view(spark, sf, "law_headers"))
