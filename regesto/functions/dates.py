@@ -73,6 +73,12 @@ def it_date(c) -> Column:
     ))
 
 
+def ordinal_day(c) -> Column:
+    """DAT-3: drop the ordinal mark after a day number (``1°`` -> ``1``); every date parser here
+    already accepts it, this is for display text."""
+    return F.regexp_replace(col_of(c), r"(\d)[°º]", "$1")
+
+
 def slash_date(c, strict: bool = False) -> Column:
     """DAT-2: ``dd/mm/yyyy`` (also ``-`` and ``.``) as DATE; ``strict`` wants two-digit ``/`` only."""
     rx = STRICT_SLASH_DATE_RX if strict else SLASH_DATE_RX

@@ -247,3 +247,33 @@ def heading_next_text(dom="dom", tag: str = "h1") -> Column:
 def heading_text(dom="dom", tag: str = "h1") -> Column:
     hit = F.try_element_at(F.filter(col_of(dom)["headings"], lambda h: h["tag"] == tag), F.lit(1))
     return nz(hit["text"])
+
+
+def neighbour_text(dom="dom", how: str = "next_text", tag: str = "h1", href_rx: str | None = None) -> Column:
+    """HTM-11: text next to an element: ``next_text`` = the node right after the first ``tag``
+    heading; ``parent`` / ``next_para`` = the parent's text / the following paragraph of the first
+    link whose href matches ``href_rx``."""
+    if how == "next_text":
+        return heading_next_text(dom, tag)
+    links = col_of(dom)["links"]
+    if href_rx:
+        links = F.filter(links, lambda l: F.coalesce(l["href"], F.lit("")).rlike(href_rx))
+    hit = F.try_element_at(links, F.lit(1))
+    return hit["parent_text" if how == "parent" else "next_para"]
+
+
+def text_without(dom="dom", id_: str | None = None, cls: str | None = None) -> Column:
+    """HTM-7: text of an element minus the sub-elements whose class was given to ``parse_dom``
+    as ``drop_classes``."""
+    return block_text(dom, id_=id_, cls=cls, clean=True)
+
+
+CD_DATE_RX = r"\d{1,2}\s+[a-zà]+\s+\d{4}"
+
+
+def date_from_sources(header, text) -> Column:
+    """HTM-15: date text from the Content-Disposition header first, then from the first-page text
+    (both lower-cased)."""
+    from regesto.functions._util import rx
+
+    return F.coalesce(rx(F.lower(col_of(header)), f"({CD_DATE_RX})"), rx(F.lower(col_of(text)), f"({CD_DATE_RX})"))

@@ -68,3 +68,8 @@ def is_script_link(href) -> Column:
     """URL-6 predicate: empty, NULL or ``javascript`` href."""
     h = col_of(href)
     return h.isNull() | (F.trim(h) == "") | F.lower(h).contains("javascript")
+
+
+def drop_script_links(df, href: str = "href"):
+    """URL-6: remove rows whose href is empty or a ``javascript:`` link."""
+    return df.filter(~is_script_link(href))

@@ -144,12 +144,7 @@ def extract_basilicata(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-02
-CD_DATE_RX = r"\d{1,2}\s+[a-zà]+\s+\d{4}"
-
-
-def date_from_sources(header: Column, text: Column) -> Column:
-    """HTM-15: date text from Content-Disposition first, then from the first-page text (lower case)."""
-    return F.coalesce(rx(F.lower(header), f"({CD_DATE_RX})"), rx(F.lower(text), f"({CD_DATE_RX})"))
+date_from_sources = H.date_from_sources
 
 
 def extract_calabria(captures: DataFrame, y0: int = 1971, y1: int = 2025, k: int = 10) -> DataFrame:

@@ -32,7 +32,7 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     files, one row per file (``wholetext``), the file path as url and its hash as id."""
     if fmt == "parquet":
         return spark.read.parquet(path).select("page_id", "url", "html")
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     url = F.input_file_name()
     return df.select(F.xxhash64(url).alias("page_id"), url.alias("url"), F.col("value").alias("html"))
 

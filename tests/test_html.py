@@ -109,3 +109,15 @@ def test_golden_basilicata_and_piemonte(spark):
         "page_id long, url string, html string")
     got = [(r["law_title"], r["law_number"], r["law_date"]) for r in RG.extract_piemonte(pm).collect()]
     assert got == [("Titolo vero", "4", dt.date(2021, 3, 5))]
+
+
+def test_neighbour_and_text_without(spark):
+    pages = spark.createDataFrame(
+        [(1, "u", '<h1>H</h1> dopo <div id="t">Titolo<div class="bur">BUR</div></div>'
+                  '<p>padre <a href="dettaglio?pk_lr=1">link</a></p><p class="desc">descrizione</p>')],
+        "page_id long, url string, html string")
+    dom = H.parse_dom(pages)
+    r = dom.select(H.neighbour_text("dom", "next_text").alias("n"), H.text_without("dom", id_="t").alias("t"),
+                   H.neighbour_text("dom", "parent", href_rx="pk_lr").alias("p"),
+                   H.neighbour_text("dom", "next_para", href_rx="pk_lr").alias("q")).first()
+    assert (r["n"], r["t"], r["p"], r["q"]) == ("dopo", "Titolo", "padre link", "descrizione")

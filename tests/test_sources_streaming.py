@@ -70,3 +70,21 @@ def test_payload_table(spark):
     df = spark.createDataFrame([("a", b"%PDF1", "<p>x</p>"), ("b", None, "<p>y</p>")], "filename_stem string, pdf binary, html string")
     got = {r["payload_name"]: r["payload_kind"] for r in W.payload_table(df).collect()}
     assert got == {"a.pdf": "pdf", "b.html": "html"}
+
+
+def test_read_pages_html_dir_and_captures(spark, tmp_path):
+    d = tmp_path / "pages"
+    d.mkdir()
+    (d / "a.html").write_text("<h1>Uno</h1><p>n. 3</p>")
+    (d / "b.html").write_text("<h1>Due</h1>\n<p>n. 4</p>")
+    pages = R.read_pages(spark, str(d), fmt="html")
+    got = sorted((r["url"].rsplit("/", 1)[-1], r["html"]) for r in pages.collect())
+    assert got == [("a.html", "<h1>Uno</h1><p>n. 3</p>"), ("b.html", "<h1>Due</h1>\n<p>n. 4</p>")]
+    c = tmp_path / "caps"
+    c.mkdir()
+    (c / "x.pdf").write_bytes(b"%PDF-1.4 x")
+    (c / "y.pdf").write_bytes(b"<html>")
+    from regesto.operators.filters import valid_capture
+
+    caps = valid_capture(R.read_captures(spark, str(c), fmt="binaryFile"))
+    assert [r["url"].rsplit("/", 1)[-1] for r in caps.collect()] == ["x.pdf"]
