@@ -154,12 +154,9 @@ def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", htm
     except Exception:  # noqa: BLE001 - conf may be read-only on some platforms
         pass
     # the Python pass is the costly step: never let a small/odd input run it in a few tasks
-    par = spark.sparkContext.defaultParallelism
-    try:
-        if pages.rdd.getNumPartitions() < par:
-            pages = pages.repartition(par)
-    except Exception:  # noqa: BLE001 - e.g. no RDD access (Connect): keep the input partitioning
-        pass
+    from regesto.session import spread
+
+    pages = spread(pages)
     keep = tuple(keep)
     cols = (key, *keep)
     fields = [pages.schema[c] for c in cols]

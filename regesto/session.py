@@ -58,6 +58,10 @@ def spread(df):
     already have enough partitions (any real-size table) are returned untouched."""
     sc = df.sparkSession.sparkContext
     try:
+        # a plan that already shuffles has shuffle-sized partitions; asking its RDD for the
+        # partition count would make AQE run those stages now, so only scans are checked
+        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+            return df
         n = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (e.g. Connect): keep the input as is
         return df
