@@ -156,12 +156,34 @@ WITH s AS (SELECT *, (status = 200 AND left(body_text, 4) = '%PDF') AS found FRO
     law_date="cd", filename=f"concat('Calabria_', cast(n as string), '_', {_CAL_ISO}, '.pdf')")}"""
 
 
+# operators each region job exercises besides its own profile
+REG_OPS = {
+    "basilicata": "HTM-6 NUM-4 AGG-5 DAT-2",
+    "campania": "HTM-1 HTM-4 NUM-1 PRD-7 SET-1 TXT-2 URL-3",
+    "friuli": "HTM-4 HTM-12 JON-4 PRD-9 DAT-9 DAT-10",
+    "lazio": "HTM-5 HTM-9 NUM-2 KEY-2 TXT-5 CND-1",
+    "liguria": "HTM-3 HTM-4 HDR-1 HDR-2 DAT-6",
+    "toscana": "HTM-3 HTM-4 HDR-1 HDR-2 DAT-6",
+    "lombardia": "HTM-2 URL-2 HDR-1 DAT-6",
+    "marche": "HTM-8 NUM-1 SET-4 DAT-10",
+    "molise": "HTM-0 AGG-5 NUM-2 DAT-4 TXT-9",
+    "piemonte": "HTM-0 HTM-7 PRD-1 PRD-4 NUM-1 TXT-4",
+    "puglia": "HTM-4 AGG-6 TXT-4",
+    "sardinia": "HTM-0 HTM-11 HTM-13 HDR-1 HDR-2 URL-2 TXT-3",
+    "trentino": "HTM-0 HTM-11 HTM-13 DAT-5 DAT-7 DAT-8 KEY-3 JON-6 URL-2",
+    "umbria": "HTM-4 AGG-6 NUM-1 NUM-2 URL-5",
+    "veneto": "HTM-4 HTM-12 DAT-9 TXT-3",
+    "aosta": "HTM-0 HTM-11 NUM-3 PRD-2 TXT-6 TXT-7 KEY-2 SET-1 URL-2 URL-3",
+    "emilia": "HTM-2 TXT-8 URL-1 HDR-1 TXT-10 TXT-3",
+}
+
+
 def _register(key: str):
     def spark_fn(spark, sf):
         return RG.EXTRACTORS[key](view(spark, sf, f"pages_{key}"))
 
     spark_fn.__name__ = f"reg_{key}"
-    query(f"reg_{key}", ORACLE_SELECTS[key], views=["law_headers"], ops=f"REG {key}")(spark_fn)
+    query(f"reg_{key}", ORACLE_SELECTS[key], views=["law_headers"], ops=f"REG {key} {REG_OPS.get(key, '')}".strip())(spark_fn)
 
 
 for _key in RG.EXTRACTORS:
@@ -169,11 +191,18 @@ for _key in RG.EXTRACTORS:
 
 
 def _calabria(spark, sf):
-    caps = view(spark, sf, "calabria_captures").withColumn("body", F.encode("body_text", "UTF-8"))
-    return RG.extract_calabria(caps)
+    # captures are stored as parquet with a BINARY body, then read back as a capture table
+    from regesto.sources.readers import read_captures
+    from regesto.streaming.stream import scratch_dir
+
+    caps = view(spark, sf, "calabria_captures").withColumn("body", F.encode("body_text", "UTF-8")).drop("body_text")
+    path = scratch_dir(spark, "captures")
+    caps.write.parquet(path)
+    return RG.extract_calabria(read_captures(spark, path))
 
 
-query("reg_calabria", CALABRIA_ORACLE, views=["calabria_captures"], ops="REG calabria SRC-5 WIN-1 PRD-3 HTM-14 HTM-15 DAT-7")(_calabria)
+query("reg_calabria", CALABRIA_ORACLE, views=["calabria_captures"],
+      ops="REG calabria SRC-2 SRC-5 WIN-1 PRD-3 HTM-14 HTM-15 DAT-7")(_calabria)
 
 
 def all_regions(spark, sf):

@@ -95,7 +95,7 @@ def _stage_files(df, spark, name, parts=8):
     return path
 
 
-@query("str_dedupe_upsert", "SELECT DISTINCT url FROM listing", views=["listing"], ops="STR-1 STR-2 STR-3 SET-7")
+@query("str_dedupe_upsert", "SELECT DISTINCT url FROM listing", views=["listing"], ops="STR-1 STR-2 STR-3 SNK-4 SET-7")
 def str_dedupe_upsert(spark, sf):
     li = view(spark, sf, "listing")
     src = _stage_files(li, spark, "stream-in")
