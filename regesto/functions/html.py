@@ -265,6 +265,7 @@ def text_without(dom="dom", id_: str | None = None, cls: str | None = None) -> C
     return block_text(dom, id_=id_, cls=cls, clean=True)
 
 
+# The date pattern of a capture's Content-Disposition and first page.
 CD_DATE_RX = r"\d{1,2}\s+[a-zà]+\s+\d{4}"
 
 

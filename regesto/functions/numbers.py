@@ -49,7 +49,7 @@ def cell_number(c) -> Column:
     return let(F.trim(col_of(c)), pick)
 
 
-# HDR-1: "<d[°] mese yyyy> ... n. <no>" ; HDR-2: "n. <no> del <date>"
+# HDR-1 "<d[°] mese yyyy> ... n. <no>" and HDR-2 "n. <no> del <date>" (``numero`` too).
 HDR1_RX = rf"(?iU)(\d{{1,2}}[°º]?\s+(?:{IT_MONTH_ALT})\s+\d{{4}}).*?(?:n\.|numero)\s*(\d+)"
 HDR2_RX = rf"(?iU)(?:n\.|numero)\s*(\d+)\s+del\s+(\d{{1,2}}/\d{{1,2}}/\d{{4}}|\d{{1,2}}[°º]?\s+(?:{IT_MONTH_ALT})\s+\d{{4}})"
 

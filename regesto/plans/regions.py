@@ -32,6 +32,27 @@ LAW_INDEX = [
     ("status", "string"), ("category", "string"), ("doc_type", "string"), ("page_no", "int"),
 ]
 
+# The patterns of the regional profiles (what each portal's pages say, as the
+# region scripts read them; ``°`` is accepted after a day everywhere, quirk Q7).
+DATE_CELL_RX = r"(\d{2})/(\d{2})/(\d{4})"
+ROW_RX = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
+CELL_RX = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
+CAMPANIA_DATE_RX = r"(?iU)(\d{1,2}°?\s+[a-zàèìòù]+\s+\d{4})"
+FVG_DATE_RX = r"(\d{1,2})°?[\s.\-/]+([a-zA-Z]+)[\s.\-/]+(\d{4})"
+LAZIO_NO_BODY_RX = r"(?i)Numero(?: della legge)?[:\s]*([0-9]{1,5})"
+LAZIO_DATE_BODY_RX = r"(?iU)Data[:\s]*([0-3]?\d\s+[A-Za-zàèéìòù]+\s+\d{4}|[0-3]?\d[/\-][0-1]?\d[/\-]\d{2,4})"
+LOMBARDIA_RX = rf"(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}}).*?n\.?\s*(\d+)"
+MARCHE_TITLE_RX = r"(?s)<td>\s*([^<]*?)\s*</td>\s*</tr>"
+MARCHE_NO_RX = N.ONE_SPACE_NO_RX
+MARCHE_DATE_RX = rf"(?i)(\d{{1,2}}°?\s+(?:{D.IT_MONTH_ALT})\s+\d{{4}})"
+PIEMONTE_DATE_RX = r"(?i)del\s+(\d{1,2})°?\s+([a-zA-Z]+)\s+(\d{4})"
+SARD_HDR1 = r"(?i)Legge regionale\s+(.*?),\s*n\.\s*(\d+)"
+SARD_HDR2 = r"(?i)Legge regionale\s+n\.\s*(\d+)\s+del\s+(.*)"
+UMBRIA_DATE_RX = rf"(?iU)(\d{{1,2}}°?\s+(?:{D.IT_MONTH_ALT})\s+\d{{4}})"
+VENETO_RX = r"(?i)Legge\s+regionale\s+(.*?)(?:,|\s+)\s+n\.\s+(\d+)"
+AOSTA_DATE_RX = rf"(?iU)(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}})"
+EMILIA_RX = r"(?i)Legge regionale\s+(.*?),\s+n\.(\d+)"
+
 # The record shape each script writes (for ``conform`` at the sink).
 DISPLAY_COLUMNS = {
     "basilicata": {"Region": "region", "Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Filename": "filename"},
@@ -103,11 +124,6 @@ def _iso_or(d: Column, default: str) -> Column:
 
 
 # ---------------------------------------------------------------------------------- REG-01
-DATE_CELL_RX = r"(\d{2})/(\d{2})/(\d{4})"
-
-
-ROW_RX = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
-CELL_RX = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
 
 
 def extract_basilicata(pages: DataFrame) -> DataFrame:
@@ -171,7 +187,6 @@ def extract_calabria(captures: DataFrame, y0: int = 1971, y1: int = 2025, k: int
 
 
 # ---------------------------------------------------------------------------------- REG-03
-CAMPANIA_DATE_RX = r"(?iU)(\d{1,2}°?\s+[a-zàèìòù]+\s+\d{4})"
 
 
 def extract_campania(pages: DataFrame) -> DataFrame:
@@ -196,7 +211,6 @@ def extract_campania(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-04
-FVG_DATE_RX = r"(\d{1,2})°?[\s.\-/]+([a-zA-Z]+)[\s.\-/]+(\d{4})"
 
 
 def fvg_date_display(raw: Column) -> Column:
@@ -230,8 +244,6 @@ def extract_friuli(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-05
-LAZIO_NO_BODY_RX = r"(?i)Numero(?: della legge)?[:\s]*([0-9]{1,5})"
-LAZIO_DATE_BODY_RX = r"(?iU)Data[:\s]*([0-3]?\d\s+[A-Za-zàèéìòù]+\s+\d{4}|[0-3]?\d[/\-][0-1]?\d[/\-]\d{2,4})"
 
 
 def extract_lazio(pages: DataFrame) -> DataFrame:
@@ -279,7 +291,6 @@ def extract_toscana(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-07
-LOMBARDIA_RX = rf"(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}}).*?n\.?\s*(\d+)"
 
 
 def extract_lombardia(pages: DataFrame, base: str = "https://www.lombardia.example/") -> DataFrame:
@@ -298,9 +309,6 @@ def extract_lombardia(pages: DataFrame, base: str = "https://www.lombardia.examp
 
 
 # ---------------------------------------------------------------------------------- REG-08
-MARCHE_TITLE_RX = r"(?s)<td>\s*([^<]*?)\s*</td>\s*</tr>"
-MARCHE_NO_RX = N.ONE_SPACE_NO_RX
-MARCHE_DATE_RX = rf"(?i)(\d{{1,2}}°?\s+(?:{D.IT_MONTH_ALT})\s+\d{{4}})"
 
 
 def extract_marche(pages: DataFrame) -> DataFrame:
@@ -351,7 +359,6 @@ def extract_molise(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-10
-PIEMONTE_DATE_RX = r"(?i)del\s+(\d{1,2})°?\s+([a-zA-Z]+)\s+(\d{4})"
 
 
 def extract_piemonte(pages: DataFrame, min_bytes: int = 2000) -> DataFrame:
@@ -398,8 +405,6 @@ def extract_puglia(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-12
-SARD_HDR1 = r"(?i)Legge regionale\s+(.*?),\s*n\.\s*(\d+)"
-SARD_HDR2 = r"(?i)Legge regionale\s+n\.\s*(\d+)\s+del\s+(.*)"
 
 
 def extract_sardinia(pages: DataFrame) -> DataFrame:
@@ -444,7 +449,6 @@ def extract_trentino(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-15
-UMBRIA_DATE_RX = rf"(?iU)(\d{{1,2}}°?\s+(?:{D.IT_MONTH_ALT})\s+\d{{4}})"
 
 
 def extract_umbria(pages: DataFrame) -> DataFrame:
@@ -466,7 +470,6 @@ def extract_umbria(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-16
-VENETO_RX = r"(?i)Legge\s+regionale\s+(.*?)(?:,|\s+)\s+n\.\s+(\d+)"
 
 
 def extract_veneto(pages: DataFrame) -> DataFrame:
@@ -489,7 +492,6 @@ def extract_veneto(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-17
-AOSTA_DATE_RX = rf"(?iU)(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}})"
 
 
 def extract_aosta(pages: DataFrame) -> DataFrame:
@@ -517,7 +519,6 @@ def extract_aosta(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-18
-EMILIA_RX = r"(?i)Legge regionale\s+(.*?),\s+n\.(\d+)"
 
 
 def extract_emilia(pages: DataFrame, base: str = "https://emilia.example") -> DataFrame:
