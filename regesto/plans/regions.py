@@ -104,6 +104,12 @@ def _flat(pages: DataFrame, url_filter: str | None = None, contains: bool = Fals
     return spread(pages)
 
 
+def _span(id_: str, prefix: bool = False) -> Column:
+    """Text of the first ``<span>`` with this id (or id prefix), regex form."""
+    quote_end = "" if prefix else "[\"']"
+    return H.element_text("html", "span", rf"""\bid\s*=\s*["']{id_}{quote_end}""")
+
+
 def _block(id_=None, cls=None, prefix=None, clean=True) -> Column:
     def pick(b):
         cond = F.lit(True)
@@ -223,16 +229,17 @@ def fvg_date_display(raw: Column) -> Column:
 
 def extract_friuli(pages: DataFrame) -> DataFrame:
     """Category pages with IndiceLex rows; Success rows only."""
-    dom = _dom(pages, "IndiceLex", parts=("blocks", "links"))
-    title = F.coalesce(nz(_block(id_="PageBody_lbOggettolegge")), F.lit("Title Not Found"))
-    cat_link = F.try_element_at(F.filter("dom.links", lambda l: F.coalesce(l["href"], F.lit("")).contains("Lista.aspx?materia=")), F.lit(1))
-    x = dom.select(
+    p = _flat(pages, "IndiceLex", contains=True)
+    title = F.coalesce(_span("PageBody_lbOggettolegge"), F.lit("Title Not Found"))
+    cat_html = rx("html", r"""(?is)<a\b[^>]*href\s*=\s*["'][^"']*Lista\.aspx\?materia=[^"']*["'][^>]*>(.*?)</a\s*>""")
+    has_pdf = F.exists(H.attr_values("html", "a", "href"), lambda h: F.lower(h).endswith(".pdf"))
+    x = p.select(
         "url",
         title.alias("title"),
-        F.coalesce(nz(_block(id_="PageBody_lbNumLegge")), N.law_no(title), F.lit("0")).alias("no"),
-        F.coalesce(_block(prefix="lblData"), F.lit("")).alias("raw_date"),
-        cat_link["text"].alias("category"),
-        F.when(H.has_document("dom", r"(?i)\.pdf$"), F.lit("Success")).otherwise(F.lit("Failed")).alias("status"),
+        F.coalesce(_span("PageBody_lbNumLegge"), N.law_no(title), F.lit("0")).alias("no"),
+        F.coalesce(_span("lblData", prefix=True), F.lit("")).alias("raw_date"),
+        H.inner_text(cat_html).alias("category"),
+        F.when(has_pdf, F.lit("Success")).otherwise(F.lit("Failed")).alias("status"),
     )
     x = P.successful_only(x, "status", "Success").withColumn("shown", fvg_date_display(F.col("raw_date")))
     return to_law_index(
@@ -338,19 +345,22 @@ def _molise_date(text: Column):
 
 def extract_molise(pages: DataFrame) -> DataFrame:
     """Title: longest of cells > 40, li with 'legge regionale', p > 40, headings; number: NUM-2 on the body."""
-    dom = _dom(pages, "OpenDocument", parts=("cells", "items", "paras", "headings", "text", "title"))
-    cells = F.transform(F.filter("dom.cells", lambda c: F.length(c["text"]) > 40), lambda c: c["text"])
-    lis = F.filter("dom.items", lambda t: F.lower(t).contains("legge regionale"))
-    ps = F.transform(F.filter("dom.paras", lambda p: F.length(p["text"]) > 40), lambda p: p["text"])
-    hs = F.transform(F.filter("dom.headings", lambda h: h["tag"].isin("h1", "h2", "h3", "h4")), lambda h: h["text"])
+    p = _flat(pages, "OpenDocument", contains=True)
+
+    def texts(rx_, group=1):
+        return F.transform(F.regexp_extract_all("html", F.lit(rx_), F.lit(group)), H.inner_text)
+
+    cells = F.filter(texts(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), lambda t: F.length(t) > 40)
+    lis = F.filter(texts(r"(?is)<li\b[^>]*>(.*?)</li\s*>"), lambda t: F.lower(t).contains("legge regionale"))
+    ps = F.filter(texts(r"(?is)<p\b[^>]*>(.*?)</p\s*>"), lambda t: F.length(t) > 40)
+    hs = texts(r"(?is)<(h[1-4])\b[^>]*>(.*?)</\1\s*>", 2)
     cands = F.concat(cells, lis, ps, hs)
     # strictly longer replaces: the longest, earliest in that source order
-    best = F.array_max(F.transform(F.arrays_zip(cands.alias("t"), F.sequence(F.lit(1), F.greatest(F.size(cands), F.lit(1))).alias("i")),
-                                   lambda z: F.struct(F.length(z["t"]).alias("l"), (-z["i"]).alias("o"), z["t"].alias("t"))))["t"]
-    title = F.coalesce(F.nullif(best, F.lit("")), F.col("dom.title"))
-    body = F.col("dom.text")
-    d, shown = _molise_date(body)
-    x = dom.select("url", title.alias("title"), N.law_no_text_chain(F.lower(body)).alias("no"), d.alias("d"), shown.alias("shown"))
+    best = F.array_max(F.transform(cands, lambda t, i: F.struct(F.length(t).alias("l"), (-i).alias("o"), t.alias("t"))))["t"]
+    title = F.coalesce(F.nullif(best, F.lit("")), H.element_text("html", "title"))
+    x = p.select("url", title.alias("title"), H.page_text("html").alias("body"))
+    d, shown = _molise_date(F.col("body"))
+    x = x.select("url", "title", N.law_no_text_chain(F.lower("body")).alias("no"), d.alias("d"), shown.alias("shown"))
     return to_law_index(
         x, region=F.lit("Molise"), law_title=F.col("title"), law_number=F.coalesce("no", F.lit("NA")),
         date_text=F.coalesce("shown", F.lit("NA")), law_date=F.col("d"), source_url=F.col("url"),
@@ -359,8 +369,6 @@ def extract_molise(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-10
-
-
 def extract_piemonte(pages: DataFrame, min_bytes: int = 2000) -> DataFrame:
     """``#titoloAtto`` minus ``.bur``; lead span loose ``n.``; ``del <data>``; strict repeal rule; payload > 2 KB."""
     p = P.min_size(pages.filter(F.col("url").contains("dettaglioLegge.do")), "html", min_bytes)
