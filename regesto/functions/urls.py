@@ -60,7 +60,7 @@ def year_num_from_url(url) -> Column:
     """URL-5: ``lr(yyyy)-(n)`` to struct(year, num); no match sorts last as (9999, 9999)."""
     u = col_of(url)
     y = nz(F.regexp_extract(u, r"lr(\d{4})-(\d+)", 1)).cast("int")
-    n = nz(F.regexp_extract(u, r"lr(\d{4})-(\d+)", 2)).cast("int")
+    n = nz(F.regexp_extract(u, r"lr(\d{4})-(\d+)", 2)).try_cast("int")  # a long digit run is no number
     return F.struct(F.coalesce(y, F.lit(9999)).alias("year"), F.coalesce(n, F.lit(9999)).alias("num"))
 
 

@@ -88,3 +88,18 @@ def test_read_pages_html_dir_and_captures(spark, tmp_path):
 
     caps = valid_capture(R.read_captures(spark, str(c), fmt="binaryFile"))
     assert [r["url"].rsplit("/", 1)[-1] for r in caps.collect()] == ["x.pdf"]
+
+
+def test_stream_dedupe_within_watermark(spark):
+    import datetime as dt
+
+    base = dt.datetime(2024, 1, 1)
+    rows = [(f"u{i % 5}", base + dt.timedelta(minutes=i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "url string, ts timestamp")
+    src = ST.scratch_dir(spark, "wm-in")
+    df.repartition(2).write.parquet(src)
+    s = ST.stream_pages(spark, src, df.schema)
+    out, ck = ST.scratch_dir(spark, "wm-out"), ST.scratch_dir(spark, "wm-ck")
+    ST.run_to_parquet(ST.stream_dedupe(s, "url", event_time="ts", delay="1 day"), out, ck)
+    got = spark.read.parquet(out)
+    assert got.count() == 5 and got.select("url").distinct().count() == 5
