@@ -1,4 +1,4 @@
-"""Per-page helper for ``parse_dom``: stdlib ``html.parser`` -> the nested ``dom`` value.
+"""Per-page helper for ``parse_dom``: one regex scan of a page -> the nested ``dom`` value.
 
 Runs inside Spark tasks (``mapInArrow``); Spark partitions the pages.  It does
 the small amount of tree repair real pages need: void tags, unclosed ``<p>``,
@@ -7,8 +7,9 @@ the small amount of tree repair real pages need: void tags, unclosed ``<p>``,
 
 from __future__ import annotations
 
+import re
 from bisect import bisect_right
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 
@@ -36,9 +37,47 @@ class Node:
         return self.attrs.get("class") or ""
 
 
-class _Builder(HTMLParser):
+# One scan over the page.  Groups: 1 end tag, 2 start tag, 3 its attributes, 4 self-closing
+# slash, 5 text.  Comments, declarations and processing instructions match with no group set.
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>"
+    r"|</\s*([a-zA-Z][^\s/>]*)[^>]*>"
+    r"|<([a-zA-Z][^\s/>]*)((?:\s+[^\s=/>]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>]+))?)*)\s*(/?)\s*>"
+    r"|([^<]+|<)",
+    re.S,
+)
+_ATTR = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# script and style hold raw text, never markup: dropped whole before the scan
+_RAW = re.compile(r"<(script|style)\b[^>]*>.*?(?:</\1\s*>|$)", re.S | re.I)
+
+
+def _attrs(raw: str):
+    out = []
+    for name, v1, v2, v3 in _ATTR.findall(raw):
+        v = v1 or v2 or v3
+        out.append((name.lower(), unescape(v) if v else ("" if v is not None else None)))
+    return out
+
+
+def feed(builder, html: str) -> None:
+    """Tokenise ``html`` into ``builder``: start/end tags and text with entities decoded."""
+    start, end, data = builder.handle_starttag, builder.handle_endtag, builder.handle_data
+    for end_tag, start_tag, raw_attrs, slash, text in _TOKEN.findall(_RAW.sub("", html)):
+        if start_tag:
+            tag = start_tag.lower()
+            attrs = _attrs(raw_attrs) if raw_attrs else []
+            if slash:
+                builder.handle_startendtag(tag, attrs)
+            else:
+                start(tag, attrs)
+        elif end_tag:
+            end(end_tag.lower())
+        elif text:
+            data(unescape(text) if "&" in text else text)
+
+
+class _Builder:
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = Node("#root", {}, None, 0)
         self.stack = [self.root]
         self.n = 0
@@ -143,8 +182,7 @@ def parse_html(html: str, drop=("bur",), want=ALL_PARTS) -> dict:
     the selectors it uses."""
     b = _Builder()
     try:
-        b.feed(html or "")
-        b.close()
+        feed(b, html or "")
     except Exception:  # noqa: BLE001 - a broken page still yields what was read
         pass
     els = b.elements

@@ -205,14 +205,15 @@ def label_value(dom="dom", label: str = "Numero", exclude: tuple[str, ...] = (),
             cond = cond & ~F.lower(l["label"]).contains(w.lower())
         return cond
 
-    hit = F.try_element_at(F.filter(col_of(dom)["labels"], ok), F.lit(1))
-    block = hit["block_text"]
-    # value = the text after the first ':' of the block (the whole block if it has none)
-    first_colon = F.instr(block, ":")
-    after = F.when(first_colon > 0, F.trim(block.substr(first_colon + 1, F.lit(1 << 30)))).otherwise(F.trim(block))
-    if digits:
-        return nz(F.regexp_extract(after, r"([0-9]{1,5})", 1))
-    return nz(after)
+    from regesto.functions._util import let
+
+    def value(block):
+        # the text after the first ':' of the block (the whole block if it has none)
+        first_colon = F.instr(block, ":")
+        after = F.when(first_colon > 0, F.trim(block.substr(first_colon + 1, F.lit(1 << 30)))).otherwise(F.trim(block))
+        return nz(F.regexp_extract(after, r"([0-9]{1,5})", 1)) if digits else nz(after)
+
+    return let(F.try_element_at(F.filter(col_of(dom)["labels"], ok), F.lit(1))["block_text"], value)
 
 
 def has_document(dom="dom", pattern: str = r"(?i)(\.pdf$|download|scarica)") -> Column:

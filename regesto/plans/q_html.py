@@ -111,7 +111,7 @@ SELECT law_id AS page_id, concat('Legge ', cast(law_id as string)) AS title, hdr
   cast(no as string) AS number_label, {_DMY} AS date_label, true AS has_doc
 FROM law_headers""", views=["law_headers"], ops="HTM-0 HTM-4 HTM-7 HTM-9 HTM-11 HTM-12")
 def dom_law_fields(spark, sf):
-    dom = H.parse_dom(view(spark, sf, "law_pages"))
+    dom = H.parse_dom(view(spark, sf, "law_pages"), parts=("title", "headings", "blocks", "labels", "links"))
     return dom.select(
         "page_id",
         F.col("dom.title").alias("title"),
@@ -135,7 +135,7 @@ FROM law_headers,
      (SELECT 1 AS col, false AS btn UNION ALL SELECT 2, false UNION ALL SELECT 3, false UNION ALL SELECT 4, true) AS c0""",
        views=["law_headers"], ops="HTM-6")
 def dom_table_cells(spark, sf):
-    dom = H.parse_dom(view(spark, sf, "law_pages"))
+    dom = H.parse_dom(view(spark, sf, "law_pages"), parts=("cells",))
     cells = H.table_cells(dom)
     return cells.select(
         "page_id", F.col("tbl").cast("int").alias("tbl"), F.col("row").cast("int").alias("row"),
@@ -149,6 +149,6 @@ SELECT law_id AS page_id, d.doc_pos AS doc_pos, concat('/doc/', cast(law_id as s
 FROM law_headers, (SELECT 1 AS doc_pos, '_it.pdf' AS suffix, 'IT' AS doc_type UNION ALL SELECT 2, '_de.pdf', 'DE') AS d""",
        views=["law_headers"], ops="HTM-13 KEY-3")
 def dom_documents(spark, sf):
-    dom = H.parse_dom(view(spark, sf, "law_pages"))
+    dom = H.parse_dom(view(spark, sf, "law_pages"), parts=("links",))
     docs = H.explode_documents(dom)
     return docs.select("page_id", "doc_pos", "href", K.doc_language("href").alias("doc_type"))
