@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regesto.functions._util import col_of, let, nz, rx
+from regesto.functions._util import col_of, let, rx
 from regesto.functions.dates import IT_MONTH_ALT, any_date, it_date, slash_date
 
 # The law-number patterns.

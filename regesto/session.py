@@ -40,7 +40,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the checkpoint folder; set a scratch one only if the session has none."""
-    conf = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
+    conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if conf:
         spark.sparkContext.setCheckpointDir(conf)
         return conf
