@@ -1,7 +1,6 @@
 """Sources, sinks and the streaming form: stream = batch, and a restart gives the same index."""
 
 import json
-import os
 
 from pyspark.sql import functions as F
 
@@ -43,7 +42,7 @@ def test_write_append_inventory(spark):
     assert spark.read.parquet(path).count() == 4
     inv = R.file_inventory(spark, path, glob="*.parquet")
     assert inv.count() >= 2 and inv.filter(F.col("length") <= 0).count() == 0
-    assert os.path.isdir(os.path.join(path, "region=R1"))
+    assert R.path_exists(spark, f"{path}/region=R1")
 
 
 def test_stream_equals_batch_and_restart(spark):
