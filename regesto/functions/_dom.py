@@ -255,22 +255,9 @@ def _nearest(node, tag):
     return None
 
 
-_ARROW_DOM = None
-
-
-def _dom_arrow_type():
-    global _ARROW_DOM
-    if _ARROW_DOM is None:
-        from pyspark.sql.pandas.types import to_arrow_type
-
-        from regesto.functions.html import DOM_SCHEMA
-
-        _ARROW_DOM = to_arrow_type(DOM_SCHEMA)
-    return _ARROW_DOM
-
-
-def parse_batch(batch: pa.RecordBatch, cols, html: str, drop, want=ALL_PARTS) -> pa.RecordBatch:
+def parse_batch(batch: pa.RecordBatch, cols, html: str, drop, want, arrow_type) -> pa.RecordBatch:
+    """One Arrow batch of pages -> the same batch with a ``dom`` column of ``arrow_type``."""
     dropset = frozenset(drop)
     doms = [parse_html(h, dropset, want) for h in batch.column(html).to_pylist()]
-    arrays = [batch.column(c) for c in cols] + [pa.array(doms, type=_dom_arrow_type())]
+    arrays = [batch.column(c) for c in cols] + [pa.array(doms, type=arrow_type)]
     return pa.RecordBatch.from_arrays(arrays, names=[*cols, "dom"])

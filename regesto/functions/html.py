@@ -145,8 +145,13 @@ def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", htm
     ancestors' ``clean_text`` (HTM-7, e.g. the bulletin line inside a title).
     ``parts``: the dom parts a job reads (default all); the others come back empty.
     """
+    from pyspark import cloudpickle
+    from pyspark.sql.pandas.types import to_arrow_type
+
     from regesto.functions import _dom
 
+    # ship the per-page helper with the task (by value), so executors need no copy of this package
+    cloudpickle.register_pickle_by_value(_dom)
     spark = pages.sparkSession
     try:  # one Arrow batch holds whole pages: keep batches modest
         if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 1000:
@@ -163,11 +168,13 @@ def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", htm
     out_schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields] + [T.StructField("dom", DOM_SCHEMA)])
     drops = tuple(drop_classes)
     want = _dom.ALL_PARTS if parts is None else frozenset(parts)
+    arrow_type = to_arrow_type(DOM_SCHEMA)
+    parse_batch = _dom.parse_batch
 
     def run(batches):
         # Arrow in, Arrow out: no pandas objects; the dom list is converted by pyarrow in C++
         for batch in batches:
-            yield _dom.parse_batch(batch, cols, html, drops, want)
+            yield parse_batch(batch, cols, html, drops, want, arrow_type)
 
     return pages.select(*cols, html).mapInArrow(run, out_schema)
 
