@@ -121,3 +121,35 @@ def test_neighbour_and_text_without(spark):
                    H.neighbour_text("dom", "parent", href_rx="pk_lr").alias("p"),
                    H.neighbour_text("dom", "next_para", href_rx="pk_lr").alias("q")).first()
     assert (r["n"], r["t"], r["p"], r["q"]) == ("dopo", "Titolo", "padre link", "descrizione")
+
+
+def test_golden_trentino_documents(spark):
+    p = _pages(spark, "https://t.example/content/view/full/7",
+               "<h1>Legge regionale 3 maggio 2018, n. 7</h1> Ordinamento dei comuni della regione"
+               '<div class="row"><strong class="text-nowrap">03.05.2018</strong></div>'
+               '<div class="download-list"><a href="/d/7_it.pdf">IT</a><a href="/d/7_st.pdf">DE</a></div>'
+               '<a href="/altro.pdf">ignored while the list has links</a>')
+    got = sorted((r["doc_type"], r["filename"], r["law_title"]) for r in RG.extract_trentino(p).collect())
+    assert got == [("DE", "TrentinoAA_7_2018-05-03_DE.pdf", "Ordinamento dei comuni della regione"),
+                   ("IT", "TrentinoAA_7_2018-05-03_IT.pdf", "Ordinamento dei comuni della regione")]
+
+
+def test_golden_aosta(spark):
+    p = _pages(spark, "https://a.example/ricerca?anno=2023&page=1",
+               '<a href="dettaglio?pk_lr=11">15° gennaio 2023, n. 12</a><p class="elemento_lista_paginata_banche_dati">Norme sul turismo</p>'
+               '<a href="dettaglio?pk_lr=12">Legge senza data</a><p class="elemento_lista_paginata_banche_dati">Altre norme</p>'
+               '<a href="dettaglio?pk_lr=13">3 marzo 2020, numero 5</a><p class="elemento_lista_paginata_banche_dati">Vecchia (abrogata dall’art. 2)</p>')
+    got = sorted((r["law_number"], r["date_text"], r["filename"]) for r in RG.extract_aosta(p).collect())
+    assert got == [("0", "Unknown", "ValleAosta_ID_12.pdf"), ("12", "15 gennaio 2023", "ValleAosta_12_2023-01-15.pdf")]
+
+
+def test_golden_marche_and_umbria(spark):
+    m = _pages(spark, "https://m.example/dettaglio.php?arc=vig&id=1",
+               "<table><tr><td>Oggetto</td><td> Tutela delle acque </td></tr></table><p>Legge regionale 12 marzo 2019, n. 4</p>")
+    r = RG.extract_marche(m).first()
+    assert (r["law_title"], r["law_number"], r["date_text"], r["filename"]) == (
+        "Tutela delle acque", "4", "12 marzo 2019", "Marche_4_12-marzo-2019.pdf")
+    u = _pages(spark, "https://u.example/mostra_atto.php?id=1&file=lr2025-33.html",
+               "<table><tr><td>2025</td><td>Disposizioni per la montagna umbra</td></tr></table><h2>Legge regionale 9 dicembre 2025</h2>")
+    r = RG.extract_umbria(u).first()
+    assert (r["law_title"], r["law_number"], r["law_date"]) == ("Disposizioni per la montagna umbra", "33", dt.date(2025, 12, 9))
