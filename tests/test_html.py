@@ -153,3 +153,42 @@ def test_golden_marche_and_umbria(spark):
                "<table><tr><td>2025</td><td>Disposizioni per la montagna umbra</td></tr></table><h2>Legge regionale 9 dicembre 2025</h2>")
     r = RG.extract_umbria(u).first()
     assert (r["law_title"], r["law_number"], r["law_date"]) == ("Disposizioni per la montagna umbra", "33", dt.date(2025, 12, 9))
+
+
+def test_golden_friuli_molise_puglia(spark):
+    f = _pages(spark, "https://f.example/IndiceLex.aspx?id=1",
+               '<a href="Lista.aspx?materia=5">Ambiente</a><span id="lblData_1">25 marzo 1968</span>'
+               '<span id="PageBody_lbOggettolegge">Norme per la caccia</span><span id="PageBody_lbNumLegge">12</span>'
+               '<a href="/d/1.pdf">PDF</a>')
+    r = RG.extract_friuli(f).first()
+    assert (r["category"], r["law_number"], r["date_text"], r["filename"], r["status"]) == (
+        "Ambiente", "12", "25/03/1968", "FVG_12_25-03-1968.pdf", "Success")
+    m = _pages(spark, "https://mo.example/OpenDocument?id=1",
+               "<h3>Legge regionale 12 gennaio 2023, n. 3</h3><p>Testo coordinato delle norme per il sostegno alle imprese</p>")
+    r = RG.extract_molise(m).first()
+    assert (r["law_number"], r["date_text"], r["law_title"]) == (
+        "3", "12 Gennaio 2023", "Testo coordinato delle norme per il sostegno alle imprese")
+    pu = _pages(spark, "https://p.example/LeggeNavscroll.aspx?id=1",
+                '<span id="ContentPlaceHolder1_lblData">05/06/2021</span><span id="ContentPlaceHolder1_lblNumero">14</span>'
+                '<p align="center">Corta</p><p align="center">Misure urgenti per il territorio</p>')
+    r = RG.extract_puglia(pu).first()
+    assert (r["law_title"], r["filename"]) == ("Misure urgenti per il territorio", "Puglia_14_2021-06-05.pdf")
+
+
+def test_golden_veneto_campania_lombardia_toscana(spark):
+    v = _pages(spark, "https://v.example/dettaglio-legge?id=1",
+               '<h2 class="title">Legge regionale 3 ottobre 2024, n. 21</h2><p class="font-18">Norme sul paesaggio</p>')
+    r = RG.extract_veneto(v).first()
+    assert (r["law_number"], r["date_text"], r["filename"]) == ("21", "3 ottobre 2024", "No PDF")
+    c = _pages(spark, "https://c.example/dettaglio-documento?id=9",
+               '<h1>Bilancio</h1><p>Legge regionale 7 agosto 2024, n. 11</p><a href="/prendiDocumento?id=9">pdf</a>')
+    r = RG.extract_campania(c).first()
+    assert (r["law_number"], r["date_text"], r["filename"]) == ("11", "7 agosto 2024", "Campania_11_7 agosto 2024.pdf")
+    lo = _pages(spark, "https://lo.example/leggi?anno=2024",
+                '<li><a href="/w?view=showdoc&iddoc=1">Legge regionale 4 luglio 2024, n. 9</a></li>')
+    r = RG.extract_lombardia(lo).first()
+    assert (r["law_number"], r["date_text"], r["source_url"]) == ("9", "4 luglio 2024", "https://lo.example/w?view=showdoc&iddoc=1")
+    t = _pages(spark, "https://t.example/articolo?urndoc=x",
+               '<div id="titolo_doc">Norme sui porti</div><p>n. 3 del 08/01/2025</p>')
+    r = RG.extract_toscana(t).first()
+    assert (r["region"], r["law_title"], r["law_number"], r["filename"]) == ("Toscana", "Norme sui porti", "3", "Tuscany_3_2025-01-08.pdf")
