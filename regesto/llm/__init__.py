@@ -30,4 +30,4 @@ def query(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from regesto.llm import quality_rules, token_counts, token_files  # noqa: F401
+    from regesto.llm import chat, packing, quality_model, quality_rules, token_counts, token_files, toxicity  # noqa: F401
