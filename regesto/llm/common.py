@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+import re
+import sys
+import types
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -69,41 +73,90 @@ class _Numbering(dict):
         return number
 
 
+def worker_state() -> dict:
+    """What one Python worker keeps from task to task (vocabularies and the like, of bounded size)."""
+    name = "_training_data_worker_state"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+
+
+# The byte-level alphabet, where printable bytes stand for themselves and the others
+# for the code points from 256 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+BYTE_ALPHABET = {b: b for b in _PRINTABLE} | {b: 256 + k for k, b in enumerate(x for x in range(256) if x not in _PRINTABLE)}
+
+#: Words of precomposed Latin letters, with one mark behind at most: normalizing them is lower-casing
+#: them, and the pre-tokenizer cuts off just the mark.
+PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)")
+
+
 class ChunkEncoder:
     """Token ids of whole texts with the ``tokenizers`` library, each distinct chunk between two
     spaces or newlines encoded once.
 
-    Sound for tokenizers whose pre-tokenizer drops white space, so that no token spans a chunk's
-    border.  ``cap`` bounds the remembered chunks; beyond it they are forgotten and counted anew.
+    Sound for lower-casing byte-level tokenizers whose pre-tokenizer drops white space, so that no
+    token spans a chunk's border.  Plain words go to the merges directly; all other chunks pass the
+    normalizer and pre-tokenizer of the file.  ``cap`` bounds the remembered chunks; beyond it they
+    are forgotten.
     """
 
-    def __init__(self, path: str, cap: int = 400_000):
+    def __init__(self, path: str, cap: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.merges = Tokenizer.from_file(path)
+        self.merges.encode_special_tokens = True
+        self.merges.normalizer = normalizers.Sequence([])
+        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.cap = cap
         self._forget()
 
+    @classmethod
+    def of(cls, path: str) -> ChunkEncoder:
+        """The worker's encoder of this file."""
+        known = worker_state().setdefault("encoders", {})
+        if path not in known:
+            known[path] = cls(path)
+        return known[path]
+
     def _forget(self) -> None:
         self.number = _Numbering()
-        self.ids = np.zeros(0, np.uint32)
-        self.lens = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+        self.lens = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
 
-    def _learn(self, known: int) -> None:
-        from itertools import islice
+    def _encoded(self, tokenizer, words: list[str], chunk_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``words``, and the chunk of each id."""
+        if not words:
+            return np.zeros(0, self.ids.dtype), np.zeros(0, np.int64)
+        got = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
+        at = np.fromiter((-1 if w is None else w for w in got.word_ids), np.int64, len(got))
+        return np.asarray(got.ids, self.ids.dtype), chunk_of[at]
 
+    def _learn(self, known: int) -> None:
         new = list(islice(self.number, known, None))
         if not new:
             return
-        got = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
-        words = np.fromiter((-1 if w is None else w for w in got.word_ids), np.int64, len(got))
-        lens = np.bincount(words, minlength=len(new))
-        self.ids = np.concatenate([self.ids, np.asarray(got.ids, np.uint32)])
-        self.lens = np.concatenate([self.lens, lens])
-        self.starts = np.cumsum(self.lens) - self.lens
+        plain, plain_of, other, other_of = [], [], [], []
+        for k, chunk in enumerate(new):
+            if m := PLAIN.fullmatch(chunk):
+                plain.append(m[1])
+                plain_of.append(k)
+                if m[2]:
+                    plain.append(m[2])
+                    plain_of.append(k)
+            else:
+                other.append(chunk)
+                other_of.append(k)
+        letters = "\n".join(plain).lower().encode().decode("latin-1").translate({b: c for b, c in BYTE_ALPHABET.items() if b != 10})
+        ids_a, of_a = self._encoded(self.merges, letters.split("\n") if plain else [], np.array(plain_of, np.int64))
+        ids_b, of_b = self._encoded(self.tokenizer, other, np.array(other_of, np.int64))
+        of = np.concatenate([of_a, of_b])
+        order = np.argsort(of, kind="stable")
+        self.ids = np.concatenate([self.ids, np.concatenate([ids_a, ids_b])[order]])
+        self.lens = np.concatenate([self.lens, np.bincount(of, minlength=len(new)).astype(np.int32)])
+        self.starts = np.cumsum(self.lens, dtype=np.int64) - self.lens
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` one after the other, and the number of ids of each text."""
@@ -118,6 +171,6 @@ class ChunkEncoder:
             ends[k + 1] = len(chunks)
         at = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
         self._learn(known)
-        lens = self.lens[at]
+        lens = self.lens[at].astype(np.int64)
         before = np.concatenate([[0], np.cumsum(lens)])[ends]
-        return self.ids[ragged(self.starts[at], lens)], np.diff(before)
+        return self.ids[ragged(self.starts[at], lens)].astype(np.uint32), np.diff(before)

@@ -42,7 +42,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, sep
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder = TaskContext.get().partitionId(), ChunkEncoder(vocabulary)
+        part, encoder = TaskContext.get().partitionId(), ChunkEncoder.of(vocabulary)
         seen = np.zeros(capacity + 1, np.int64)  # pieces of each length so far
         for batch in slices(batches, "text"):
             ids, counts = encoder.encode(batch.column("text").to_pylist())

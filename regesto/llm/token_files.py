@@ -160,7 +160,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         attempt = TaskContext.get().taskAttemptId()
-        encoder, writer, out = ChunkEncoder(vocabulary), None, None
+        encoder, writer, out = ChunkEncoder.of(vocabulary), None, None
         fs, base = open_fs(folder)
         tmp, final = f"{base}/.part-{part:06d}-{attempt}", f"{base}/part-{part:06d}.tok"
         end = np.array([end_id], np.uint32)
