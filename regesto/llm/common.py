@@ -8,7 +8,7 @@ import sys
 import types
 import uuid
 from collections.abc import Iterator
-from itertools import islice
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -95,11 +95,11 @@ class ChunkEncoder:
 
     Sound for lower-casing byte-level tokenizers whose pre-tokenizer drops white space, so that no
     token spans a chunk's border.  Plain words go to the merges directly; all other chunks pass the
-    normalizer and pre-tokenizer of the file.  ``cap`` bounds the remembered chunks; beyond it they
-    are forgotten.
+    normalizer and pre-tokenizer of the file.  ``cap`` bounds the remembered chunks; beyond it the
+    rarer half is forgotten.
     """
 
-    def __init__(self, path: str, cap: int = 1_000_000):
+    def __init__(self, path: str, cap: int = 300_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -125,14 +125,25 @@ class ChunkEncoder:
         self.ids = np.zeros(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self.lens = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int32)
+
+    def _forget_rare(self) -> None:
+        keep = np.zeros(len(self.uses), bool)
+        keep[np.argsort(-self.uses, kind="stable")[: self.cap // 2]] = True
+        chunks = list(compress(self.number, keep))
+        self.number = _Numbering(zip(chunks, range(len(chunks))))
+        self.ids = self.ids[ragged(self.starts[keep], self.lens[keep].astype(np.int64))]
+        self.lens, self.uses = self.lens[keep], self.uses[keep] // 2
+        self.starts = np.cumsum(self.lens, dtype=np.int64) - self.lens
 
     def _encoded(self, tokenizer, words: list[str], chunk_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``words``, and the chunk of each id."""
-        if not words:
-            return np.zeros(0, self.ids.dtype), np.zeros(0, np.int64)
-        got = tokenizer.encode(words, is_pretokenized=True, add_special_tokens=False)
-        at = np.fromiter((-1 if w is None else w for w in got.word_ids), np.int64, len(got))
-        return np.asarray(got.ids, self.ids.dtype), chunk_of[at]
+        ids, of = [np.zeros(0, self.ids.dtype)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(words), 20_000):
+            got = tokenizer.encode(words[lo : lo + 20_000], is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.asarray(got.ids, self.ids.dtype))
+            of.append(chunk_of[lo + np.fromiter((-1 if w is None else w for w in got.word_ids), np.int64, len(got))])
+        return np.concatenate(ids), np.concatenate(of)
 
     def _learn(self, known: int) -> None:
         new = list(islice(self.number, known, None))
@@ -161,7 +172,7 @@ class ChunkEncoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` one after the other, and the number of ids of each text."""
         if len(self.number) > self.cap:
-            self._forget()
+            self._forget_rare()
         known = len(self.number)
         chunks: list[str] = []
         ends = np.zeros(len(texts) + 1, np.int64)
@@ -171,6 +182,8 @@ class ChunkEncoder:
             ends[k + 1] = len(chunks)
         at = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
         self._learn(known)
+        self.uses = np.concatenate([self.uses, np.zeros(len(self.number) - known, np.int32)])
+        self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
         lens = self.lens[at].astype(np.int64)
         before = np.concatenate([[0], np.cumsum(lens)])[ends]
         return self.ids[ragged(self.starts[at], lens)].astype(np.uint32), np.diff(before)
