@@ -99,16 +99,13 @@ class ChunkEncoder:
     rarer half is forgotten.
     """
 
-    def __init__(self, path: str, cap: int = 300_000):
+    def __init__(self, path: str, cap: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.merges = Tokenizer.from_file(path)
-        self.merges.encode_special_tokens = True
-        self.merges.normalizer = normalizers.Sequence([])
-        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.model = self.tokenizer.model
         self.cap = cap
         self._forget()
 
@@ -136,15 +133,6 @@ class ChunkEncoder:
         self.lens, self.uses = self.lens[keep], self.uses[keep] // 2
         self.starts = np.cumsum(self.lens, dtype=np.int64) - self.lens
 
-    def _encoded(self, tokenizer, words: list[str], chunk_of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of ``words``, and the chunk of each id."""
-        ids, of = [np.zeros(0, self.ids.dtype)], [np.zeros(0, np.int64)]
-        for lo in range(0, len(words), 20_000):
-            got = tokenizer.encode(words[lo : lo + 20_000], is_pretokenized=True, add_special_tokens=False)
-            ids.append(np.asarray(got.ids, self.ids.dtype))
-            of.append(chunk_of[lo + np.fromiter((-1 if w is None else w for w in got.word_ids), np.int64, len(got))])
-        return np.concatenate(ids), np.concatenate(of)
-
     def _learn(self, known: int) -> None:
         new = list(islice(self.number, known, None))
         if not new:
@@ -161,11 +149,18 @@ class ChunkEncoder:
                 other.append(chunk)
                 other_of.append(k)
         letters = "\n".join(plain).lower().encode().decode("latin-1").translate({b: c for b, c in BYTE_ALPHABET.items() if b != 10})
-        ids_a, of_a = self._encoded(self.merges, letters.split("\n") if plain else [], np.array(plain_of, np.int64))
-        ids_b, of_b = self._encoded(self.tokenizer, other, np.array(other_of, np.int64))
-        of = np.concatenate([of_a, of_b])
+        tokenize = self.model.tokenize
+        found = [tokenize(w) for w in letters.split("\n")] if plain else []
+        ids = [np.fromiter((t.id for w in found for t in w), self.ids.dtype)]
+        of = [np.repeat(np.array(plain_of, np.int64), np.fromiter(map(len, found), np.int64, len(found)))]
+        for lo in range(0, len(other), 20_000):
+            got = self.tokenizer.encode(other[lo : lo + 20_000], is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.asarray(got.ids, self.ids.dtype))
+            words = np.fromiter((-1 if w is None else w for w in got.word_ids), np.int64, len(got))
+            of.append(np.array(other_of, np.int64)[lo + words])
+        of = np.concatenate(of)
         order = np.argsort(of, kind="stable")
-        self.ids = np.concatenate([self.ids, np.concatenate([ids_a, ids_b])[order]])
+        self.ids = np.concatenate([self.ids, np.concatenate(ids)[order]])
         self.lens = np.concatenate([self.lens, np.bincount(of, minlength=len(new)).astype(np.int32)])
         self.starts = np.cumsum(self.lens, dtype=np.int64) - self.lens
 

@@ -29,7 +29,7 @@ from regesto.llm.common import ChunkEncoder, materialise, shared_path, slices, t
 
 FRAME_IDS = 1 << 16
 END_ID = 2
-LEVEL = 3
+LEVEL = 1
 
 # The magic numbers of zstandard's skippable frames and of its seekable format.
 SKIPPABLE = 0x184D2A50
