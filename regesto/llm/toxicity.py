@@ -32,7 +32,8 @@ ROUNDS = 6
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 4.0, 0.3
 MAX_CLASS_WEIGHT = 10.0
 
-_TABLE = bytes(ord(chr(b).lower()) if chr(b).isascii() and chr(b).isalnum() else (b if b >= 0x80 else 0x20) for b in range(256))
+#: Bytes of words as they are, A-Z as a-z, everything else as a space.
+WORD_TABLE = bytes(ord(chr(b).lower()) if chr(b).isascii() and chr(b).isalnum() else (b if b >= 0x80 else 0x20) for b in range(256))
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -40,7 +41,7 @@ def features(text: str | None) -> np.ndarray:
     """Distinct feature buckets of a whole text (ascending)."""
     import xxhash
 
-    words = (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
+    words = (text or "").encode("utf-8", "surrogatepass").translate(WORD_TABLE).split()
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     grams = [h * _ODD[0]]
     for n in STEMS:
