@@ -62,31 +62,28 @@ def names_of(h: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
-def embed(texts: np.ndarray, walk: int) -> np.ndarray:
-    """The first 2n steps of a CGK walk over each row of n words."""
+def embed(texts: np.ndarray) -> np.ndarray:
+    """The first 2n steps of ``WALKS`` CGK walks over each row of n words: rows x walks x steps."""
     m, n = texts.shape
-    row, at, out = np.arange(m), np.zeros(m, np.int64), np.zeros((m, 2 * n), U)
     padded = np.concatenate([texts, np.zeros((m, 1), U)], 1)
+    row, dice = np.arange(m)[:, None], (np.arange(WALKS, dtype=U) << U(32))[None, :]
+    at, out = np.zeros((m, WALKS), np.int64), np.zeros((m, WALKS, 2 * n), U)
     for step in range(2 * n):
         here = padded[row, np.minimum(at, n)]
-        out[:, step] = here
-        at += (mix(here ^ (U(walk * 4096 + step + 1) * _MUL)) & U(1)).astype(np.int64)
+        out[:, :, step] = here
+        at += (mix(here ^ ((dice + U(step + 1)) * _MUL)) & U(1)).astype(np.int64)
     return out
 
 
 def samples(texts: np.ndarray) -> np.ndarray:
     """The ``WALKS`` * ``SAMPLES`` sampled names of each row."""
-    n = texts.shape[1]
-    dice = np.random.default_rng(n)
-    out = np.zeros((len(texts), WALKS * SAMPLES), U)
-    for walk in range(WALKS):
-        embedded = embed(texts, walk)
-        for k in range(SAMPLES):
-            name = np.full(len(texts), walk * SAMPLES + k + 1, U)
-            for step in dice.integers(0, 2 * n, BITS):
-                name = mix(name * _MUL + embedded[:, step])
-            out[:, walk * SAMPLES + k] = name
-    return out
+    m, n = texts.shape
+    steps = np.random.default_rng(n).integers(0, 2 * n, (WALKS, SAMPLES * BITS))
+    seen = embed(texts)[:, np.arange(WALKS)[:, None], steps].reshape(m, WALKS * SAMPLES, BITS)
+    name = np.broadcast_to(np.arange(1, WALKS * SAMPLES + 1, dtype=U), seen.shape[:2])
+    for k in range(BITS):
+        name = mix(name * _MUL + seen[:, :, k])
+    return name
 
 
 def distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
@@ -164,8 +161,8 @@ class Items:
         for n, starts in self.windows(h).items():
             k = edits(n)
             names, members = self.tables[n]
-            for lo in range(0, len(starts), 4096):
-                part = starts[lo : lo + 4096]
+            for lo in range(0, len(starts), 512):
+                part = starts[lo : lo + 512]
                 keys = samples(padded[part[:, None] + self.longest + np.arange(n)])
                 first, last = np.searchsorted(names, keys, "left"), np.searchsorted(names, keys, "right")
                 row, col = np.nonzero(last > first)
