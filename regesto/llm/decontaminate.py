@@ -21,6 +21,7 @@ blocks of about ``BLOCK_WORDS`` words, each block against all rows.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regesto.llm import query
-from regesto.llm.common import slices, table
+from regesto.llm.common import slices, table, worker_state
 from regesto.llm.substring_dedup import SEGMENT, U, mix
 from regesto.llm.toxicity import WORD_TABLE
 
@@ -202,6 +203,14 @@ def blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | None]]
         yield [tuple(r) for r in items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).collect()]
 
 
+def index_of(sent, name: str) -> Items:
+    """The index of a block of items, built once per Python worker."""
+    state = worker_state()
+    if state.get("items", ("",))[0] != name:
+        state["items"] = (name, Items(sent.value))
+    return state["items"][1]
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, contaminated (true), distance, item_words, end_word per document and item that meet.
 
@@ -213,10 +222,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("raw"))
     out = docs.sparkSession.createDataFrame([], schema)
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(Items(block))
+        sent, name = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            items = sent.value
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
+            items = index_of(sent, name)
             for batch in slices(batches, "raw", SEGMENT):
                 got = []
                 for doc_id, raw in zip(batch.column("doc_id").to_pylist(), batch.column("raw").to_pylist()):
@@ -232,12 +241,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with their columns; nothing is shuffled."""
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast(Items(block))
+        sent, name = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, name=name) -> Iterator[pa.RecordBatch]:
+            items = index_of(sent, name)
             for batch in slices(batches, "text", SEGMENT):
                 texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-                clean = [not sent.value.document((t or "").encode("utf-8", "surrogatepass")) for t in texts]
+                clean = [not items.document((t or "").encode("utf-8", "surrogatepass")) for t in texts]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -360,20 +360,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without all but one of each group: the least (doc_id, text hash) stays.
 
-    Rows without words stay.  Of equal rows that are the least, one stays.
+    Rows without words stay.  Of equal rows that are the least, one stays.  Only rows that may be
+    listed as lost or repeated are shuffled.
     """
-    found = materialise(near_groups(docs, percent), "near-groups")
-    first = found.where("root is not null").groupBy("root").agg(F.min(F.struct("did", "th")).alias("x"))
-    lost = found.join(first, "root").where("struct(did, th) != x").select("did", "th").distinct()
-    twice = found.join(first, "root").where("struct(did, th) = x").groupBy("did", "th").agg(F.count("*").alias("n")).where("n > 1").select("did", "th")
-    names = docs.columns
-    rest_ = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row")
-    key = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("did"), F.hash("text").alias("th"), rest_)
-    kept = key.join(lost, ["did", "th"], "left_anti")
-    marked = kept.join(twice.withColumn("twice", F.lit(True)), ["did", "th"], "left")
-    once = marked.where("twice is null").select("row.*")
-    again = marked.where("twice").dropDuplicates(["did", "th"]).select("row.*")
-    return once.unionByName(again)
+    found = materialise(near_groups(docs, percent), "near-groups").where("root is not null")
+    first = found.groupBy("root").agg(F.min("did").alias("did"))
+    first = found.join(first, ["root", "did"]).groupBy("root", "did").agg(F.min("th").alias("th"))
+    first = first.select("root", F.col("did").alias("d0"), F.col("th").alias("t0"))
+    least = (F.col("did") == F.col("d0")) & (F.col("th") == F.col("t0"))
+    listed = found.join(first, "root").groupBy("did", "th").agg(F.bool_and(~least).alias("lost"), F.count("*").alias("n"))
+    listed = materialise(listed.where("lost or n > 1").select("did", "th", "lost"), "listed-rows")
+    rest_ = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("rest")
+    key = keyed(docs.select("doc_id", "text", rest_), "rest").withColumn("raw", F.lit(b""))
+    some, others = split(key, listed)
+    marked = some.drop("packed_text").join(listed, ["did", "th"], "left")
+    once = marked.where("lost is null").select("rest")
+    again = marked.where("not lost").groupBy("did", "th").agg(F.first("rest").alias("rest")).select("rest")
+    return others.select("rest").unionByName(once).unionByName(again).select("rest.*")
 
 
 @query("op5_near_duplicates")
