@@ -38,7 +38,8 @@ from regesto.llm.common import materialise, slices, table, worker_state
 
 LENGTH = 200
 GRAM = 64
-SMALL = 2048
+SMALL = 1 << 14  # hulls of one anchor (some 4 MB) that may meet in one task
+MEET = 1 << 12  # hulls of several anchors that are compared at a time
 SEGMENT = 1 << 20  # window starts that are worked on at a time
 BLOOM_BITS = 26  # 2^26 bits, 8 MB, whatever the input; fuller filters let more rows pass, never fewer
 
@@ -272,7 +273,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         for batch in slices(batches, "hull", SEGMENT):
             held.append(batch)
             g = np.asarray(batch.column("g"))
-            if sum(b.num_rows for b in held) >= 2 * SMALL and g[0] != g[-1]:
+            if sum(b.num_rows for b in held) >= MEET and g[0] != g[-1]:
                 cut = int(np.searchsorted(g, g[-1]))  # the last group may go on
                 held[-1] = batch.slice(0, cut)
                 yield found(held)
