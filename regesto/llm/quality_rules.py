@@ -66,16 +66,16 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     lines = F.array_remove(F.split(t, "\n", -1), "")
     lines = F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     with_lines = with_grams.withColumn("_lines", lines)
-    return with_lines.withColumns(
-        {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
-            "n_symbols": F.regexp_count(t, F.lit(SYMBOLS)).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": F.when(has_repeat, covered).otherwise(0).cast("long"),
-            "n_lines": F.size("_lines").cast("long"),
-        }
-    ).drop("_words", "_hash", "_grams", "_lines")
+    counts = F.struct(
+        F.size("_words").cast("long").alias("n_words"),
+        F.length(F.array_join("_words", "")).cast("long").alias("word_chars"),
+        F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        F.when(has_repeat, covered).otherwise(0).cast("long").alias("n_repeat_words"),
+        F.size("_lines").cast("long").alias("n_lines"),
+    )
+    # a filter on a generated column is not pushed below, where it would compute all this anew
+    return with_lines.select(*docs.columns, F.inline(F.array(counts)))
 
 
 def with_shares(stats: DataFrame) -> DataFrame:
