@@ -411,7 +411,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     """
     names = docs.columns
     found = spans(docs, length, gram)
-    rest = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"], F.col("text").isNull().alias("_null")).alias("rest")
+    row = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("row")
+    rest = F.struct(row, F.col("text").isNull().alias("null")).alias("rest")
     key = keyed(docs.select("doc_id", "text", rest), "rest")
     some, others = split(key, found)
 
@@ -423,9 +424,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     joined = some.join(found, ["did", "th"], "left").select("rest", "packed_text", "spans")
     hit = joined.mapInArrow(run, some.select("rest").withColumn("text", F.lit("")).schema)
     both = hit.unionByName(others.select("rest", F.col("raw").cast("string").alias("text")))
-    both = both.withColumn("text", F.when(~F.col("rest._null"), F.col("text")))
+    both = both.withColumn("text", F.when(~F.col("rest.null"), F.col("text")))
     chars = F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))
-    return both.select(*[F.col("text") if c == "text" else chars.alias(c) if c == "n_chars" else F.col(f"rest.`{c}`").alias(c) for c in names])
+    return both.select(*[F.col("text") if c == "text" else chars.alias(c) if c == "n_chars" else F.col(f"rest.row.`{c}`").alias(c) for c in names])
 
 
 @query("op9_substring_dedup")

@@ -112,7 +112,8 @@ def count_tokens(docs: DataFrame, model_path: str, text: str = "text") -> DataFr
     kept = [c for c in docs.columns if c not in ("n_tokens", "token_score")]
     if text not in kept:
         raise ValueError(f"no text column {text!r}")
-    schema = docs.select(*kept).withColumn("n_tokens", F.lit(0).cast("long")).withColumn("token_score", F.lit(0.0)).schema
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept])
+    schema = rows.withColumn("n_tokens", F.lit(0).cast("long")).withColumn("token_score", F.lit(0.0)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = UnigramCounter(*read_pieces(model_path))
@@ -121,7 +122,7 @@ def count_tokens(docs: DataFrame, model_path: str, text: str = "text") -> DataFr
             arrays = [*batch.columns, pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.float64())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, "n_tokens", "token_score"])
 
-    return docs.select(*kept).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 @query("op4_token_counts")
