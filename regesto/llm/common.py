@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 import sys
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from regesto.session import ensure_checkpoint_dir
 
 #: Text bytes that are tokenized or hashed together inside a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,8 +44,17 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def give_back() -> None:
+    """Return what earlier tasks of this Python worker have freed to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``limit`` bytes of ``text`` (one row at least)."""
+    give_back()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -99,7 +109,7 @@ class ChunkEncoder:
     rarer half is forgotten.
     """
 
-    def __init__(self, path: str, cap: int = 400_000):
+    def __init__(self, path: str, cap: int = 200_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -38,6 +38,7 @@ SIZE = TREES * DEPTH
 REACH = 32
 BLOCK = 2048
 BUCKET = 128
+SIGNATURE_BYTES = 1 << 18  # of signatures that are worked on at a time
 PERCENT = 80
 
 _ODD = np.random.default_rng(5).integers(0, 1 << 63, SIZE, dtype=U) * U(2) + U(1)
@@ -109,14 +110,14 @@ def forest(nodes: DataFrame) -> DataFrame:
     """key (tree and prefix), node, n, sig (rotated, a byte per value): entries that may share a key."""
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "sig", SEGMENT):
+        for batch in slices(batches, "sig", SIGNATURE_BYTES):
             yield pa.RecordBatch.from_arrays([signed(_prefixes(_matrix(batch, "<u4")).ravel())], names=["key"])
 
     shared = nodes.select("sig").mapInArrow(keys, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n >= 2")
     sent = nodes.sparkSession.sparkContext.broadcast(bloom(shared, F.col("key")))
 
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "sig", SEGMENT // 8):
+        for batch in slices(batches, "sig", SIGNATURE_BYTES):
             sig = _matrix(batch, "<u4")
             names = _prefixes(sig)
             row, tree = np.nonzero(might_hold(sent.value, names.ravel()).reshape(names.shape))
@@ -162,7 +163,7 @@ def proposals(entries: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = None
-        for batch in slices(batches, "sig", SEGMENT // 2):
+        for batch in slices(batches, "sig", SIGNATURE_BYTES):
             key, node, n = (np.asarray(batch.column(c)).astype(np.int64) for c in ("key", "node", "n"))
             sig = _matrix(batch, np.uint8)
             old = 0
@@ -301,7 +302,7 @@ def rest(entries: DataFrame, parts: DataFrame, seen: DataFrame, percent: int) ->
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
         held: list[pa.RecordBatch] = []
-        for batch in slices(batches, "sig", SEGMENT // 2):
+        for batch in slices(batches, "sig", SIGNATURE_BYTES):
             held.append(batch)
             last = batch.column("bucket")[-1].as_py()
             if sum(x.num_rows for x in held) >= 2 * BLOCK and batch.column("bucket")[0].as_py() != last:

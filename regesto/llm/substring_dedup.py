@@ -40,7 +40,7 @@ LENGTH = 200
 GRAM = 64
 SMALL = 1 << 14  # hulls of one anchor (some 4 MB) that may meet in one task
 MEET = 1 << 12  # hulls of several anchors that are compared at a time
-SEGMENT = 1 << 20  # window starts that are worked on at a time
+SEGMENT = 1 << 18  # window starts that are worked on at a time; some ten 8-byte arrays of twice the size
 BLOOM_BITS = 26  # 2^26 bits, 8 MB, whatever the input; fuller filters let more rows pass, never fewer
 
 _MUL = 0x9E3779B97F4A7C15
