@@ -8,8 +8,9 @@ sparse region that is everything below a short prefix, in a dense one the prefix
 
 Round one: of its candidates each node proposes the likeliest and the smallest likely one; the
 proposals are confirmed on full shingle sets, and connected components are taken.  Round two is
-the exact rest for dense regions: whatever shares a prefix of ``DEPTH`` values, lies in different
-components and looks similar enough is confirmed too, so no cap on neighbours loses a link.  With
+the exact rest for dense regions: whatever shares a prefix of ``DEPTH`` values and lies in different
+components is compared, by signatures, then by the names of its whole sets, inside the task, and
+what passes is confirmed too, so no cap on neighbours loses a link.  With
 similarity 0.85 two documents share such a prefix in one of 24 trees but for one in 5 * 10^7, with
 0.8 but for one in 3 * 10^5.
 
@@ -29,14 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from regesto.llm import query
-from regesto.llm.common import materialise, slices, table
+from regesto.llm.common import materialise, ragged, slices, table
 from regesto.llm.substring_dedup import SEGMENT, U, bloom, keyed, might_hold, mix, signed, split
 
 WORDS = 5
 TREES, DEPTH = 24, 4
 SIZE = TREES * DEPTH
 REACH = 32
-BLOCK = 2048
+BLOCK = 1024
 BUCKET = 128
 SIGNATURE_BYTES = 1 << 18  # of signatures that are worked on at a time
 PERCENT = 80
@@ -267,26 +268,64 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 
 
-def rest(entries: DataFrame, parts: DataFrame, seen: DataFrame, percent: int) -> DataFrame:
-    """(a, b, hub): pairs below one prefix, in different components, that look alike and are not in ``seen``."""
+def sets_of(places: DataFrame, rows: DataFrame) -> DataFrame:
+    """node, names (32 bits per shingle, of the whole set) of the nodes of ``places`` (node, did, th)."""
+    texts = split(rows, places.select("did", "th"))[0].dropDuplicates(["did", "th"]).join(places, ["did", "th"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in slices(batches, "packed_text", SEGMENT):
+            names = [(shingles(unpack(x)) >> U(32)).astype("<u4").tobytes() for x in batch.column("packed_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(names, pa.binary())], names=["node", "names"])
+
+    return texts.select("node", "packed_text").mapInArrow(run, "node long, names binary")
+
+
+def _shared(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many of set j's names are in set i, for pairs that go by i."""
+    sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+    _, local = np.unique(np.concatenate(sets), return_inverse=True)
+    begin = np.cumsum(sizes) - sizes
+    marked = np.zeros(int(local.max()) + 1, bool)
+    out = np.zeros(len(i), np.int64)
+    heads = np.flatnonzero(np.r_[True, np.diff(i) != 0])
+    for lo, hi in zip(heads, np.r_[heads[1:], len(i)]):
+        own = local[begin[i[lo]] : begin[i[lo]] + sizes[i[lo]]]
+        marked[own] = True
+        others = j[lo:hi]
+        hit = marked[local[ragged(begin[others], sizes[others])]]
+        out[lo:hi] = np.add.reduceat(hit, np.cumsum(sizes[others]) - sizes[others], dtype=np.int64)
+        marked[own] = False
+    return out
+
+
+def rest(entries: DataFrame, parts: DataFrame, places: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """(a, b, hub): pairs below one prefix, in different components, that are similar by 32-bit names.
+
+    Such names can only make two sets look more alike, so no link is lost.  A bucket holds at most
+    two blocks of one region; only pairs that pass leave it.
+    """
     known = entries.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
     mixed = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     mixed = mixed.where("lo != hi").select("key", "blocks")
-    rows = known.join(mixed, "key")
+    open_ = materialise(known.join(mixed, "key"), "open-entries")
+    sets = materialise(sets_of(places.join(open_.select("node").distinct(), "node"), rows), "open-sets")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = rows.select("*", own.alias("own")).select("*", other)
+    dealt = open_.select("*", own.alias("own")).select("*", other)
     bucket = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
-    # within a bucket of two blocks only pairs across them count; a block's own pairs have a bucket
+    # in a bucket of two blocks only pairs across them count; a block's own pairs have a bucket
     side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
-    dealt = dealt.select(bucket.alias("bucket"), side.cast("int").alias("side"), "node", "root", "n", "sig")
+    dealt = dealt.select(bucket.alias("bucket"), side.cast("int").alias("side"), "node", "root", "n", "sig").join(sets, "node")
     stream = dealt.repartition("bucket").sortWithinPartitions("bucket", "sig", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found(parts_: list[pa.RecordBatch]) -> pa.RecordBatch:
-            batch = pa.Table.from_batches(parts_).combine_chunks().to_batches()[0]
+        def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            batch = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             bucket_, side_, node, root, n = (np.asarray(batch.column(c)).astype(np.int64) for c in ("bucket", "side", "node", "root", "n"))
-            sig, a, b = _matrix(batch, np.uint8), [], []
+            sig, firsts, seconds = _matrix(batch, np.uint8), [], []
             at = np.arange(len(node))
             for reach in range(1, len(node)):
                 at = at[at + reach < len(node)]
@@ -296,16 +335,24 @@ def rest(entries: DataFrame, parts: DataFrame, seen: DataFrame, percent: int) ->
                 j = at + reach
                 i = at[(root[at] != root[j]) & ((side_[at] != side_[j]) | (side_[at] == 2))]
                 ok, _ = _alike(sig, n, i, i + reach, percent)
-                a.append(node[i[ok]])
-                b.append(node[i[ok] + reach])
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (a, b))
+                firsts.append(i[ok])
+                seconds.append(i[ok] + reach)
+            i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (firsts, seconds))
+            if len(i):
+                order = np.argsort(i, kind="stable")
+                i, j = i[order], j[order]
+                names = [np.frombuffer(x, "<u4") for x in batch.column("names").to_pylist()]
+                both = _shared(names, i, j)
+                ok = 100 * both >= percent * (n[i] + n[j] - both)
+                i, j = i[ok], j[ok]
+            a, b = node[i], node[j]
             return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
         held: list[pa.RecordBatch] = []
-        for batch in slices(batches, "sig", SIGNATURE_BYTES):
+        for batch in slices(batches, "names", 4 * SEGMENT):
             held.append(batch)
             last = batch.column("bucket")[-1].as_py()
-            if sum(x.num_rows for x in held) >= 2 * BLOCK and batch.column("bucket")[0].as_py() != last:
+            if sum(x.num_rows for x in held) >= BLOCK and batch.column("bucket")[0].as_py() != last:
                 cut = int(np.flatnonzero(np.asarray(batch.column("bucket")) == last)[0])
                 held[-1] = batch.slice(0, cut)
                 yield found(held)
@@ -313,9 +360,7 @@ def rest(entries: DataFrame, parts: DataFrame, seen: DataFrame, percent: int) ->
         if held:
             yield found(held)
 
-    pairs = stream.mapInArrow(run, "a long, b long").distinct()
-    done = seen.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti").select("a", "b", F.col("a").alias("hub"))
+    return stream.mapInArrow(run, "a long, b long").distinct().select("a", "b", F.col("a").alias("hub"))
 
 
 def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -332,7 +377,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     places = materialise(places, "set-places")
     links = confirm(proposed, rows, places, percent)
     parts = materialise(components(links), "components")
-    more = materialise(rest(entries, parts, proposed, percent), "open-pairs")
+    more = materialise(rest(entries, parts, places, rows, percent), "open-pairs")
     extra = confirm(more, rows, places, percent)
     joined = links.unionByName(extra)
     parts = materialise(components(joined), "components")
