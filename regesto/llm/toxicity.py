@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from regesto.llm import query
 from regesto.llm.common import materialise, slices, table
 
-BITS = 20
+BITS = 18
 STEMS = (4, 6)
 SAMPLE = 8_000
 SHARDS = 4
@@ -113,7 +113,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.
     data = materialise(data.mapInArrow(extract, "shard int, ord long, label int, features binary"), "toxicity-sample")
     size = (1 << BITS) + 1
     z, n = np.zeros(size), np.zeros(size)
-    streams = data.repartition(SHARDS, "shard").sortWithinPartitions("shard", "ord")
+    streams = data.repartitionByRange(SHARDS, "shard").sortWithinPartitions("shard", "ord")
     by = {r["label"]: r["count"] for r in data.groupBy("label").count().collect()}  # two rows
     ones = min(MAX_CLASS_WEIGHT, max(1.0, by.get(0, 0) / max(1, by.get(1, 0))))
 
