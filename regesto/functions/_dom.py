@@ -24,7 +24,7 @@ LABEL_BLOCKS = frozenset(("p", "div", "li", "td", "dd", "th", "section"))
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children", "parent", "order")
+    __slots__ = ("tag", "attrs", "children", "parent", "order", "text", "classes")
 
     def __init__(self, tag, attrs, parent, order):
         self.tag = tag
@@ -32,6 +32,8 @@ class Node:
         self.children = []
         self.parent = parent
         self.order = order
+        self.text = None  # once asked for
+        self.classes = None
 
     def cls(self):
         return self.attrs.get("class") or ""
@@ -127,28 +129,28 @@ class _Builder:
         self.stack[-1].children.append(data)
 
 
-def _texts(node, drop=(), out=None):
-    if out is None:
-        out = []
-    for ch in node.children:
-        if isinstance(ch, str):
-            out.append(ch)
-        elif ch.tag in SKIP_TEXT:
-            continue
-        elif drop and any(c in drop for c in ch.cls().split()):
-            continue
-        else:
-            block = ch.tag not in INLINE
-            if block:
-                out.append(" ")
-            _texts(ch, drop, out)
-            if block:
-                out.append(" ")
-    return out
-
-
 def text_of(node, drop=()) -> str:
-    return " ".join("".join(_texts(node, drop)).split())
+    """Text below ``node``, white space collapsed; an explicit stack, so any depth will do."""
+    if not drop and node.text is not None:
+        return node.text
+    out, stack = [], [iter(node.children)]
+    ends = [""]
+    while stack:
+        ch = next(stack[-1], None)
+        if ch is None:
+            stack.pop()
+            out.append(ends.pop())
+        elif isinstance(ch, str):
+            out.append(ch)
+        elif ch.tag not in SKIP_TEXT and not (drop and any(c in drop for c in ch.cls().split())):
+            gap = "" if ch.tag in INLINE else " "
+            out.append(gap)
+            ends.append(gap)
+            stack.append(iter(ch.children))
+    text = " ".join("".join(out).split())
+    if not drop:
+        node.text = text
+    return text
 
 
 def _next_text(node):
@@ -165,30 +167,34 @@ def _next_text(node):
 
 
 def _ancestor_classes(node):
-    out = []
-    p = node.parent
-    while p is not None and p.tag != "#root":
-        if p.cls():
-            out.append(p.cls())
+    """The distinct classes above ``node``, nearest first; kept on each parent for its other children."""
+    chain, p = [], node.parent
+    while p is not None and p.tag != "#root" and p.classes is None:
+        chain.append(p)
         p = p.parent
-    return " ".join(out)
+    above = p.classes if p is not None and p.tag != "#root" else ""
+    for p in reversed(chain):
+        own = p.cls()
+        p.classes = above = " ".join(dict.fromkeys(f"{own} {above}".split())) if own else above
+    return above
+
 
+#: Pages whose nested values are built and converted together.
+PAGES_AT_ONCE = 500
 
-ALL_PARTS = frozenset(("title", "text", "headings", "links", "cells", "paras", "items", "labels", "blocks"))
+ALL_PARTS = frozenset(("title", "text", "headings", "links", "cells", "paras", "items", "labels", "blocks", "fonts"))
 
 
 def parse_html(html: str, drop=("bur",), want=ALL_PARTS) -> dict:
     """``want``: the dom parts to build (the others come back empty), so a job pays only for
     the selectors it uses."""
     b = _Builder()
-    try:
-        feed(b, html or "")
-    except Exception:  # noqa: BLE001 - a broken page still yields what was read
-        pass
+    feed(b, html or "")
     els = b.elements
     title = next((text_of(e) for e in els if e.tag == "title"), None) if "title" in want else None
     headings, links, cells, paras, items, labels, blocks = [], [], [], [], [], [], []
     w_head, w_links, w_cells = "headings" in want, "links" in want, "cells" in want
+    fonts, w_fonts = [], "fonts" in want
     w_paras, w_items, w_labels, w_blocks = "paras" in want, "items" in want, "labels" in want, "blocks" in want
     ps = [e for e in els if e.tag == "p"] if w_links else []
     p_orders = [e.order for e in ps]
@@ -205,7 +211,8 @@ def parse_html(html: str, drop=("bur",), want=ALL_PARTS) -> dict:
             links.append({
                 "pos": len(links) + 1, "href": e.attrs.get("href"), "text": text_of(e), "title": e.attrs.get("title"),
                 "cls": e.attrs.get("class"), "parent_tag": par.tag if par is not None else None,
-                "parent_text": text_of(par) if par is not None else None,
+                # only a paragraph's own text belongs to its links; a list's would be copied into each
+                "parent_text": text_of(par) if par is not None and par.tag == "p" else None,
                 "next_para": text_of(nxt) if nxt is not None else None, "in_cls": _ancestor_classes(e),
             })
         elif t == "table" and w_cells:
@@ -225,6 +232,8 @@ def parse_html(html: str, drop=("bur",), want=ALL_PARTS) -> dict:
             style = e.attrs.get("style", "")
             align = e.attrs.get("align") or ("center" if "text-align:center" in style.replace(" ", "") else None)
             paras.append({"pos": len(paras) + 1, "align": align, "cls": e.attrs.get("class"), "text": text_of(e)})
+        elif t == "font" and w_fonts and e.attrs.get("dir") == "auto":
+            fonts.append(text_of(e))
         elif t == "li" and w_items:
             items.append(text_of(e))
         if w_labels and t in ("strong", "b"):
@@ -236,14 +245,18 @@ def parse_html(html: str, drop=("bur",), want=ALL_PARTS) -> dict:
             blocks.append({"tag": t, "id": e.attrs.get("id"), "cls": e.attrs.get("class"),
                            "text": text_of(e), "clean_text": text_of(e, drop)})
     return {"title": title, "text": text_of(b.root) if "text" in want else None, "headings": headings, "links": links, "cells": cells,
-            "paras": paras, "items": items, "labels": labels, "blocks": blocks}
+            "paras": paras, "items": items, "labels": labels, "blocks": blocks, "fonts": fonts}
 
 
 def _descendants(node):
-    for ch in node.children:
-        if not isinstance(ch, str):
+    stack = [iter(node.children)]
+    while stack:
+        ch = next(stack[-1], None)
+        if ch is None:
+            stack.pop()
+        elif not isinstance(ch, str):
             yield ch
-            yield from _descendants(ch)
+            stack.append(iter(ch.children))
 
 
 def _nearest(node, tag):

@@ -12,11 +12,13 @@ Two layers:
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regesto.functions._util import col_of, nz
+from regesto.functions._util import col_of, let, nz
 from regesto.functions.text import norm_ws
 
 # ----------------------------------------------------------------------------- regex forms
@@ -26,12 +28,32 @@ ANCHOR_RX = r"(?is)<a\s([^>]*)>(.*?)</a>"
 TAG_RX = r"(?s)<[^>]*>"
 
 
+#: Every named entity of the Latin, symbol and Greek sets; a no-break space counts as a space.
+ENTITIES = {name: " " if code == 0xA0 else chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+_CHARREF = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _char(code: Column) -> Column:
+    """The character of a code point; NULL beyond Unicode (and a space for the no-break space)."""
+    ok = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(code == 0xA0, F.lit(" ")).when(ok, char)
+
+
 def unescape(c) -> Column:
-    """The five common entities plus ``&nbsp;``; ``&amp;`` last so it is not decoded twice."""
+    """Named and numeric character references decoded once, as a browser shows them."""
     x = col_of(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    names = F.create_map(*[F.lit(v) for kv in ENTITIES.items() for v in kv])
+
+    def one(part):
+        ref = F.regexp_extract(part, _CHARREF, 1)
+        number = F.when(ref.rlike("^#[xX]"), F.conv(F.substr(ref, F.lit(3)), 16, 10)).when(ref.startswith("#"), F.substr(ref, F.lit(2)))
+        char = F.coalesce(_char(number.try_cast("int")), names[ref])
+        return F.coalesce(F.concat(char, F.substr(part, F.length(ref) + 2)), F.concat(F.lit("&"), part))
+
+    parts = F.split(x, "&", -1)
+    decoded = F.array_join(F.transform(parts, lambda p, i: F.when(i == 0, p).otherwise(one(p))), "")
+    return F.when(F.contains(x, F.lit("&")), decoded).otherwise(x)
 
 
 def strip_tags(c) -> Column:
@@ -54,8 +76,37 @@ def page_text(html="html") -> Column:
 
 
 def element_html(html, tag: str, attr_rx: str = "") -> Column:
-    """Inner html of the first ``<tag ...attr_rx...>``; NULL if none."""
-    return nz(F.regexp_extract(col_of(html), rf"(?is)<{tag}\b[^>]*{attr_rx}[^>]*>(.*?)</{tag}\s*>", 1))
+    """Inner html of the first ``<tag ...attr_rx...>`` up to its own end tag; NULL if there is none."""
+    h = col_of(html)
+    start = rf"(?is)<{tag}\b[^>]*{attr_rx}[^>]*>"
+    border = rf"(?is)</?{tag}\b[^>]*>"
+    first = F.regexp_extract(h, rf"{start}(.*?)</{tag}\s*>", 1)
+
+    def balanced(tail):
+        """What stands before the end tag that closes more than was opened."""
+        tags = F.regexp_extract_all(tail, F.lit(border), F.lit(0))
+
+        def step(acc, t):
+            depth = acc["depth"] + F.when(t.startswith("</"), -1).otherwise(F.when(t.endswith("/>"), 0).otherwise(1))
+            open_ = acc["end"] < 0
+            return F.struct(
+                F.when(open_, depth).otherwise(acc["depth"]).alias("depth"),
+                (acc["n"] + 1).alias("n"),
+                F.when(open_ & (depth < 0), acc["n"]).otherwise(acc["end"]).alias("end"),
+            )
+
+        zero = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("n"), F.lit(-1).alias("end"))
+        end = F.aggregate(tags, zero, step, lambda acc: acc["end"])
+        texts = F.split(tail, border, -1)
+
+        def join(e):
+            kept = F.transform(F.slice(texts, F.lit(1), e + 1), lambda x, i: F.concat(x, F.when(i < e, F.get(tags, i)).otherwise("")))
+            return F.when(e >= 0, F.array_join(kept, ""))
+
+        return let(end, join)
+
+    nested = let(F.regexp_extract(h, rf"{start}(.*)", 1), balanced)
+    return nz(F.when(first.rlike(rf"(?i)<{tag}\b"), nested).otherwise(first))
 
 
 def element_text(html, tag: str, attr_rx: str = "") -> Column:
@@ -70,7 +121,7 @@ def first_heading(html="html", tags=("h1", "h2", "h3", "h4")) -> Column:
 
 def attr_values(html, tag: str, attr: str) -> Column:
     """All values of ``attr`` on ``tag`` elements, in page order."""
-    return F.regexp_extract_all(col_of(html), F.lit(rf"""(?is)<{tag}\b[^>]*?\b{attr}\s*=\s*["']([^"']*)["']"""), F.lit(1))
+    return F.regexp_extract_all(col_of(html), F.lit(rf"""(?is)<{tag}\b[^>]*?\s{attr}\s*=\s*["']([^"']*)["']"""), F.lit(1))
 
 
 def attr_regex(html, tag: str, attr: str, value_rx: str) -> Column:
@@ -89,7 +140,7 @@ def extract_links(pages: DataFrame, pattern: str | None = None, html: str = "htm
 
 
 def extract_anchors(pages: DataFrame, html: str = "html", keep=("page_id", "url")) -> DataFrame:
-    """HTM-2: href with anchor text and ``title`` attribute, 1-based ``pos``."""
+    """HTM-2: href with anchor text, ``title`` and ``class`` attributes, 1-based ``pos``."""
     attrs = F.regexp_extract_all(col_of(html), F.lit(ANCHOR_RX), F.lit(1))
     inner = F.regexp_extract_all(col_of(html), F.lit(ANCHOR_RX), F.lit(2))
     z = pages.select(*keep, F.posexplode(F.arrays_zip(attrs.alias("a"), inner.alias("t"))).alias("pos0", "z"))
@@ -97,9 +148,10 @@ def extract_anchors(pages: DataFrame, html: str = "html", keep=("page_id", "url"
     return z.select(
         *keep,
         (F.col("pos0") + 1).cast("int").alias("pos"),
-        nz(F.regexp_extract(a, r"""(?is)\bhref\s*=\s*["']([^"']*)["']""", 1)).alias("href"),
+        nz(F.regexp_extract(a, r"""(?is)(?:^|\s)href\s*=\s*["']([^"']*)["']""", 1)).alias("href"),
         inner_text(F.col("z.t")).alias("text"),
-        nz(F.regexp_extract(a, r"""(?is)\btitle\s*=\s*["']([^"']*)["']""", 1)).alias("title"),
+        nz(F.regexp_extract(a, r"""(?is)(?:^|\s)title\s*=\s*["']([^"']*)["']""", 1)).alias("title"),
+        nz(F.regexp_extract(a, r"""(?is)(?:^|\s)class\s*=\s*["']([^"']*)["']""", 1)).alias("cls"),
     )
 
 
@@ -134,6 +186,7 @@ DOM_SCHEMA = T.StructType([
         T.StructField("tag", _STR), T.StructField("id", _STR), T.StructField("cls", _STR),
         T.StructField("text", _STR), T.StructField("clean_text", _STR),
     ]))),
+    T.StructField("fonts", T.ArrayType(_STR)),
 ])
 
 
@@ -152,16 +205,6 @@ def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", htm
 
     # ship the per-page helper with the task (by value), so executors need no copy of this package
     cloudpickle.register_pickle_by_value(_dom)
-    spark = pages.sparkSession
-    try:  # one Arrow batch holds whole pages: keep batches modest
-        if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > 1000:
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    except Exception:  # noqa: BLE001 - conf may be read-only on some platforms
-        pass
-    # the Python pass is the costly step: never let a small/odd input run it in a few tasks
-    from regesto.session import spread
-
-    pages = spread(pages)
     keep = tuple(keep)
     cols = (key, *keep)
     fields = [pages.schema[c] for c in cols]
@@ -172,9 +215,10 @@ def parse_dom(pages: DataFrame, drop_classes=("bur",), key: str = "page_id", htm
     parse_batch = _dom.parse_batch
 
     def run(batches):
-        # Arrow in, Arrow out: no pandas objects; the dom list is converted by pyarrow in C++
+        # Arrow in, Arrow out: no pandas objects; a few hundred pages at a time bound what a task holds
         for batch in batches:
-            yield parse_batch(batch, cols, html, drops, want, arrow_type)
+            for lo in range(0, batch.num_rows, _dom.PAGES_AT_ONCE):
+                yield parse_batch(batch.slice(lo, _dom.PAGES_AT_ONCE), cols, html, drops, want, arrow_type)
 
     return pages.select(*cols, html).mapInArrow(run, out_schema)
 
@@ -204,23 +248,26 @@ def block_text(dom="dom", id_: str | None = None, cls: str | None = None, clean:
 
 
 def label_value(dom="dom", label: str = "Numero", exclude: tuple[str, ...] = (), digits: bool = False) -> Column:
-    """HTM-9: value after ':' in the block of the first bold label containing ``label``
-    (case-insensitive) and none of ``exclude``; ``digits`` keeps only the first 1-5 digit run."""
+    """HTM-9: value in the block of the first bold label containing ``label`` (case-insensitive)
+    and none of ``exclude``: what stands after the first ':', or else after the label itself;
+    ``digits`` keeps the first run of digits, or the whole value where there is none."""
     def ok(l):
         cond = F.lower(l["label"]).contains(label.lower())
         for w in exclude:
             cond = cond & ~F.lower(l["label"]).contains(w.lower())
         return cond
 
-    from regesto.functions._util import let
-
-    def value(block):
-        # the text after the first ':' of the block (the whole block if it has none)
+    def value(hit):
+        block, name = hit["block_text"], hit["label"]
         first_colon = F.instr(block, ":")
-        after = F.when(first_colon > 0, F.trim(block.substr(first_colon + 1, F.lit(1 << 30)))).otherwise(F.trim(block))
-        return nz(F.regexp_extract(after, r"([0-9]{1,5})", 1)) if digits else nz(after)
+        named = F.instr(block, name)
+        after = F.when(first_colon > 0, block.substr(first_colon + 1, F.lit(1 << 30))).when(
+            named > 0, block.substr(named + F.length(name), F.lit(1 << 30))
+        )
+        after = F.trim(F.coalesce(after, block))
+        return F.coalesce(nz(F.regexp_extract(after, r"([0-9]+)", 1)), nz(after)) if digits else nz(after)
 
-    return let(F.try_element_at(F.filter(col_of(dom)["labels"], ok), F.lit(1))["block_text"], value)
+    return let(F.try_element_at(F.filter(col_of(dom)["labels"], ok), F.lit(1)), value)
 
 
 def has_document(dom="dom", pattern: str = r"(?i)(\.pdf$|download|scarica)") -> Column:
@@ -231,11 +278,12 @@ def has_document(dom="dom", pattern: str = r"(?i)(\.pdf$|download|scarica)") ->
     )
 
 
-def explode_documents(dom_df: DataFrame, primary_cls: str = "download-list", keep=("page_id",)) -> DataFrame:
-    """HTM-13: every link inside an element of class ``primary_cls``; only if there is none,
+def explode_documents(dom_df: DataFrame, primary_cls=("download-list", "card-teaser"), keep=("page_id",)) -> DataFrame:
+    """HTM-13: every link inside an element of a class of ``primary_cls``; only if there is none,
     every link whose href ends with ``.pdf``.  One row per document, 1-based ``doc_pos``."""
     links = F.col("dom.links")
-    primary = F.filter(links, lambda l: F.array_contains(F.split(F.coalesce(l["in_cls"], F.lit("")), " "), primary_cls))
+    wanted = F.array(*[F.lit(c) for c in ([primary_cls] if isinstance(primary_cls, str) else primary_cls)])
+    primary = F.filter(links, lambda l: F.arrays_overlap(F.split(F.coalesce(l["in_cls"], F.lit("")), " "), wanted))
     fallback = F.filter(links, lambda l: F.lower(F.coalesce(l["href"], F.lit(""))).endswith(".pdf"))
     chosen = F.when(F.size(primary) > 0, primary).otherwise(fallback)
     return dom_df.select(*keep, F.posexplode(chosen).alias("p0", "l")).select(

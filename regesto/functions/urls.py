@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,12 +16,29 @@ def absolutise(href, base: str) -> Column:
     return F.when(h.startswith("http"), h).otherwise(F.concat(F.lit(base), h))
 
 
+def remove_dots(path: Column) -> Column:
+    """RFC 3986 5.2.4 on a path that starts with '/': '.' goes, '..' takes the segment before it
+    (and nothing at the root)."""
+    parts = F.split(path, "/", -1)
+    last = F.element_at(parts, -1)
+
+    def step(acc, seg):
+        return F.when(seg == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).when(seg == ".", acc).otherwise(
+            F.concat(acc, F.array(seg))
+        )
+
+    kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts) - 1), F.array().cast("array<string>"), step)
+    tail = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"), tail)
+    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.when(joined == "//", F.lit("/")).otherwise(joined)).otherwise(path)
+
+
 def url_join(base, href) -> Column:
-    """URL-2: RFC-3986 style reference resolution for the common cases.
+    """URL-2: RFC 3986 reference resolution.
 
-    absolute (has a scheme) -> as is; ``//host`` -> base scheme; ``/path`` -> base origin;
-    ``?query`` -> base path + query; ``#frag`` -> base without fragment + fragment;
-    relative -> base directory + href, then ``./`` and ``seg/../`` segments removed.
+    absolute (has a scheme) -> as is; ``//host`` -> base scheme; ``/path`` -> base origin + path;
+    ``?query`` -> base path + query; ``#frag`` -> base without fragment + fragment; relative ->
+    base directory + path; dot segments of the path are removed, to any depth.
     """
     b = col_of(base) if not isinstance(base, str) else F.lit(base)
     h = col_of(href)
@@ -27,27 +46,27 @@ def url_join(base, href) -> Column:
     origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
     no_frag = F.regexp_replace(b, r"#.*$", "")
     no_query = F.regexp_replace(no_frag, r"\?.*$", "")
-    directory = F.regexp_replace(no_query, r"[^/]*$", "")
-    directory = F.when(no_query == origin, F.concat(origin, F.lit("/"))).otherwise(directory)
-    rel = F.concat(directory, h)
-    # remove "/./" and collapse "seg/../" (repeated a bounded number of times: depth of real paths)
-    for _ in range(4):
-        rel = F.regexp_replace(rel, r"/\./", "/")
-        rel = F.regexp_replace(rel, r"/(?!\.\./)[^/?#]+/\.\./", "/")
+    base_path = F.substr(no_query, F.length(origin) + 1)
+    directory = F.concat(F.lit("/"), F.regexp_extract(base_path, r"^/?(.*/)?[^/]*$", 1))
+    h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
+    h_rest = F.substr(h, F.length(h_path) + 1)
+    path = F.when(h.startswith("/"), h_path).otherwise(F.concat(directory, h_path))
     return (
         F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), h)
         .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("/"), F.concat(origin, h))
         .when(h.startswith("?"), F.concat(no_query, h))
         .when(h.startswith("#"), F.concat(no_frag, h))
         .when(h == "", no_frag)
-        .otherwise(rel)
+        .otherwise(F.concat(origin, remove_dots(path), h_rest))
     )
 
 
 def query_param(url, key: str, default: str | None = None) -> Column:
-    """URL-3: named query value (first occurrence), else ``default``."""
-    v = nz(F.regexp_extract(col_of(url), rf"[?&]{key}=([^&#]*)", 1))
+    """URL-3: named query value (first occurrence, percent-decoded, '+' as a space); a blank or
+    absent one gives ``default``."""
+    query = F.regexp_extract(col_of(url), r"\?([^#]*)", 1)
+    raw = nz(F.regexp_extract(query, rf"(?:^|&){re.escape(key)}=([^&]*)", 1))
+    v = F.coalesce(F.try_url_decode(raw), raw)
     return F.coalesce(v, F.lit(default)) if default is not None else v
 
 

@@ -24,6 +24,21 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+SPREAD = 32
+
+
+def with_stop(df: DataFrame, stops: DataFrame, group: str, by, name: str) -> DataFrame:
+    """Left join of the big side with a table of one row per group.
+
+    The small rows are copied ``SPREAD`` times and the big side is dealt by a hash of ``by`` as
+    well, so a group with a third of all rows is joined by that many tasks."""
+    parts = [F.lit(x) for x in range(SPREAD)]
+    copies = stops.select(F.col(group).alias("__g"), name, F.explode(F.array(*parts)).alias("__s"))
+    own = F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int")
+    dealt = df.withColumn("__o", own)
+    return dealt.join(copies, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__o") == F.col("__s")), "left").drop("__g", "__s", "__o")
+
+
 def cut_after_misses(df: DataFrame, group: str = "y", n: str = "n", hit: str = "found", k: int = 10) -> DataFrame:
     """WIN-1: per group, in number order, keep keys up to and including the k-th consecutive miss.
 
@@ -37,7 +52,7 @@ def cut_after_misses(df: DataFrame, group: str = "y", n: str = "n", hit: str = "
     candidates = df.filter(~_c(hit) & (F.col(n) >= k)).select(group, n).join(covered, [group, n], "left_anti")
     cut = candidates.groupBy(group).agg(F.min(n).alias("__cut"))
     return (
-        df.join(cut, [group], "left")
+        with_stop(df, cut, group, [n], "__cut")
         .filter(F.col("__cut").isNull() | (F.col(n) <= F.col("__cut")))
         .drop("__cut")
     )
@@ -57,7 +72,7 @@ def cut_after_empty_pages(df: DataFrame, source: str = "source", page: str = "pa
     streak = F.col("__i") - F.coalesce(F.col("__last_full"), F.lit(0))
     stop = ok.filter(streak >= k).groupBy(source).agg(F.min(page).alias("__stop"))
     return (
-        df.join(stop, [source], "left")
+        with_stop(df, stop, source, [page], "__stop")
         .filter(F.col("__stop").isNull() | (F.col(page) <= F.col("__stop")))
         .drop("__stop")
     )
@@ -88,7 +103,7 @@ def cut_when_no_news(links: DataFrame, source: str = "source", page: str = "page
         stopping = stopping.join(first_page, [source]).filter(F.col(page) > F.col("__p0")).drop("__p0")
     stop = stopping.groupBy(source).agg(F.min(page).alias("__stop"))
     return (
-        links.join(stop, [source], "left")
+        with_stop(links, stop, source, [page, url], "__stop")
         .filter(F.col("__stop").isNull() | (F.col(page) < F.col("__stop")))
         .drop("__stop")
     )
@@ -103,7 +118,7 @@ def drop_revisits(df: DataFrame, group: str = "year", seq: str = "seq", url: str
         .groupBy(group).agg(F.min(seq).alias("__stop"))
     )
     return (
-        df.join(revisit, [group], "left")
+        with_stop(df, revisit, group, [seq, url], "__stop")
         .filter(F.col("__stop").isNull() | (F.col(seq) < F.col("__stop")))
         .drop("__stop")
     )
@@ -151,19 +166,20 @@ def number_rows(df: DataFrame, order, partition=None, out: str = "pos") -> DataF
     from regesto.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(df.sparkSession)
-    sorted_df = df.orderBy(*ords).withColumn("__part", F.spark_partition_id()).checkpoint()
-    local = Window.partitionBy("__part").orderBy(*ords)
-    numbered = sorted_df.withColumn("__local", F.row_number().over(local))
+    sorted_df = df.orderBy(*ords).checkpoint()
+    # the checkpointed partitions are in order already: the id counts a partition's rows as they lie
+    numbered = sorted_df.withColumn("__id", F.monotonically_increasing_id())
+    part, local = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     # one row per partition: bounded by the partition count, never by the data
-    counts = sorted_df.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
+    counts = numbered.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__part",
         (F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
     )
     return (
-        numbered.join(F.broadcast(offsets), ["__part"])
-        .withColumn(out, (F.coalesce(F.col("__off"), F.lit(0)) + F.col("__local")).cast("long"))
-        .drop("__part", "__local", "__off")
+        numbered.join(F.broadcast(offsets), part == F.col("__part"))
+        .withColumn(out, (F.coalesce(F.col("__off"), F.lit(0)) + local + 1).cast("long"))
+        .drop("__part", "__id", "__off")
     )
 
 

@@ -49,16 +49,17 @@ def drop_repealed_phrases(df: DataFrame, text: str = "text", phrases=REPEAL_PHRA
     return df.filter(~F.coalesce(is_repealed_phrase(text, phrases), F.lit(False)))
 
 
-PDF_MAGIC = bytes("%PDF", "ascii")
+# The first bytes of a PDF file.
+PDF_MAGIC = b"%PDF"
 
 
 def is_valid_capture(status="status", body="body", content_type=None) -> Column:
     """PRD-3 predicate: HTTP 200 and a PDF body (magic ``%PDF``), or a content type naming
-    ``application/pdf``; never NULL."""
+    ``application/pdf``; never NULL.  A file whose status was never captured counts by its body."""
     is_pdf = F.substring(col_of(body), 1, 4) == F.lit(PDF_MAGIC)
     if content_type is not None:
         is_pdf = is_pdf | F.lower(F.coalesce(col_of(content_type), F.lit(""))).contains("application/pdf")
-    return F.coalesce((col_of(status) == 200) & is_pdf, F.lit(False))
+    return F.coalesce((F.coalesce(col_of(status), F.lit(200)) == 200) & is_pdf, F.lit(False))
 
 
 def valid_capture(df: DataFrame, status: str = "status", body: str = "body", content_type: str | None = None) -> DataFrame:

@@ -8,11 +8,15 @@ shape C (stream) is ``streaming.stream``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from regesto.functions import html as H
 from regesto.functions import keys as K
 from regesto.functions import urls as U
+from regesto.operators import cutoffs as C
 from regesto.operators import dedupe as S
 from regesto.operators import joins as J
 from regesto.plans.regions import EXTRACTORS
@@ -33,3 +37,70 @@ def index_pages(region: str, pages: DataFrame, done_ids: DataFrame | None = None
         idx = J.mark_existing(idx, inventory, "filename", "name", keep_row=True, flag="__exists")
         idx = idx.withColumn("status", K.derive_status(exists=F.col("__exists"))).drop("__exists")
     return S.dedupe_file(idx, "filename", "source_url")
+
+
+@dataclass(frozen=True)
+class Listing:
+    """How a region's listing is walked: what its links hold, when it stops, how many pages count."""
+
+    host: str
+    link: str
+    stop: str | None = None  # "empty": three empty pages in a row; "no_news": a page without a new link
+    limit: int | None = None
+    by_category: bool = False
+
+
+# Link patterns, stop rules and page limits of the regional listings.
+LISTINGS = {
+    "campania": Listing("campania.example", "dettaglio-documento", "empty", 149),
+    "umbria": Listing("umbria.example", "mostra_atto.php"),
+    "molise": Listing("molise.example", "OpenDocument"),
+    "friuli": Listing("fvg.example", "IndiceLex", by_category=True),
+    "veneto": Listing("veneto.example", "dettaglio-legge", "no_news"),
+    "aosta": Listing("aosta.example", "dettaglio?pk_lr=", "no_news"),
+}
+
+
+def listing_links(region: str, listing: DataFrame) -> DataFrame:
+    """The first link to each law in (page_no, pos) order, as far as the region's listing is walked.
+
+    ``listing``: (page_no, url, html[, category])."""
+    rule = LISTINGS[region]
+    pages = listing if rule.limit is None else C.page_limit(listing, "page_no", rule.limit)
+    pages = pages.withColumn("source", F.lit(region))
+    keep = ("source", "page_no", "url", *(("category",) if rule.by_category else ()))
+    found = H.extract_anchors(pages, keep=keep).filter(F.col("href").contains(rule.link))
+    links = found.select(
+        *[c for c in keep if c != "url"], "pos", U.url_join(F.col("url"), H.unescape("href")).alias("url"), F.col("text").alias("link_text")
+    )
+    if rule.stop == "empty":
+        counts = links.groupBy("source", "page_no").agg(F.count(F.lit(1)).alias("n_links"))
+        seen = pages.select("source", "page_no", F.col("html").isNull().alias("failed")).join(counts, ["source", "page_no"], "left")
+        seen = seen.withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+        walked = C.cut_after_empty_pages(seen, "source", "page_no", "n_links", "failed", 3).select("page_no")
+        links = links.join(walked, "page_no", "left_semi")
+    elif rule.stop == "no_news":
+        links = C.cut_when_no_news(links, "source", "page_no", "url", pages=pages)
+    return S.distinct_ordered(links.drop("source"), "url", ["page_no", "pos"])
+
+
+def index_listing(region: str, listing: DataFrame, details: DataFrame) -> DataFrame:
+    """Shape A from its listing on: walk the listing, open each law's detail page (``details``: url,
+    html, ...), extract, and note the page (and category) that the law was found on."""
+    rule = LISTINGS[region]
+    links = listing_links(region, listing)
+    if region == "aosta":  # its records are in the listing itself; details only tell repeals
+        walked = listing.join(links.select("page_no").distinct(), "page_no", "left_semi")
+        idx = EXTRACTORS[region](walked.withColumn("page_id", F.col("page_no")), details)
+    else:
+        extra = [c for c in details.columns if c not in ("url", "page_id", *links.columns)]
+        opened = J.listing_with_detail(links.withColumns({f"list_{c}": F.lit(None) for c in extra}), details, on="url", fields=extra)
+        opened = opened.filter(F.col("html").isNotNull()).withColumn("page_id", F.col("page_no") * 1_000_000 + F.col("pos"))
+        idx = EXTRACTORS[region](opened.drop("category", *[f"list_{c}" for c in extra]))
+    places = links.select(F.col("url").alias("source_url"), F.col("page_no").cast("int").alias("page_no"))
+    order = idx.columns
+    idx = idx.drop("page_no").join(places, "source_url")
+    if rule.by_category:
+        cats = links.select(F.col("url").alias("source_url"), "category")
+        idx = J.law_with_category(idx.drop("category"), cats, on="source_url")
+    return idx.select(*order)

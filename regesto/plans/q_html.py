@@ -16,8 +16,12 @@ def sql_str(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+# the entities that the pages of the test tables hold; each in its own words, not the code's
+_KNOWN = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&egrave;", "è"), ("&copy;", "©"), ("&middot;", "·"), ("&eacute;", "é"), ("&mdash;", "—"), ("&amp;", "&"))
+
+
 def unescape_sql(x: str) -> str:
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+    for ent, ch in _KNOWN:
         x = f"replace({x}, {sql_str(ent)}, {sql_str(ch)})"
     return x
 
@@ -44,13 +48,15 @@ def html_links(spark, sf):
 
 _ATTR_HREF = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
 _ATTR_TITLE = r"""(?is)\btitle\s*=\s*["']([^"']*)["']"""
+_ATTR_CLASS = r"""(?is)\bclass\s*=\s*["']([^"']*)["']"""
 
 
 @query("html_anchors", f"""
 SELECT page_id, url, cast(pos as int) AS pos,
   nullif(regexp_extract(a, {sql_str(_ATTR_HREF)}, 1), '') AS href,
   {inner_text_sql('t')} AS text,
-  nullif(regexp_extract(a, {sql_str(_ATTR_TITLE)}, 1), '') AS title
+  nullif(regexp_extract(a, {sql_str(_ATTR_TITLE)}, 1), '') AS title,
+  nullif(regexp_extract(a, {sql_str(_ATTR_CLASS)}, 1), '') AS cls
 FROM (SELECT page_id, url, unnest(aa) AS a, unnest(tt) AS t, unnest(range(1, len(aa) + 1)) AS pos
       FROM (SELECT page_id, url, regexp_extract_all(html, {sql_str(H.ANCHOR_RX)}, 1) AS aa,
                    regexp_extract_all(html, {sql_str(H.ANCHOR_RX)}, 2) AS tt FROM pages))""", ops="HTM-2")
@@ -98,6 +104,33 @@ def html_elements(spark, sf):
     )
 
 
+@query("dom_page_links", f"""
+SELECT page_id, cast(pos as int) AS pos, {unescape_sql('href')} AS href
+FROM (SELECT page_id, unnest(arr) AS href, unnest(range(1, len(arr) + 1)) AS pos
+      FROM (SELECT page_id, regexp_extract_all(html, {sql_str(H.HREF_RX)}, 1) AS arr FROM pages))""", ops="HTM-0")
+def dom_page_links(spark, sf):
+    """The one Arrow pass over the given pages."""
+    dom = H.parse_dom(table(spark, sf, "pages"), parts=("links",))
+    return dom.select("page_id", F.explode("dom.links").alias("l")).select("page_id", F.col("l.pos").cast("int").alias("pos"), F.col("l.href").alias("href"))
+
+
+@query("url_join_depth", """
+SELECT law_id, concat('https://leggi.example/', CASE law_id % 4
+    WHEN 0 THEN concat('x', cast(law_id as string)) WHEN 1 THEN concat('a/b/x', cast(law_id as string))
+    WHEN 2 THEN concat('c/', cast(law_id as string), '/') ELSE concat('a/b/c/d/e/f/g/h/x?q=../', cast(law_id as string)) END) AS url
+FROM law_headers""", views=["law_headers"], ops="URL-2")
+def url_join_depth(spark, sf):
+    """Dot segments to any depth, above the root, in rooted references, and none in a query."""
+    n = F.col("law_id").cast("string")
+    href = (
+        F.when(F.col("law_id") % 4 == 0, F.concat(F.lit("../../../../../../../../../../x"), n))
+        .when(F.col("law_id") % 4 == 1, F.concat(F.lit("../../../../../../x"), n))
+        .when(F.col("law_id") % 4 == 2, F.concat(F.lit("/z/../c/./"), n, F.lit("/y/..")))
+        .otherwise(F.concat(F.lit("./x?q=../"), n))
+    )
+    return view(spark, sf, "law_headers").select("law_id", U.url_join("https://leggi.example/a/b/c/d/e/f/g/h/pagina.html", href).alias("url"))
+
+
 # ---------------------------------------------------------------- dom selectors on law_pages
 
 _DMY = "concat(lpad(cast(day(d) as string), 2, '0'), '/', lpad(cast(month(d) as string), 2, '0'), '/', cast(year(d) as string))"

@@ -15,8 +15,7 @@ from regesto.operators import reports as R
 from regesto.operators import sorting as O
 from regesto.plans.q_scalars import law_index_from_headers
 from regesto.plans.registry import query
-from regesto.session import spread
-from regesto.sources.fixtures import table, view
+from regesto.sources.fixtures import many, table, view
 
 ISO = "strftime(d, '%Y-%m-%d')"
 FILENAME_SQL = f"concat(region, '_', cast(no as string), '_', {ISO}, '.pdf')"
@@ -233,7 +232,7 @@ _LINES_SQL = r"""(SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1
 
 
 def _doc_lines(spark, sf):
-    d = spread(table(spark, sf, "documents"))
+    d = many(table(spark, sf, "documents"))
     return d.select("doc_id", F.posexplode(T.lines_split("text")).alias("p0", "line")).select(
         "doc_id", (F.col("p0") + 1).alias("pos"), "line")
 
@@ -268,7 +267,7 @@ WITH s AS (SELECT *, n - coalesce(max(CASE WHEN found THEN n END) OVER (PARTITIO
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS streak FROM probe_grid),
      c AS (SELECT y, coalesce(min(CASE WHEN streak >= 10 THEN n END), max(n)) AS cut FROM s GROUP BY y)
 SELECT s.y, count(*) AS probed, cast(count_if(found) as bigint) AS hits FROM s JOIN c ON s.y = c.y AND s.n <= c.cut GROUP BY s.y""",
-       views=["probe_grid"], ops="WIN-1 SRC-5")
+       views=["probe_grid"], ops="WIN-1")
 def win_cut_after_misses(spark, sf):
     kept = C.cut_after_misses(view(spark, sf, "probe_grid"), "y", "n", "found", k=10)
     return kept.groupBy("y").agg(F.count(F.lit(1)).alias("probed"), F.count_if("found").alias("hits"))
@@ -367,6 +366,7 @@ def win_number_docs(spark, sf):
 SELECT law_id, row_number() OVER (ORDER BY CASE WHEN law_id % 4 = 3 THEN NULL ELSE d END ASC NULLS LAST, hdr, law_id) AS pos
 FROM law_headers""", views=["law_headers"], ops="SRT-3")
 def srt_rank_by_date(spark, sf):
+    # the same keys as order_by_date, as a distributed position
     lh = view(spark, sf, "law_headers").select("law_id", "hdr")
     return C.number_rows(lh, O.date_order_keys("hdr") + [F.col("law_id")]).select("law_id", "pos")
 

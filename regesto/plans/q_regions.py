@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from regesto.operators import dedupe as S
+from regesto.operators import filters as P
 from regesto.plans import regions as RG
 from regesto.plans.registry import query
 from regesto.sources import region_pages as RP
@@ -35,14 +36,15 @@ ORACLE_SELECTS: dict[str, str] = {
     "basilicata": oracle_select(
         region="'Basilicata'", law_title=TITLE, law_number=_num_or("0", f"{FORM} = 3"),
         date_text=f"CASE WHEN {FORM} = 3 THEN 'Unknown' ELSE {DMY} END", law_date=f"CASE WHEN {FORM} = 3 THEN NULL ELSE d END",
+        source_url=f"concat('https://basilicata.example/elenco?p=', {ID})",
         filename=f"concat('Basilicata_', {_num_or('0', f'{FORM} = 3')}, '_', CASE WHEN {FORM} = 3 THEN '0000-00-00' ELSE {ISO} END, '.pdf')"),
     "campania": oracle_select(
-        where=f"{FORM} IN (0, 2)", region="'Campania'", law_title=TITLE, law_number=NO,
+        where=f"{FORM} IN (0, 2) AND law_id % 13 <> 5", region="'Campania'", law_title=f"concat({TITLE}, ' e attività')", law_number=NO,
         date_text=f"CASE WHEN {FORM} = 0 THEN {DIT} ELSE {DITD} END", law_date="d",
         source_url=f"concat('https://campania.example/dettaglio-documento?id=', {ID})",
         filename=f"concat('Campania_', {NO}, '_', CASE WHEN {FORM} = 0 THEN {DIT} ELSE {DITD} END, '.pdf')"),
     "friuli": oracle_select(
-        where=f"{FORM} <> 3", region="'FVG'", law_title=f"CASE WHEN {FORM} = 1 THEN hdr ELSE {TITLE} END", law_number=NO,
+        where=f"{FORM} <> 3", region="'Friuli Venezia Giulia'", law_title=f"CASE WHEN {FORM} = 1 THEN hdr ELSE {TITLE} END", law_number=NO,
         date_text=DMY, law_date="d", status="'Success'", category="concat('Materia ', region)",
         source_url=f"concat('https://fvg.example/IndiceLex.aspx?id=', {ID})",
         filename=f"concat('FVG_', {NO}, '_', replace({DMY}, '/', '-'), '.pdf')"),
@@ -60,7 +62,7 @@ ORACLE_SELECTS: dict[str, str] = {
         source_url=f"concat('https://liguria.example/articolo?id=', {ID})",
         filename=f"concat('Liguria_', {_num_or('Unknown', f'{FORM} = 3')}, '_', CASE WHEN {FORM} = 3 THEN '0000-00-00' ELSE {ISO} END, '.pdf')"),
     "toscana": oracle_select(
-        region="'Toscana'", law_title=TITLE, law_number=_num_or("Unknown", f"{FORM} = 3"),
+        region="'Toscana'", law_title=f"concat({TITLE}, ' Testo vigente e allegati')", law_number=_num_or("Unknown", f"{FORM} = 3"),
         date_text=f"CASE WHEN {FORM} = 3 THEN '' ELSE {EN_LONG} END", law_date=f"CASE WHEN {FORM} = 3 THEN NULL ELSE d END",
         source_url=f"concat('https://toscana.example/articolo?urndoc=urn:nir:regione.toscana:legge:', {ID})",
         filename=f"concat('Tuscany_', {_num_or('Unknown', f'{FORM} = 3')}, '_', CASE WHEN {FORM} = 3 THEN '0000-00-00' ELSE {ISO} END, '.pdf')"),
@@ -83,7 +85,7 @@ ORACLE_SELECTS: dict[str, str] = {
         source_url=f"concat('https://molise.example/leggi/OpenDocument?id=', {ID})",
         filename=f"concat('Molise_', {_num_or('NA', f'{FORM} = 3')}, '_', CASE WHEN {FORM} = 3 THEN 'NA' ELSE {ISO} END, '.pdf')"),
     "piemonte": oracle_select(
-        where="law_id % 5 <> 0 AND law_id % 7 <> 0", region="'Piemonte'", law_title=TITLE,
+        where="law_id % 7 <> 0", region="'Piemonte'", law_title=TITLE,
         law_number=_num_or("Unknown", f"{FORM} = 3"),
         date_text=f"CASE WHEN {FORM} IN (0, 2) THEN {DIT} ELSE '00/00/0000' END",
         law_date=f"CASE WHEN {FORM} IN (0, 2) THEN d END",
@@ -101,29 +103,30 @@ ORACLE_SELECTS: dict[str, str] = {
         source_url=f"concat('https://sardegna.example/leggi/', {ID}, '.pdf')",
         filename=f"concat('Sardinia_', {NO}, '_', {ISO}, '.pdf')"),
     "trentino": oracle_select(
-        src="""law_headers JOIN (SELECT 0 AS par, 'IT' AS kind, '_it.pdf' AS suf UNION ALL SELECT 0, 'DE', '_de.pdf'
-               UNION ALL SELECT 1, 'DOC', '.pdf') AS docs ON law_id % 2 = docs.par""",
+        src="""law_headers JOIN (SELECT 0 AS par, 'IT' AS kind UNION ALL SELECT 0, 'DE'
+               UNION ALL SELECT 1, 'DOC') AS docs ON law_id % 2 = docs.par""",
         region="'Trentino-Alto Adige'", law_title=f"CASE WHEN {FORM} = 1 THEN hdr ELSE {TITLE} END",
         law_number=_num_or("0", f"{FORM} = 3"),
         date_text=f"CASE WHEN {FORM} = 3 THEN 'Unknown' ELSE {DMY} END", law_date=f"CASE WHEN {FORM} = 3 THEN NULL ELSE d END",
-        doc_type="kind", source_url=f"concat('https://taa.example/doc/', {ID}, suf)",
+        doc_type="kind", status="'Pending'", source_url=f"concat('https://taa.example/content/view/full/', {ID})",
         filename=f"""concat('TrentinoAA_', {_num_or('0', f'{FORM} = 3')}, '_', CASE WHEN {FORM} = 3 THEN '0000-00-00' ELSE {ISO} END,
                      '_', kind, '.pdf')"""),
     "umbria": oracle_select(
         region="'Umbria'", law_title=f"CASE WHEN law_id % 2 = 0 THEN {TITLE} ELSE hdr END", law_number=NO,
         date_text=f"CASE {FORM} WHEN 0 THEN {DIT} WHEN 2 THEN {DITD} ELSE 'Unknown Date' END",
         law_date=f"CASE WHEN {FORM} IN (0, 2) THEN d END",
-        source_url=f"concat('https://umbria.example/mostra_atto.php?id=', {ID}, '&file=lr', {YEAR}, '-', {NO}, '.html')",
+        source_url=f"concat('https://umbria.example/mostra_atto.php?id=', {ID}, '&file=lr', {YEAR}, '-999.html')",
         filename=f"concat('Umbria_', {NO}, '_', CASE WHEN {FORM} IN (0, 2) THEN {ISO} ELSE '0000-00-00' END, '.pdf')"),
     "veneto": oracle_select(
-        region="'Veneto'", law_title=TITLE, law_number=_num_or("Unknown", f"{FORM} IN (1, 3)"),
+        region="'Veneto'", law_title=f"concat({TITLE}, ' e l’acqua')", law_number=_num_or("Unknown", f"{FORM} IN (1, 3)"),
         date_text=f"CASE {FORM} WHEN 0 THEN {DIT} WHEN 2 THEN {DITD} ELSE 'Unknown' END",
         law_date=f"CASE WHEN {FORM} IN (0, 2) THEN d END",
         source_url=f"concat('https://veneto.example/dettaglio-legge?id=', {ID})",
-        filename=f"""CASE {FORM} WHEN 3 THEN 'No PDF' WHEN 1 THEN 'Veneto_Unknown_Unknown.pdf'
+        filename=f"""CASE WHEN {FORM} = 3 THEN 'No PDF' WHEN law_id % 10 = 2 THEN 'Failed Download' WHEN {FORM} = 1 THEN 'Veneto_Unknown_Unknown.pdf'
                      ELSE concat('Veneto_', {NO}, '_', {ISO}, '.pdf') END"""),
     "aosta": oracle_select(
-        where="law_id % 9 <> 0", region="'Valle d''Aosta'", law_title=TITLE, law_number=_num_or("0", f"{FORM} = 3"),
+        where="law_id % 9 <> 0", region="'Valle d''Aosta'",
+        law_title=f"CASE WHEN law_id % 11 = 3 THEN left(concat({TITLE}, repeat(' comma', 200)), 1000) ELSE {TITLE} END", law_number=_num_or("0", f"{FORM} = 3"),
         date_text=f"CASE WHEN {FORM} IN (0, 2) THEN {DIT} ELSE 'Unknown' END", law_date=f"CASE WHEN {FORM} IN (0, 2) THEN d END",
         source_url=f"concat('https://aosta.example/dettaglio?pk_lr=', {ID})", status="'Pending'",
         filename=f"""CASE WHEN {FORM} IN (0, 2) THEN concat('ValleAosta_', {NO}, '_', {ISO}, '.pdf')
@@ -158,23 +161,23 @@ WITH s AS (SELECT *, (status = 200 AND left(body_text, 4) = '%PDF') AS found FRO
 
 # operators each region job exercises besides its own profile
 REG_OPS = {
-    "basilicata": "HTM-6 NUM-4 AGG-5 DAT-2",
-    "campania": "HTM-1 HTM-4 NUM-1 PRD-7 SET-1 TXT-2 URL-3",
-    "friuli": "HTM-4 HTM-12 JON-4 PRD-9 DAT-9 DAT-10",
-    "lazio": "HTM-5 HTM-9 NUM-2 KEY-2 TXT-5 CND-1",
+    "basilicata": "NUM-4 DAT-2 HTM-4",
+    "campania": "HTM-3 HTM-4 HTM-10 NUM-1 PRD-7 SET-1 TXT-2 DAT-1",
+    "friuli": "HTM-4 PRD-9 DAT-4 DAT-10 NUM-1 KEY-1",
+    "lazio": "HTM-0 HTM-9 KEY-2 TXT-5 DAT-4",
     "liguria": "HTM-3 HTM-4 HDR-1 HDR-2 DAT-6",
     "toscana": "HTM-3 HTM-4 HDR-1 HDR-2 DAT-6",
-    "lombardia": "HTM-2 URL-2 HDR-1 DAT-6",
-    "marche": "HTM-8 NUM-1 SET-4 DAT-10",
-    "molise": "HTM-0 AGG-5 NUM-2 DAT-4 TXT-9",
-    "piemonte": "HTM-0 HTM-7 PRD-1 PRD-4 NUM-1 TXT-4",
-    "puglia": "HTM-4 AGG-6 TXT-4",
-    "sardinia": "HTM-0 HTM-11 HTM-13 HDR-1 HDR-2 URL-2 TXT-3",
-    "trentino": "HTM-0 HTM-11 HTM-13 DAT-5 DAT-7 DAT-8 KEY-3 JON-6 URL-2",
-    "umbria": "HTM-4 AGG-6 NUM-1 NUM-2 URL-5",
-    "veneto": "HTM-4 HTM-12 DAT-9 TXT-3",
-    "aosta": "HTM-0 HTM-11 NUM-3 PRD-2 TXT-6 TXT-7 KEY-2 SET-1 URL-2 URL-3",
-    "emilia": "HTM-2 TXT-8 URL-1 HDR-1 TXT-10 TXT-3",
+    "lombardia": "HTM-2 URL-2 DAT-6",
+    "marche": "HTM-8 SET-1 DAT-10 DAT-1",
+    "molise": "HTM-3 NUM-2 DAT-4",
+    "piemonte": "HTM-0 PRD-1 NUM-1 TXT-4",
+    "puglia": "HTM-4 TXT-4 DAT-2",
+    "sardinia": "HTM-0 URL-2 TXT-3 DAT-4",
+    "trentino": "HTM-0 HTM-11 HTM-13 DAT-5 DAT-7 DAT-8 KEY-3 NUM-1",
+    "umbria": "HTM-3 NUM-1 DAT-1",
+    "veneto": "HTM-4 TXT-3 DAT-1",
+    "aosta": "HTM-0 NUM-3 PRD-2 TXT-7 SET-1 URL-2 URL-3",
+    "emilia": "HTM-2 TXT-8 URL-1 TXT-10 TXT-3",
 }
 
 
@@ -190,19 +193,31 @@ for _key in RG.EXTRACTORS:
     _register(_key)
 
 
+def _captures(spark, sf):
+    """The captures with a header map and a BINARY body."""
+    caps = view(spark, sf, "calabria_captures").withColumn("body", F.encode("body_text", "UTF-8"))
+    return caps.withColumn("headers", F.create_map(F.lit("Content-Disposition"), "content_disposition")).drop("body_text", "content_disposition")
+
+
 def _calabria(spark, sf):
-    # captures are stored as parquet with a BINARY body, then read back as a capture table
+    return RG.extract_calabria(_captures(spark, sf))
+
+
+query("reg_calabria", CALABRIA_ORACLE, views=["calabria_captures"],
+      ops="REG calabria SRC-5 WIN-1 PRD-3 HTM-14 HTM-15 DAT-7")(_calabria)
+
+
+@query("src_read_captures", """
+SELECT y, n, (status = 200 AND left(body_text, 4) = '%PDF') AS found, content_disposition FROM calabria_captures""",
+       views=["calabria_captures"], ops="SRC-2 PRD-3")
+def src_read_captures(spark, sf):
     from regesto.sources.readers import read_captures
     from regesto.streaming.stream import scratch_dir
 
-    caps = view(spark, sf, "calabria_captures").withColumn("body", F.encode("body_text", "UTF-8")).drop("body_text")
     path = scratch_dir(spark, "captures")
-    caps.write.parquet(path)
-    return RG.extract_calabria(read_captures(spark, path))
-
-
-query("reg_calabria", CALABRIA_ORACLE, views=["calabria_captures"],
-      ops="REG calabria SRC-2 SRC-5 WIN-1 PRD-3 HTM-14 HTM-15 DAT-7")(_calabria)
+    _captures(spark, sf).write.parquet(path)
+    header = F.try_element_at("headers", F.lit("Content-Disposition")).alias("content_disposition")
+    return read_captures(spark, path).select("y", "n", P.is_valid_capture("status", "body").alias("found"), header)
 
 
 def all_regions(spark, sf):
@@ -214,11 +229,11 @@ def all_regions(spark, sf):
 
 query(
     "reg_all",
-    "SELECT region, count(*) AS n_laws, count(law_date) AS n_dated FROM (\n"
+    "SELECT * FROM (\n"
     + "\nUNION ALL\n".join(f"({ORACLE_SELECTS[k]})" for k in RG.EXTRACTORS)
-    + f"\nUNION ALL\n(SELECT * FROM ({CALABRIA_ORACLE.strip().replace(chr(10), ' ')}) cal)) GROUP BY region",
+    + f"\nUNION ALL\n(SELECT * FROM ({CALABRIA_ORACLE.strip().replace(chr(10), ' ')}) cal))",
     views=["law_headers", "calabria_captures"], ops="REG-ALL SET-5",
-)(lambda spark, sf: all_regions(spark, sf).groupBy("region").agg(F.count(F.lit(1)).alias("n_laws"), F.count("law_date").alias("n_dated")))
+)(all_regions)
 
 
 # ------------------------------------------------------------------ shape A end to end
@@ -247,3 +262,69 @@ def flow_lazio(spark, sf):
     pages = view(spark, sf, "pages_lazio")
     return FL.index_pages("lazio", pages, done_ids=view(spark, sf, "lazio_done"), id_param="id",
                           inventory=view(spark, sf, "lazio_inventory"))
+
+
+# ------------------------------------------------------------------ listing -> detail -> index
+
+FLOW_PAGES, EMPTY_FROM, EMPTY_TO = 120, 100, 102  # listing pages, and those without a link
+FLOW_REGIONS = ("campania", "umbria", "molise", "friuli", "veneto", "aosta")
+
+
+def _listing(spark, sf, region):
+    """Listing pages (page_no, url, html, category): the laws' links by page, noise, and every fifth
+    law again on the next page."""
+    pages = view(spark, sf, f"pages_{region}")
+    own = F.col("page_id") % FLOW_PAGES + 1
+    text = F.col("link_text") if "link_text" in pages.columns else F.lit("Legge")
+    link = F.col("html") if region == "aosta" else F.concat(F.lit('<li><a href="'), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('">'), text, F.lit("</a></li>"))
+    once = pages.select(own.alias("page_no"), "page_id", link.alias("a"))
+    again = once.filter("page_id % 5 = 0").withColumn("page_no", F.least(F.col("page_no") + 1, F.lit(FLOW_PAGES)))
+    both = once.unionByName(again).filter(~F.col("page_no").between(EMPTY_FROM, EMPTY_TO))
+    html = both.groupBy("page_no").agg(F.array_sort(F.collect_list(F.struct("page_id", "a"))).alias("x"))
+    numbers = spark.range(1, FLOW_PAGES + 1).select(F.col("id").alias("page_no"))
+    body = F.coalesce(F.array_join(F.transform("x", lambda x: x["a"]), ""), F.lit("Nessun risultato"))
+    return numbers.join(html, "page_no", "left").select(
+        "page_no",
+        F.concat(F.lit(f"https://{FL.LISTINGS[region].host}/elenco?page="), F.col("page_no").cast("string")).alias("url"),
+        F.concat(F.lit('<html><body><a href="/home">Home</a>'), body, F.lit("</body></html>")).alias("html"),
+        F.concat(F.lit("Materia "), (F.col("page_no") % 5).cast("string")).alias("category"),
+    )
+
+
+def _details(spark, sf, region):
+    if region != "aosta":
+        return view(spark, sf, f"pages_{region}")
+    lh = view(spark, sf, "law_headers")
+    gone = F.when(F.col("law_id") % 17 == 0, F.lit("<p>Legge (abrogata dall’art. 1)</p>")).otherwise(F.lit(""))
+    url = F.concat(F.lit("https://aosta.example/dettaglio?pk_lr="), F.col("law_id").cast("string"))
+    return lh.select(F.col("law_id").alias("page_id"), url.alias("url"), F.concat(F.lit("<html><body>Testo"), gone, F.lit("</body></html>")).alias("html"))
+
+
+def _flow_oracle(region):
+    # a law is met first on its own page, unless that page is empty: then on the next, if it is every fifth
+    own = f"(id % {FLOW_PAGES} + 1)"
+    first = f"""CASE WHEN {own} NOT BETWEEN {EMPTY_FROM} AND {EMPTY_TO} THEN {own}
+                     WHEN id % 5 = 0 AND {own} = {EMPTY_TO} THEN {own} + 1 END"""
+    stops = FL.LISTINGS[region].stop is not None
+    keep = f"page_no < {EMPTY_FROM}" if stops else "page_no IS NOT NULL"
+    keep += " AND id % 17 <> 0" if region == "aosta" else ""
+    cols = [c for c, _ in RG.LAW_INDEX if c not in ("page_no", "category")]
+    category = "concat('Materia ', cast(page_no % 5 as varchar))" if region == "friuli" else "category"
+    key = "pk_lr" if region == "aosta" else "id"
+    return f"""
+SELECT {', '.join(cols)}, cast({category} as varchar) AS category, cast(page_no as int) AS page_no FROM (
+  SELECT *, {first} AS page_no FROM (
+    SELECT * EXCLUDE (page_no), cast(regexp_extract(source_url, '{key}=([0-9]+)', 1) as bigint) AS id FROM ({ORACLE_SELECTS[region]}) x) y) z
+WHERE {keep}"""
+
+
+def _register_flow(region):
+    def fn(spark, sf):
+        return FL.index_listing(region, _listing(spark, sf, region), _details(spark, sf, region))
+
+    more = {"campania": "WIN-2 HTM-2", "friuli": "JON-4 HTM-2", "aosta": "WIN-3 SET-8", "veneto": "WIN-3 HTM-2"}.get(region, "HTM-2")
+    query(f"flow_{region}", _flow_oracle(region), views=["law_headers"], ops=f"shape A: REG {region} JON-3 SET-1 LIM-1 URL-2 {more}")(fn)
+
+
+for _key in FLOW_REGIONS:
+    _register_flow(_key)

@@ -10,8 +10,7 @@ from regesto.functions import numbers as N
 from regesto.functions import text as T
 from regesto.functions import urls as U
 from regesto.plans.registry import query
-from regesto.session import spread
-from regesto.sources.fixtures import IT_MONTHS_CSV, table, view
+from regesto.sources.fixtures import IT_MONTHS_CSV, many, table, view
 
 # DuckDB spellings shared by the oracles below.
 WS = r"[\s\x{00A0}\x{0085}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x0B]"
@@ -61,7 +60,7 @@ FROM law_headers"""
 @query("law_headers_index", LAW_HEADERS_ORACLE, views=["law_headers"],
        ops="HDR-1 HDR-2 DAT-1 DAT-2 DAT-3 DAT-6 NUM-1 TXT-11 KEY-1 CND-1")
 def law_headers_index(spark, sf):
-    return law_index_from_headers(spread(view(spark, sf, "law_headers")))
+    return law_index_from_headers(many(view(spark, sf, "law_headers")))
 
 
 UNSAFE_SQL = r"""'[\\/*?:"<>|]'"""
@@ -78,7 +77,7 @@ SELECT doc_id,
     trim(regexp_replace(regexp_replace(translate(text, '/\\', '--'), {UNSAFE_NO_SLASH_SQL}, '', 'g'), '{WS}+', ' ', 'g')) END AS name_sp
 FROM documents""", ops="TXT-1 TXT-2 TXT-3 TXT-4 TXT-5")
 def txt_clean_names(spark, sf):
-    d = spread(table(spark, sf, "documents"))
+    d = many(table(spark, sf, "documents"))
     return d.select(
         "doc_id",
         T.norm_ws("text").alias("clean_text"),
@@ -101,7 +100,7 @@ SELECT doc_id,
   try_cast(NULL as int) AS lang_no
 FROM documents""", ops="TXT-6 TXT-7 TXT-8 TXT-9 TXT-10 TXT-11")
 def txt_misc(spark, sf):
-    d = spread(table(spark, sf, "documents"))
+    d = many(table(spark, sf, "documents"))
     src_digits = F.regexp_extract("source", r"[0-9]+", 0)
     return d.select(
         "doc_id",
@@ -128,7 +127,7 @@ SELECT doc_id,
   coalesce(list_filter({_LINES}, lambda x: NOT starts_with(lower(x), 'legge regionale') AND length(x) > 20)[1], '') AS title_line
 FROM documents""", ops="TXT-12 HTM-14")
 def txt_lines_title(spark, sf):
-    d = spread(table(spark, sf, "documents"))
+    d = many(table(spark, sf, "documents"))
     return d.select(
         "doc_id",
         F.size(T.lines_split("text")).alias("n_lines"),

@@ -13,7 +13,7 @@ from regesto.plans.q_scalars import LAW_HEADERS_ORACLE, law_index_from_headers
 from regesto.plans.registry import query
 from regesto.sources import readers as R
 from regesto.sources import sinks as W
-from regesto.sources.fixtures import table, view
+from regesto.sources.fixtures import view
 from regesto.streaming import stream as ST
 
 
@@ -34,15 +34,29 @@ def snk_index_roundtrip(spark, sf):
     return back.select(*idx.columns)
 
 
-_LIGURIA_DISPLAY = ", ".join(f'{canon} AS "{disp}"' for disp, canon in RG.DISPLAY_COLUMNS["liguria"].items())
+_CONFORM = ("liguria", "toscana", "lombardia", "puglia", "umbria", "emilia", "marche", "friuli", "aosta", "veneto")
 
 
-@query("snk_conform", f"SELECT {_LIGURIA_DISPLAY} FROM ({ORACLE_SELECTS['liguria']})", views=["law_headers"],
-       ops="SNK-2 SNK-5")
+def _shape_sql(region):
+    """Every shape as rows (region, column, value): the shapes differ in their columns."""
+    present = {c for c, _ in RG.LAW_INDEX}
+    cells = [f"SELECT '{disp}' AS column_name, {f'cast({canon} as varchar)' if canon in present else chr(39) * 2} AS value FROM t" for disp, canon in RG.DISPLAY_COLUMNS[region].items()]
+    return f"SELECT '{region}' AS region, column_name, value FROM (WITH t AS ({ORACLE_SELECTS[region]}) {' UNION ALL '.join(cells)})"
+
+
+@query("snk_conform", f"SELECT region, column_name, value, count(*) AS n FROM ({' UNION ALL '.join(map(_shape_sql, _CONFORM))}) GROUP BY ALL",
+       views=["law_headers"], ops="SNK-2 SNK-5")
 def snk_conform(spark, sf):
-    idx = RG.extract_liguria(view(spark, sf, "pages_liguria"))
-    idx = W.drop_internal(idx, ["page_no", "not_a_column"])
-    return RG.conform(idx, "liguria")
+    parts = []
+    for region in _CONFORM:
+        idx = W.drop_internal(RG.EXTRACTORS[region](view(spark, sf, f"pages_{region}")), ["not_a_column"])
+        shaped = RG.conform(idx, region)
+        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value")) for c in shaped.columns])).alias("x")
+        parts.append(shaped.select(F.lit(region).alias("region"), cells).select("region", "x.*"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("region", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("src_state_todo", "SELECT y, n FROM probe_grid WHERE NOT found AND y >= 1997", views=["probe_grid"],
@@ -66,19 +80,21 @@ def src_page_grid(spark, sf):
     return R.page_grid(spark, "https://aosta.example/ricerca?anno={year}&page={page}", 1, 5, years=years)
 
 
-@query("src_file_inventory", ops="SRC-7 WIN-5 SET-6")
+@query("src_file_inventory", "SELECT region, true AS non_empty FROM law_headers GROUP BY region", views=["law_headers"], ops="SRC-7 SNK-1")
 def src_file_inventory(spark, sf):
     idx = law_index_from_headers(view(spark, sf, "law_headers"))
     path = ST.scratch_dir(spark, "files")
     W.write_index(idx, path)
     inv = R.file_inventory(spark, path, glob="*.parquet")
-    return inv.select("name", (F.col("length") > 0).alias("non_empty"), F.regexp_extract("path", r"region=([^/]+)", 1).alias("region"))
+    region = F.regexp_extract("path", r"region=([^/]+)", 1).alias("region")
+    return inv.groupBy(region).agg(F.bool_and(F.col("length") > 0).alias("non_empty"))
 
 
 @query("snk_payload", """
 SELECT law_id, CASE WHEN law_id % 3 = 0 THEN 'pdf' ELSE 'html' END AS payload_kind,
-       concat('Legge_', cast(law_id as string), CASE WHEN law_id % 3 = 0 THEN '.pdf' ELSE '.html' END) AS payload_name
-FROM law_headers""", views=["law_headers"], ops="SNK-7")
+       concat('Legge_', cast(law_id as string), CASE WHEN law_id % 3 = 0 THEN '.pdf' ELSE '.html' END) AS payload_name,
+       md5(CASE WHEN law_id % 3 = 0 THEN concat('%PDF-1.4 ', url) ELSE html END) AS payload_md5
+FROM (SELECT page_id AS law_id, url, html FROM law_pages)""", views=["law_pages"], ops="SNK-7")
 def snk_payload(spark, sf):
     lh = view(spark, sf, "law_pages")
     df = lh.select(
@@ -86,7 +102,7 @@ def snk_payload(spark, sf):
         F.when(F.col("page_id") % 3 == 0, F.encode(F.concat(F.lit("%PDF-1.4 "), F.col("url")), "UTF-8")).alias("pdf"),
         F.concat(F.lit("Legge_"), F.col("page_id").cast("string")).alias("filename_stem"),
     )
-    return W.payload_table(df).select("law_id", "payload_kind", "payload_name")
+    return W.payload_table(df).select("law_id", "payload_kind", "payload_name", F.md5("payload").alias("payload_md5"))
 
 
 def _stage_files(df, spark, name, parts=8):
@@ -95,16 +111,38 @@ def _stage_files(df, spark, name, parts=8):
     return path
 
 
-@query("str_dedupe_upsert", "SELECT DISTINCT url FROM listing", views=["listing"], ops="STR-1 STR-2 STR-3 SNK-4 SET-7")
-def str_dedupe_upsert(spark, sf):
+@query("str_dedupe", "SELECT DISTINCT url FROM listing", views=["listing"], ops="STR-1 STR-2")
+def str_dedupe(spark, sf):
     li = view(spark, sf, "listing")
     src = _stage_files(li, spark, "stream-in")
-    s = ST.stream_pages(spark, src, li.schema, max_files=3)
-    records = ST.stream_dedupe(s, "url").select("url", "page_no", "pos")
-    log = ST.scratch_dir(spark, "index-log")
-    q = ST.stream_upsert_index(records, log, ST.scratch_dir(spark, "ckpt"))
-    q.awaitTermination()
-    return ST.read_upserted_index(spark, log, key="url").select("url")
+    out = ST.scratch_dir(spark, "seen")
+    s = ST.stream_dedupe(ST.stream_pages(spark, src, li.schema, max_files=3), "url")
+    ST.run_to_parquet(s.select("url"), out, ST.scratch_dir(spark, "ckpt"))  # which copy stays is up to arrival
+    return spark.read.schema("url string").parquet(out)
+
+
+_VERSIONS = 4
+
+
+@query("str_upsert", f"""
+SELECT url, page_no, pos, version, title FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY version DESC, page_no, pos) AS r FROM (
+    SELECT url, page_no, pos, cast(page_no % {_VERSIONS} as int) AS version,
+           concat('Versione ', cast(page_no % {_VERSIONS} as string), ' da ', cast(page_no as string)) AS title FROM listing))
+WHERE r = 1""", views=["listing"], ops="STR-1 STR-3 SNK-4 SET-7 SET-1")
+def str_upsert(spark, sf):
+    """Each batch brings other records for URLs met before: the last batch's first record stays."""
+    version = (F.col("page_no") % _VERSIONS).cast("int")
+    title = F.concat(F.lit("Versione "), version.cast("string"), F.lit(" da "), F.col("page_no").cast("string"))
+    li = view(spark, sf, "listing").select("url", "page_no", "pos", version.alias("version"), title.alias("title"))
+    src, log, ckpt = (ST.scratch_dir(spark, n) for n in ("versions", "index-log", "ckpt"))
+    for v in range(_VERSIONS):  # a folder that gains files between runs of the stream
+        li.filter(F.col("version") == v).write.mode("append").parquet(src)
+        s = ST.stream_pages(spark, src, li.schema)
+        ST.stream_upsert_index(s, log, ckpt, key="url", order=["page_no", "pos"]).awaitTermination()
+        if v == 1:
+            ST.compact_index(spark, log, "url")
+    return ST.read_upserted_index(spark, log, key="url").select("url", "page_no", "pos", "version", "title")
 
 
 @query("str_status_counts", "SELECT status, count(*) AS n FROM fetch_log GROUP BY status", views=["fetch_log"], ops="STR-4")

@@ -23,23 +23,21 @@ from regesto.functions._util import nz, rx
 from regesto.operators import cutoffs as C
 from regesto.operators import dedupe as S
 from regesto.operators import filters as P
-from regesto.session import spread
-from regesto.sources.readers import key_grid
+from regesto.sources import sinks as W
+from regesto.sources.readers import LAW_INDEX_SCHEMA, key_grid
 
-LAW_INDEX = [
-    ("region", "string"), ("law_title", "string"), ("law_number", "string"), ("law_number_int", "int"),
-    ("date_text", "string"), ("law_date", "date"), ("filename", "string"), ("source_url", "string"),
-    ("status", "string"), ("category", "string"), ("doc_type", "string"), ("page_no", "int"),
-]
+LAW_INDEX = [(f.name, f.dataType.simpleString()) for f in LAW_INDEX_SCHEMA.fields]
 
 # The patterns of the regional profiles (what each portal's pages say, as the
 # region scripts read them; ``°`` is accepted after a day everywhere, quirk Q7).
+SELECT_BUTTON_RX = r"""(?i)<input\b[^>]*\ssrc\s*=\s*["'][^"']*Btn_Selezione\.png"""
 DATE_CELL_RX = r"(\d{2})/(\d{2})/(\d{4})"
 ROW_RX = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 CELL_RX = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
 CAMPANIA_DATE_RX = r"(?iU)(\d{1,2}°?\s+[a-zàèìòù]+\s+\d{4})"
+FVG_TITLE_RX = r"""\sid\s*=\s*["'](?:PageBody_lbOggettolegge["']|[^"']*(?:lblOggetto|lblTitolo))"""
 FVG_DATE_RX = r"(\d{1,2})°?[\s.\-/]+([a-zA-Z]+)[\s.\-/]+(\d{4})"
-LAZIO_NO_BODY_RX = r"(?i)Numero(?: della legge)?[:\s]*([0-9]{1,5})"
+LAZIO_NO_BODY_RX = r"(?i)Numero(?: della legge)?[:\s]*([0-9]+)"
 LAZIO_DATE_BODY_RX = r"(?iU)Data[:\s]*([0-3]?\d\s+[A-Za-zàèéìòù]+\s+\d{4}|[0-3]?\d[/\-][0-1]?\d[/\-]\d{2,4})"
 LOMBARDIA_RX = rf"(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}}).*?n\.?\s*(\d+)"
 MARCHE_TITLE_RX = r"(?s)<td>\s*([^<]*?)\s*</td>\s*</tr>"
@@ -53,18 +51,30 @@ VENETO_RX = r"(?i)Legge\s+regionale\s+(.*?)(?:,|\s+)\s+n\.\s+(\d+)"
 AOSTA_DATE_RX = rf"(?iU)(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}})"
 EMILIA_RX = r"(?i)Legge regionale\s+(.*?),\s+n\.(\d+)"
 
-# The record shape each script writes (for ``conform`` at the sink).
+# The record shape each region's table has (column names in order).
+_BASE = {"Region": "region", "Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Filename": "filename"}
 DISPLAY_COLUMNS = {
-    "basilicata": {"Region": "region", "Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Filename": "filename"},
-    "liguria": {"Region": "region", "Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Filename": "filename", "Source URL": "source_url"},
-    "friuli": {"Region": "region", "Category": "category", "Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Filename": "filename", "Status": "status"},
+    "basilicata": _BASE,
+    "calabria": _BASE,
+    "campania": _BASE,
+    "friuli": {"Category": "category", **_BASE, "Status": "status"},
+    "lazio": {"Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Filename": "filename", "URL": "source_url"},
+    "liguria": {**_BASE, "Source URL": "source_url"},
+    "lombardia": {**_BASE, "Source URL": "source_url"},
+    "marche": {"region": "region", "title": "law_title", "law_number": "law_number", "date": "date_text", "file": "filename", "url": "source_url", "path": "path"},
     "molise": {"Region": "region", "Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Date_ISO": "law_date", "Filename": "filename"},
+    "piemonte": _BASE,
+    "puglia": {**_BASE, "URL": "source_url"},
+    "sardinia": _BASE,
     "trentino": {"Page": "page_no", "Region": "region", "Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Type": "doc_type", "Filename": "filename", "Status": "status", "URL": "source_url"},
-    "aosta": {"Region": "region", "Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Filename": "filename", "Status": "status", "URL": "source_url"},
-    "marche": {"region": "region", "title": "law_title", "law_number": "law_number", "date": "date_text", "file": "filename", "url": "source_url"},
-    "lazio": {"Law Title": "law_title", "Law Number": "law_number", "Date": "date_text", "Filename": "filename", "URL": "source_url"},
+    "toscana": {**_BASE, "Source URL": "source_url"},
+    "umbria": {**_BASE, "URL": "source_url"},
     "veneto": {"Region": "region", "Law Number": "law_number", "Date": "date_text", "Law Title": "law_title", "Filename": "filename"},
+    "aosta": {**_BASE, "Status": "status", "URL": "source_url"},
+    "emilia": {**_BASE, "Status": "status"},
 }
+#: Regions whose table keeps only the columns that the records have.
+ONLY_PRESENT = ("veneto", "piemonte")
 
 
 def to_law_index(df: DataFrame, **cols: Column) -> DataFrame:
@@ -78,36 +88,39 @@ def to_law_index(df: DataFrame, **cols: Column) -> DataFrame:
     return df.select(*out)
 
 
-def conform(df: DataFrame, region: str, fill_missing: bool = True) -> DataFrame:
-    """SNK-2: the region's record shape; missing columns as '' (or dropped)."""
-    shape = DISPLAY_COLUMNS.get(region, DISPLAY_COLUMNS["basilicata"])
-    out = []
-    for disp, canon in shape.items():
-        if canon in df.columns:
-            out.append(F.col(canon).cast("string").alias(disp))
-        elif fill_missing:
-            out.append(F.lit("").alias(disp))
-    return df.select(*out)
+def conform(df: DataFrame, region: str, fill_missing: bool | None = None) -> DataFrame:
+    """SNK-2: the region's record shape; missing columns as '', or left out where the region's table
+    keeps only what is present.  An unknown region is an error."""
+    if region not in DISPLAY_COLUMNS:
+        raise ValueError(f"no record shape for region {region!r}")
+    shape = DISPLAY_COLUMNS[region]
+    fill = region not in ONLY_PRESENT if fill_missing is None else fill_missing
+    named = df.select(*[F.col(canon).cast("string").alias(disp) for disp, canon in shape.items() if canon in df.columns])
+    return W.conform(named, list(shape), fill)
 
 
-def _dom(pages: DataFrame, url_filter: str | None = None, drop=("bur",), parts=None) -> DataFrame:
+def _dom(pages: DataFrame, url_filter: str | None = None, drop=("bur",), parts=None, keep=("url",)) -> DataFrame:
     if url_filter:  # before the Python hop: the filter reaches the scan
         pages = pages.filter(F.col("url").rlike(url_filter))
-    return H.parse_dom(pages, drop_classes=drop, keep=("url",), parts=parts)
+    return H.parse_dom(pages, drop_classes=drop, keep=keep, parts=parts)
 
 
 def _flat(pages: DataFrame, url_filter: str | None = None, contains: bool = False) -> DataFrame:
-    """Pages for the regex-form extractors (no Python pass): URL filter first, then at least one
-    task per core for the regex work."""
+    """Pages for the regex-form extractors (no Python pass); the URL filter reaches the scan."""
     if url_filter:
         pages = pages.filter(F.col("url").contains(url_filter) if contains else F.col("url").rlike(url_filter))
-    return spread(pages)
+    return pages
+
+
+def _given(df: DataFrame, name: str, kind: str = "string") -> Column:
+    """A column that a listing may have added to the pages, else NULL."""
+    return (F.col(name) if name in df.columns else F.lit(None)).cast(kind)
 
 
 def _span(id_: str, prefix: bool = False) -> Column:
     """Text of the first ``<span>`` with this id (or id prefix), regex form."""
     quote_end = "" if prefix else "[\"']"
-    return H.element_text("html", "span", rf"""\bid\s*=\s*["']{id_}{quote_end}""")
+    return H.element_text("html", "span", rf"""\sid\s*=\s*["']{id_}{quote_end}""")
 
 
 def _block(id_=None, cls=None, prefix=None, clean=True) -> Column:
@@ -133,13 +146,16 @@ def _iso_or(d: Column, default: str) -> Column:
 
 
 def extract_basilicata(pages: DataFrame) -> DataFrame:
-    """Grid rows with a select button: longest plain cell = title, last number cell, last date cell.
+    """Rows of the ``GVElenco`` grid with a select button: longest plain cell = title, last number cell, last date cell.
     The grid is flat markup, so rows and cells are regex forms (no Python pass)."""
     p = _flat(pages)
-    rows = F.filter(F.regexp_extract_all("html", F.lit(ROW_RX), F.lit(1)), lambda r: r.rlike(r"(?i)<(input|button)\b"))
+    grid = H.element_html("html", "table", r"""\sid\s*=\s*["'][^"']*GVElenco""")
+    rows = F.filter(F.regexp_extract_all(grid, F.lit(ROW_RX), F.lit(1)), lambda r: r.rlike(SELECT_BUTTON_RX))
     x = p.select("url", F.explode(rows).alias("row"))
     texts = F.transform(F.regexp_extract_all("row", F.lit(CELL_RX), F.lit(1)), H.inner_text)
-    cells = F.filter(F.transform(texts, lambda t, i: F.struct(t.alias("text"), (i + 1).alias("col"))), lambda c: c["text"] != "")
+    # the cells once, in a projection of their own: three expressions read them
+    x = x.select("url", F.filter(F.transform(texts, lambda t, i: F.struct(t.alias("text"), (i + 1).alias("col"))), lambda c: c["text"] != "").alias("cells"))
+    cells = F.col("cells")
 
     def is_date(c):
         return c["text"].rlike(r"\d{2}/\d{2}/\d{4}")
@@ -160,7 +176,7 @@ def extract_basilicata(pages: DataFrame) -> DataFrame:
     )
     return to_law_index(
         x, region=F.lit("Basilicata"), law_title=F.col("title"), law_number=F.col("no"),
-        date_text=F.coalesce(F.col("dmy"), F.lit("Unknown")), law_date=F.col("d"),
+        date_text=F.coalesce(F.col("dmy"), F.lit("Unknown")), law_date=F.col("d"), source_url=F.col("url"),
         filename=K.law_filename("Basilicata", F.col("no"), _iso_or(F.col("d"), "0000-00-00")),
     )
 
@@ -169,13 +185,19 @@ def extract_basilicata(pages: DataFrame) -> DataFrame:
 date_from_sources = H.date_from_sources
 
 
-def extract_calabria(captures: DataFrame, y0: int = 1971, y1: int = 2025, k: int = 10) -> DataFrame:
-    """Key probe: grid -> captures -> valid PDF -> stop after k misses per year -> records."""
+def extract_calabria(captures: DataFrame, k: int = 10) -> DataFrame:
+    """Key probe: grid of the captured years -> captures -> valid PDF -> stop after k misses per
+    year -> records.  Captures are (y, n, status, headers, body, first_page_text); the file name
+    stands in the ``Content-Disposition`` header.
+
+    Bodies are read by the scan alone, and texts meet only the keys that the cut leaves."""
     spark = captures.sparkSession
-    n_max = captures.groupBy("y").agg(F.max("n").alias("n_max"))
-    grid = key_grid(spark, y0, y1, n_max, k).select("y", "n")
-    probes = grid.join(captures, ["y", "n"], "left").withColumn("found", P.is_valid_capture("status", "body"))
-    kept = C.cut_after_misses(probes, "y", "n", "found", k).filter("found")
+    header = F.try_element_at("headers", F.lit("Content-Disposition"))
+    facts = captures.select("y", "n", P.is_valid_capture("status", "body").alias("found"), header.alias("content_disposition"), "first_page_text")
+    grid = key_grid(spark, None, None, captures.groupBy("y").agg(F.max("n").alias("n_max")), k).select("y", "n")
+    probes = grid.join(facts.select("y", "n", "found"), ["y", "n"], "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    hits = C.cut_after_misses(probes, "y", "n", "found", k).filter("found").select("y", "n")
+    kept = facts.drop("found").join(hits, ["y", "n"])
     dtext = date_from_sources(F.col("content_disposition"), F.col("first_page_text"))
     parsed = D.it_date(dtext)
     x = kept.select(
@@ -198,17 +220,20 @@ def extract_calabria(captures: DataFrame, y0: int = 1971, y1: int = 2025, k: int
 def extract_campania(pages: DataFrame) -> DataFrame:
     """h1, number, textual date and a document link are all required; one row per law id."""
     p = _flat(pages, "dettaglio-documento", contains=True)
+    law_id = rx("url", r"id=(\d+)")
+    p = p.filter(law_id.isNotNull())  # a page without an id is no law
     text = H.page_text("html")
     x = p.select(
         "url",
-        U.query_param("url", "id").alias("law_id"),
+        "page_id",
+        law_id.alias("law_id"),
         H.element_text("html", "h1").alias("title"),
         N.law_no(text).alias("no"),
         rx(text, CAMPANIA_DATE_RX).alias("date_text"),
         F.exists(H.attr_values("html", "a", "href"), lambda h: h.contains("prendiDocumento")).alias("has_pdf"),
     )
     x = P.require_fields(x.filter("has_pdf"), ["title", "no", "date_text"])
-    x = S.distinct_ordered(x, "law_id", ["url"])
+    x = S.distinct_ordered(x, "law_id", ["page_id", "url"])
     return to_law_index(
         x, region=F.lit("Campania"), law_title=F.col("title"), law_number=F.col("no"),
         date_text=F.col("date_text"), law_date=D.it_date("date_text"), source_url=F.col("url"),
@@ -230,7 +255,7 @@ def fvg_date_display(raw: Column) -> Column:
 def extract_friuli(pages: DataFrame) -> DataFrame:
     """Category pages with IndiceLex rows; Success rows only."""
     p = _flat(pages, "IndiceLex", contains=True)
-    title = F.coalesce(_span("PageBody_lbOggettolegge"), F.lit("Title Not Found"))
+    title = F.coalesce(H.element_text("html", "span", FVG_TITLE_RX), F.lit("Title Not Found"))
     cat_html = rx("html", r"""(?is)<a\b[^>]*href\s*=\s*["'][^"']*Lista\.aspx\?materia=[^"']*["'][^>]*>(.*?)</a\s*>""")
     has_pdf = F.exists(H.attr_values("html", "a", "href"), lambda h: F.lower(h).endswith(".pdf"))
     x = p.select(
@@ -238,12 +263,12 @@ def extract_friuli(pages: DataFrame) -> DataFrame:
         title.alias("title"),
         F.coalesce(_span("PageBody_lbNumLegge"), N.law_no(title), F.lit("0")).alias("no"),
         F.coalesce(_span("lblData", prefix=True), F.lit("")).alias("raw_date"),
-        H.inner_text(cat_html).alias("category"),
+        F.coalesce(_given(p, "category"), H.inner_text(cat_html)).alias("category"),
         F.when(has_pdf, F.lit("Success")).otherwise(F.lit("Failed")).alias("status"),
     )
     x = P.successful_only(x, "status", "Success").withColumn("shown", fvg_date_display(F.col("raw_date")))
     return to_law_index(
-        x, region=F.lit("FVG"), law_title=F.col("title"), law_number=F.col("no"), date_text=F.col("shown"),
+        x, region=F.lit("Friuli Venezia Giulia"), law_title=F.col("title"), law_number=F.col("no"), date_text=F.col("shown"),
         law_date=D.any_date(F.regexp_replace("raw_date", "°", "")), status=F.col("status"), category=F.col("category"),
         source_url=F.col("url"),
         filename=K.law_filename("FVG", F.col("no"), D.dash_date(F.col("shown"), "/")),
@@ -293,7 +318,7 @@ def extract_liguria(pages: DataFrame) -> DataFrame:
 def extract_toscana(pages: DataFrame) -> DataFrame:
     """As Liguria with the ``#titolo_doc`` title; Region Toscana, file prefix Tuscany."""
     p = _flat(pages, "articolo\\?urndoc=")
-    title = H.element_text("html", "div", r"""\bid\s*=\s*["']titolo_doc["']""")
+    title = H.element_text("html", "div", r"""\sid\s*=\s*["']titolo_doc["']""")
     return _header_law(p, H.page_text("html"), "Toscana", "Tuscany", title, "Unknown Title")
 
 
@@ -324,11 +349,12 @@ def extract_marche(pages: DataFrame) -> DataFrame:
     h1 = H.strip_tags(H.element_html("html", "h1"))
     x = p.select(
         "url",
-        F.coalesce(F.trim(rx("html", MARCHE_TITLE_RX)), h1, F.lit("NA")).alias("title"),
+        "page_id",
+        F.coalesce(F.trim(H.unescape(rx("html", MARCHE_TITLE_RX))), H.unescape(h1), F.lit("NA")).alias("title"),
         F.coalesce(rx("html", MARCHE_NO_RX), F.lit("NA")).alias("no"),
         F.coalesce(rx("html", MARCHE_DATE_RX), F.lit("NA")).alias("date_text"),
     )
-    x = S.distinct_ordered(x, "url", ["title", "no", "date_text"])
+    x = S.distinct_ordered(x, "url", ["page_id"])
     return to_law_index(
         x, region=F.lit("Marche"), law_title=F.col("title"), law_number=F.col("no"), date_text=F.col("date_text"),
         law_date=D.it_date("date_text"), source_url=F.col("url"),
@@ -358,7 +384,8 @@ def extract_molise(pages: DataFrame) -> DataFrame:
     # strictly longer replaces: the longest, earliest in that source order
     best = F.array_max(F.transform(cands, lambda t, i: F.struct(F.length(t).alias("l"), (-i).alias("o"), t.alias("t"))))["t"]
     title = F.coalesce(F.nullif(best, F.lit("")), H.element_text("html", "title"))
-    x = p.select("url", title.alias("title"), H.page_text("html").alias("body"))
+    title = F.when(title != "NA", title)
+    x = p.select("url", F.coalesce(title, _given(p, "link_text")).alias("title"), H.page_text("html").alias("body"))
     d, shown = _molise_date(F.col("body"))
     x = x.select("url", "title", N.law_no_text_chain(F.lower("body")).alias("no"), d.alias("d"), shown.alias("shown"))
     return to_law_index(
@@ -369,9 +396,12 @@ def extract_molise(pages: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------------- REG-10
-def extract_piemonte(pages: DataFrame, min_bytes: int = 2000) -> DataFrame:
-    """``#titoloAtto`` minus ``.bur``; lead span loose ``n.``; ``del <data>``; strict repeal rule; payload > 2 KB."""
-    p = P.min_size(pages.filter(F.col("url").contains("dettaglioLegge.do")), "html", min_bytes)
+def extract_piemonte(pages: DataFrame, payload: str | None = None, min_bytes: int = 2000) -> DataFrame:
+    """``#titoloAtto`` minus ``.bur``; lead span loose ``n.``; ``del <data>``; strict repeal rule; the
+    saved file (column ``payload``, where the pages have one) is over 2 KB."""
+    p = pages.filter(F.col("url").contains("dettaglioLegge.do"))
+    if payload is not None:
+        p = P.min_size(p, payload, min_bytes)
     dom = _dom(p, drop=("bur",), parts=("blocks", "text"))
     dom = P.drop_repealed_strict(dom.withColumn("__t", F.col("dom.text")), "__t")
     lead = F.coalesce(_block(cls="lead"), F.col("dom.text"))
@@ -393,11 +423,11 @@ def extract_piemonte(pages: DataFrame, min_bytes: int = 2000) -> DataFrame:
 def extract_puglia(pages: DataFrame) -> DataFrame:
     """Fields by element id; title = first centred paragraph over 15 characters."""
     p = _flat(pages, "LeggeNavscroll.aspx", contains=True)
-    centred = F.transform(F.regexp_extract_all("html", F.lit(r"""(?is)<p\b[^>]*\balign\s*=\s*["']center["'][^>]*>(.*?)</p\s*>"""), F.lit(1)), H.inner_text)
+    centred = F.transform(F.regexp_extract_all("html", F.lit(r"""(?is)<p\b[^>]*\salign\s*=\s*["']center["'][^>]*>(.*?)</p\s*>"""), F.lit(1)), H.inner_text)
     title = F.try_element_at(F.filter(centred, lambda t: F.length(t) > 15), F.lit(1))
 
     def by_id(i):
-        return H.element_text("html", "span", rf"""\bid\s*=\s*["']{i}["']""")
+        return _span(i)
 
     raw_date = F.coalesce(by_id("ContentPlaceHolder1_lblData"), F.lit("01/01/1900"))
     x = p.select("url", F.coalesce(title, F.lit("Title Not Found")).alias("title"),
@@ -437,21 +467,23 @@ def extract_sardinia(pages: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------------------------- REG-13
 def extract_trentino(pages: DataFrame) -> DataFrame:
     """Title after h1; dates from candidates (numeric, IT/EN textual), else the title's year; 1:N documents."""
-    dom = _dom(pages, "/content/view/full/", parts=("headings", "blocks", "links"))
+    pages = pages.withColumn("page_no", _given(pages, "page_no", "int"))
+    dom = _dom(pages, "/content/view/full/", keep=("url", "page_no"), parts=("headings", "blocks", "links", "fonts"))
     h1 = H.heading_text("dom", "h1")
     after = H.heading_next_text("dom", "h1")
-    title = F.when(F.length(F.coalesce(after, F.lit(""))) > 5, after).otherwise(F.coalesce(h1, F.lit("Unknown")))
+    font = nz(F.try_element_at("dom.fonts", F.lit(1)))
+    title = F.when(F.length(F.coalesce(after, F.lit(""))) > 5, after).otherwise(F.coalesce(h1, font, F.lit("Unknown")))
     strongs = F.transform(F.filter("dom.blocks", lambda b: (b["tag"] == "strong") & F.array_contains(F.split(F.coalesce(b["cls"], F.lit("")), " "), "text-nowrap")), lambda b: b["text"])
     divs = F.transform(F.filter("dom.blocks", lambda b: (b["tag"] == "div") & F.coalesce(b["cls"], F.lit("")).contains("col-md-3") & b["text"].contains("Data")), lambda b: b["text"])
     d = D.first_date(F.concat(strongs, F.slice(divs, 1, 1)), D.bilingual_date)
     d = D.date_or_year(d, title=title)
-    base = dom.select("page_id", "url", title.alias("title"), F.coalesce(N.law_no(h1, loose=True), F.lit("0")).alias("no"), d.alias("d"), "dom")
-    docs = H.explode_documents(base, "download-list", keep=("url", "title", "no", "d"))
+    base = dom.select("page_id", "url", "page_no", title.alias("title"), F.coalesce(N.law_no(h1, loose=True), F.lit("0")).alias("no"), d.alias("d"), "dom")
+    docs = H.explode_documents(base, ("card-teaser", "download-list"), keep=("url", "page_no", "title", "no", "d"))
     x = docs.withColumn("kind", K.doc_language("href"))
     return to_law_index(
         x, region=F.lit("Trentino-Alto Adige"), law_title=F.col("title"), law_number=F.col("no"),
         date_text=F.coalesce(D.date_display("d", "dmy"), F.lit("Unknown")), law_date=F.col("d"),
-        doc_type=F.col("kind"), source_url=U.url_join(F.col("url"), F.col("href")),
+        doc_type=F.col("kind"), source_url=F.col("url"), page_no=F.col("page_no"), status=F.lit("Pending"),
         filename=F.concat(F.lit("TrentinoAA_"), F.col("no"), F.lit("_"), _iso_or(F.col("d"), "0000-00-00"), F.lit("_"), F.col("kind"), F.lit(".pdf")),
     )
 
@@ -460,14 +492,15 @@ def extract_trentino(pages: DataFrame) -> DataFrame:
 
 
 def extract_umbria(pages: DataFrame) -> DataFrame:
-    """First long td not starting with a digit, else heading; strict ``n.``, else ``-(N).`` of the link."""
+    """First long td not starting with a digit, else heading; strict ``n.``, else ``-(N).`` of the
+    listing's link text (column ``link_text``, where the pages have one)."""
     p = _flat(pages, "mostra_atto.php", contains=True)
     tds = F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1)), H.inner_text)
     td = F.try_element_at(F.filter(tds, lambda t: (F.length(t) > 20) & ~t.rlike(r"^\d")), F.lit(1))
     head = F.try_element_at(F.transform(F.regexp_extract_all("html", F.lit(r"(?is)<(h[123])\b[^>]*>(.*?)</\1\s*>"), F.lit(2)), H.inner_text), F.lit(1))
     title = F.coalesce(td, head, F.lit("No Title Found"))
-    x = p.select("url", title.alias("title"), H.page_text("html").alias("body")).select(
-        "url", "title", F.coalesce(N.law_no("body"), rx("url", N.LINK_NO_RX), F.lit("Unknown")).alias("no"),
+    x = p.select("url", _given(p, "link_text").alias("link_text"), title.alias("title"), H.page_text("html").alias("body")).select(
+        "url", "title", F.coalesce(N.law_no("body"), rx("link_text", N.LINK_NO_RX), F.lit("Unknown")).alias("no"),
         rx("body", UMBRIA_DATE_RX).alias("dtext"))
     d = D.it_date("dtext")
     return to_law_index(
@@ -483,40 +516,48 @@ def extract_umbria(pages: DataFrame) -> DataFrame:
 def extract_veneto(pages: DataFrame) -> DataFrame:
     """``p.font-18`` title; number and date from the h2 pattern; no PDF button -> 'No PDF'."""
     p = _flat(pages, "dettaglio-legge", contains=True)
-    h2 = F.coalesce(H.element_text("html", "h2", r"""\bclass\s*=\s*["'][^"']*\btitle\b"""), F.lit(""))
-    title = H.element_text("html", "p", r"""\bclass\s*=\s*["'][^"']*\bfont-18\b""")
+    h2 = F.coalesce(H.element_text("html", "h2", r"""\sclass\s*=\s*["'](?:[^"']*\s)?title[\s"']"""), F.lit(""))
+    title = H.element_text("html", "p", r"""\sclass\s*=\s*["'](?:[^"']*\s)?font-18[\s"']""")
     anchor_texts = F.transform(F.regexp_extract_all("html", F.lit(H.ANCHOR_RX), F.lit(2)), H.inner_text)
     has_pdf = F.exists(anchor_texts, lambda t: F.lower(t).contains("pdf testo"))
     x = p.select("url", F.coalesce(title, F.lit("No Title")).alias("title"),
                    F.coalesce(F.trim(rx(h2, VENETO_RX, 2)), F.lit("Unknown")).alias("no"),
-                   F.coalesce(F.trim(rx(h2, VENETO_RX, 1)), F.lit("Unknown")).alias("dtext"), has_pdf.alias("has_pdf"))
+                   F.coalesce(F.trim(rx(h2, VENETO_RX, 1)), F.lit("Unknown")).alias("dtext"), has_pdf.alias("has_pdf"),
+                   F.coalesce(_given(p, "download_failed", "boolean"), F.lit(False)).alias("failed"))
     d = D.it_date("dtext")
     name = K.law_filename("Veneto", F.col("no"), F.coalesce(D.date_display(d, "iso"), F.replace(T.safe_name_delete(F.col("dtext"), trim=True), F.lit(" "), F.lit("-"))))
     return to_law_index(
         x, region=F.lit("Veneto"), law_title=F.col("title"), law_number=F.col("no"), date_text=F.col("dtext"),
         law_date=d, source_url=F.col("url"),
-        filename=F.when(F.col("has_pdf"), name).otherwise(F.lit("No PDF")),
+        filename=F.when(~F.col("has_pdf"), F.lit("No PDF")).when(F.col("failed"), F.lit("Failed Download")).otherwise(name),
     )
 
 
 # ---------------------------------------------------------------------------------- REG-17
 
 
-def extract_aosta(pages: DataFrame) -> DataFrame:
-    """Search listing links ``dettaglio?pk_lr=``: header text -> date and number, next paragraph -> title;
-    repeal phrases drop a law; one row per URL."""
+def extract_aosta(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
+    """Search listing links ``dettaglio?pk_lr=``: header text -> date and number, next paragraph ->
+    title (its first 1000 characters are kept); the first record of a URL stays.
+
+    A law is dropped when a repeal phrase stands anywhere in its whole title, or in the text of its
+    detail page (``details``: url, html)."""
     dom = _dom(pages, parts=("links",))
-    links = dom.select("url", F.explode(F.filter("dom.links", lambda l: F.coalesce(l["href"], F.lit("")).contains("dettaglio?pk_lr="))).alias("l"))
+    links = dom.select("page_id", "url", F.explode(F.filter("dom.links", lambda l: F.coalesce(l["href"], F.lit("")).contains("dettaglio?pk_lr="))).alias("l"))
     hdr = F.trim(F.col("l.text"))
     src = U.url_join(F.col("url"), F.col("l.href"))
-    title = F.left(F.trim(F.coalesce(F.col("l.next_para"), hdr)), F.lit(1000))
+    title = F.trim(F.coalesce(F.col("l.next_para"), hdr))
     day, mon, yr = rx(hdr, AOSTA_DATE_RX, 1), rx(hdr, AOSTA_DATE_RX, 2), rx(hdr, AOSTA_DATE_RX, 3)
     d = D.make_date(yr, D.month_number(mon), day)
-    x = links.select(src.alias("src"), title.alias("title"), F.coalesce(N.law_no_alt(hdr), F.lit("0")).alias("no"),
+    x = links.select("page_id", F.col("l.pos").alias("pos"), src.alias("src"), title.alias("title"), F.coalesce(N.law_no_alt(hdr), F.lit("0")).alias("no"),
                      F.when(day.isNotNull(), F.concat_ws(" ", day, mon, yr)).alias("shown"), d.alias("d"))
+    x = S.distinct_ordered(x, "src", ["page_id", "pos"])
     x = P.drop_repealed_phrases(x, "title")
-    x = S.distinct_ordered(x, "src", ["title", "no"])
-    pk = U.query_param(F.col("src"), "pk_lr")
+    if details is not None:
+        gone = details.filter(P.is_repealed_phrase(H.page_text("html"))).select(F.col("url").alias("src"))
+        x = S.purge_repealed(x, gone, "src")
+    x = x.withColumn("title", T.truncate_title("title", 1000))
+    pk = U.query_param(F.col("src"), "pk_lr", "0")
     name = F.when(F.col("d").isNotNull(), K.law_filename("ValleAosta", F.col("no"), D.date_display("d", "iso"))) \
         .otherwise(F.concat(F.lit("ValleAosta_ID_"), pk, F.lit(".pdf")))
     return to_law_index(
@@ -532,7 +573,8 @@ def extract_aosta(pages: DataFrame) -> DataFrame:
 def extract_emilia(pages: DataFrame, base: str = "https://emilia.example") -> DataFrame:
     """``a.hitelement_button`` titles less the prefix; ``Legge regionale <date>, n.<no>``; zero-padded display."""
     a = H.extract_anchors(_flat(pages), keep=("page_id", "url"))
-    a = a.filter(F.col("title").isNotNull())
+    button = F.array_contains(F.split(F.coalesce("cls", F.lit("")), r"\s+"), "hitelement_button")
+    a = a.filter(F.col("title").isNotNull() & button)
     full = T.strip_phrase(H.unescape(F.col("title")), "Accedi al documento ")
     x = a.select(full.alias("full"), U.absolutise(F.col("href"), base).alias("src"))
     no = rx("full", EMILIA_RX, 2)

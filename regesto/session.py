@@ -8,6 +8,7 @@ so jobs always cut lineage into the shared folder the cluster names.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,33 +40,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; set a scratch one only if the session has none."""
+    """The checkpoint folder: the context's, else ``spark.checkpoint.dir``; only a local master may
+    do without one and gets a scratch folder, because on a cluster every executor would write to
+    its own disk."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return conf
-    path = tempfile.mkdtemp(prefix="regesto-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def spread(df):
-    """Give CPU-heavy per-row work (regexes over whole texts) at least one task per core.
-
-    Inputs read from few large files (or derived from them) can arrive as one partition; a
-    round-robin repartition then costs one cheap shuffle and buys full parallelism.  Inputs that
-    already have enough partitions (any real-size table) are returned untouched."""
-    sc = df.sparkSession.sparkContext
-    try:
-        # a plan that already shuffles has shuffle-sized partitions; asking its RDD for the
-        # partition count would make AQE run those stages now, so only scans are checked
-        if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
-            return df
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Connect): keep the input as is
-        return df
-    return df.repartition(sc.defaultParallelism) if n < sc.defaultParallelism else df
+    if not conf:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
+        conf = tempfile.mkdtemp(prefix="regesto-ckpt-")
+        spark.conf.set("spark.checkpoint.dir", conf)
+    spark.sparkContext.setCheckpointDir(conf)
+    return conf

@@ -9,6 +9,8 @@ analysis time, so a DataFrame built here keeps its plan even if another
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -48,8 +50,8 @@ SELECT l_orderkey % 400 AS page_no,
        concat('https://x.example/dettaglio?pk_lr=', cast(l_partkey as string)) AS url
 FROM lineitem""",
     "probe_grid": """
-SELECT cast(year(o_orderdate) as int) AS y,
-       cast(row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) as int) AS n,
+SELECT cast(1992 + o_orderkey % 7 as int) AS y,
+       cast((o_orderkey - o_orderkey % 7) / 7 + 1 as int) AS n,
        o_orderstatus = 'P' AS found
 FROM orders""",
     "fetch_log": """
@@ -126,13 +128,23 @@ def _closure(names) -> list[str]:
     return out
 
 
+def many(df: DataFrame) -> DataFrame:
+    """The rows in one partition per core: these tables come as one file of one row group, a real
+    table as many files."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Build a derived view as a Spark DataFrame from the shared SQL text."""
-    register_base(spark, sf_dir)
     deps = _closure([name])
+    text = " ".join(VIEW_SQL[n] for n in deps)
+    register_base(spark, sf_dir, [t for t in BASE_TABLES if re.search(rf"\b{t}\b", text)])
     for n in deps[:-1]:
         spark.sql(VIEW_SQL[n]).createOrReplaceTempView(n)
-    return spark.sql(VIEW_SQL[name])
+    out = spark.sql(VIEW_SQL[name])
+    if "pages" in name:
+        out = many(out)
+    return out
 
 
 def with_views(names, body: str) -> str:

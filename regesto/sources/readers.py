@@ -38,14 +38,14 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
 
 
 def read_captures(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """SRC-2: binary captures ``(url, status, headers, body)``.  ``fmt='binaryFile'`` reads raw
-    files (status 200, no headers)."""
+    """SRC-2: binary captures ``(url, status, headers, body, ...)``.  ``fmt='binaryFile'`` reads raw
+    files; what was never captured with them, status and headers, is NULL."""
     if fmt == "parquet":
         return spark.read.parquet(path)
     df = spark.read.format("binaryFile").load(path)
     return df.select(
-        F.col("path").alias("url"), F.lit(200).alias("status"),
-        F.create_map().cast("map<string,string>").alias("headers"), F.col("content").alias("body"),
+        F.col("path").alias("url"), F.lit(None).cast("int").alias("status"),
+        F.lit(None).cast("map<string,string>").alias("headers"), F.col("content").alias("body"),
     )
 
 
@@ -56,16 +56,19 @@ def read_index(spark: SparkSession, path: str, schema: T.StructType = LAW_INDEX_
     return spark.read.schema(schema).format(fmt).load(path)
 
 
-def read_state(spark: SparkSession, path: str, multiline: bool = True) -> dict[str, DataFrame]:
+STATE_SETS = (("done_keys", "string"), ("done_years", "int"), ("done_ids", "string"))
+
+
+def read_state(spark: SparkSession, path: str, multiline: bool = False) -> dict[str, DataFrame]:
     """SRC-4: resume state -> one DataFrame per set (``key``, ``year``, ``id``), one row per entry.
 
-    Reads the scripts' JSON object ``{done_keys: [...], done_years: [...], done_ids: [...]}``
-    (``multiline``) as well as the row form ``write_state`` produces (one entry per line)."""
-    raw = spark.read.option("multiLine", multiline).json(path)
+    Reads the row form that ``write_state`` writes (one entry per line, split among tasks), or with
+    ``multiline`` a small JSON object ``{done_keys: [...], done_years: [...], done_ids: [...]}``
+    as the scripts keep it (such a file is one row).  The schema is given: no pass infers it."""
+    kinds = {n: f"array<{t}>" if multiline else t for n, t in STATE_SETS}
+    raw = spark.read.schema(", ".join(f"{n} {t}" for n, t in kinds.items())).option("multiLine", multiline).json(path)
     out = {}
-    for name, typ in (("done_keys", "string"), ("done_years", "int"), ("done_ids", "string")):
-        if name not in raw.columns:
-            continue
+    for name, typ in STATE_SETS:
         short = name.removeprefix("done_").rstrip("s")
         col = F.col(name)
         if isinstance(raw.schema[name].dataType, T.ArrayType):
@@ -75,10 +78,14 @@ def read_state(spark: SparkSession, path: str, multiline: bool = True) -> dict[s
     return out
 
 
-def key_grid(spark: SparkSession, y0: int, y1: int, n_max: int | DataFrame, k: int = 0, url_fmt: str | None = None) -> DataFrame:
+def key_grid(spark: SparkSession, y0: int | None, y1: int | None, n_max: int | DataFrame, k: int = 0, url_fmt: str | None = None) -> DataFrame:
     """SRC-5: every (year, number) probe key, and its URL if ``url_fmt`` (``%d`` year, ``%d`` number).
-    ``n_max`` is a number or a DataFrame ``(y, n_max)`` of per-year maxima; ``k`` extra probes."""
-    years = spark.range(y0, y1 + 1).select(F.col("id").cast("int").alias("y"))
+    ``n_max`` is a number or a DataFrame ``(y, n_max)`` of per-year maxima; ``k`` extra probes.
+    Without ``y0`` and ``y1`` the years are those of the DataFrame."""
+    if y0 is None or y1 is None:
+        years = n_max.select("y")
+    else:
+        years = spark.range(y0, y1 + 1).select(F.col("id").cast("int").alias("y"))
     if isinstance(n_max, DataFrame):
         years = years.join(n_max, ["y"], "left").select("y", (F.coalesce("n_max", F.lit(0)) + k).alias("top"))
     else:

@@ -29,20 +29,21 @@ TITLE = "concat('Disposizioni per la regione ', region, ' e norme collegate')"
 FORM = "law_id % 4"
 
 
-def _page(url: str, html: str) -> str:
-    return f"SELECT law_id AS page_id, {url} AS url, {html} AS html FROM law_headers"
+def _page(url: str, html: str, more: str = "") -> str:
+    return f"SELECT law_id AS page_id, {url} AS url, {html} AS html{more} FROM law_headers"
 
 
 PAGES: dict[str, str] = {
     "basilicata": _page(
         f"concat('https://basilicata.example/elenco?p=', {ID})",
-        f"""concat('<html><body><table id="ctl00_GVElenco"><tr><th>Numero</th><th>Data</th><th>Oggetto</th><th></th></tr><tr><td>',
+        f"""concat('<html><body><table id="menu"><tr><td>9</td><td>01/01/2001</td><td>Altra tabella</td><td><input type="image" src="/img/Btn_Selezione.png"></td></tr></table>',
+            '<table id="ctl00_GVElenco"><tr><td>8</td><td>02/02/2002</td><td>Riga con altro bottone</td><td><button>Apri</button></td></tr><tr><th>Numero</th><th>Data</th><th>Oggetto</th><th></th></tr><tr><td>',
             CASE {FORM} WHEN 3 THEN '' WHEN 1 THEN {NO} ELSE concat('n. ', {NO}) END, '</td><td>',
             CASE WHEN {FORM} = 3 THEN '' ELSE {DMY} END, '</td><td>', {TITLE},
             '</td><td><input type="image" src="/img/Btn_Selezione.png"></td></tr></table></body></html>')"""),
     "campania": _page(
-        f"concat('https://campania.example/dettaglio-documento?id=', {ID})",
-        f"""concat('<html><body><h1>', {TITLE}, '</h1><div class="testo"><p>', hdr,
+        f"concat('https://campania.example/dettaglio-documento?', CASE WHEN law_id % 13 = 5 THEN 'codice=' ELSE 'id=' END, {ID})",
+        f"""concat('<html><body><h1>', {TITLE}, ' e attivit&agrave;</h1><div class="testo"><p>', hdr,
             '</p></div><a href="/prendiDocumento?id=', {ID}, '">Scarica</a></body></html>')"""),
     "friuli": _page(
         f"concat('https://fvg.example/IndiceLex.aspx?id=', {ID})",
@@ -50,7 +51,7 @@ PAGES: dict[str, str] = {
             '</a></div><table id="gvListaRegolamenti"><tr><th>Legge</th><th>Data</th></tr><tr><td><a href="IndiceLex.aspx?id=', {ID},
             '">Apri</a></td><td><span id="lblData_', {ID}, '">',
             CASE {FORM} WHEN 0 THEN {DIT} WHEN 1 THEN {DMY} WHEN 2 THEN {DITD} ELSE '' END,
-            '</span></td></tr></table><span id="PageBody_lbOggettolegge">', CASE WHEN {FORM} = 1 THEN hdr ELSE {TITLE} END, '</span>',
+            '</span></td></tr></table><span data-id="PageBody_lbOggettolegge">Altro</span><span id="', CASE WHEN {FORM} = 2 THEN 'ctl_lblOggetto_1' ELSE 'PageBody_lbOggettolegge' END, '">', CASE WHEN {FORM} = 1 THEN hdr ELSE {TITLE} END, '</span>',
             CASE WHEN {FORM} = 1 THEN '' ELSE concat('<span id="PageBody_lbNumLegge">', {NO}, '</span>') END,
             CASE WHEN {FORM} = 3 THEN '' ELSE concat('<a id="PageBody_aPdf" href="/doc/', {ID}, '.pdf">PDF</a>') END,
             '</body></html>')"""),
@@ -61,6 +62,7 @@ PAGES: dict[str, str] = {
             CASE WHEN {FORM} = 3 THEN '' ELSE concat('<p><strong>Numero della legge:</strong> ', {NO}, '</p>') END,
             '<p><strong>Data BUR:</strong> 01/01/2000</p>',
             CASE {FORM} WHEN 3 THEN '' WHEN 2 THEN concat('<p><strong>Data:</strong> ', {DITD}, '</p>')
+                        WHEN 1 THEN concat('<p><strong>Data</strong> ', {DIT}, '</p>')
                         ELSE concat('<p><strong>Data:</strong> ', {DIT}, '</p>') END,
             '</body></html>')"""),
     "liguria": _page(
@@ -69,7 +71,7 @@ PAGES: dict[str, str] = {
             '</div><a href="/leggi/', {ID}, '.pdf">PDF</a></body></html>')"""),
     "toscana": _page(
         f"concat('https://toscana.example/articolo?urndoc=urn:nir:regione.toscana:legge:', {ID})",
-        f"""concat('<html><body><div id="titolo_doc">', {TITLE}, '</div><p class="estremi">', hdr, '</p></body></html>')"""),
+        f"""concat('<html><body><div data-id="titolo_doc">Altro</div><div id="titolo_doc">', {TITLE}, ' <div class="sub">Testo vigente</div> e allegati</div><p class="estremi">', hdr, '</p></body></html>')"""),
     "lombardia": _page(
         f"concat('https://lombardia.example/leggi?anno=', {YEAR}, '&p=', {ID})",
         f"""concat('<html><body><ul><li><a href="/web/leggi?view=showdoc&iddoc=', {ID}, '">', hdr, '</a></li></ul></body></html>')"""),
@@ -91,7 +93,6 @@ PAGES: dict[str, str] = {
                         ELSE 'Legge regionale senza estremi' END, '</span>',
             CASE WHEN law_id % 7 = 0 THEN '<p>( Abrogata )</p>' ELSE '' END,
             '<a href="/doc/', {ID}, '.pdf">PDF</a>',
-            CASE WHEN law_id % 5 = 0 THEN '' ELSE concat('<p class="testo">', repeat('Testo della legge. ', 110), '</p>') END,
             '</body></html>')"""),
     "puglia": _page(
         f"concat('https://puglia.example/LeggeNavscroll.aspx?id=', {ID})",
@@ -113,38 +114,43 @@ PAGES: dict[str, str] = {
             CASE WHEN {FORM} = 1 THEN concat('<div class="col-md-3">Data ', {EN}, ' ', {DAY}, ', ', {YEAR}, '</div>') ELSE '' END,
             '</div>',
             CASE WHEN law_id % 2 = 0
-              THEN concat('<div class="download-list"><a href="/doc/', {ID}, '_it.pdf">Testo IT</a><a href="/doc/', {ID}, '_de.pdf">Text DE</a></div>')
+              THEN CASE WHEN law_id % 4 = 0
+                THEN concat('<div class="card-teaser"><a href="/scarica/', {ID}, '_it">Testo IT</a></div><div class="card-teaser"><a href="/scarica/', {ID}, '_de">Text DE</a></div>')
+                ELSE concat('<div class="download-list"><a href="/doc/', {ID}, '_it.pdf">Testo IT</a><a href="/doc/', {ID}, '_de.pdf">Text DE</a></div>') END
               ELSE concat('<p><a href="/doc/', {ID}, '.pdf">Documento</a></p>') END,
             '</body></html>')"""),
     "umbria": _page(
-        f"concat('https://umbria.example/mostra_atto.php?id=', {ID}, '&file=lr', {YEAR}, '-', {NO}, '.html')",
+        f"concat('https://umbria.example/mostra_atto.php?id=', {ID}, '&file=lr', {YEAR}, '-999.html')",
         f"""concat('<html><body>', CASE WHEN law_id % 2 = 0 THEN concat('<table><tr><td>', {NO}, '</td><td>', {TITLE}, '</td></tr></table>') ELSE '' END,
-            '<h2>', hdr, '</h2></body></html>')"""),
+            '<h2>', replace(hdr, '°', '&deg;'), '</h2></body></html>')""",
+        f", concat('L.R. ', {YEAR}, '-', {NO}, '.') AS link_text"),
     "veneto": _page(
         f"concat('https://veneto.example/dettaglio-legge?id=', {ID})",
-        f"""concat('<html><body><h2 class="title">', hdr, '</h2><p class="font-18">', {TITLE}, '</p>',
-            CASE WHEN {FORM} = 3 THEN '' ELSE '<a href="#pdf">Pdf testo</a>' END, '</body></html>')"""),
+        f"""concat('<html><body><h2 class="title">', hdr, '</h2><p class="font-180">Altro</p><p class="font-18">', {TITLE}, ' e l&#8217;acqua</p>',
+            CASE WHEN {FORM} = 3 THEN '' ELSE '<a href="#pdf">Pdf testo</a>' END, '</body></html>')""",
+        ", law_id % 10 = 2 AS download_failed"),
     "aosta": _page(
         f"concat('https://aosta.example/ricerca?anno=', {YEAR}, '&page=', {ID})",
         f"""concat('<html><body><div class="risultati"><a href="dettaglio?pk_lr=', {ID}, '">',
             CASE {FORM} WHEN 0 THEN concat({DIT}, ', n. ', {NO}) WHEN 1 THEN concat('numero ', {NO}, ' del ', {DMY})
                         WHEN 2 THEN concat({DITD}, ', num. ', {NO}) ELSE 'Legge senza estremi' END,
             '</a><p class="elemento_lista_paginata_banche_dati">',
-            CASE WHEN law_id % 9 = 0 THEN concat({TITLE}, ' (abrogata dall’art. 3 della l.r. 5/2020)') ELSE {TITLE} END,
-            '</p></div></body></html>')"""),
+            CASE WHEN law_id % 9 = 0 THEN concat({TITLE}, repeat(' comma', 200), ' (abrogata dall’art. 3 della l.r. 5/2020)')
+                 WHEN law_id % 11 = 3 THEN concat({TITLE}, repeat(' comma', 200)) ELSE {TITLE} END,
+            '</p><a href="dettaglio?pk_lr=', {ID}, '">Aggiornamento</a><p>Aaa seconda voce</p></div></body></html>')"""),
     "emilia": _page(
         f"concat('https://emilia.example/ricerca?p=', {ID})",
         f"""concat('<html><body><a class="hitelement_button" title="Accedi al documento ',
             CASE {FORM} WHEN 0 THEN concat('Legge regionale ', {DIT}, ', n.', {NO})
                         WHEN 2 THEN concat('Legge regionale ', {DITD}, ', n.', {NO}) ELSE hdr END,
-            '" href="/doc/', {ID}, '">Apri</a><a href="/altro">Altro</a></body></html>')"""),
+            '" href="/doc/', {ID}, '">Apri</a><a href="/altro">Altro</a><a title="Altra pagina" href="/altro2">Altra</a></body></html>')"""),
 }
 
 # Calabria's probe captures: one per (year, number) of the orders grid.
 CALABRIA_CAPTURES = f"""
 SELECT y, n, k, d, status, content_disposition, first_page_text, body_text FROM (
-  SELECT cast(year(o_orderdate) as int) AS y,
-         cast(row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey) as int) AS n,
+  SELECT cast(2020 + o_orderkey % 7 as int) AS y,
+         cast((o_orderkey - o_orderkey % 7) / 7 + 1 as int) AS n,
          o_orderkey AS k, cast(o_orderdate as date) AS d,
          CASE WHEN o_orderstatus = 'P' THEN 200 ELSE 404 END AS status,
          CASE WHEN o_orderkey % 3 = 0

@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from regesto.operators.dedupe import last_writer_wins
+from regesto.operators.dedupe import distinct_ordered, last_writer_wins
 from regesto.session import ensure_checkpoint_dir
+from regesto.sources.readers import path_exists
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -45,29 +46,51 @@ def stream_dedupe(stream: DataFrame, key: str = "url", event_time: str | None =
     return stream.withWatermark(event_time, delay or "1 day").dropDuplicatesWithinWatermark([key])
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, log_path: str) -> None:
+def upsert_batch(batch: DataFrame, batch_id: int, log_path: str, key="source_url", order=None) -> None:
     """One micro-batch into the index change log: partition ``batch_id`` is overwritten, so a
-    replayed batch never duplicates rows."""
+    replayed batch never duplicates rows.  With ``order`` the first record of a key in the batch
+    stays."""
+    if order is not None:
+        batch = distinct_ordered(batch, key, order)
     (batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("batch_id").parquet(log_path))
+     .partitionBy("batch_id").parquet(f"{log_path}/log"))
+
+
+def _snapshots(spark: SparkSession, log_path: str) -> list[int]:
+    """Batch numbers up to which a complete snapshot folds the log (a few folder names)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{log_path}/snapshot")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [x.getPath().getName() for x in fs.listStatus(path)]
+    return sorted(int(n) for n in names if path_exists(spark, f"{log_path}/snapshot/{n}/_SUCCESS"))
 
 
 def read_upserted_index(spark: SparkSession, log_path: str, key="source_url") -> DataFrame:
-    """SET-7 over the change log: the latest batch's record wins per key."""
-    log = spark.read.parquet(log_path)
+    """SET-7: the latest batch's record wins per key, over the last snapshot and the batches after it."""
+    log = spark.read.parquet(f"{log_path}/log")
+    if done := _snapshots(spark, log_path):
+        # the batch number prunes partitions: folded batches are not read
+        old = spark.read.parquet(f"{log_path}/snapshot/{done[-1]}")
+        log = log.filter(F.col("batch_id") > done[-1]).unionByName(old.withColumn("batch_id", F.lit(done[-1]).cast("long")))
     return last_writer_wins(log, key, "batch_id").drop("batch_id")
 
 
-def stream_upsert_index(records: DataFrame, log_path: str, checkpoint: str, available_now: bool = True):
-    """STR-3: start the stream that merges every micro-batch into the index log."""
-    w = records.writeStream.foreachBatch(lambda df, bid: upsert_batch(df, bid, log_path)).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    return w.start()
+def compact_index(spark: SparkSession, log_path: str, key="source_url") -> int:
+    """Fold the log into a snapshot, so that later reads start from it; returns the last batch folded."""
+    last = spark.read.parquet(f"{log_path}/log").agg(F.max("batch_id")).first()[0]
+    if last not in _snapshots(spark, log_path):
+        read_upserted_index(spark, log_path, key).write.mode("overwrite").parquet(f"{log_path}/snapshot/{last}")
+    return last
 
 
-# SNK-4: a crash loses at most one micro-batch; the index is the log read with last-writer-wins
-checkpointed_index = stream_upsert_index
+def stream_upsert_index(records: DataFrame, log_path: str, checkpoint: str, available_now: bool = True, key="source_url", order=None):
+    """STR-3 / SNK-4: start the stream that merges every micro-batch into the index log; a crash
+    loses at most the batch at hand."""
+    w = records.writeStream.foreachBatch(lambda df, bid: upsert_batch(df, bid, log_path, key, order)).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
+    return w.start()
 
 
 def stream_status_counts(stream: DataFrame, status: str = "status") -> DataFrame:
