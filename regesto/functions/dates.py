@@ -49,21 +49,6 @@ def make_date(y, m, d) -> Column:
     return F.try_to_date(s, "yyyy-M-d")
 
 
-def it_date_parts(c) -> Column:
-    """First ``d[°] <mese> yyyy`` as struct(day INT, month_name STRING, month INT, year INT, text STRING)."""
-    x = col_of(c)
-    day = nz(F.regexp_extract(x, IT_DATE_RX, 1))
-    mon = nz(F.regexp_extract(x, IT_DATE_RX, 2))
-    yr = nz(F.regexp_extract(x, IT_DATE_RX, 3))
-    return F.struct(
-        day.cast("int").alias("day"),
-        mon.alias("month_name"),
-        month_number(mon).alias("month"),
-        yr.cast("int").alias("year"),
-        nz(F.regexp_extract(x, IT_DATE_RX, 0)).alias("text"),
-    )
-
-
 def it_date(c) -> Column:
     """DAT-1 / DAT-3: first Italian textual date (``1°`` accepted) as DATE."""
     return let(c, lambda x: make_date(

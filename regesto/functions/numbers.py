@@ -56,12 +56,8 @@ HDR2_RX = rf"(?iU)(?:n\.|numero)\s*(\d+)\s+del\s+(\d{{1,2}}/\d{{1,2}}/\d{{4}}|\d
 
 def header_date_no(c) -> Column:
     """HDR-1 as struct(law_date DATE, law_no STRING, date_text STRING); all NULL on no match."""
-    return _from_match1(rx(c, HDR1_RX, 0))
-
-
-def _from_match1(found) -> Column:
-    """The parts of HDR-1's whole match: the page text is scanned once, the short match again."""
-    return let(found, lambda x: let(rx(x, HDR1_RX, 1), lambda dtext: F.struct(
+    # the text is scanned once, the short match again for its parts
+    return let(rx(c, HDR1_RX, 0), lambda x: let(rx(x, HDR1_RX, 1), lambda dtext: F.struct(
         it_date(dtext).alias("law_date"), rx(x, HDR1_RX, 2).alias("law_no"), dtext.alias("date_text"))))
 
 
@@ -76,7 +72,7 @@ def header_no_date(c) -> Column:
 
 def header_fields(c) -> Column:
     """HDR-1, and only when it does not match, HDR-2 (the first pattern that matches decides)."""
-    return let(c, lambda x: let(rx(x, HDR1_RX, 0), lambda m: F.when(m.isNotNull(), _from_match1(m)).otherwise(header_no_date(x))))
+    return let(c, lambda x: let(rx(x, HDR1_RX, 0), lambda m: F.when(m.isNotNull(), header_date_no(m)).otherwise(header_no_date(x))))
 
 
 __all__ = [

@@ -15,15 +15,14 @@ def order_years(df: DataFrame, year: str = "year") -> DataFrame:
     return df.orderBy(F.col(year).desc_nulls_last())
 
 
-def order_year_number(df: DataFrame, url: str = "url") -> DataFrame:
+def order_year_number(df: DataFrame, url: str = "url", *ties: str) -> DataFrame:
     """SRT-2: (year, number) from ``lr<yyyy>-<n>`` ascending; URLs without them last."""
-    yn = year_num_from_url(url)
-    return df.orderBy(yn["year"], yn["num"], F.col(url))
+    return df.orderBy(*year_number_keys(url), *ties)
 
 
-def order_by_date(df: DataFrame, date_text: str = "date_text") -> DataFrame:
+def order_by_date(df: DataFrame, date_text: str = "date_text", *ties: str) -> DataFrame:
     """SRT-3: by parsed date ascending, unparsable last."""
-    return df.orderBy(F.asc_nulls_last(any_date(F.col(date_text))), F.col(date_text))
+    return df.orderBy(*date_order_keys(date_text), *ties)
 
 
 def date_order_keys(date_text: str = "date_text"):

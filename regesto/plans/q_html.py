@@ -41,7 +41,7 @@ FROM (SELECT page_id, url, unnest(arr) AS href, unnest(range(1, len(arr) + 1)) A
 WHERE NOT (href IS NULL OR trim(href) = '' OR contains(lower(href), 'javascript'))""", ops="HTM-1 URL-1 URL-6")
 def html_links(spark, sf):
     links = H.extract_links(table(spark, sf, "pages"))
-    return links.filter(~U.is_script_link("href")).select(
+    return U.drop_script_links(links).select(
         "page_id", "url", "pos", "href", U.absolutise("href", BASE).alias("abs_url")
     )
 
@@ -76,7 +76,7 @@ def _elem_sql(tag: str) -> str:
 
 @query("html_page_text", f"""
 SELECT page_id, {inner_text_sql(_PT)} AS page_text, strlen(html) > 2000 AS big_enough
-FROM pages""", ops="HTM-3 PRD-4")
+FROM pages""", ops="HTM-3")
 def html_page_text(spark, sf):
     p = table(spark, sf, "pages")
     return p.select("page_id", H.page_text("html").alias("page_text"), (F.octet_length("html") > 2000).alias("big_enough"))
@@ -142,15 +142,15 @@ SELECT law_id AS page_id, concat('Legge ', cast(law_id as string)) AS title, hdr
   concat('Titolo ', cast(law_id as string)) AS title_clean,
   concat('Titolo ', cast(law_id as string), ' BUR 1') AS title_raw,
   cast(no as string) AS number_label, {_DMY} AS date_label, true AS has_doc
-FROM law_headers""", views=["law_headers"], ops="HTM-0 HTM-4 HTM-7 HTM-9 HTM-11 HTM-12")
+FROM law_headers""", views=["law_headers"], ops="HTM-0 HTM-7 HTM-9 HTM-11 HTM-12")
 def dom_law_fields(spark, sf):
     dom = H.parse_dom(view(spark, sf, "law_pages"), parts=("title", "headings", "blocks", "labels", "links"))
     return dom.select(
         "page_id",
         F.col("dom.title").alias("title"),
         H.heading_text("dom", "h1").alias("h1"),
-        H.heading_next_text("dom", "h1").alias("after_h1"),
-        H.block_text("dom", id_="titoloAtto").alias("title_clean"),
+        H.neighbour_text("dom", "next_text", "h1").alias("after_h1"),
+        H.text_without("dom", id_="titoloAtto").alias("title_clean"),
         H.block_text("dom", id_="titoloAtto", clean=False).alias("title_raw"),
         H.label_value("dom", "Numero", digits=True).alias("number_label"),
         H.label_value("dom", "Data", exclude=("BUR",)).alias("date_label"),

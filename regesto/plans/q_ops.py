@@ -182,7 +182,7 @@ def jon_month_lookup(spark, sf):
 @query("agg_laws_per_year", f"""
 SELECT cast(s.range AS int) AS year, cast(coalesce(c.n, 0) as bigint) AS n_laws
 FROM range(1990, 2006) s LEFT JOIN (SELECT year(d) AS y, count(*) AS n FROM law_headers GROUP BY 1) c ON s.range = c.y""",
-       views=["law_headers"], ops="AGG-1 KEY-4 SRC-7")
+       views=["law_headers"], ops="AGG-1 KEY-4")
 def agg_laws_per_year(spark, sf):
     names = _filenames(spark, sf).select(K.parse_filename("filename")["year"].alias("year"))
     return R.laws_per_year(names, "year", 1990, 2005)
@@ -324,7 +324,7 @@ def _events_inventory(spark, sf):
 @query("win_latest_file", f"""
 SELECT event_type, path, mtime FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY mtime DESC, path DESC) AS r
   FROM {_INV_EVENTS} WHERE NOT (ends_with(lower(path), '.crdownload') OR ends_with(lower(path), '.tmp'))) WHERE r = 1""",
-       ops="WIN-5 SRC-7")
+       ops="WIN-5")
 def win_latest_file(spark, sf):
     return C.latest_file(_events_inventory(spark, sf), "path", "mtime", group="event_type")
 
@@ -385,6 +385,24 @@ def srt_rank_year_number(spark, sf):
     return C.number_rows(lh.select("law_id", url.alias("url")), O.year_number_keys("url") + [F.col("law_id")]).select("law_id", "pos")
 
 
+@query("srt_oldest_laws", """
+SELECT law_id, hdr FROM law_headers ORDER BY CASE WHEN law_id % 4 = 3 THEN NULL ELSE d END ASC NULLS LAST, hdr, law_id LIMIT 50""",
+       views=["law_headers"], ops="SRT-3")
+def srt_oldest_laws(spark, sf):
+    """Top-k report: the oldest laws (ties by text, then id)."""
+    lh = view(spark, sf, "law_headers").select("law_id", "hdr")
+    return O.order_by_date(lh, "hdr", "law_id").limit(50)
+
+
+@query("srt_first_numbers", """
+SELECT law_id, url FROM (SELECT law_id, concat('https://x.example/leggi/lr', cast(year(d) as string), '-', cast(no as string), '.html') AS url, year(d) AS y, no
+                         FROM law_headers) ORDER BY y, no, url, law_id LIMIT 50""", views=["law_headers"], ops="SRT-2")
+def srt_first_numbers(spark, sf):
+    """Top-k report: the first laws by year and number."""
+    url = F.format_string("https://x.example/leggi/lr%d-%d.html", F.year("d"), F.col("no"))
+    return O.order_year_number(view(spark, sf, "law_headers").select("law_id", url.alias("url")), "url", "law_id").limit(50)
+
+
 @query("lim_page_limit", "SELECT page_no, pos FROM listing WHERE page_no < 107", views=["listing"], ops="LIM-1")
 def lim_page_limit(spark, sf):
     return C.page_limit(view(spark, sf, "listing"), "page_no", 107, first_page=0).select("page_no", "pos")

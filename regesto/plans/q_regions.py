@@ -161,8 +161,8 @@ WITH s AS (SELECT *, (status = 200 AND left(body_text, 4) = '%PDF') AS found FRO
 
 # operators each region job exercises besides its own profile
 REG_OPS = {
-    "basilicata": "NUM-4 DAT-2 HTM-4",
-    "campania": "HTM-3 HTM-4 HTM-10 NUM-1 PRD-7 SET-1 TXT-2 DAT-1",
+    "basilicata": "NUM-4 DAT-2",
+    "campania": "HTM-3 HTM-4 NUM-1 PRD-7 SET-1 TXT-2 DAT-1",
     "friuli": "HTM-4 PRD-9 DAT-4 DAT-10 NUM-1 KEY-1",
     "lazio": "HTM-0 HTM-9 KEY-2 TXT-5 DAT-4",
     "liguria": "HTM-3 HTM-4 HDR-1 HDR-2 DAT-6",
@@ -173,7 +173,7 @@ REG_OPS = {
     "piemonte": "HTM-0 PRD-1 NUM-1 TXT-4",
     "puglia": "HTM-4 TXT-4 DAT-2",
     "sardinia": "HTM-0 URL-2 TXT-3 DAT-4",
-    "trentino": "HTM-0 HTM-11 HTM-13 DAT-5 DAT-7 DAT-8 KEY-3 NUM-1",
+    "trentino": "HTM-0 HTM-13 DAT-5 DAT-7 DAT-8 KEY-3 NUM-1",
     "umbria": "HTM-3 NUM-1 DAT-1",
     "veneto": "HTM-4 TXT-3 DAT-1",
     "aosta": "HTM-0 NUM-3 PRD-2 TXT-7 SET-1 URL-2 URL-3",
@@ -257,7 +257,7 @@ SELECT {_LAZIO_COLS}, status FROM (
            cast(CASE WHEN filename IN (SELECT name FROM lazio_inventory) THEN 'Skipped (Exists)' ELSE 'Pending' END as varchar) AS status
     FROM ({ORACLE_SELECTS['lazio']}) x
     WHERE cast(regexp_extract(source_url, 'id=([0-9]+)', 1) as bigint) NOT IN (SELECT law_id FROM lazio_done)))
-WHERE r = 1""", views=["law_headers", "lazio_done", "lazio_inventory"], ops="shape A: JON-1 REG-05 JON-2 CND-2 SET-4 SET-1")
+WHERE r = 1""", views=["law_headers", "lazio_done", "lazio_inventory"], ops="shape A: JON-1 REG-05 JON-2 CND-2 SET-4")
 def flow_lazio(spark, sf):
     pages = view(spark, sf, "pages_lazio")
     return FL.index_pages("lazio", pages, done_ids=view(spark, sf, "lazio_done"), id_param="id",
@@ -322,8 +322,8 @@ def _register_flow(region):
     def fn(spark, sf):
         return FL.index_listing(region, _listing(spark, sf, region), _details(spark, sf, region))
 
-    more = {"campania": "WIN-2 HTM-2", "friuli": "JON-4 HTM-2", "aosta": "WIN-3 SET-8", "veneto": "WIN-3 HTM-2"}.get(region, "HTM-2")
-    query(f"flow_{region}", _flow_oracle(region), views=["law_headers"], ops=f"shape A: REG {region} JON-3 SET-1 LIM-1 URL-2 {more}")(fn)
+    more = {"campania": "JON-3 WIN-2 LIM-1", "friuli": "JON-3 JON-4", "aosta": "WIN-3 SET-8", "veneto": "JON-3 WIN-3"}.get(region, "JON-3")
+    query(f"flow_{region}", _flow_oracle(region), views=["law_headers"], ops=f"shape A: REG {region} HTM-2 SET-1 URL-2 {more}")(fn)
 
 
 for _key in FLOW_REGIONS:

@@ -58,7 +58,7 @@ FROM law_headers"""
 
 
 @query("law_headers_index", LAW_HEADERS_ORACLE, views=["law_headers"],
-       ops="HDR-1 HDR-2 DAT-1 DAT-2 DAT-3 DAT-6 NUM-1 TXT-11 KEY-1 CND-1")
+       ops="HDR-1 HDR-2 DAT-1 DAT-2 DAT-3 DAT-6 TXT-11 KEY-1")
 def law_headers_index(spark, sf):
     return law_index_from_headers(many(view(spark, sf, "law_headers")))
 
@@ -298,3 +298,37 @@ def url_year_num(spark, sf):
     ).otherwise(F.lit("https://x.example/leggi/altro.html"))
     yn = U.year_num_from_url(url)
     return lh.select("law_id", yn["year"].alias("url_year"), yn["num"].alias("url_num"))
+
+
+@query("hdr_parts", """
+SELECT law_id,
+  CASE WHEN law_id % 4 IN (0, 2) THEN d END AS d1, CASE WHEN law_id % 4 IN (0, 2) THEN cast(no as varchar) END AS n1,
+  CASE WHEN law_id % 4 = 1 THEN d END AS d2, CASE WHEN law_id % 4 = 1 THEN cast(no as varchar) END AS n2,
+  replace(hdr, '°', '') AS plain
+FROM law_headers""", views=["law_headers"], ops="HDR-1 HDR-2 DAT-3")
+def hdr_parts(spark, sf):
+    """Both header forms on their own, and the header without ordinal marks."""
+    from regesto.functions import dates as D
+    from regesto.functions import numbers as N
+
+    lh = view(spark, sf, "law_headers").select("law_id", "hdr", N.header_date_no("hdr").alias("a"), N.header_no_date("hdr").alias("b"))
+    return lh.select(
+        "law_id", F.col("a.law_date").alias("d1"), F.col("a.law_no").alias("n1"), F.col("b.law_date").alias("d2"), F.col("b.law_no").alias("n2"),
+        D.ordinal_day("hdr").alias("plain"),
+    )
+
+
+@query("cnd_sentinels", """
+SELECT law_id, CASE WHEN law_id % 4 = 3 THEN NULL ELSE cast(d as varchar) END AS date_back,
+       CASE WHEN law_id % 4 = 3 THEN 'Unknown' ELSE cast(no as varchar) END AS law_number
+FROM law_headers""", views=["law_headers"], ops="CND-1")
+def cnd_sentinels(spark, sf):
+    """Defaults filled in, and sentinels taken back."""
+    from regesto.functions import keys as K
+
+    known = F.col("law_id") % 4 != 3
+    lh = view(spark, sf, "law_headers").select(
+        "law_id", F.when(known, F.col("d").cast("string")).alias("date_text"), F.when(known, F.col("no").cast("string")).alias("law_number")
+    )
+    shown = K.fill_defaults(lh, {"date_text": "0000-00-00", "law_number": "Unknown"})
+    return shown.select("law_id", K.null_sentinels("date_text").alias("date_back"), "law_number")

@@ -129,7 +129,7 @@ SELECT url, page_no, pos, version, title FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY version DESC, page_no, pos) AS r FROM (
     SELECT url, page_no, pos, cast(page_no % {_VERSIONS} as int) AS version,
            concat('Versione ', cast(page_no % {_VERSIONS} as string), ' da ', cast(page_no as string)) AS title FROM listing))
-WHERE r = 1""", views=["listing"], ops="STR-1 STR-3 SNK-4 SET-7 SET-1")
+WHERE r = 1""", views=["listing"], ops="STR-1 STR-3 SNK-4 SET-7")
 def str_upsert(spark, sf):
     """Each batch brings other records for URLs met before: the last batch's first record stays."""
     version = (F.col("page_no") % _VERSIONS).cast("int")

@@ -95,20 +95,22 @@ def test_golden_sardinia_and_emilia(spark):
 
 def test_golden_basilicata_and_piemonte(spark):
     b = _pages(spark, "https://b.example/elenco",
-               "<table><tr><th>N</th><th>D</th><th>T</th><th></th></tr>"
+               "<table><tr><td>7</td><td><input type='image' src='Btn_Selezione.png'></td></tr></table>"
+               "<table id='x_GVElenco'><tr><th>N</th><th>D</th><th>T</th><th></th></tr>"
                "<tr><td>n. 50</td><td>03/04/2020</td><td>Disciplina delle acque minerali</td><td><input type='image' src='Btn_Selezione.png'></td></tr>"
                "<tr><td>senza bottone</td></tr></table>")
     r = RG.extract_basilicata(b).collect()
     assert len(r) == 1 and (r[0]["law_number"], r[0]["date_text"], r[0]["law_title"]) == ("50", "03/04/2020", "Disciplina delle acque minerali")
-    pad = "<p>" + "x" * 2100 + "</p>"
     pm = spark.createDataFrame(
         [(1, "https://p.example/dettaglioLegge.do?id=1",
-          '<div id="titoloAtto">Titolo vero<div class="bur">BUR 3</div></div><span class="lead">Legge regionale del 5 marzo 2021, n. 4</span>' + pad),
-         (2, "https://p.example/dettaglioLegge.do?id=2", '<div id="titoloAtto">Abrogata</div><p>( Abrogata )</p>' + pad),
+          '<div id="titoloAtto">Titolo vero<div class="bur">BUR 3</div></div><span class="lead">Legge regionale del 5 marzo 2021, n. 4</span>'),
+         (2, "https://p.example/dettaglioLegge.do?id=2", '<div id="titoloAtto">Abrogata</div><p>( Abrogata )</p>'),
          (3, "https://p.example/dettaglioLegge.do?id=3", '<div id="titoloAtto">Piccola</div>')],
         "page_id long, url string, html string")
     got = [(r["law_title"], r["law_number"], r["law_date"]) for r in RG.extract_piemonte(pm).collect()]
-    assert got == [("Titolo vero", "4", dt.date(2021, 3, 5))]
+    assert sorted(got, key=str) == [("Piccola", "Unknown", None), ("Titolo vero", "4", dt.date(2021, 3, 5))]
+    saved = pm.withColumn("pdf", F.when(F.col("page_id") == 1, F.repeat(F.lit("x"), 2001)).otherwise(F.lit("x")).cast("binary"))
+    assert [r["law_title"] for r in RG.extract_piemonte(saved, payload="pdf").collect()] == ["Titolo vero"]
 
 
 def test_neighbour_and_text_without(spark):
@@ -149,9 +151,10 @@ def test_golden_marche_and_umbria(spark):
     r = RG.extract_marche(m).first()
     assert (r["law_title"], r["law_number"], r["date_text"], r["filename"]) == (
         "Tutela delle acque", "4", "12 marzo 2019", "Marche_4_12-marzo-2019.pdf")
-    u = _pages(spark, "https://u.example/mostra_atto.php?id=1&file=lr2025-33.html",
+    u = _pages(spark, "https://u.example/mostra_atto.php?id=1&file=lr2025-99.html",
                "<table><tr><td>2025</td><td>Disposizioni per la montagna umbra</td></tr></table><h2>Legge regionale 9 dicembre 2025</h2>")
-    r = RG.extract_umbria(u).first()
+    assert RG.extract_umbria(u).first()["law_number"] == "Unknown"  # the page's own URL tells nothing
+    r = RG.extract_umbria(u.withColumn("link_text", F.lit("L.R. 2025-33."))).first()
     assert (r["law_title"], r["law_number"], r["law_date"]) == ("Disposizioni per la montagna umbra", "33", dt.date(2025, 12, 9))
 
 
@@ -192,3 +195,88 @@ def test_golden_veneto_campania_lombardia_toscana(spark):
                '<div id="titolo_doc">Norme sui porti</div><p>n. 3 del 08/01/2025</p>')
     r = RG.extract_toscana(t).first()
     assert (r["region"], r["law_title"], r["law_number"], r["filename"]) == ("Toscana", "Norme sui porti", "3", "Tuscany_3_2025-01-08.pdf")
+
+
+def test_entities_and_nested_elements(spark):
+    p = _pages(spark, "u", '<div data-id="t">no</div><div id="t">Qualit&agrave; <div><b>dell&rsquo;</b>aria</div> &#8217;25&#x2019; &amp;lt; &nope; &#0; 5&deg;</div><div>dopo</div>')
+    r = p.select(H.element_text("html", "div", r"""\sid\s*=\s*["']t["']""").alias("t"), H.page_text("html").alias("all")).first()
+    assert r["t"] == "Qualità dell’ aria ’25’ &lt; &nope; &#0; 5°"
+    assert r["all"].endswith("5° dopo")
+    u = _pages(spark, "https://u.example/mostra_atto.php?id=1", "<h1>Tutela della qualit&agrave;</h1><p>Legge regionale 1&deg; dicembre 2025, n. 3</p>")
+    r = RG.extract_umbria(u).first()
+    assert (r["law_title"], r["law_date"], r["filename"]) == ("Tutela della qualità", dt.date(2025, 12, 1), "Umbria_3_2025-12-01.pdf")
+
+
+def test_unclosed_and_repeated_elements(spark):
+    p = _pages(spark, "u", "<div id='a'>uno <div>due</div> tre<p>non chiuso")
+    assert p.select(H.element_text("html", "div", r"""\sid\s*=\s*["']a["']""").alias("t")).first()["t"] is None
+    p = _pages(spark, "u", "<h2>a</h2><h2>b</h2>")
+    assert p.select(H.element_text("html", "h2").alias("t")).first()["t"] == "a"
+
+
+def test_dom_of_deep_and_of_long_pages(spark):
+    import time
+
+    deep = "<div class='x'>" * 3000 + "<a href='/giu'>in fondo</a>" + "</div>" * 3000
+    dom = parse_html(deep)
+    assert dom["links"][0]["text"] == "in fondo" and dom["text"] == "in fondo" and dom["links"][0]["in_cls"] == "x"
+    items = "".join(f"<a href='/{k}.pdf'>Legge regionale n. {k} del 01/02/2020</a> " for k in range(6000))
+    t0 = time.perf_counter()
+    dom = parse_html(f"<div class='lista'>{items}</div>", want={"links"})
+    assert len(dom["links"]) == 6000 and time.perf_counter() - t0 < 5
+    assert sum(len(x["parent_text"] or "") + len(x["in_cls"]) for x in dom["links"]) < 100_000
+
+
+def test_url_join_dots(spark):
+    cases = [
+        ("https://a.example/b/c/d.html", "../../../../x", "https://a.example/x"), ("https://a.example/b/c", "../../../../../../x", "https://a.example/x"),
+        ("https://a.example/b/c", "/c/../d", "https://a.example/d"), ("https://a.example", "../x", "https://a.example/x"),
+        ("https://a.example/b/c", "./", "https://a.example/b/"), ("https://a.example/b/c/", "..", "https://a.example/b/"),
+        ("https://a.example/b/c", "x?y=../z#../q", "https://a.example/b/x?y=../z#../q"), ("https://a.example/b/c?u=/v/", "w", "https://a.example/b/w"),
+    ]
+    df = spark.createDataFrame(cases, "b string, h string, want string")
+    assert [r["g"] for r in df.select(U.url_join(F.col("b"), F.col("h")).alias("g")).collect()] == [c[2] for c in cases]
+    q = spark.createDataFrame([("https://a.example/s?x.y=a%20b+c&z=&xzy=no",)], "u string")
+    r = q.select(U.query_param("u", "x.y").alias("a"), U.query_param("u", "z", "0").alias("z"), U.query_param("u", "w").alias("w")).first()
+    assert (r["a"], r["z"], r["w"]) == ("a b c", "0", None)
+
+
+def test_first_record_stays_and_whole_texts_count(spark):
+    long = "comma " * 400
+    p = spark.createDataFrame([
+        (2, "https://a.example/r?page=2", '<a href="dettaglio?pk_lr=1">3 marzo 2020, n. 5</a><p>Alfa seconda</p>'),
+        (1, "https://a.example/r?page=1", '<a href="dettaglio?pk_lr=1">3 marzo 2020, n. 5</a><p>Zeta prima</p>'
+            f'<a href="dettaglio?pk_lr=2">4 marzo 2020, n. 6</a><p>{long}(abrogata dall’art. 2)</p>'
+            f'<a href="dettaglio?pk_lr=3">5 marzo 2020, n. 7</a><p>{long}</p><a href="dettaglio?pk_lr=">senza data</a><p>Vuota</p>'),
+    ], "page_id long, url string, html string")
+    got = {r["source_url"].rsplit("=", 1)[1]: r for r in RG.extract_aosta(p).collect()}
+    assert set(got) == {"1", "3", ""} and got["1"]["law_title"] == "Zeta prima"
+    assert len(got["3"]["law_title"]) == 1000 and got[""]["filename"] == "ValleAosta_ID_0.pdf"
+    detail = spark.createDataFrame([("https://a.example/dettaglio?pk_lr=3", "<p>(Legge abrogata dall'art. 9)</p>")], "url string, html string")
+    assert "3" not in {r["source_url"].rsplit("=", 1)[1] for r in RG.extract_aosta(p, detail).collect()}
+    c = spark.createDataFrame([(k, f"https://c.example/dettaglio-documento?codice={k}", '<h1>T</h1><p>7 agosto 2024, n. 1</p><a href="/prendiDocumento">x</a>') for k in range(3)],
+                              "page_id long, url string, html string")
+    assert RG.extract_campania(c).count() == 0
+
+
+def test_trentino_card_teaser_and_font_title(spark):
+    p = _pages(spark, "https://t.example/content/view/full/7",
+               '<font dir="auto">Ordinamento dei comuni</font><div class="card-teaser"><a href="/scarica/7">Testo</a></div><a href="/x.pdf">no</a>')
+    r = RG.extract_trentino(p.withColumn("page_no", F.lit(4))).collect()
+    assert [(x["law_title"], x["doc_type"], x["page_no"], x["source_url"]) for x in r] == [
+        ("Ordinamento dei comuni", "DOC", 4, "https://t.example/content/view/full/7")]
+
+
+def test_unknown_region_has_no_shape(spark):
+    import pytest
+
+    with pytest.raises(ValueError):
+        RG.conform(spark.range(1), "atlantide")
+    assert set(RG.DISPLAY_COLUMNS) == {*RG.EXTRACTORS, "calabria"}
+
+
+def test_calabria_takes_the_years_of_the_captures(spark):
+    rows = [(2031, 1, 200, {"Content-Disposition": 'x="Legge 5 marzo 2031.pdf"'}, b"%PDF", "testo"), (2031, 2, 404, {}, b"", ""), (1950, 1, 200, None, b"%PDF", None)]
+    caps = spark.createDataFrame(rows, "y int, n int, status int, headers map<string,string>, body binary, first_page_text string")
+    got = sorted((r["law_number"], r["date_text"]) for r in RG.extract_calabria(caps).collect())
+    assert got == [("1", "1950"), ("1", "5 marzo 2031")]

@@ -145,3 +145,25 @@ def test_cut_after_misses_property(spark):
         assert got == want
 
     check()
+
+
+def test_a_hot_group_is_dealt_over_many_tasks(spark):
+    """The cut-offs' last join spreads one group of all rows."""
+    df = spark.range(0, 20000).select(F.lit(1).alias("y"), (F.col("id") + 1).alias("n"), (F.col("id") < 15000).alias("found"))
+    stop = spark.createDataFrame([(1, 15010)], "y int, __cut long")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = C.with_stop(df, stop, "y", ["n"], "__cut")
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) >= 6 and max(r["count"] for r in sizes) < 8000 and out.filter("__cut = 15010").count() == 20000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert C.cut_after_misses(df, "y", "n", "found", 10).count() == 15010
+
+
+def test_number_rows_has_one_shuffle(spark):
+    plan = C.number_rows(spark.range(0, 100), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan  # the checkpointed rows are not sorted again

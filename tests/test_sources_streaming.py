@@ -19,7 +19,7 @@ def test_read_index_absent_is_empty(spark):
 def test_state_json_object_form(spark, tmp_path):
     p = tmp_path / "progress.json"
     p.write_text(json.dumps({"done_keys": ["2001_1", "2001_3"], "done_years": [2000]}))
-    st = R.read_state(spark, str(p))
+    st = R.read_state(spark, str(p), multiline=True)
     keys = spark.createDataFrame([(2000, 1, "2000_1"), (2001, 1, "2001_1"), (2001, 2, "2001_2"), (2001, 3, "2001_3")],
                                  "year int, n int, key string")
     left = todo(keys, st["done_keys"], on="key", done_years=st["done_years"], year="year")
@@ -54,7 +54,7 @@ def test_stream_equals_batch_and_restart(spark):
 
     def run():
         s = ST.stream_pages(spark, src, data.schema, max_files=2)
-        ST.stream_upsert_index(ST.stream_dedupe(s, "url").select("url"), log, ck).awaitTermination()
+        ST.stream_upsert_index(ST.stream_dedupe(s, "url").select("url"), log, ck, key="url").awaitTermination()
 
     run()
     first = ST.read_upserted_index(spark, log, key="url").count()
@@ -62,7 +62,50 @@ def test_stream_equals_batch_and_restart(spark):
     run()  # restart on the same checkpoint: only new files, state remembers seen urls
     idx = ST.read_upserted_index(spark, log, key="url")
     assert first <= 37 and idx.count() == 37
-    assert spark.read.parquet(log).count() == 37  # no url upserted twice across batches
+    assert spark.read.parquet(f"{log}/log").count() == 37  # no url upserted twice across batches
+
+
+def test_upsert_replaces_and_snapshots_fold(spark):
+    src, log, ck = (ST.scratch_dir(spark, n) for n in ("v", "vlog", "vck"))
+    schema = "url string, pos int, text string"
+    batches = [[("a", 2, "a1 late"), ("a", 1, "a1"), ("b", 1, "b1")], [("a", 1, "a2"), ("c", 1, "c2")], [("c", 3, "c3")]]
+    for k, rows in enumerate(batches):
+        df = spark.createDataFrame(rows, schema).coalesce(1)
+        df.write.mode("append").parquet(src)
+        ST.stream_upsert_index(ST.stream_pages(spark, src, df.schema), log, ck, key="url", order=["pos"]).awaitTermination()
+        if k == 1:
+            assert ST.compact_index(spark, log, "url") == 1 == ST.compact_index(spark, log, "url")
+            assert ST._snapshots(spark, log) == [1]
+    got = sorted(tuple(r) for r in ST.read_upserted_index(spark, log, key="url").collect())
+    assert got == [("a", 1, "a2"), ("b", 1, "b1"), ("c", 3, "c3")]
+    # a replayed batch rewrites its own part
+    ST.upsert_batch(spark.createDataFrame([("c", 3, "c3 again")], schema), 2, log, "url")
+    assert sorted(tuple(r) for r in ST.read_upserted_index(spark, log, key="url").collect())[2] == ("c", 3, "c3 again")
+
+
+def test_no_machine_local_checkpoint_folder_off_a_local_master():
+    import pytest
+
+    from regesto.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):  # noqa: N802
+            return None
+
+        def getConf(self):  # noqa: N802
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()  # noqa: N815
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
 
 
 def test_payload_table(spark):
