@@ -64,6 +64,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
         for lo, hi in zip([0, *cuts], [*cuts, batch.num_rows]):
             if hi > lo:
                 yield batch.slice(lo, hi - lo)
+    give_back()
 
 
 def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
@@ -109,7 +110,7 @@ class ChunkEncoder:
     rarer half is forgotten.
     """
 
-    def __init__(self, path: str, cap: int = 200_000):
+    def __init__(self, path: str, cap: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
