@@ -3,13 +3,13 @@
 The reference stops loops early (k misses in a row, k empty pages, a page with
 nothing new, a page seen twice).  Over captured data these become set rules:
 
-* ``cut_after_misses``, ``cut_when_no_news``, ``drop_revisits``,
-  ``resolve_attempts``, ``latest_file`` use only joins and grouped aggregates
-  (partial aggregation, no per-group sort), so a group holding a third of all
-  rows is never handled by one task;
-* ``cut_after_empty_pages`` and ``number_rows(partition=...)`` use a window per
-  listing source; a source is one portal's listing, capped at a few hundred
-  pages by ``page_limit`` (LIM-1), so the window partition has a hard bound;
+* ``cut_after_misses``, ``cut_after_empty_pages``, ``cut_when_no_news``,
+  ``drop_revisits``, ``resolve_attempts``, ``latest_file`` use only joins, grouped
+  aggregates (partial aggregation, no per-group sort) and a distributed sort, and
+  join one row per group by ``with_stop``, so a group holding a third of all rows
+  is never handled by one task;
+* ``number_rows(partition=...)`` uses a window per partition: for bounded groups
+  only, such as the documents of one law;
 * ``number_rows`` without a partition is a distributed row number (sorted,
   checkpointed, per-partition offsets), never a single-partition window.
 """
@@ -62,15 +62,15 @@ def cut_after_empty_pages(df: DataFrame, source: str = "source", page: str = "pa
                           failed: str = "failed", k: int = 3) -> DataFrame:
     """WIN-2: stop the listing at the k-th empty page in a row; a failed page neither counts nor
     resets the run.  Keeps the pages up to the stopping page (inclusive)."""
-    ok = df.filter(~F.coalesce(_c(failed), F.lit(False))).select(source, page, n_links)
-    w = Window.partitionBy(source).orderBy(page)
-    ok = ok.withColumn("__i", F.row_number().over(w))
-    ok = ok.withColumn(
-        "__last_full",
-        F.max(F.when(F.col(n_links) > 0, F.col("__i"))).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
-    streak = F.col("__i") - F.coalesce(F.col("__last_full"), F.lit(0))
-    stop = ok.filter(streak >= k).groupBy(source).agg(F.min(page).alias("__stop"))
+    ok = df.filter(~F.coalesce(_c(failed), F.lit(False))).select(source, page, F.coalesce(_c(n_links), F.lit(0)).alias("__n"))
+    # positions in (source, page) order, consecutive within a source, from a distributed sort
+    ranked = number_rows(ok, [source, page], out="__i")
+    start = ranked.groupBy(source).agg(F.min("__i").alias("__s"))
+    ranked = with_stop(ranked, start, source, ["__i"], "__s")
+    # as in WIN-1: a full page covers the k positions from its own on
+    covered = ranked.filter(F.col("__n") > 0).select(source, F.explode(F.sequence(F.col("__i"), F.col("__i") + (k - 1))).alias("__i"))
+    empty = ranked.filter((F.col("__n") <= 0) & (F.col("__i") - F.col("__s") + 1 >= k))
+    stop = empty.join(covered, [source, "__i"], "left_anti").groupBy(source).agg(F.min(page).alias("__stop"))
     return (
         with_stop(df, stop, source, [page], "__stop")
         .filter(F.col("__stop").isNull() | (F.col(page) <= F.col("__stop")))
