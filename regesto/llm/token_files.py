@@ -152,7 +152,7 @@ MANIFEST = "file_no long, path string, n_docs long, n_ids long"
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -> DataFrame:
     """Encode ``docs`` (doc_id, text) into token files below ``folder``; return their manifest.
 
-    Files follow each other in ascending doc_id order (nulls first; repeated ids by text), one
+    Files follow each other in ascending doc_id order (nulls first; repeated ids by a hash of the text), one
     file per range partition.  Null text counts as empty: such a document holds its end id only.
     An empty table gives no files.  Other columns are ignored.
     """
@@ -180,8 +180,8 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int
                 {"file_no": [part], "path": [f"{folder}/part-{part:06d}.tok"], "n_docs": [len(writer.index)], "n_ids": [writer.n_ids]}
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ordered = rows.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
+    ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "text")
     return materialise(ordered.mapInArrow(write, MANIFEST), "token-manifest")
 
 

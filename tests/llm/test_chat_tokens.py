@@ -143,8 +143,14 @@ def test_chunks_encode_like_whole_texts(plain):
 
 
 def file_rows(doc_rows, plain):
+    import xxhash
+
+    def tie(t):  # Spark's xxhash64: seed 42, signed; null gives the seed
+        h = xxhash.xxh64_intdigest(t.encode(), 42) if t is not None else 42
+        return h - (1 << 64) if h >> 63 else h
+
     out, start = [], 0
-    for i, t in sorted(doc_rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+    for i, t in sorted(doc_rows, key=lambda r: (r[0] is not None, r[0] or 0, tie(r[1]))):
         ids = [*plain(t), 2]
         out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
