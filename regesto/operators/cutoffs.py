@@ -33,10 +33,10 @@ def with_stop(df: DataFrame, stops: DataFrame, group: str, by, name: str) -> Dat
     The small rows are copied ``SPREAD`` times and the big side is dealt by a hash of ``by`` as
     well, so a group with a third of all rows is joined by that many tasks."""
     parts = [F.lit(x) for x in range(SPREAD)]
-    copies = stops.select(F.col(group).alias("__g"), name, F.explode(F.array(*parts)).alias("__s"))
-    own = F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int")
-    dealt = df.withColumn("__o", own)
-    return dealt.join(copies, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__o") == F.col("__s")), "left").drop("__g", "__s", "__o")
+    copies = stops.select(F.col(group).alias("__group"), name, F.explode(F.array(*parts)).alias("__copy"))
+    dealt = df.withColumn("__own", F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("int"))
+    on = F.col(group).eqNullSafe(F.col("__group")) & (F.col("__own") == F.col("__copy"))
+    return dealt.join(copies, on, "left").drop("__group", "__copy", "__own")
 
 
 def cut_after_misses(df: DataFrame, group: str = "y", n: str = "n", hit: str = "found", k: int = 10) -> DataFrame:
