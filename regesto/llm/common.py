@@ -9,16 +9,16 @@ import sys
 import types
 import uuid
 from collections.abc import Iterator
-from itertools import compress, islice
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from regesto.session import ensure_checkpoint_dir
 
 #: Text bytes that are tokenized or hashed together inside a task.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,14 +76,6 @@ def ragged(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return np.arange(total, dtype=np.int64) + np.repeat(starts - (ends - lens), lens)
 
 
-class _Numbering(dict):
-    """Numbers its keys in the order in which they are first asked for."""
-
-    def __missing__(self, key):
-        self[key] = number = len(self)
-        return number
-
-
 def worker_state() -> dict:
     """What one Python worker keeps from task to task (vocabularies and the like, of bounded size)."""
     name = "_training_data_worker_state"
@@ -100,20 +92,26 @@ BYTE_ALPHABET = {b: b for b in _PRINTABLE} | {b: 256 + k for k, b in enumerate(x
 PLAIN = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]?)")
 
 
+#: Characters whose lower case ``str.lower`` may take from their neighbours, or make two of.
+EXOTIC = re.compile("[^\x00-\u012f\u0131-\u024f]")
+
+
 class ChunkEncoder:
     """Token ids of whole texts with the ``tokenizers`` library, each distinct chunk between two
     spaces or newlines encoded once.
 
     Sound for lower-casing byte-level tokenizers whose pre-tokenizer drops white space, so that no
-    token spans a chunk's border.  Plain words go to the merges directly; all other chunks pass the
-    normalizer and pre-tokenizer of the file.  ``cap`` bounds the remembered chunks; beyond it the
-    rarer half is forgotten.
+    token spans a chunk's border.  Plain words go to the model's merges directly; all other chunks
+    pass the normalizer and pre-tokenizer of the file.  Chunks are known by their 64-bit hash (some
+    26 bytes each with their ids); beyond ``cap`` of them all are forgotten.
     """
 
-    def __init__(self, path: str, cap: int = 150_000):
+    def __init__(self, path: str, cap: int = 1_500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import xxhash
         from tokenizers import Tokenizer
 
+        self.hash = xxhash.xxh3_64_intdigest
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.tokenizer.model
@@ -129,25 +127,14 @@ class ChunkEncoder:
         return known[path]
 
     def _forget(self) -> None:
-        self.number = _Numbering()
-        self.ids = np.zeros(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+        self.known = np.zeros(0, np.uint64)  # sorted
+        self.row = np.zeros(0, np.int32)  # of each known chunk in what follows
         self.lens = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
-        self.uses = np.zeros(0, np.int32)
-
-    def _forget_rare(self) -> None:
-        keep = np.zeros(len(self.uses), bool)
-        keep[np.argsort(-self.uses, kind="stable")[: self.cap // 2]] = True
-        chunks = list(compress(self.number, keep))
-        self.number = _Numbering(zip(chunks, range(len(chunks))))
-        self.ids = self.ids[ragged(self.starts[keep], self.lens[keep].astype(np.int64))]
-        self.lens, self.uses = self.lens[keep], self.uses[keep] // 2
-        self.starts = np.cumsum(self.lens, dtype=np.int64) - self.lens
-
-    def _learn(self, known: int) -> None:
-        new = list(islice(self.number, known, None))
-        if not new:
-            return
+        self.ids = np.zeros(0, np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
+
+    def _learn(self, new: list[str]) -> None:
+        """Append the ids of ``new`` chunks."""
         plain, plain_of, other, other_of = [], [], [], []
         for k, chunk in enumerate(new):
             if m := PLAIN.fullmatch(chunk):
@@ -170,26 +157,43 @@ class ChunkEncoder:
             words = np.fromiter((-1 if w is None else w for w in got.word_ids), np.int64, len(got))
             of.append(np.array(other_of, np.int64)[lo + words])
         of = np.concatenate(of)
-        order = np.argsort(of, kind="stable")
-        self.ids = np.concatenate([self.ids, np.concatenate(ids)[order]])
-        self.lens = np.concatenate([self.lens, np.bincount(of, minlength=len(new)).astype(np.int32)])
-        self.starts = np.cumsum(self.lens, dtype=np.int64) - self.lens
+        lens = np.bincount(of, minlength=len(new)).astype(np.int32)
+        self.starts = np.concatenate([self.starts, np.cumsum(lens, dtype=np.int64) - lens + len(self.ids)])
+        self.lens = np.concatenate([self.lens, lens])
+        self.ids = np.concatenate([self.ids, np.concatenate(ids)[np.argsort(of, kind="stable")]])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` one after the other, and the number of ids of each text."""
-        if len(self.number) > self.cap:
-            self._forget_rare()
-        known = len(self.number)
+        if len(self.known) > self.cap:
+            self._forget()
         chunks: list[str] = []
         ends = np.zeros(len(texts) + 1, np.int64)
         for k, t in enumerate(texts):
             if t:
+                if not EXOTIC.search(t):
+                    t = t.lower()  # as the normalizer would, and fewer chunks are distinct
                 chunks += t.replace("\n", " ").split(" ")
             ends[k + 1] = len(chunks)
-        at = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
-        self._learn(known)
-        self.uses = np.concatenate([self.uses, np.zeros(len(self.number) - known, np.int32)])
-        self.uses += np.bincount(at, minlength=len(self.uses)).astype(np.int32)
-        lens = self.lens[at].astype(np.int64)
+        codes, names = pd.factorize(np.fromiter(map(self.hash, chunks), np.uint64, len(chunks)))
+        order = np.argsort(names)
+        names, rank = names[order], np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        at = rank[codes]
+        some = np.empty(len(names), np.int64)  # a place where each is found
+        some[at] = np.arange(len(at))
+        place = np.searchsorted(self.known, names)
+        hit = np.zeros(len(names), bool)
+        inside = place < len(self.known)
+        hit[inside] = self.known[place[inside]] == names[inside]
+        rows = np.empty(len(names), np.int64)
+        rows[hit] = self.row[place[hit]]
+        if not hit.all():
+            new = ~hit
+            rows[new] = np.arange(len(self.lens), len(self.lens) + int(new.sum()))
+            self._learn([chunks[i] for i in some[new].tolist()])
+            self.known = np.insert(self.known, place[new], names[new])
+            self.row = np.insert(self.row, place[new], rows[new].astype(np.int32))
+        rows = rows[at]
+        lens = self.lens[rows].astype(np.int64)
         before = np.concatenate([[0], np.cumsum(lens)])[ends]
-        return self.ids[ragged(self.starts[at], lens)].astype(np.uint32), np.diff(before)
+        return self.ids[ragged(self.starts[rows], lens)].astype(np.uint32), np.diff(before)
