@@ -43,7 +43,8 @@ def _char(code: Column) -> Column:
 def unescape(c) -> Column:
     """Named and numeric character references decoded once, as a browser shows them."""
     x = col_of(c)
-    names = F.create_map(*[F.lit(v) for kv in ENTITIES.items() for v in kv])
+    # one constant, folded when the plan is made
+    names = F.str_to_map(F.lit("\x01".join(f"{k}\x02{v}" for k, v in ENTITIES.items())), F.lit("\x01"), F.lit("\x02"))
 
     def one(part):
         ref = F.regexp_extract(part, _CHARREF, 1)
