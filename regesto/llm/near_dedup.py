@@ -78,7 +78,7 @@ def set_name(found: np.ndarray) -> int:
 
 def signatures(rows: DataFrame) -> DataFrame:
     """did, th, node (null without words), n_shingles, sig of every row of ``keyed`` documents."""
-    schema = "did long, th int, node long, n_shingles long, sig binary"
+    schema = "did long, th long, node long, n_shingles long, sig binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "raw", SEGMENT):

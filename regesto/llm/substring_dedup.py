@@ -136,10 +136,10 @@ def segments(batches: Iterator[pa.RecordBatch], text: str, length: int) -> Itera
 
 
 def keyed(docs: DataFrame, *rest: str) -> DataFrame:
-    """did, th (these name a row; equal rows share them and fare alike) and the text's bytes."""
+    """did, th (64 bits; these name a row, equal rows share them and fare alike) and the text's bytes."""
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     did = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    return docs.select(did.alias("did"), F.hash("text").alias("th"), *rest, raw.alias("raw"))
+    return docs.select(did.alias("did"), F.xxhash64("text").alias("th"), *rest, raw.alias("raw"))
 
 
 def bloom(df: DataFrame, name: Column) -> np.ndarray:
@@ -195,7 +195,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
                 names=["g", "c", "did", "th", "packed"],
             )
 
-    spots = materialise(rows.mapInArrow(name_hulls, "g long, c long, did long, th int, packed long"), "anchor-occurrences")
+    spots = materialise(rows.mapInArrow(name_hulls, "g long, c long, did long, th long, packed long"), "anchor-occurrences")
     own = F.xxhash64("did", "th", "packed")
     hulls = materialise(spots.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(own).alias("chosen")), "hulls")
     groups = hulls.groupBy("g").agg(F.count("*").alias("n_hulls"), F.sum("n").alias("n_all"), F.min("n").alias("least")).where("n_all >= 2")
@@ -211,7 +211,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
 
     with_shown = by_doc.where(F.size("shown") > 0).select("did", "th", "shown")
     joined = split(rows, with_shown)[0].join(with_shown, ["did", "th"])
-    hull_schema = "g long, did long, th int, first long, lead int, open boolean, large boolean, hull binary"
+    hull_schema = "g long, did long, th long, first long, lead int, open boolean, large boolean, hull binary"
 
     def cut_hulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -226,7 +226,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
                     out.append((x["g"], did, th, first, lead, x["open"], x["large"], raw[first : first + more + length]))
             if out:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()))],
+                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.binary()))],
                     names=[x.split()[0] for x in hull_schema.split(", ")],
                 )
 
@@ -249,7 +249,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     def runs(batch: pa.RecordBatch, row, place) -> pa.RecordBatch:
         """Neighbouring window starts as (did, th, first * 2^16 + further starts)."""
         if not len(row):
-            return pa.RecordBatch.from_pydict({"did": pa.array([], pa.int64()), "th": pa.array([], pa.int32()), "part": pa.array([], pa.int64())})
+            return pa.RecordBatch.from_pydict({"did": pa.array([], pa.int64()), "th": pa.array([], pa.int64()), "part": pa.array([], pa.int64())})
         cut = np.r_[True, (np.diff(row) != 0) | (np.diff(place) != 1)]
         head = np.flatnonzero(cut)
         n = np.diff(np.r_[head, len(row)]) - 1
@@ -281,7 +281,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
         if held:
             yield found(held)
 
-    part_schema = "did long, th int, part long"
+    part_schema = "did long, th long, part long"
     small = shown_hulls.where("not large").repartition("g").sortWithinPartitions("g").mapInArrow(meet, part_schema)
 
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,7 +294,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
                 names=["name", "did", "th", "part", "open"],
             )
 
-    spelled = shown_hulls.where("large").mapInArrow(spell, "name long, did long, th int, part long, open boolean")
+    spelled = shown_hulls.where("large").mapInArrow(spell, "name long, did long, th long, part long, open boolean")
     twice = spelled.groupBy("name").agg(F.count("*").alias("n")).where("n >= 2").select("name")
     large = spelled.where("open").join(twice, "name").select("did", "th", "part")
     parts = small.unionByName(large).groupBy("did", "th").agg(F.collect_list("part").alias("part"))
@@ -351,7 +351,7 @@ def spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
                 out.append(np.stack([first[cut], end[np.r_[cut[1:] - 1, len(end) - 1]]], 1).ravel())
             yield pa.RecordBatch.from_arrays([batch.column("did"), batch.column("th"), pa.array(out, pa.list_(pa.int64()))], names=["did", "th", "spans"])
 
-    return materialise(both.mapInArrow(merge, "did long, th int, spans array<long>"), "removed-spans")
+    return materialise(both.mapInArrow(merge, "did long, th long, spans array<long>"), "removed-spans")
 
 
 def cut_texts(batch: pa.RecordBatch) -> list[tuple[bytes, bytes, list[int]]]:

@@ -6,6 +6,7 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests_llm_brute import (  # noqa: F401
     contaminated, cut_repeats, edge_docs, edge_rows, kept_bytes, near_groups, no_docs, quality, rows, shingle_set, substring_digest,
 )
@@ -158,6 +159,18 @@ def test_windows_of_a_periodic_text_and_a_shared_tail(spark):
     assert sorted(rows(substring_dedup.substring_dedup(df))) == sorted(want)
 
 
+def test_texts_of_one_id_that_share_a_32_bit_hash(spark):
+    made = spark.range(400_000).select(F.concat_ws(" ", *[F.sha2(F.concat_ws("-", "id", F.lit(k)), 512) for k in range(2)]).alias("text"))
+    same = made.groupBy(F.hash("text").alias("th")).agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a != b")
+    a, b = same.orderBy("th").select("a", "b").first()
+    data = [(None, a), (None, b), (7, a)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert sorted(rows(near_dedup.keep_one(df)), key=by_text) == sorted(data[:2], key=by_text)
+    want = [substring_digest(d, *x) for (d, _), x in zip(data, cut_repeats([t for _, t in data]))]
+    assert sorted(rows(substring_dedup.substring_dedup(df)), key=by_text) == sorted(want, key=by_text)
+    assert sorted(rows(substring_dedup.remove_repeats(df)), key=by_text) == sorted([(None, ""), (None, b), (7, "")], key=by_text)
+
+
 # -- decontamination
 
 
