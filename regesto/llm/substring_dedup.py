@@ -195,9 +195,11 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
                 names=["g", "c", "did", "th", "packed"],
             )
 
-    spots = materialise(rows.mapInArrow(name_hulls, "g long, c long, did long, th long, packed long"), "anchor-occurrences")
+    spots = rows.mapInArrow(name_hulls, "g long, c long, did long, th long, packed long")
+    # equal rows are one entry with a count from here on
+    spots = materialise(spots.groupBy("g", "c", "did", "th", "packed").agg(F.count("*").alias("times")), "anchor-occurrences")
     own = F.xxhash64("did", "th", "packed")
-    hulls = materialise(spots.groupBy("g", "c").agg(F.count("*").alias("n"), F.min(own).alias("chosen")), "hulls")
+    hulls = materialise(spots.groupBy("g", "c").agg(F.sum("times").alias("n"), F.min(own).alias("chosen")), "hulls")
     groups = hulls.groupBy("g").agg(F.count("*").alias("n_hulls"), F.sum("n").alias("n_all"), F.min("n").alias("least")).where("n_all >= 2")
     states = hulls.join(groups, "g").select("g", "c", "n", "chosen", "n_hulls", ((F.col("n_hulls") >= 2) & (F.col("least") == 1)).alias("mixed"))
     spots = spots.join(states, ["g", "c"])
@@ -210,7 +212,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) ->
     by_doc = materialise(by_doc, "anchor-states")  # at most an entry per anchor of the document
 
     with_shown = by_doc.where(F.size("shown") > 0).select("did", "th", "shown")
-    joined = split(rows, with_shown)[0].join(with_shown, ["did", "th"])
+    texts = split(rows, with_shown)[0].dropDuplicates(["did", "th"])  # one of equal rows shows their hulls
+    joined = texts.join(with_shown, ["did", "th"])
     hull_schema = "g long, did long, th long, first long, lead int, open boolean, large boolean, hull binary"
 
     def cut_hulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

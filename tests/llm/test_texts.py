@@ -171,6 +171,27 @@ def test_texts_of_one_id_that_share_a_32_bit_hash(spark):
     assert sorted(rows(substring_dedup.remove_repeats(df)), key=by_text) == sorted([(None, ""), (None, b), (7, "")], key=by_text)
 
 
+def test_many_equal_rows_are_one_entry_per_anchor(spark, monkeypatch):
+    rng = random.Random(7)
+    words = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    text, seen = words(900), {}
+    data = [(None, text)] * 40 + [(1, words(300) + text[100:420] + words(300)), (2, words(50) + text[500:790]), (2, words(400))]
+    keep = substring_dedup.materialise
+
+    def note(df, name):
+        seen[name] = keep(df, name)
+        return seen[name]
+
+    monkeypatch.setattr(substring_dedup, "materialise", note)
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    want = [substring_digest(d, *x) for (d, _), x in zip(data, cut_repeats([t for _, t in data]))]
+    assert sorted(rows(substring_dedup.substring_dedup(df)), key=by_text) == sorted(want, key=by_text)
+    states = [r.asDict() for r in seen["anchor-states"].collect()]
+    assert states and all(len(r[c]) == len(set(r[c])) for r in states for c in ("whole", "shown"))
+    hulls = rows(seen["open-hulls"], "g", "did", "th", "first", "lead")
+    assert any(h[1] == -(1 << 63) for h in hulls) and len(hulls) == len(set(hulls))
+
+
 # -- decontamination
 
 
