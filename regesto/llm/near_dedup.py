@@ -12,7 +12,8 @@ the exact rest for dense regions: whatever shares a prefix of ``DEPTH`` values a
 components is compared, by signatures, then by the names of its whole sets, inside the task, and
 what passes is confirmed too, so no cap on neighbours loses a link.  With
 similarity 0.85 two documents share such a prefix in one of 24 trees but for one in 5 * 10^7, with
-0.8 but for one in 3 * 10^5.
+0.8 but for one in 3 * 10^5.  Signatures that agree in too few values to be compared add at most
+a hundredth to that.
 
 Orders are range-partitioned, so a region with a third of all nodes lies over many tasks; in
 round two regions are cut into blocks that meet pairwise.  Texts are sent to a confirmation once
@@ -23,6 +24,7 @@ steps on links alone.  Shingles and nodes are named by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -141,26 +143,33 @@ def forest(nodes: DataFrame) -> DataFrame:
 
 
 def _threshold(percent: int) -> int:
-    """Equal values that a pair must show to be looked at: four standard deviations below."""
+    """Equal values that a pair must show to be looked at.
+
+    A pair at the limit shows fewer with at most a hundredth of the chance that no tree has it.
+    """
     t = percent / 100
-    return int(np.floor(SIZE * (t - 4 * np.sqrt(t * (1 - t) / SIZE))))
+    miss, below, k = (1 - t**DEPTH) ** TREES / 100, 0.0, 0
+    while below + (p := comb(SIZE, k) * t**k * (1 - t) ** (SIZE - k)) <= miss:
+        below, k = below + p, k + 1
+    return k
 
 
-def _alike(sig, n, i, j, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Whether sizes and signatures allow the pairs i, j; and the equal values."""
+def _alike(sig, n, i, j, percent: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Whether sizes and signatures (``least`` equal values) allow the pairs i, j; and the equal values."""
     equal = np.zeros(len(i), np.int64)
     fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
     some = np.flatnonzero(fits)
     for lo in range(0, len(some), 1 << 16):
         part = some[lo : lo + (1 << 16)]
         equal[part] = (sig[i[part]] == sig[j[part]]).sum(1)
-    return fits & (equal >= _threshold(percent)), equal
+    return fits & (equal >= least), equal
 
 
 def proposals(entries: DataFrame, percent: int) -> DataFrame:
     """node, other: at most two proposals of each node from its neighbours in all orders."""
     ordered = entries.repartitionByRange("key", "sig", "node").sortWithinPartitions("key", "sig", "node")
     schema = "node long, equal long, best long, least long"
+    needed = _threshold(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried = None
@@ -177,7 +186,7 @@ def proposals(entries: DataFrame, percent: int) -> DataFrame:
                 i = i[key[i] == key[i + reach]]
                 if not len(i):
                     break
-                ok, equal = _alike(sig, n, i, i + reach, percent)
+                ok, equal = _alike(sig, n, i, i + reach, percent, needed)
                 first.append(node[i[ok]])
                 second.append(node[i[ok] + reach])
                 equals.append(equal[ok])
@@ -320,6 +329,7 @@ def rest(entries: DataFrame, parts: DataFrame, places: DataFrame, rows: DataFram
     side = F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
     dealt = dealt.select(bucket.alias("bucket"), side.cast("int").alias("side"), "node", "root", "n", "sig").join(sets, "node")
     stream = dealt.repartition("bucket").sortWithinPartitions("bucket", "sig", "node")
+    needed = _threshold(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found(held: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -334,7 +344,7 @@ def rest(entries: DataFrame, parts: DataFrame, places: DataFrame, rows: DataFram
                     break
                 j = at + reach
                 i = at[(root[at] != root[j]) & ((side_[at] != side_[j]) | (side_[at] == 2))]
-                ok, _ = _alike(sig, n, i, i + reach, percent)
+                ok, _ = _alike(sig, n, i, i + reach, percent, needed)
                 firsts.append(i[ok])
                 seconds.append(i[ok] + reach)
             i, j = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (firsts, seconds))

@@ -1,6 +1,7 @@
 """Quality rules, near-duplicates, repeated strings, decontamination, classifiers and the pipeline."""
 
 import collections
+import math
 import random
 
 import duckdb
@@ -115,6 +116,23 @@ def test_a_large_dense_group_is_one_component(spark):
     assert [got[d] for d, _ in texts] == [texts[r][0] for r in roots]
 
 
+def test_a_pair_at_the_limit_whose_signatures_agree_little(spark):
+    words = [f"w15358x{k}" for k in range(24)]
+    texts = [" ".join(words[:22]), " ".join(words[2:])]
+    sets = [shingle_set(t) for t in texts]
+    assert 100 * len(sets[0] & sets[1]) == 80 * len(sets[0] | sets[1])
+    a, b = (near_dedup.signature(near_dedup.shingles(t.encode())) for t in texts)
+    assert (a == b).sum() < 61  # four standard deviations below 80 %
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(rows(near_dedup.near_duplicates(df, 80), "doc_id", "component_id")) == [(0, 0), (1, 0)]
+
+
+def test_signatures_lose_less_than_the_forest():
+    for t in (0.8, 0.85):
+        chances = [math.comb(near_dedup.SIZE, k) * t**k * (1 - t) ** (near_dedup.SIZE - k) for k in range(near_dedup._threshold(round(100 * t)))]
+        assert sum(chances) <= (1 - t**near_dedup.DEPTH) ** near_dedup.TREES / 100
+
+
 def test_components_of_long_chains(spark):
     rng = random.Random(8)
     ids = rng.sample(range(10**9), 300)
