@@ -2,11 +2,11 @@
 
 Pieces and gaps are whole numbers up to the sequence length, so both sorted lists are held
 run-length coded: one run of equal pieces per length, one run of equal gaps per size.  A round
-takes the longest pieces not yet placed and sweeps the gaps upwards from their length: every run
-of gaps met on the way serves as many pieces as it has gaps; pieces that no gap holds open new
-sequences.  Within a run all pieces want the same gap; the conflict is resolved by rank: the
-r-th piece of a length takes the r-th gap of the run.  Then the gaps shrink and move to their new
-runs, and the next round starts.  That gives best-fit decreasing exactly.
+takes the longest pieces not yet placed and sweeps the gaps upwards from their length: a gap that
+took a piece and holds another is the best for the next one, so each gap of a run met on the way
+is filled with pieces of the length; pieces that no gap holds open new sequences.  The conflict
+within a run is resolved by rank.  Then the gaps shrink and move to their new runs, and the next
+round starts.  The gaps left are those of best-fit decreasing, piece by piece.
 
 What a sweep works on is bounded by the sequence length alone (at most ``capacity`` runs either
 side), whatever the number of documents, and so is the plan of moves that it makes.  Spark counts
@@ -98,45 +98,45 @@ def plan_moves(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[i
                 insort(sizes, size)
             gaps[size].append((first, end))
 
+    def fill(length: int, rank: int, left: int, size: int, first: int, end: int) -> int:
+        """Pieces put into gaps [first, end) of ``size``: a gap that took one is the best for the next."""
+        each = size // length
+        full = min(end - first, left // each)
+        more = left - full * each if full < end - first else 0
+        at = capacity - size
+        if full:
+            for k in range(each):
+                moves.append((length, rank + k * full, rank + (k + 1) * full, first, at + k * length))
+            shrunk.append((size - each * length, first, first + full))
+        if more:
+            for k in range(more):
+                r = rank + full * each + k
+                moves.append((length, r, r + 1, first + full, at + k * length))
+            shrunk.append((size - more * length, first + full, first + full + 1))
+        rest = first + full + bool(more)
+        if rest < end:
+            shrunk.append((size, rest, end))
+        return full * each + more
+
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
-        moved: list[tuple[int, int, int]] = []
+        shrunk: list[tuple[int, int, int]] = []
         at = bisect_left(sizes, length)
         while left and at < len(sizes):  # the sweep: smallest gap that holds the piece, and upwards
             size = sizes[at]
             spans = gaps[size]
             while left and spans:
-                first, end = spans.pop()
-                taken = min(left, end - first)
-                if first + taken < end:
-                    spans.append((first + taken, end))
-                moves.append((length, rank, rank + taken, first, capacity - size))
-                moved.append((size - length, first, first + taken))
-                rank, left = rank + taken, left - taken
+                placed = fill(length, rank, left, size, *spans.pop())
+                rank, left = rank + placed, left - placed
             if spans:
                 break
             del gaps[size]
             sizes.pop(at)
-        # a gap that took a piece may take another of this length, and new sequences several
-        while left:
-            again = [m for m in moved if m[0] >= length]
-            if again:
-                moved = [m for m in moved if m[0] < length]
-                for size, first, end in sorted(again):
-                    taken = min(left, end - first)
-                    if taken:
-                        moves.append((length, rank, rank + taken, first, capacity - size))
-                        moved.append((size - length, first, first + taken))
-                    if taken < end - first:
-                        free(size, first + taken, end)
-                    rank, left = rank + taken, left - taken
-                continue
+        if left:
             need = -(-left // (capacity // length))
-            taken = min(left, need)
-            moves.append((length, rank, rank + taken, opened, 0))
-            moved.append((capacity - length, opened, opened + taken))
-            opened, rank, left = opened + taken, rank + taken, left - taken
-        for size, first, end in moved:
+            fill(length, rank, left, capacity, opened, opened + need)
+            opened += need
+        for size, first, end in shrunk:
             free(size, first, end)
     return moves
 
@@ -147,7 +147,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     per_part = pieces.groupBy("part", "length").agg((F.max("part_rank") + 1).alias("n"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_part.select("part", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    # at most `capacity` rows reach the driver, and at most capacity^2 / 2 moves go back
+    # at most `capacity` rows reach the driver; the moves that go back follow the runs, not the pieces
     counts = {r["length"]: r["n"] for r in per_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     moves = spark.createDataFrame(
         plan_moves(counts, capacity) or [], "m_length long, rank_from long, rank_to long, sequence long, at long"

@@ -200,6 +200,28 @@ def test_a_reader_decompresses_only_what_it_needs_and_checks_it():
 # -- packing
 
 
+def gaps_of_best_fit(lengths, capacity):
+    """Free places of the sequences, piece by piece: each into the smallest gap that holds it."""
+    gaps = []
+    for n in sorted(lengths, reverse=True):
+        fits = [g for g in gaps if g >= n]
+        if fits:
+            gaps.remove(min(fits))
+        gaps.append((min(fits) if fits else capacity) - n)
+    return sorted(gaps)
+
+
+def test_the_plan_leaves_the_gaps_of_best_fit_decreasing():
+    rng = random.Random(8)
+    cases = [([6, 5, 2, 2], 10)] + [([rng.randint(1, c) for _ in range(rng.randint(1, 80))], c) for c in [9, 10, 31, 64] * 100]
+    for lengths, capacity in cases:
+        used = collections.Counter()
+        for n, a, b, first, _ in packing.plan_moves(dict(collections.Counter(lengths)), capacity):
+            for r in range(b - a):
+                used[first + r] += n
+        assert sorted(capacity - u for u in used.values()) == gaps_of_best_fit(lengths, capacity)
+
+
 def check_packing(got, docs, plain, capacity):
     want = collections.Counter()
     total = full = 0
