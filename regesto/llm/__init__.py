@@ -30,4 +30,4 @@ def query(name: str, oracle: str | None = None):
 
 
 def load_all() -> None:
-    from regesto.llm import chat, collocations, decontaminate, near_dedup, packing, quality_model, quality_rules, spelling, substring_dedup, token_counts, token_files, toxicity  # noqa: F401
+    from regesto.llm import chat, collocations, decontaminate, near_dedup, ngram_join, packing, quality_model, quality_rules, spelling, substring_dedup, token_counts, token_files, toxicity  # noqa: F401
