@@ -23,8 +23,14 @@ from regesto.functions.text import norm_ws
 
 # ----------------------------------------------------------------------------- regex forms
 
-HREF_RX = r"""(?is)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
-ANCHOR_RX = r"(?is)<a\s([^>]*)>(.*?)</a>"
+# A start tag as a browser reads it: a value in double quotes, in single quotes or in none, and a
+# quote or ``>`` inside a quoted value ends nothing.  Possessive, so no page makes a match slow.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+_NAME = r"[^\s/>][^\s=/>]*+"
+_ATTR = rf"(?:[\s/]*+{_NAME}(?:\s*+=\s*+{_VALUE})?+)"
+START_TAG_END = rf"{_ATTR}*+[\s/]*+>"
+ANCHOR_RX = rf"(?is)<a(?=[\s/])({_ATTR}*+)[\s/]*+>(.*?)</a\s*+>"
+HIDDEN_RX = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
 TAG_RX = r"(?s)<[^>]*>"
 
 
@@ -76,10 +82,54 @@ def page_text(html="html") -> Column:
     return inner_text(x)
 
 
+def attr_is(name: str, value_rx: str) -> str:
+    """Regex for the attributes of a start tag up to the first ``name``, whose whole value must match
+    ``value_rx`` (which matches no quote)."""
+    v = rf"(?:{value_rx})"
+    return rf"""(?:(?![\s/]*+{name}[\s=/>]){_ATTR})*+[\s/]*+{name}\s*+=\s*+(?:"{v}"|'{v}'|{v}(?=[\s>]))"""
+
+
+def has_class(cls: str) -> str:
+    """``attr_is`` for a class among others."""
+    return attr_is("class", rf"""(?:[^"'>]*\s)?{cls}(?:\s[^"'>]*)?""")
+
+
+def unquote(c) -> Column:
+    """An attribute's value without its quotes, character references decoded once."""
+    x = col_of(c)
+    quoted = F.substring(x, 1, 1).isin('"', "'")
+    return let(F.when(quoted, F.substr(x, F.lit(2), F.length(x) - 2)).otherwise(x), unescape)
+
+
+def attr_map(attrs) -> Column:
+    """MAP of lower-cased names to values of a start tag's attribute text; of two with one name the
+    first counts, one without a value is ''."""
+    tokens = F.regexp_extract_all(col_of(attrs), F.lit(rf"(?s){_ATTR}"), F.lit(0))
+    pairs = F.transform(tokens, lambda t: F.struct(
+        F.lower(F.regexp_extract(t, rf"(?s)^[\s/]*+({_NAME})", 1)).alias("key"),
+        unquote(F.regexp_extract(t, rf"(?s)^[\s/]*+{_NAME}\s*+=\s*+(.*)$", 1)).alias("value"),
+    ))
+
+    def first(ps):
+        names = F.transform(ps, lambda p: p["key"])
+        return F.map_from_entries(F.filter(ps, lambda p, i: F.array_position(names, p["key"]) == i + 1))
+
+    return let(pairs, first)
+
+
+def visible(html) -> Column:
+    """The html without comments, scripts and styles."""
+    return F.regexp_replace(col_of(html), HIDDEN_RX, " ")
+
+
 def element_html(html, tag: str, attr_rx: str = "") -> Column:
-    """Inner html of the first ``<tag ...attr_rx...>`` up to its own end tag; NULL if there is none."""
-    h = col_of(html)
-    start = rf"(?is)<{tag}\b[^>]*{attr_rx}[^>]*>"
+    """Inner html of the first ``<tag>`` up to its own end tag; NULL if there is none.  ``attr_rx``
+    is what ``attr_is`` gives; comments, scripts and styles are no content."""
+    return let(visible(html), lambda h: _element_html(h, tag, attr_rx))
+
+
+def _element_html(h: Column, tag: str, attr_rx: str) -> Column:
+    start = rf"(?is)<{tag}(?=[\s/>]){attr_rx}{START_TAG_END}"
     border = rf"(?is)</?{tag}\b[^>]*>"
     first = F.regexp_extract(h, rf"{start}(.*?)</{tag}\s*>", 1)
 
@@ -121,8 +171,9 @@ def first_heading(html="html", tags=("h1", "h2", "h3", "h4")) -> Column:
 
 
 def attr_values(html, tag: str, attr: str) -> Column:
-    """All values of ``attr`` on ``tag`` elements, in page order."""
-    return F.regexp_extract_all(col_of(html), F.lit(rf"""(?is)<{tag}\b[^>]*?\s{attr}\s*=\s*["']([^"']*)["']"""), F.lit(1))
+    """All values of ``attr`` on ``tag`` elements, in page order; comments and scripts hold no element."""
+    rx_ = rf"(?is)<{tag}(?=[\s/>])(?:(?![\s/]*+{attr}[\s=/>]){_ATTR})*+[\s/]*+{attr}\s*+=\s*+({_VALUE}?)"
+    return F.transform(F.regexp_extract_all(visible(html), F.lit(rx_), F.lit(1)), unquote)
 
 
 def attr_regex(html, tag: str, attr: str, value_rx: str) -> Column:
@@ -133,7 +184,7 @@ def attr_regex(html, tag: str, attr: str, value_rx: str) -> Column:
 
 def extract_links(pages: DataFrame, pattern: str | None = None, html: str = "html", keep=("page_id", "url")) -> DataFrame:
     """HTM-1: one row per ``<a href>`` (regex form), 1-based ``pos`` in page order, optional href regex."""
-    out = pages.select(*keep, F.posexplode(F.regexp_extract_all(col_of(html), F.lit(HREF_RX), F.lit(1))).alias("pos0", "href"))
+    out = pages.select(*keep, F.posexplode(attr_values(html, "a", "href")).alias("pos0", "href"))
     out = out.withColumn("pos", (F.col("pos0") + 1).cast("int")).drop("pos0")
     if pattern:
         out = out.filter(F.col("href").rlike(pattern))
@@ -142,18 +193,13 @@ def extract_links(pages: DataFrame, pattern: str | None = None, html: str = "htm
 
 def extract_anchors(pages: DataFrame, html: str = "html", keep=("page_id", "url")) -> DataFrame:
     """HTM-2: href with anchor text, ``title`` and ``class`` attributes, 1-based ``pos``."""
-    attrs = F.regexp_extract_all(col_of(html), F.lit(ANCHOR_RX), F.lit(1))
-    inner = F.regexp_extract_all(col_of(html), F.lit(ANCHOR_RX), F.lit(2))
-    z = pages.select(*keep, F.posexplode(F.arrays_zip(attrs.alias("a"), inner.alias("t"))).alias("pos0", "z"))
-    a = F.col("z.a")
-    return z.select(
-        *keep,
-        (F.col("pos0") + 1).cast("int").alias("pos"),
-        nz(F.regexp_extract(a, r"""(?is)(?:^|\s)href\s*=\s*["']([^"']*)["']""", 1)).alias("href"),
-        inner_text(F.col("z.t")).alias("text"),
-        nz(F.regexp_extract(a, r"""(?is)(?:^|\s)title\s*=\s*["']([^"']*)["']""", 1)).alias("title"),
-        nz(F.regexp_extract(a, r"""(?is)(?:^|\s)class\s*=\s*["']([^"']*)["']""", 1)).alias("cls"),
-    )
+    def both(h):
+        return F.arrays_zip(F.regexp_extract_all(h, F.lit(ANCHOR_RX), F.lit(1)).alias("a"), F.regexp_extract_all(h, F.lit(ANCHOR_RX), F.lit(2)).alias("t"))
+
+    z = pages.select(*keep, F.posexplode(let(visible(html), both)).alias("pos0", "z"))
+    z = z.select(*keep, (F.col("pos0") + 1).cast("int").alias("pos"), attr_map("z.a").alias("__attrs"), F.col("z.t").alias("__inner"))
+    value = lambda name: nz(F.try_element_at("__attrs", F.lit(name)))
+    return z.select(*keep, "pos", value("href").alias("href"), inner_text("__inner").alias("text"), value("title").alias("title"), value("class").alias("cls"))
 
 
 # ----------------------------------------------------------------------------- parse_dom (one Arrow pass)

@@ -71,7 +71,7 @@ def listing_links(region: str, listing: DataFrame) -> DataFrame:
     keep = ("source", "page_no", "url", *(("category",) if rule.by_category else ()))
     found = H.extract_anchors(pages, keep=keep).filter(F.col("href").contains(rule.link))
     links = found.select(
-        *[c for c in keep if c != "url"], "pos", U.url_join(F.col("url"), H.unescape("href")).alias("url"), F.col("text").alias("link_text")
+        *[c for c in keep if c != "url"], "pos", U.url_join(F.col("url"), F.col("href")).alias("url"), F.col("text").alias("link_text")
     )
     if rule.stop == "empty":
         counts = links.groupBy("source", "page_no").agg(F.count(F.lit(1)).alias("n_links"))

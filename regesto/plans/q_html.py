@@ -9,7 +9,7 @@ from regesto.functions import keys as K
 from regesto.functions import urls as U
 from regesto.plans.q_scalars import norm_ws_sql
 from regesto.plans.registry import query
-from regesto.sources.fixtures import table, view
+from regesto.sources.fixtures import VIEW_DEPS, VIEW_SQL, table, view
 
 
 def sql_str(s: str) -> str:
@@ -33,11 +33,19 @@ def inner_text_sql(x: str) -> str:
 BASE = "https://portal.example"
 
 
+# the links of the test pages, as those are written: one attribute, in double quotes
+_PAGE_LINK = r'<a href="([^"]*)">(.*?)</a>'
+
+
+def _page_links(group: int) -> str:
+    return f"regexp_extract_all(html, {sql_str(_PAGE_LINK)}, {group})"
+
+
 @query("html_links", f"""
 SELECT page_id, url, cast(pos as int) AS pos, href,
   CASE WHEN starts_with(href, 'http') THEN href ELSE concat('{BASE}', href) END AS abs_url
 FROM (SELECT page_id, url, unnest(arr) AS href, unnest(range(1, len(arr) + 1)) AS pos
-      FROM (SELECT page_id, url, regexp_extract_all(html, {sql_str(H.HREF_RX)}, 1) AS arr FROM pages))
+      FROM (SELECT page_id, url, {_page_links(1)} AS arr FROM pages))
 WHERE NOT (href IS NULL OR trim(href) = '' OR contains(lower(href), 'javascript'))""", ops="HTM-1 URL-1 URL-6")
 def html_links(spark, sf):
     links = H.extract_links(table(spark, sf, "pages"))
@@ -46,24 +54,50 @@ def html_links(spark, sf):
     )
 
 
-_ATTR_HREF = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
-_ATTR_TITLE = r"""(?is)\btitle\s*=\s*["']([^"']*)["']"""
-_ATTR_CLASS = r"""(?is)\bclass\s*=\s*["']([^"']*)["']"""
-
-
 @query("html_anchors", f"""
-SELECT page_id, url, cast(pos as int) AS pos,
-  nullif(regexp_extract(a, {sql_str(_ATTR_HREF)}, 1), '') AS href,
-  {inner_text_sql('t')} AS text,
-  nullif(regexp_extract(a, {sql_str(_ATTR_TITLE)}, 1), '') AS title,
-  nullif(regexp_extract(a, {sql_str(_ATTR_CLASS)}, 1), '') AS cls
-FROM (SELECT page_id, url, unnest(aa) AS a, unnest(tt) AS t, unnest(range(1, len(aa) + 1)) AS pos
-      FROM (SELECT page_id, url, regexp_extract_all(html, {sql_str(H.ANCHOR_RX)}, 1) AS aa,
-                   regexp_extract_all(html, {sql_str(H.ANCHOR_RX)}, 2) AS tt FROM pages))""", ops="HTM-2")
+SELECT page_id, url, cast(pos as int) AS pos, nullif(href, '') AS href, {inner_text_sql('t')} AS text,
+  cast(NULL as varchar) AS title, cast(NULL as varchar) AS cls
+FROM (SELECT page_id, url, unnest(aa) AS href, unnest(tt) AS t, unnest(range(1, len(aa) + 1)) AS pos
+      FROM (SELECT page_id, url, {_page_links(1)} AS aa, {_page_links(2)} AS tt FROM pages))""", ops="HTM-2")
 def html_anchors(spark, sf):
     return H.extract_anchors(table(spark, sf, "pages"))
 
 
+# four anchors per law, with every kind of quote; what a browser reads stands beside them
+_ATTR_ROWS = """
+SELECT law_id AS page_id, 1 AS pos, concat('/u/', cast(law_id as string)) AS href, 'Testo' AS text,
+       concat('L', chr(39), 'atto > n. ', cast(no as string)) AS title, 'b x' AS cls FROM law_headers
+UNION ALL SELECT law_id, 2, concat('/v?a=1&b=', cast(law_id as string)), concat('B & ', region),
+       concat('detto ', chr(34), region, chr(34), ' è'), NULL FROM law_headers
+UNION ALL SELECT law_id, 3, NULL, 'senza', NULL, 'first' FROM law_headers
+UNION ALL SELECT law_id, 4, concat('/l', chr(39), 'acqua'), hdr, NULL, NULL FROM law_headers"""
+VIEW_SQL["attr_pages"] = """
+SELECT law_id AS page_id, concat('https://x.example/', cast(law_id as string)) AS url,
+  concat('<p><!-- <a href="/no">no</a> --><script>var a = "<a href=/no2>";</script><a class=', chr(39), 'b x', chr(39),
+         ' title="L', chr(39), 'atto > n. ', cast(no as string), '" href=/u/', cast(law_id as string), '>Testo</a>',
+         '<A data-href="/z" HREF = ', chr(39), '/v?a=1&amp;b=', cast(law_id as string), chr(39), ' title=', chr(39), 'detto ', chr(34), region, chr(34),
+         ' &egrave;', chr(39), '>B &amp; ', region, '</A><a name="n" disabled class=first class="second">senza</a>',
+         '<a href="/l', chr(39), 'acqua"title>', hdr, '</a></p>') AS html
+FROM law_headers"""
+VIEW_DEPS["attr_pages"] = ("law_headers",)
+
+
+@query("html_quotes", _ATTR_ROWS, views=["law_headers"], ops="HTM-2")
+def html_quotes(spark, sf):
+    """Attributes in double quotes, in single quotes, in none, in any case, twice and without a value."""
+    return H.extract_anchors(view(spark, sf, "attr_pages"), keep=("page_id",))
+
+
+@query("html_attr_values", f"""
+SELECT page_id, list(href ORDER BY pos) AS hrefs, regexp_extract(max(CASE WHEN pos = 2 THEN href END), 'b=([0-9]+)', 1) AS second
+FROM ({_ATTR_ROWS}) x WHERE href IS NOT NULL GROUP BY page_id""", views=["law_headers"], ops="HTM-1 HTM-10")
+def html_attr_values(spark, sf):
+    p = view(spark, sf, "attr_pages")
+    links = H.extract_links(p, keep=("page_id", "html"))
+    hrefs = F.transform(F.array_sort(F.collect_list(F.struct("pos", "href"))), lambda x: x["href"])
+    return links.groupBy("page_id").agg(hrefs.alias("hrefs"), F.min(H.attr_regex("html", "a", "href", r"b=(\d+)")).alias("second"))
+
+
 _PT = "html"
 for _rx in (r"(?is)<script\b.*?</script\s*>", r"(?is)<style\b.*?</style\s*>", r"(?s)<!--.*?-->"):
     _PT = f"regexp_replace({_PT}, {sql_str(_rx)}, ' ', 'g')"
@@ -107,7 +141,7 @@ def html_elements(spark, sf):
 @query("dom_page_links", f"""
 SELECT page_id, cast(pos as int) AS pos, {unescape_sql('href')} AS href
 FROM (SELECT page_id, unnest(arr) AS href, unnest(range(1, len(arr) + 1)) AS pos
-      FROM (SELECT page_id, regexp_extract_all(html, {sql_str(H.HREF_RX)}, 1) AS arr FROM pages))""", ops="HTM-0")
+      FROM (SELECT page_id, {_page_links(1)} AS arr FROM pages))""", ops="HTM-0")
 def dom_page_links(spark, sf):
     """The one Arrow pass over the given pages."""
     dom = H.parse_dom(table(spark, sf, "pages"), parts=("links",))

@@ -133,7 +133,7 @@ ORACLE_SELECTS: dict[str, str] = {
                      ELSE concat('ValleAosta_ID_', {ID}, '.pdf') END"""),
     "emilia": oracle_select(
         region="'Emilia-Romagna'",
-        law_title=f"""CASE {FORM} WHEN 0 THEN concat('Legge regionale ', {DIT}, ', n.', {NO})
+        law_title=f"""CASE {FORM} WHEN 0 THEN concat('Legge regionale ', {DIT}, ', n.', {NO}, ' sull', chr(39), 'acqua')
                       WHEN 2 THEN concat('Legge regionale ', {DITD}, ', n.', {NO}) ELSE hdr END""",
         law_number=_num_or("Unknown", f"{FORM} IN (1, 3)"),
         date_text=f"CASE WHEN {FORM} IN (0, 2) THEN concat({DAY2}, ' ', {IT}, ' ', {YEAR}) ELSE 'Unknown' END",

@@ -30,12 +30,14 @@ LAW_INDEX = [(f.name, f.dataType.simpleString()) for f in LAW_INDEX_SCHEMA.field
 
 # The patterns of the regional profiles (what each portal's pages say, as the
 # region scripts read them; ``°`` is accepted after a day everywhere, quirk Q7).
-SELECT_BUTTON_RX = r"""(?i)<input\b[^>]*\ssrc\s*=\s*["'][^"']*Btn_Selezione\.png"""
+SELECT_BUTTON_RX = rf"""(?i)<input(?=[\s/]){H.attr_is("src", r"[^\"'>]*Btn_Selezione[.]png")}"""
 DATE_CELL_RX = r"(\d{2})/(\d{2})/(\d{4})"
 ROW_RX = r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"
 CELL_RX = r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]\s*>"
 CAMPANIA_DATE_RX = r"(?iU)(\d{1,2}°?\s+[a-zàèìòù]+\s+\d{4})"
-FVG_TITLE_RX = r"""\sid\s*=\s*["'](?:PageBody_lbOggettolegge["']|[^"']*(?:lblOggetto|lblTitolo))"""
+FVG_TITLE_RX = r"""PageBody_lbOggettolegge|[^"'>]*(?:lblOggetto|lblTitolo)[^"'>]*"""
+FVG_CATEGORY_RX = r"""[^"'>]*Lista\.aspx\?materia=[^"'>]*"""
+FVG_PDF_ID = "PageBody_aPdf"
 FVG_DATE_RX = r"(\d{1,2})°?[\s.\-/]+([a-zA-Z]+)[\s.\-/]+(\d{4})"
 LAZIO_NO_BODY_RX = r"(?i)Numero(?: della legge)?[:\s]*([0-9]+)"
 LAZIO_DATE_BODY_RX = r"(?iU)Data[:\s]*([0-3]?\d\s+[A-Za-zàèéìòù]+\s+\d{4}|[0-3]?\d[/\-][0-1]?\d[/\-]\d{2,4})"
@@ -119,8 +121,7 @@ def _given(df: DataFrame, name: str, kind: str = "string") -> Column:
 
 def _span(id_: str, prefix: bool = False) -> Column:
     """Text of the first ``<span>`` with this id (or id prefix), regex form."""
-    quote_end = "" if prefix else "[\"']"
-    return H.element_text("html", "span", rf"""\sid\s*=\s*["']{id_}{quote_end}""")
+    return H.element_text("html", "span", H.attr_is("id", id_ + ("[^\"'>]*" if prefix else "")))
 
 
 def _block(id_=None, cls=None, prefix=None, clean=True) -> Column:
@@ -149,7 +150,7 @@ def extract_basilicata(pages: DataFrame) -> DataFrame:
     """Rows of the ``GVElenco`` grid with a select button: longest plain cell = title, last number cell, last date cell.
     The grid is flat markup, so rows and cells are regex forms (no Python pass)."""
     p = _flat(pages)
-    grid = H.element_html("html", "table", r"""\sid\s*=\s*["'][^"']*GVElenco""")
+    grid = H.element_html("html", "table", H.attr_is("id", "[^\"'>]*GVElenco[^\"'>]*"))
     rows = F.filter(F.regexp_extract_all(grid, F.lit(ROW_RX), F.lit(1)), lambda r: r.rlike(SELECT_BUTTON_RX))
     x = p.select("url", F.explode(rows).alias("row"))
     texts = F.transform(F.regexp_extract_all("row", F.lit(CELL_RX), F.lit(1)), H.inner_text)
@@ -255,15 +256,18 @@ def fvg_date_display(raw: Column) -> Column:
 def extract_friuli(pages: DataFrame) -> DataFrame:
     """Category pages with IndiceLex rows; Success rows only."""
     p = _flat(pages, "IndiceLex", contains=True)
-    title = F.coalesce(H.element_text("html", "span", FVG_TITLE_RX), F.lit("Title Not Found"))
-    cat_html = rx("html", r"""(?is)<a\b[^>]*href\s*=\s*["'][^"']*Lista\.aspx\?materia=[^"']*["'][^>]*>(.*?)</a\s*>""")
-    has_pdf = F.exists(H.attr_values("html", "a", "href"), lambda h: F.lower(h).endswith(".pdf"))
+    title = F.coalesce(H.element_text("html", "span", H.attr_is("id", FVG_TITLE_RX)), F.lit("Title Not Found"))
+    # the button is known by its id or by what it says, whatever its link ends with
+    anchors = F.regexp_extract_all("html", F.lit(H.ANCHOR_RX), F.lit(0))
+    by_id = F.col("html").rlike(rf"(?i)<a(?=[\s/]){H.attr_is('id', FVG_PDF_ID)}")
+    has_pdf = by_id | F.exists(anchors, lambda a: F.contains(H.inner_text(a), F.lit("PDF")))
+    category = H.element_text("html", "a", H.attr_is("href", FVG_CATEGORY_RX))
     x = p.select(
         "url",
         title.alias("title"),
         F.coalesce(_span("PageBody_lbNumLegge"), N.law_no(title), F.lit("0")).alias("no"),
         F.coalesce(_span("lblData", prefix=True), F.lit("")).alias("raw_date"),
-        F.coalesce(_given(p, "category"), H.inner_text(cat_html)).alias("category"),
+        F.coalesce(_given(p, "category"), category).alias("category"),
         F.when(has_pdf, F.lit("Success")).otherwise(F.lit("Failed")).alias("status"),
     )
     x = P.successful_only(x, "status", "Success").withColumn("shown", fvg_date_display(F.col("raw_date")))
@@ -318,7 +322,7 @@ def extract_liguria(pages: DataFrame) -> DataFrame:
 def extract_toscana(pages: DataFrame) -> DataFrame:
     """As Liguria with the ``#titolo_doc`` title; Region Toscana, file prefix Tuscany."""
     p = _flat(pages, "articolo\\?urndoc=")
-    title = H.element_text("html", "div", r"""\sid\s*=\s*["']titolo_doc["']""")
+    title = H.element_text("html", "div", H.attr_is("id", "titolo_doc"))
     return _header_law(p, H.page_text("html"), "Toscana", "Tuscany", title, "Unknown Title")
 
 
@@ -423,7 +427,7 @@ def extract_piemonte(pages: DataFrame, payload: str | None = None, min_bytes: in
 def extract_puglia(pages: DataFrame) -> DataFrame:
     """Fields by element id; title = first centred paragraph over 15 characters."""
     p = _flat(pages, "LeggeNavscroll.aspx", contains=True)
-    centred = F.transform(F.regexp_extract_all("html", F.lit(r"""(?is)<p\b[^>]*\salign\s*=\s*["']center["'][^>]*>(.*?)</p\s*>"""), F.lit(1)), H.inner_text)
+    centred = F.transform(F.regexp_extract_all("html", F.lit(rf"(?is)<p(?=[\s/]){H.attr_is('align', 'center')}{H.START_TAG_END}(.*?)</p\s*>"), F.lit(1)), H.inner_text)
     title = F.try_element_at(F.filter(centred, lambda t: F.length(t) > 15), F.lit(1))
 
     def by_id(i):
@@ -516,8 +520,8 @@ def extract_umbria(pages: DataFrame) -> DataFrame:
 def extract_veneto(pages: DataFrame) -> DataFrame:
     """``p.font-18`` title; number and date from the h2 pattern; no PDF button -> 'No PDF'."""
     p = _flat(pages, "dettaglio-legge", contains=True)
-    h2 = F.coalesce(H.element_text("html", "h2", r"""\sclass\s*=\s*["'](?:[^"']*\s)?title[\s"']"""), F.lit(""))
-    title = H.element_text("html", "p", r"""\sclass\s*=\s*["'](?:[^"']*\s)?font-18[\s"']""")
+    h2 = F.coalesce(H.element_text("html", "h2", H.has_class("title")), F.lit(""))
+    title = H.element_text("html", "p", H.has_class("font-18"))
     anchor_texts = F.transform(F.regexp_extract_all("html", F.lit(H.ANCHOR_RX), F.lit(2)), H.inner_text)
     has_pdf = F.exists(anchor_texts, lambda t: F.lower(t).contains("pdf testo"))
     x = p.select("url", F.coalesce(title, F.lit("No Title")).alias("title"),
@@ -575,7 +579,7 @@ def extract_emilia(pages: DataFrame, base: str = "https://emilia.example") -> Da
     a = H.extract_anchors(_flat(pages), keep=("page_id", "url"))
     button = F.array_contains(F.split(F.coalesce("cls", F.lit("")), r"\s+"), "hitelement_button")
     a = a.filter(F.col("title").isNotNull() & button)
-    full = T.strip_phrase(H.unescape(F.col("title")), "Accedi al documento ")
+    full = T.strip_phrase(F.col("title"), "Accedi al documento ")
     x = a.select(full.alias("full"), U.absolutise(F.col("href"), base).alias("src"))
     no = rx("full", EMILIA_RX, 2)
     raw = rx("full", EMILIA_RX, 1)

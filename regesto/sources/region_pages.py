@@ -53,7 +53,8 @@ PAGES: dict[str, str] = {
             CASE {FORM} WHEN 0 THEN {DIT} WHEN 1 THEN {DMY} WHEN 2 THEN {DITD} ELSE '' END,
             '</span></td></tr></table><span data-id="PageBody_lbOggettolegge">Altro</span><span id="', CASE WHEN {FORM} = 2 THEN 'ctl_lblOggetto_1' ELSE 'PageBody_lbOggettolegge' END, '">', CASE WHEN {FORM} = 1 THEN hdr ELSE {TITLE} END, '</span>',
             CASE WHEN {FORM} = 1 THEN '' ELSE concat('<span id="PageBody_lbNumLegge">', {NO}, '</span>') END,
-            CASE WHEN {FORM} = 3 THEN '' ELSE concat('<a id="PageBody_aPdf" href="/doc/', {ID}, '.pdf">PDF</a>') END,
+            CASE {FORM} WHEN 3 THEN '<a href="/altro.pdf">Altro</a>' WHEN 0 THEN concat('<a href="/doc/', {ID}, '.pdf?v=1" class=btn>Apri PDF</a>')
+                        WHEN 1 THEN concat('<a href=/scarica/', {ID}, ' id=PageBody_aPdf>Scarica</a>') ELSE concat('<a id="PageBody_aPdf" href="/doc/', {ID}, '.pdf">PDF</a>') END,
             '</body></html>')"""),
     "lazio": _page(
         f"concat('https://lazio.example/leggiregionalidettaglio?id=', {ID})",
@@ -67,14 +68,14 @@ PAGES: dict[str, str] = {
             '</body></html>')"""),
     "liguria": _page(
         f"concat('https://liguria.example/articolo?id=', {ID})",
-        f"""concat('<html><head><title>Liguria</title></head><body><h1>', {TITLE}, '</h1><div class="testo">', hdr,
+        f"""concat('<html><head><title>Liguria</title></head><body><h1>', {TITLE}, '<!-- vecchio > titolo --></h1><div class="testo">', hdr,
             '</div><a href="/leggi/', {ID}, '.pdf">PDF</a></body></html>')"""),
     "toscana": _page(
         f"concat('https://toscana.example/articolo?urndoc=urn:nir:regione.toscana:legge:', {ID})",
         f"""concat('<html><body><div data-id="titolo_doc">Altro</div><div id="titolo_doc">', {TITLE}, ' <div class="sub">Testo vigente</div> e allegati</div><p class="estremi">', hdr, '</p></body></html>')"""),
     "lombardia": _page(
         f"concat('https://lombardia.example/leggi?anno=', {YEAR}, '&p=', {ID})",
-        f"""concat('<html><body><ul><li><a href="/web/leggi?view=showdoc&iddoc=', {ID}, '">', hdr, '</a></li></ul></body></html>')"""),
+        f"""concat('<html><body><ul><li><a title="Leggi l', chr(39), 'atto" href=', CASE WHEN law_id % 2 = 0 THEN concat('"/web/leggi?view=showdoc&amp;iddoc=', {ID}, '"') ELSE concat('/web/leggi?view=showdoc&iddoc=', {ID}) END, '>', hdr, '</a></li></ul></body></html>')"""),
     "marche": _page(
         f"concat('https://marche.example/dettaglio.php?arc=vig&id=', {ID})",
         f"""concat('<html><body><h1>', CASE WHEN law_id % 2 = 1 THEN {TITLE} ELSE 'Legge regionale' END, '</h1>',
@@ -134,16 +135,16 @@ PAGES: dict[str, str] = {
         f"""concat('<html><body><div class="risultati"><a href="dettaglio?pk_lr=', {ID}, '">',
             CASE {FORM} WHEN 0 THEN concat({DIT}, ', n. ', {NO}) WHEN 1 THEN concat('numero ', {NO}, ' del ', {DMY})
                         WHEN 2 THEN concat({DITD}, ', num. ', {NO}) ELSE 'Legge senza estremi' END,
-            '</a><p class="elemento_lista_paginata_banche_dati">',
+            '</a><p class="data">Bollettino 1</p><p class="elemento_lista_paginata_banche_dati">',
             CASE WHEN law_id % 9 = 0 THEN concat({TITLE}, repeat(' comma', 200), ' (abrogata dall’art. 3 della l.r. 5/2020)')
                  WHEN law_id % 11 = 3 THEN concat({TITLE}, repeat(' comma', 200)) ELSE {TITLE} END,
             '</p><a href="dettaglio?pk_lr=', {ID}, '">Aggiornamento</a><p>Aaa seconda voce</p></div></body></html>')"""),
     "emilia": _page(
         f"concat('https://emilia.example/ricerca?p=', {ID})",
         f"""concat('<html><body><a class="hitelement_button" title="Accedi al documento ',
-            CASE {FORM} WHEN 0 THEN concat('Legge regionale ', {DIT}, ', n.', {NO})
+            CASE {FORM} WHEN 0 THEN concat('Legge regionale ', {DIT}, ', n.', {NO}, ' sull', chr(39), 'acqua')
                         WHEN 2 THEN concat('Legge regionale ', {DITD}, ', n.', {NO}) ELSE hdr END,
-            '" href="/doc/', {ID}, '">Apri</a><a href="/altro">Altro</a><a title="Altra pagina" href="/altro2">Altra</a></body></html>')"""),
+            '" href=', chr(39), '/doc/', {ID}, chr(39), '>Apri</a><a href="/altro">Altro</a><a title="Altra pagina" href="/altro2">Altra</a></body></html>')"""),
 }
 
 # Calabria's probe captures: one per (year, number) of the orders grid.

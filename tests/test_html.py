@@ -199,7 +199,7 @@ def test_golden_veneto_campania_lombardia_toscana(spark):
 
 def test_entities_and_nested_elements(spark):
     p = _pages(spark, "u", '<div data-id="t">no</div><div id="t">Qualit&agrave; <div><b>dell&rsquo;</b>aria</div> &#8217;25&#x2019; &amp;lt; &nope; &#0; 5&deg;</div><div>dopo</div>')
-    r = p.select(H.element_text("html", "div", r"""\sid\s*=\s*["']t["']""").alias("t"), H.page_text("html").alias("all")).first()
+    r = p.select(H.element_text("html", "div", H.attr_is("id", "t")).alias("t"), H.page_text("html").alias("all")).first()
     assert r["t"] == "Qualità dell’ aria ’25’ &lt; &nope; &#0; 5°"
     assert r["all"].endswith("5° dopo")
     u = _pages(spark, "https://u.example/mostra_atto.php?id=1", "<h1>Tutela della qualit&agrave;</h1><p>Legge regionale 1&deg; dicembre 2025, n. 3</p>")
@@ -209,7 +209,7 @@ def test_entities_and_nested_elements(spark):
 
 def test_unclosed_and_repeated_elements(spark):
     p = _pages(spark, "u", "<div id='a'>uno <div>due</div> tre<p>non chiuso")
-    assert p.select(H.element_text("html", "div", r"""\sid\s*=\s*["']a["']""").alias("t")).first()["t"] is None
+    assert p.select(H.element_text("html", "div", H.attr_is("id", "a")).alias("t")).first()["t"] is None
     p = _pages(spark, "u", "<h2>a</h2><h2>b</h2>")
     assert p.select(H.element_text("html", "h2").alias("t")).first()["t"] == "a"
 
