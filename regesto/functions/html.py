@@ -25,11 +25,12 @@ from regesto.functions.text import norm_ws
 
 # A start tag as a browser reads it: a value in double quotes, in single quotes or in none, and a
 # quote or ``>`` inside a quoted value ends nothing.  Possessive, so no page makes a match slow.
-_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
 _NAME = r"[^\s/>][^\s=/>]*+"
-_ATTR = rf"(?:[\s/]*+{_NAME}(?:\s*+=\s*+{_VALUE})?+)"
-START_TAG_END = rf"{_ATTR}*+[\s/]*+>"
-ANCHOR_RX = rf"(?is)<a(?=[\s/])({_ATTR}*+)[\s/]*+>(.*?)</a\s*+>"
+NAME_REST = r"[^\s/>]*+"
+ATTR = rf"(?:[\s/]*+{_NAME}(?:\s*+=\s*+{VALUE})?+)"
+START_TAG_END = rf"{ATTR}*+[\s/]*+>"
+ANCHOR_RX = rf"(?is)<a(?=[\s/])({ATTR}*+)[\s/]*+>(.*?)</a\s*+>"
 HIDDEN_RX = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
 TAG_RX = r"(?s)<[^>]*>"
 
@@ -86,7 +87,7 @@ def attr_is(name: str, value_rx: str) -> str:
     """Regex for the attributes of a start tag up to the first ``name``, whose whole value must match
     ``value_rx`` (which matches no quote)."""
     v = rf"(?:{value_rx})"
-    return rf"""(?:(?![\s/]*+{name}[\s=/>]){_ATTR})*+[\s/]*+{name}\s*+=\s*+(?:"{v}"|'{v}'|{v}(?=[\s>]))"""
+    return rf"""(?:(?![\s/]*+{name}[\s=/>]){ATTR})*+[\s/]*+{name}\s*+=\s*+(?:"{v}"|'{v}'|{v}(?=[\s>]))"""
 
 
 def has_class(cls: str) -> str:
@@ -104,7 +105,7 @@ def unquote(c) -> Column:
 def attr_map(attrs) -> Column:
     """MAP of lower-cased names to values of a start tag's attribute text; of two with one name the
     first counts, one without a value is ''."""
-    tokens = F.regexp_extract_all(col_of(attrs), F.lit(rf"(?s){_ATTR}"), F.lit(0))
+    tokens = F.regexp_extract_all(col_of(attrs), F.lit(rf"(?s){ATTR}"), F.lit(0))
     pairs = F.transform(tokens, lambda t: F.struct(
         F.lower(F.regexp_extract(t, rf"(?s)^[\s/]*+({_NAME})", 1)).alias("key"),
         unquote(F.regexp_extract(t, rf"(?s)^[\s/]*+{_NAME}\s*+=\s*+(.*)$", 1)).alias("value"),
@@ -172,7 +173,7 @@ def first_heading(html="html", tags=("h1", "h2", "h3", "h4")) -> Column:
 
 def attr_values(html, tag: str, attr: str) -> Column:
     """All values of ``attr`` on ``tag`` elements, in page order; comments and scripts hold no element."""
-    rx_ = rf"(?is)<{tag}(?=[\s/>])(?:(?![\s/]*+{attr}[\s=/>]){_ATTR})*+[\s/]*+{attr}\s*+=\s*+({_VALUE}?)"
+    rx_ = rf"(?is)<{tag}(?=[\s/>])(?:(?![\s/]*+{attr}[\s=/>]){ATTR})*+[\s/]*+{attr}\s*+=\s*+({VALUE}?)"
     return F.transform(F.regexp_extract_all(visible(html), F.lit(rx_), F.lit(1)), unquote)
 
 
@@ -294,6 +295,18 @@ def block_text(dom="dom", id_: str | None = None, cls: str | None = None, clean:
     return hit["clean_text" if clean else "text"]
 
 
+def value_of_label(hit: Column, digits: bool) -> Column:
+    """What stands in a label's block (label, block_text) after the first ':', or after the label."""
+    block, name = hit["block_text"], hit["label"]
+    first_colon = F.instr(block, ":")
+    named = F.instr(block, name)
+    after = F.when(first_colon > 0, block.substr(first_colon + 1, F.lit(1 << 30))).when(
+        named > 0, block.substr(named + F.length(name), F.lit(1 << 30))
+    )
+    after = F.trim(F.coalesce(after, block))
+    return F.coalesce(nz(F.regexp_extract(after, r"([0-9]+)", 1)), nz(after)) if digits else nz(after)
+
+
 def label_value(dom="dom", label: str = "Numero", exclude: tuple[str, ...] = (), digits: bool = False) -> Column:
     """HTM-9: value in the block of the first bold label containing ``label`` (case-insensitive)
     and none of ``exclude``: what stands after the first ':', or else after the label itself;
@@ -304,17 +317,7 @@ def label_value(dom="dom", label: str = "Numero", exclude: tuple[str, ...] = (),
             cond = cond & ~F.lower(l["label"]).contains(w.lower())
         return cond
 
-    def value(hit):
-        block, name = hit["block_text"], hit["label"]
-        first_colon = F.instr(block, ":")
-        named = F.instr(block, name)
-        after = F.when(first_colon > 0, block.substr(first_colon + 1, F.lit(1 << 30))).when(
-            named > 0, block.substr(named + F.length(name), F.lit(1 << 30))
-        )
-        after = F.trim(F.coalesce(after, block))
-        return F.coalesce(nz(F.regexp_extract(after, r"([0-9]+)", 1)), nz(after)) if digits else nz(after)
-
-    return let(F.try_element_at(F.filter(col_of(dom)["labels"], ok), F.lit(1)), value)
+    return let(F.try_element_at(F.filter(col_of(dom)["labels"], ok), F.lit(1)), lambda hit: value_of_label(hit, digits))
 
 
 def has_document(dom="dom", pattern: str = r"(?i)(\.pdf$|download|scarica)") -> Column:

@@ -1,8 +1,8 @@
 """Region jobs: ``extract_<region>(pages) -> law_index``.
 
-Each job is one lazy plan: URL filters before ``parse_dom`` (the only Python
-hop), then native higher-order functions over the ``dom`` column, then the
-region's display rules.  The output always has the canonical ``law_index``
+Each job is one lazy plan of built-in functions: URL filters at the scan, then regex
+forms over the html (flat selectors) or selectors over the page's element table
+(``functions/elements.py``), then the region's display rules.  The output always has the canonical ``law_index``
 schema, so REG-ALL is a ``unionByName`` and the index can be partitioned by
 region when written.  Where a script had a bug, the corrected rule is built
 (quirks Q1-Q9 in SURVEY); the region's display values are kept.
@@ -14,12 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regesto.functions import dates as D
+from regesto.functions import elements as E
 from regesto.functions import html as H
 from regesto.functions import keys as K
 from regesto.functions import numbers as N
 from regesto.functions import text as T
 from regesto.functions import urls as U
-from regesto.functions._util import nz, rx
+from regesto.functions._util import let, nz, rx
 from regesto.operators import cutoffs as C
 from regesto.operators import dedupe as S
 from regesto.operators import filters as P
@@ -50,6 +51,8 @@ SARD_HDR1 = r"(?i)Legge regionale\s+(.*?),\s*n\.\s*(\d+)"
 SARD_HDR2 = r"(?i)Legge regionale\s+n\.\s*(\d+)\s+del\s+(.*)"
 UMBRIA_DATE_RX = rf"(?iU)(\d{{1,2}}°?\s+(?:{D.IT_MONTH_ALT})\s+\d{{4}})"
 VENETO_RX = r"(?i)Legge\s+regionale\s+(.*?)(?:,|\s+)\s+n\.\s+(\d+)"
+AOSTA_LINK = "dettaglio?pk_lr="
+AOSTA_TITLE_CLASS = "elemento_lista_paginata_banche_dati"
 AOSTA_DATE_RX = rf"(?iU)(\d{{1,2}})°?\s+({D.IT_MONTH_ALT})\s+(\d{{4}})"
 EMILIA_RX = r"(?i)Legge regionale\s+(.*?),\s+n\.(\d+)"
 
@@ -101,10 +104,16 @@ def conform(df: DataFrame, region: str, fill_missing: bool | None = None) -> Dat
     return W.conform(named, list(shape), fill)
 
 
-def _dom(pages: DataFrame, url_filter: str | None = None, drop=("bur",), parts=None, keep=("url",)) -> DataFrame:
-    if url_filter:  # before the Python hop: the filter reaches the scan
+def _page(pages: DataFrame, url_filter: str | None = None, keep=("url",)) -> DataFrame:
+    """The element table of each page as column ``page``; the URL filter reaches the scan."""
+    if url_filter:
         pages = pages.filter(F.col("url").rlike(url_filter))
-    return H.parse_dom(pages, drop_classes=drop, keep=keep, parts=parts)
+    return pages.select(*keep, E.scan("html").alias("page"))
+
+
+def _text_of(page, *tags: str, where=None) -> Column:
+    """Text of the first such element."""
+    return let(E.first(E.elements(page, *tags, where=where)), lambda e: E.text(page, e))
 
 
 def _flat(pages: DataFrame, url_filter: str | None = None, contains: bool = False) -> DataFrame:
@@ -124,21 +133,6 @@ def _span(id_: str, prefix: bool = False) -> Column:
     return H.element_text("html", "span", H.attr_is("id", id_ + ("[^\"'>]*" if prefix else "")))
 
 
-def _block(id_=None, cls=None, prefix=None, clean=True) -> Column:
-    def pick(b):
-        cond = F.lit(True)
-        if id_ is not None:
-            cond = cond & (b["id"] == id_)
-        if prefix is not None:
-            cond = cond & F.coalesce(b["id"], F.lit("")).startswith(prefix)
-        if cls is not None:
-            cond = cond & F.array_contains(F.split(F.coalesce(b["cls"], F.lit("")), " "), cls)
-        return cond
-
-    hit = F.try_element_at(F.filter(F.col("dom.blocks"), pick), F.lit(1))
-    return hit["clean_text" if clean else "text"]
-
-
 def _iso_or(d: Column, default: str) -> Column:
     return F.coalesce(D.date_display(d, "iso"), F.lit(default))
 
@@ -284,14 +278,12 @@ def extract_friuli(pages: DataFrame) -> DataFrame:
 
 def extract_lazio(pages: DataFrame) -> DataFrame:
     """First heading; bold labels Numero / Data (not BUR), body regexes as fallback; ID_ key."""
-    dom = _dom(pages, "leggiregionalidettaglio", parts=("headings", "labels", "text"))
-    heads = F.filter("dom.headings", lambda h: h["tag"].isin("h1", "h2", "h3", "h4") & (h["text"] != ""))
-    first_head = F.array_min(F.transform(heads, lambda h: F.struct(
-        F.array_position(F.array(*[F.lit(t) for t in ("h1", "h2", "h3", "h4")]), h["tag"]).alias("k"), h["pos"].alias("p"), h["text"].alias("t"))))["t"]
-    body = F.col("dom.text")
-    no = F.coalesce(H.label_value("dom", "numero", digits=True), rx(body, LAZIO_NO_BODY_RX))
-    date = F.coalesce(H.label_value("dom", "data", exclude=("bur",)), rx(body, LAZIO_DATE_BODY_RX))
-    x = dom.select("url", F.coalesce(first_head, F.lit("N/A")).alias("title"), no.alias("no"), date.alias("date"))
+    p = _page(pages, "leggiregionalidettaglio")
+    heads = [E.first(F.filter(F.transform(E.elements("page", t), lambda e: E.text("page", e)), lambda x: x != "")) for t in ("h1", "h2", "h3", "h4")]
+    body = E.page_text("page")
+    no = F.coalesce(E.label_value("page", "numero", digits=True), rx(body, LAZIO_NO_BODY_RX))
+    date = F.coalesce(E.label_value("page", "data", exclude=("bur",)), rx(body, LAZIO_DATE_BODY_RX))
+    x = p.select("url", F.coalesce(*heads, F.lit("N/A")).alias("title"), no.alias("no"), date.alias("date"))
     key = K.fallback_key(F.col("no"), F.col("url"), "id")
     return to_law_index(
         x, region=F.lit("Lazio"), law_title=F.col("title"), law_number=F.coalesce("no", F.lit("N/A")),
@@ -406,15 +398,16 @@ def extract_piemonte(pages: DataFrame, payload: str | None = None, min_bytes: in
     p = pages.filter(F.col("url").contains("dettaglioLegge.do"))
     if payload is not None:
         p = P.min_size(p, payload, min_bytes)
-    dom = _dom(p, drop=("bur",), parts=("blocks", "text"))
-    dom = P.drop_repealed_strict(dom.withColumn("__t", F.col("dom.text")), "__t")
-    lead = F.coalesce(_block(cls="lead"), F.col("dom.text"))
-    day, mon, yr = rx(lead, PIEMONTE_DATE_RX, 1), rx(lead, PIEMONTE_DATE_RX, 2), rx(lead, PIEMONTE_DATE_RX, 3)
-    d = D.make_date(yr, D.month_number(mon), day)
-    x = dom.select(
-        "url", F.coalesce(nz(_block(id_="titoloAtto")), F.lit("Title Not Found")).alias("title"),
-        F.coalesce(N.law_no(lead, loose=True), F.lit("Unknown")).alias("no"),
-        F.when(day.isNotNull(), F.concat_ws(" ", day, mon, yr)).alias("shown"), d.alias("d"),
+    p = _page(p)
+    p = P.drop_repealed_strict(p.withColumn("__t", E.page_text("page")), "__t")
+    lead = F.coalesce(_text_of("page", where=lambda e: E.has_class("page", e, "lead")), F.col("__t"))
+    title = E.text_without("page", E.first(E.elements("page", where=lambda e: E.has_attr("page", e, "id", "titoloAtto"))), "bur")
+    p = p.select("url", nz(title).alias("title"), lead.alias("lead"))
+    day, mon, yr = rx("lead", PIEMONTE_DATE_RX, 1), rx("lead", PIEMONTE_DATE_RX, 2), rx("lead", PIEMONTE_DATE_RX, 3)
+    x = p.select(
+        "url", F.coalesce("title", F.lit("Title Not Found")).alias("title"),
+        F.coalesce(N.law_no("lead", loose=True), F.lit("Unknown")).alias("no"),
+        F.when(day.isNotNull(), F.concat_ws(" ", day, mon, yr)).alias("shown"), D.make_date(yr, D.month_number(mon), day).alias("d"),
     )
     return to_law_index(
         x, region=F.lit("Piemonte"), law_title=F.col("title"), law_number=F.col("no"),
@@ -451,14 +444,19 @@ def extract_puglia(pages: DataFrame) -> DataFrame:
 
 def extract_sardinia(pages: DataFrame) -> DataFrame:
     """Every ``.pdf`` link; HDR-1 then HDR-2 on the link text, else the row is dropped."""
-    dom = _dom(pages, parts=("links",))
-    links = dom.select("url", F.explode(F.filter("dom.links", lambda l: F.lower(F.coalesce(l["href"], F.lit(""))).endswith(".pdf"))).alias("l"))
+    pdf = E.elements("page", "a", where=lambda a: F.lower(F.coalesce(E.attr("page", a, "href"), F.lit(""))).endswith(".pdf"))
+
+    def link(a):
+        # only a paragraph's own text belongs to its links
+        inside = let(E.parent("page", a), lambda up: F.when(up["tag"] == "p", E.text("page", up)))
+        return F.struct(E.attr("page", a, "href").alias("href"), E.text("page", a).alias("text"), inside.alias("paragraph"))
+
+    links = _page(pages).select("url", F.explode(F.transform(pdf, link)).alias("l"))
     t = F.trim(F.col("l.text"))
     m1 = t.rlike(SARD_HDR1)
     no = F.when(m1, rx(t, SARD_HDR1, 2)).otherwise(rx(t, SARD_HDR2, 1))
     dtext = F.trim(F.when(m1, rx(t, SARD_HDR1, 1)).otherwise(rx(t, SARD_HDR2, 2)))
-    title = F.when(F.col("l.parent_tag") == "p", F.col("l.parent_text")).otherwise(t)
-    x = links.select(title.alias("title"), no.alias("no"), dtext.alias("dtext"), U.url_join(F.col("url"), F.col("l.href")).alias("src"))
+    x = links.select(F.coalesce("l.paragraph", t).alias("title"), no.alias("no"), dtext.alias("dtext"), U.url_join(F.col("url"), F.col("l.href")).alias("src"))
     x = x.filter(F.col("no").isNotNull())
     d = D.any_date("dtext")
     return to_law_index(
@@ -472,17 +470,19 @@ def extract_sardinia(pages: DataFrame) -> DataFrame:
 def extract_trentino(pages: DataFrame) -> DataFrame:
     """Title after h1; dates from candidates (numeric, IT/EN textual), else the title's year; 1:N documents."""
     pages = pages.withColumn("page_no", _given(pages, "page_no", "int"))
-    dom = _dom(pages, "/content/view/full/", keep=("url", "page_no"), parts=("headings", "blocks", "links", "fonts"))
-    h1 = H.heading_text("dom", "h1")
-    after = H.heading_next_text("dom", "h1")
-    font = nz(F.try_element_at("dom.fonts", F.lit(1)))
-    title = F.when(F.length(F.coalesce(after, F.lit(""))) > 5, after).otherwise(F.coalesce(h1, font, F.lit("Unknown")))
-    strongs = F.transform(F.filter("dom.blocks", lambda b: (b["tag"] == "strong") & F.array_contains(F.split(F.coalesce(b["cls"], F.lit("")), " "), "text-nowrap")), lambda b: b["text"])
-    divs = F.transform(F.filter("dom.blocks", lambda b: (b["tag"] == "div") & F.coalesce(b["cls"], F.lit("")).contains("col-md-3") & b["text"].contains("Data")), lambda b: b["text"])
-    d = D.first_date(F.concat(strongs, F.slice(divs, 1, 1)), D.bilingual_date)
-    d = D.date_or_year(d, title=title)
-    base = dom.select("page_id", "url", "page_no", title.alias("title"), F.coalesce(N.law_no(h1, loose=True), F.lit("0")).alias("no"), d.alias("d"), "dom")
-    docs = H.explode_documents(base, ("card-teaser", "download-list"), keep=("url", "page_no", "title", "no", "d"))
+    p = _page(pages, "/content/view/full/", keep=("url", "page_no"))
+    h1 = E.first(E.elements("page", "h1"))
+    font = _text_of("page", "font", where=lambda e: E.has_attr("page", e, "dir", "auto"))
+    strongs = F.transform(E.elements("page", "strong", where=lambda e: E.has_class("page", e, "text-nowrap")), lambda e: E.text("page", e))
+    boxes = E.elements("page", "div", where=lambda e: F.coalesce(E.attr("page", e, "class"), F.lit("")).contains("col-md-3"))
+    divs = F.filter(F.transform(boxes, lambda e: E.text("page", e)), lambda t: t.contains("Data"))
+    docs = F.transform(E.documents("page", "card-teaser", "download-list"), lambda a: E.attr("page", a, "href"))
+    p = p.select("url", "page_no", nz(E.text("page", h1)).alias("h1"), E.next_text("page", h1).alias("after"), nz(font).alias("font"),
+                 F.concat(strongs, F.slice(divs, 1, 1)).alias("dates"), docs.alias("docs"))
+    title = F.when(F.length(F.coalesce("after", F.lit(""))) > 5, F.col("after")).otherwise(F.coalesce("h1", "font", F.lit("Unknown")))
+    p = p.withColumn("title", title)
+    d = D.date_or_year(D.first_date(F.col("dates"), D.bilingual_date), title=F.col("title"))
+    docs = p.select("url", "page_no", "title", F.coalesce(N.law_no("h1", loose=True), F.lit("0")).alias("no"), d.alias("d"), F.explode("docs").alias("href"))
     x = docs.withColumn("kind", K.doc_language("href"))
     return to_law_index(
         x, region=F.lit("Trentino-Alto Adige"), law_title=F.col("title"), law_number=F.col("no"),
@@ -546,8 +546,11 @@ def extract_aosta(pages: DataFrame, details: DataFrame | None = None) -> DataFra
 
     A law is dropped when a repeal phrase stands anywhere in its whole title, or in the text of its
     detail page (``details``: url, html)."""
-    dom = _dom(pages, parts=("links",))
-    links = dom.select("page_id", "url", F.explode(F.filter("dom.links", lambda l: F.coalesce(l["href"], F.lit("")).contains("dettaglio?pk_lr="))).alias("l"))
+    laws = E.elements("page", "a", where=lambda a: F.coalesce(E.attr("page", a, "href"), F.lit("")).contains(AOSTA_LINK))
+    paras = E.elements("page", "p", where=lambda e: F.coalesce(E.attr("page", e, "class"), F.lit("")).contains(AOSTA_TITLE_CLASS))
+    pairs = F.transform(E.with_following(laws, paras), lambda x: F.struct(
+        x["e"]["open"].alias("pos"), E.attr("page", x["e"], "href").alias("href"), E.text("page", x["e"]).alias("text"), E.text("page", x["next"]).alias("next_para")))
+    links = _page(pages, keep=("page_id", "url")).select("page_id", "url", F.explode(pairs).alias("l"))
     hdr = F.trim(F.col("l.text"))
     src = U.url_join(F.col("url"), F.col("l.href"))
     title = F.trim(F.coalesce(F.col("l.next_para"), hdr))
