@@ -13,7 +13,8 @@ longer).  Both ends of a phrase are extended on that index:
 A phrase of k words is counted in a shard if its first and its last k - 1 words occur ``least``
 times in all shards together (Apriori).  What is frequent travels as a Bloom filter of a fixed
 size, so a shard may count a phrase too many, never too few; counts of shards are added by Spark,
-with partial sums, and only then compared with ``least``.
+with partial sums, and only then compared with ``least``.  Counts go by name alone; a last pass has
+one shard of each frequent phrase spell it.
 
 Phrases are named by 64-bit hashes of language and words.  All later tables (counts of first and
 last parts, texts, extensions) hold frequent phrases only.
@@ -37,7 +38,7 @@ LEAST = 100
 DEPTH = 5
 TOP = 2000
 PER_MILLE = 1000
-SHARD_WORDS = 1 << 22
+SHARD_WORDS = 1 << 21
 DEALT = 256  # parts of a language that are ranked apart before its best phrases meet
 
 _MUL = U(0x9E3779B97F4A7C15)
@@ -111,13 +112,14 @@ def transform(ids: np.ndarray, size: int, depth: int = DEPTH) -> np.ndarray:
 
 
 def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """lang, n_words, vocabulary, bwt (both zstandard): a row per shard and language of ``docs``."""
+    """lang, n_words, shard (a name), vocabulary, bwt (both zstandard): a row per shard and language of ``docs``."""
     rows = docs.select(
         F.coalesce(F.col("lang"), F.lit("und")).alias("lang"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("raw")
     )
-    schema = "lang string, n_words long, vocabulary binary, bwt binary"
+    schema = "lang string, n_words long, shard long, vocabulary binary, bwt binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
         import zstandard
 
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -128,8 +130,17 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
             for lang in list(held):
                 if (got := held.pop(lang).index()) is not None:
                     words, bwt = got
-                    row = {"lang": [lang], "n_words": [int((bwt > 0).sum())], "vocabulary": [pack(b" ".join(words))], "bwt": [pack(bwt.tobytes())]}
-                    yield pa.RecordBatch.from_arrays([pa.array(row["lang"]), pa.array(row["n_words"], pa.int64()), pa.array(row["vocabulary"], pa.binary()), pa.array(row["bwt"], pa.binary())], names=list(row))
+                    name = xxhash.xxh3_64_intdigest(bwt.tobytes(), _language(lang))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([lang], pa.string()),
+                            pa.array([int((bwt > 0).sum())], pa.int64()),
+                            signed(np.array([name], U)),
+                            pa.array([pack(b" ".join(words))], pa.binary()),
+                            pa.array([pack(bwt.tobytes())], pa.binary()),
+                        ],
+                        names=["lang", "n_words", "shard", "vocabulary", "bwt"],
+                    )
             give_back()
 
         for batch in slices(batches, "raw"):
@@ -145,109 +156,128 @@ def build_index(docs: DataFrame, shard_words: int = SHARD_WORDS) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def _each_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes], np.ndarray, np.ndarray]]:
-    """(language, vocabulary, transform, the words' names with 0 for the end of a piece)."""
-    import xxhash
-    import zstandard
-
-    unpack = zstandard.ZstdDecompressor().decompress
-    for batch in slices(batches, "bwt", 1):
-        lang, _, words, bwt = (c[0].as_py() for c in batch.columns)
-        words = unpack(words).split(b" ")
-        names = np.fromiter(map(xxhash.xxh3_64_intdigest, words), U, len(words))
-        names = mix(names ^ U(_language(lang)))
-        yield lang, words, np.frombuffer(unpack(bwt), np.int32), np.concatenate([np.zeros(1, U), names])
-
+class _Intervals:
+    """The intervals of one shard, for longer and longer phrases."""
 
-def count_words(index: DataFrame) -> DataFrame:
-    """key, n of every word of every shard."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, bwt, names in _each_shard(batches):
-            n = np.bincount(bwt, minlength=len(names))[1:]
-            yield pa.RecordBatch.from_arrays([signed(names[1:]), pa.array(n.astype(np.int64))], names=["key", "n"])
+    def __init__(self, row: pa.RecordBatch, frequent: list):
+        import xxhash
+        import zstandard
 
-    return index.mapInArrow(run, "key long, n long")
+        unpack = zstandard.ZstdDecompressor().decompress
+        self.lang, _, self.shard, words, bwt = (c[0].as_py() for c in row.columns)
+        self.words = unpack(words).split(b" ")
+        names = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), U, len(self.words))
+        names = np.concatenate([np.zeros(1, U), mix(names ^ U(_language(self.lang)))])
+        bwt = np.frombuffer(unpack(bwt), np.int32)
+        # where each entry of the first column goes on: the inverse of LF
+        self.psi = np.argsort((bwt.astype(np.int64) << 32) | np.arange(len(bwt)))
+        self.column = bwt[self.psi]
+        self.frequent = frequent
+        self.first = self.key = names[self.column]
+        self.good = self.column > 0
+        self.length = 1
+        self.start = self.rest = np.zeros(len(bwt), U)
+
+    def extend(self) -> None:
+        """One word more to the left of what each entry goes on with; both shorter phrases must be frequent."""
+        self._test(self.frequent[self.length - 1])
+        self.start, self.rest = self.key, self.key[self.psi]
+        self.key = extend(self.first, self.rest)
+        self.good = self.good & self.good[self.psi]
+        self.length += 1
+
+    def _test(self, filter_) -> None:
+        some = np.flatnonzero(self.good)
+        self.good[some] = might_hold(filter_.value, self.key[some])
+
+    def heads(self) -> tuple[np.ndarray, np.ndarray]:
+        """First entry and size of the interval of every phrase that is left."""
+        at = np.flatnonzero(self.good)  # entries that start alike lie together
+        head = np.flatnonzero(np.r_[True, self.key[at[1:]] != self.key[at[:-1]]]) if len(at) else at
+        return at[head], np.diff(np.r_[head, len(at)])
 
 
-def spell_words(index: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """key, lang, phrase of the words that may be frequent, from every shard."""
-    sent = index.sparkSession.sparkContext.broadcast(frequent)
+def count_phrases(index: DataFrame, length: int, frequent: list) -> DataFrame:
+    """key, n, shard of the phrases of ``length`` words in each shard whose first and last
+    ``length`` - 1 words may be frequent; ``frequent`` has a broadcast filter per shorter length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for lang, words, _, names in _each_shard(batches):
-            some = np.flatnonzero(might_hold(sent.value, names[1:]))
-            text = pa.array([words[i] for i in some.tolist()], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([signed(names[1:][some]), pa.array([lang] * len(some), pa.string()), text], names=["key", "lang", "phrase"])
+        for row in slices(batches, "bwt", 1):
+            shard = _Intervals(row, frequent)
+            while shard.length < length:
+                shard.extend()
+            at, n = shard.heads()
+            own = np.full(len(at), shard.shard, np.int64)
+            yield pa.RecordBatch.from_arrays([signed(shard.key[at]), pa.array(n.astype(np.int64)), pa.array(own)], names=["key", "n", "shard"])
 
-    return index.mapInArrow(run, "key long, lang string, phrase string")
+    return index.mapInArrow(run, "key long, n long, shard long")
 
 
-def count_phrases(index: DataFrame, length: int, frequent: list) -> DataFrame:
-    """first (word), rest (phrase), n in each shard of the phrases of ``length`` words whose first
-    and last ``length`` - 1 words may be frequent; ``frequent`` has a broadcast filter per shorter length."""
+def spell_phrases(index: DataFrame, depth: int, frequent: list, chosen) -> DataFrame:
+    """length, key, lang, word (the first one), start, rest (names of all but the last and the first
+    word) of frequent phrases, from the shards that ``chosen``, a broadcast filter of key XOR shard, may hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, bwt, names in _each_shard(batches):
-            # the first column in order, and where each of its entries goes on: the inverse of LF
-            psi = np.argsort((bwt.astype(np.int64) << 32) | np.arange(len(bwt)))
-            column = bwt[psi]
-            first, key = names[column], names[column]
-            good = (column > 0) & might_hold(frequent[0].value, names)[column]
-            for k in range(2, length + 1):
-                rest = key[psi]
-                key = extend(first, rest)
-                good = good & good[psi]
-                if k < length:
-                    some = np.flatnonzero(good)
-                    good[some] = might_hold(frequent[k - 1].value, key[some])
-            at = np.flatnonzero(good)
-            # entries that start alike lie together
-            head = np.flatnonzero(np.r_[True, key[at[1:]] != key[at[:-1]]]) if len(at) else at
-            n = np.diff(np.r_[head, len(at)])
-            yield pa.RecordBatch.from_arrays([signed(first[at[head]]), signed(rest[at[head]]), pa.array(n.astype(np.int64))], names=["first", "rest", "n"])
-
-    return index.mapInArrow(run, "first long, rest long, n long")
-
-
-def _named(rows: DataFrame) -> DataFrame:
-    """``rows`` (first, rest, rest_start, ...) with key and start: the names of the phrase and of all but its last word."""
-    schema = rows.drop("rest_start").withColumn("key", F.lit(0).cast("long")).withColumn("start", F.lit(0).cast("long")).schema
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            first, rest, start = (np.asarray(batch.column(c).fill_null(0)).astype(np.int64).view(U) for c in ("first", "rest", "rest_start"))
-            missing = np.asarray(batch.column("rest_start").is_null())
-            kept = batch.drop_columns(["rest_start"])
-            keys = [signed(extend(first, rest)), signed(np.where(missing, first, extend(first, start)))]
-            yield pa.RecordBatch.from_arrays([*kept.columns, *keys], names=[*kept.schema.names, "key", "start"])
-
-    return rows.mapInArrow(run, schema)
+        for row in slices(batches, "bwt", 1):
+            shard = _Intervals(row, frequent)
+            own = np.int64(shard.shard).view(U)
+            while True:
+                at, _ = shard.heads()
+                at = at[might_hold(chosen.value, shard.key[at] ^ own)]
+                words = pa.array([shard.words[i - 1] for i in shard.column[at].tolist()], pa.binary()).cast(pa.string())
+                length, lang = pa.array([shard.length] * len(at), pa.int32()), pa.array([shard.lang] * len(at), pa.string())
+                names = [signed(x[at]) for x in (shard.key, shard.start, shard.rest)]
+                yield pa.RecordBatch.from_arrays([length, lang, words, *names], names=["length", "lang", "word", "key", "start", "rest"])
+                if shard.length == depth:
+                    break
+                shard.extend()
+
+    return index.mapInArrow(run, "length int, lang string, word string, key long, start long, rest long")
 
 
 def frequent_phrases(index: DataFrame, least: int = LEAST, depth: int = DEPTH) -> list[DataFrame]:
     """A table per length from 1 on: key, start, rest (names of all but the last and first word),
     lang, phrase, n, firsts and lasts (counts of its first and last 1, 2, ... words)."""
     context = index.sparkSession.sparkContext
-    none = F.lit(None).cast("long")
-    words = materialise(count_words(index).groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "frequent-words")
-    filters = [context.broadcast(bloom(words, F.col("key")))]
-    spelled = spell_words(index, filters[0].value).groupBy("key").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
-    counts = F.array().cast("array<long>")
-    level = words.join(spelled, "key").select("key", none.alias("start"), none.alias("rest"), "lang", "phrase", "n", counts.alias("firsts"), counts.alias("lasts"))
-    out = [materialise(level, "phrases-1")]
-    for length in range(2, depth + 1):
-        counted = count_phrases(index, length, filters).groupBy("first", "rest").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
-        shorter = out[-1]
-        last = shorter.select(F.col("key").alias("rest"), F.col("start").alias("rest_start"), "lang", F.col("phrase").alias("rest_phrase"), F.concat("lasts", F.array("n")).alias("lasts"))
-        head = shorter.select(F.col("key").alias("start"), F.substring_index("phrase", " ", 1).alias("word"), F.concat("firsts", F.array("n")).alias("firsts"))
-        level = _named(counted.join(last, "rest")).join(head, "start")
-        level = level.select("key", "start", "rest", "lang", F.concat_ws(" ", "word", "rest_phrase").alias("phrase"), "n", "firsts", "lasts")
+    counts, filters = [], []
+    for length in range(1, depth + 1):
+        counted = count_phrases(index, length, filters).groupBy("key").agg(F.sum("n").alias("n"), F.min("shard").alias("shard"))
+        counts.append(materialise(counted.where(F.col("n") >= least), f"counts-{length}"))
+        filters.append(context.broadcast(bloom(counts[-1], F.col("key"))))
+    every = counts[0]
+    for more in counts[1:]:
+        every = every.unionByName(more)
+    chosen = context.broadcast(bloom(every, F.col("key").bitwiseXOR(F.col("shard"))))
+    spelled = spell_phrases(index, depth, filters, chosen).groupBy("length", "key").agg(*[F.min(c).alias(c) for c in ("lang", "word", "start", "rest")])
+    spelled = materialise(spelled, "spelled-phrases")
+    out: list[DataFrame] = []
+    for length in range(1, depth + 1):
+        level = counts[length - 1].join(spelled.where(F.col("length") == length), "key")
+        if length == 1:
+            none = F.array().cast("array<long>")
+            level = level.select("key", "start", "rest", "lang", F.col("word").alias("phrase"), "n", none.alias("firsts"), none.alias("lasts"))
+        else:
+            longer = lambda c: F.concat(c, F.array("n")).alias(c)
+            last = out[-1].select(F.col("key").alias("rest"), F.col("phrase").alias("rest_phrase"), longer("lasts"))
+            head = out[-1].select(F.col("key").alias("start"), longer("firsts"))
+            level = level.join(last, "rest").join(head, "start")
+            level = level.select("key", "start", "rest", "lang", F.concat_ws(" ", "word", "rest_phrase").alias("phrase"), "n", "firsts", "lasts")
         out.append(materialise(level, f"phrases-{length}"))
-        filters.append(context.broadcast(bloom(out[-1], F.col("key"))))
     return out
 
 
+def score(rows: DataFrame, n_words: DataFrame) -> DataFrame:
+    """lang, phrase, a, l, r, n, score of ``rows`` (lang, phrase, a, firsts, lasts) by the worst cut."""
+    exact = lambda c: f"cast({c} as decimal(20,0))"
+    # the first part's length counts from 1, the last part has the other words
+    cut = f"""transform(firsts, (l, i) -> named_struct(
+        'score', {PER_MILLE} * {exact('a')} * {exact('n_words')} div ({exact('l')} * {exact('lasts[size(lasts) - 1 - i]')}),
+        'k', i, 'l', l, 'r', lasts[size(lasts) - 1 - i]))"""
+    return rows.join(n_words, "lang").withColumn("cut", F.array_min(F.expr(cut))).select(
+        "lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("n_words").alias("n"), F.col("cut.score").alias("score")
+    )
+
+
 def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, top: int = TOP, shard_words: int = SHARD_WORDS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of each language of ``docs`` (lang, text).
 
@@ -271,15 +301,7 @@ def collocations(docs: DataFrame, least: int = LEAST, depth: int = DEPTH, top: i
     rows = kept[0]
     for more in kept[1:]:
         rows = rows.unionByName(more)
-    rows = rows.withColumnRenamed("n", "a").join(n_words, "lang")
-    exact = lambda c: f"cast({c} as decimal(20,0))"
-    # the first part's length counts from 1, the last part has the other words
-    cut = f"""transform(firsts, (l, i) -> named_struct(
-        'score', {PER_MILLE} * {exact('a')} * {exact('n_words')} div ({exact('l')} * {exact('lasts[size(lasts) - 1 - i]')}),
-        'k', i, 'l', l, 'r', lasts[size(lasts) - 1 - i]))"""
-    rows = rows.withColumn("cut", F.array_min(F.expr(cut))).select(
-        "lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), F.col("n_words").alias("n"), F.col("cut.score").alias("score")
-    )
+    rows = score(rows.withColumnRenamed("n", "a"), n_words)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
     part = F.pmod(F.xxhash64("phrase"), F.lit(DEALT)).alias("part")
     some = rows.select("*", part).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= top)
