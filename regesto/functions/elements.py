@@ -75,9 +75,12 @@ def _elements(tokens: Column) -> Column:
 
     def step(acc, t):
         stack = acc["stack"]  # innermost first
-        met = F.filter(stack, lambda x: F.array_contains(t["ends"], x["tag"]) | F.array_contains(t["keeps"], x["tag"]))
-        first = F.try_element_at(met, F.lit(1))
-        closes = F.when(F.array_contains(t["ends"], first["tag"]), F.array_position(stack, first)).otherwise(F.lit(0)).cast("int")
+        decides = lambda x: F.array_contains(t["ends"], x["tag"]) | F.array_contains(t["keeps"], x["tag"])
+        top = F.get(stack, F.lit(0))
+        inner = F.try_element_at(F.filter(stack, decides), F.lit(1))
+        place = F.when(F.array_contains(t["ends"], inner["tag"]), F.array_position(stack, inner)).otherwise(F.lit(0)).cast("int")
+        # mostly the innermost element decides, whatever the depth
+        closes = F.when(F.size(t["ends"]) == 0, F.lit(0)).when(decides(top), F.array_contains(t["ends"], top["tag"]).cast("int")).otherwise(place)
 
         def close(k):
             size = F.size(stack)
@@ -163,22 +166,35 @@ def following(page, e: Column, *tags: str, where=None) -> Column:
     return first(elements(page, *tags, where=after))
 
 
-def with_following(els: Column, targets: Column) -> Column:
-    """struct(e, next) of every element of ``els``: the first of ``targets`` that begins after it has
-    ended.  One fold from the page's end, whatever the number of both."""
-    def keyed(xs, own: bool):
-        return F.transform(xs, lambda x: F.struct(x["close" if own else "open"].alias("key"), F.lit(own).alias("own"), x.alias("e")))
+_ELEMENT = "struct<open:int,close:int,depth:int,tag:string>"
+
 
-    merged = F.reverse(F.array_sort(F.concat(keyed(els, True), keyed(targets, False))))
-    element = "struct<open:int,close:int,depth:int,tag:string>"
-    pair = f"array<struct<e:{element},next:{element}>>"
+def _matched(els: Column, others: Column, key: str, backwards: bool, name: str) -> Column:
+    """struct(e, <name>): each of ``els`` with the last of ``others`` that a walk over the page met before it."""
+    def keyed(xs, field, own: bool):
+        return F.transform(xs, lambda x: F.struct(x[field].alias("key"), F.lit(own).alias("own"), x.alias("e")))
+
+    merged = F.array_sort(F.concat(keyed(els, key, True), keyed(others, "open", False)))
+    pair = f"array<struct<e:{_ELEMENT},{name}:{_ELEMENT}>>"
 
     def step(acc, x):
-        found = F.concat(F.array(F.struct(x["e"].alias("e"), acc["next"].alias("next"))), acc["found"])
-        return F.struct(F.when(x["own"], acc["next"]).otherwise(x["e"]).alias("next"), F.when(x["own"], found).otherwise(acc["found"]).cast(pair).alias("found"))
+        found = F.concat(acc["found"], F.array(F.struct(x["e"].alias("e"), acc["met"].alias(name))))
+        return F.struct(F.when(x["own"], acc["met"]).otherwise(x["e"]).alias("met"), F.when(x["own"], found).otherwise(acc["found"]).cast(pair).alias("found"))
+
+    zero = F.struct(F.lit(None).cast(_ELEMENT).alias("met"), F.array().cast(pair).alias("found"))
+    return F.array_sort(F.aggregate(F.reverse(merged) if backwards else merged, zero, step, lambda acc: acc["found"]))
+
+
+def with_following(els: Column, targets: Column) -> Column:
+    """struct(e, next) of every element of ``els``: the first of ``targets`` that begins after it has
+    ended.  One walk from the page's end, whatever the number of both."""
+    return _matched(els, targets, "close", True, "next")
 
-    zero = F.struct(F.lit(None).cast(element).alias("next"), F.array().cast(pair).alias("found"))
-    return F.array_sort(F.aggregate(merged, zero, step, lambda acc: acc["found"]))
+
+def with_container(els: Column, boxes: Column) -> Column:
+    """struct(e, box) of every element of ``els``: the one of ``boxes``, which do not nest, around it, or NULL."""
+    met = _matched(els, boxes, "open", False, "box")
+    return F.transform(met, lambda x: F.struct(x["e"].alias("e"), F.when(contains(x["box"], x["e"]), x["box"]).alias("box")))
 
 
 def nearest(page, e: Column, *tags: str) -> Column:
@@ -186,10 +202,6 @@ def nearest(page, e: Column, *tags: str) -> Column:
     return F.try_element_at(elements(page, *tags, where=lambda x: contains(x, e)), F.lit(-1))
 
 
-def parent(page, e: Column) -> Column:
-    return first(elements(page, where=lambda x: contains(x, e) & (x["depth"] == e["depth"] - 1)))
-
-
 # ------------------------------------------------------------------ texts
 
 
@@ -225,7 +237,7 @@ def text_without(page, e: Column, *cls: str) -> Column:
 
 
 def next_text(page, e: Column) -> Column:
-    """HTM-11: text of the node right after an element (a text or an element), NULL if it is the last of its parent."""
+    """HTM-11: text of the node right after an element (a text or an element), NULL if an end tag follows."""
     tokens = col_of(page)["tokens"]
 
     def after(x):

@@ -320,7 +320,11 @@ def label_value(dom="dom", label: str = "Numero", exclude: tuple[str, ...] = (),
     return let(F.try_element_at(F.filter(col_of(dom)["labels"], ok), F.lit(1)), lambda hit: value_of_label(hit, digits))
 
 
-def has_document(dom="dom", pattern: str = r"(?i)(\.pdf$|download|scarica)") -> Column:
+#: What the address or the class of a document's link shows.
+DOCUMENT_RX = r"(?i)(\.pdf$|download|scarica)"
+
+
+def has_document(dom="dom", pattern: str = DOCUMENT_RX) -> Column:
     """HTM-12: does the page offer a downloadable document (a link whose href or class matches)?"""
     return F.exists(
         col_of(dom)["links"],

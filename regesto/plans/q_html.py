@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from regesto.functions import elements as E
 from regesto.functions import html as H
 from regesto.functions import keys as K
 from regesto.functions import urls as U
 from regesto.plans.q_scalars import norm_ws_sql
-from regesto.plans.registry import query
+from regesto.plans.registry import ORACLES, query
 from regesto.sources.fixtures import VIEW_DEPS, VIEW_SQL, table, view
 
 
@@ -219,3 +220,49 @@ def dom_documents(spark, sf):
     dom = H.parse_dom(view(spark, sf, "law_pages"), parts=("links",))
     docs = H.explode_documents(dom)
     return docs.select("page_id", "doc_pos", "href", K.doc_language("href").alias("doc_type"))
+
+
+# ---------------------------------------------------------------- the same rows from the element table
+
+
+def _scanned(spark, sf, name):
+    pages = view(spark, sf, name) if name in VIEW_SQL else table(spark, sf, name)
+    return pages.select("page_id", E.scan("html").alias("page"))
+
+
+@query("el_page_links", ORACLES["dom_page_links"], ops="HTM-0")
+def el_page_links(spark, sf):
+    """The native scan over the given pages."""
+    links = F.filter(F.transform(E.elements("page", "a"), lambda a: E.attr("page", a, "href")), lambda h: h.isNotNull())
+    return _scanned(spark, sf, "pages").select("page_id", F.posexplode(links).alias("p0", "href")).select("page_id", (F.col("p0") + 1).alias("pos"), "href")
+
+
+@query("el_law_fields", ORACLES["dom_law_fields"], ops="HTM-0 HTM-7 HTM-9 HTM-11 HTM-12")
+def el_law_fields(spark, sf):
+    page = "page"
+    h1 = E.first(E.elements(page, "h1"))
+    title = E.first(E.elements(page, where=lambda e: E.has_attr(page, e, "id", "titoloAtto")))
+    x = _scanned(spark, sf, "law_pages").select("page_id", page, h1.alias("h1"), title.alias("t"))
+    return x.select(
+        "page_id",
+        E.text(page, E.first(E.elements(page, "title"))).alias("title"),
+        E.text(page, F.col("h1")).alias("h1"),
+        E.next_text(page, F.col("h1")).alias("after_h1"),
+        E.text_without(page, F.col("t"), "bur").alias("title_clean"),
+        E.text(page, F.col("t")).alias("title_raw"),
+        E.label_value(page, "Numero", digits=True).alias("number_label"),
+        E.label_value(page, "Data", exclude=("BUR",)).alias("date_label"),
+        F.exists(E.elements(page, "a"), lambda a: F.coalesce(E.attr(page, a, "href"), F.lit("")).rlike(H.DOCUMENT_RX)).alias("has_doc"),
+    )
+
+
+@query("el_table_cells", ORACLES["dom_table_cells"], ops="HTM-6")
+def el_table_cells(spark, sf):
+    return _scanned(spark, sf, "law_pages").select("page_id", F.explode(E.cells("page")).alias("c")).select("page_id", "c.*")
+
+
+@query("el_documents", ORACLES["dom_documents"], ops="HTM-13 KEY-3")
+def el_documents(spark, sf):
+    hrefs = F.transform(E.documents("page", "download-list", "card-teaser"), lambda a: E.attr("page", a, "href"))
+    x = _scanned(spark, sf, "law_pages").select("page_id", F.posexplode(hrefs).alias("p0", "href"))
+    return x.select("page_id", (F.col("p0") + 1).alias("doc_pos"), "href", K.doc_language("href").alias("doc_type"))

@@ -446,12 +446,14 @@ def extract_sardinia(pages: DataFrame) -> DataFrame:
     """Every ``.pdf`` link; HDR-1 then HDR-2 on the link text, else the row is dropped."""
     pdf = E.elements("page", "a", where=lambda a: F.lower(F.coalesce(E.attr("page", a, "href"), F.lit(""))).endswith(".pdf"))
 
-    def link(a):
+    def link(x):
+        a, p = x["e"], x["box"]
         # only a paragraph's own text belongs to its links
-        inside = let(E.parent("page", a), lambda up: F.when(up["tag"] == "p", E.text("page", up)))
+        inside = F.when(p["depth"] == a["depth"] - 1, E.text("page", p))
         return F.struct(E.attr("page", a, "href").alias("href"), E.text("page", a).alias("text"), inside.alias("paragraph"))
 
-    links = _page(pages).select("url", F.explode(F.transform(pdf, link)).alias("l"))
+    linked = E.with_container(pdf, E.elements("page", "p"))
+    links = _page(pages).select("url", F.explode(F.transform(linked, link)).alias("l"))
     t = F.trim(F.col("l.text"))
     m1 = t.rlike(SARD_HDR1)
     no = F.when(m1, rx(t, SARD_HDR1, 2)).otherwise(rx(t, SARD_HDR2, 1))

@@ -244,10 +244,10 @@ def test_url_join_dots(spark):
 def test_first_record_stays_and_whole_texts_count(spark):
     long = "comma " * 400
     p = spark.createDataFrame([
-        (2, "https://a.example/r?page=2", '<a href="dettaglio?pk_lr=1">3 marzo 2020, n. 5</a><p>Alfa seconda</p>'),
-        (1, "https://a.example/r?page=1", '<a href="dettaglio?pk_lr=1">3 marzo 2020, n. 5</a><p>Zeta prima</p>'
-            f'<a href="dettaglio?pk_lr=2">4 marzo 2020, n. 6</a><p>{long}(abrogata dall’art. 2)</p>'
-            f'<a href="dettaglio?pk_lr=3">5 marzo 2020, n. 7</a><p>{long}</p><a href="dettaglio?pk_lr=">senza data</a><p>Vuota</p>'),
+        (2, "https://a.example/r?page=2", '<a href="dettaglio?pk_lr=1">3 marzo 2020, n. 5</a><p class="elemento_lista_paginata_banche_dati">Alfa seconda</p>'),
+        (1, "https://a.example/r?page=1", '<a href="dettaglio?pk_lr=1">3 marzo 2020, n. 5</a><p class=\'elemento_lista_paginata_banche_dati\'>Zeta prima</p>'
+            f'<a href="dettaglio?pk_lr=2">4 marzo 2020, n. 6</a><p class=\'elemento_lista_paginata_banche_dati\'>{long}(abrogata dall’art. 2)</p>'
+            f'<a href="dettaglio?pk_lr=3">5 marzo 2020, n. 7</a><p class=\'elemento_lista_paginata_banche_dati\'>{long}</p><a href="dettaglio?pk_lr=">senza data</a><p class=\'elemento_lista_paginata_banche_dati\'>Vuota</p>'),
     ], "page_id long, url string, html string")
     got = {r["source_url"].rsplit("=", 1)[1]: r for r in RG.extract_aosta(p).collect()}
     assert set(got) == {"1", "3", ""} and got["1"]["law_title"] == "Zeta prima"
@@ -280,3 +280,77 @@ def test_calabria_takes_the_years_of_the_captures(spark):
     caps = spark.createDataFrame(rows, "y int, n int, status int, headers map<string,string>, body binary, first_page_text string")
     got = sorted((r["law_number"], r["date_text"]) for r in RG.extract_calabria(caps).collect())
     assert got == [("1", "1950"), ("1", "5 marzo 2031")]
+
+
+def test_attributes_as_a_browser_reads_them(spark):
+    p = _pages(spark, "u", """<a title="Accedi all'atto" href="/doc?t=l'acqua">uno</a><a href=/u?a=1&amp;b=2 title='detto "x"'>due</a>
+        <A HREF = '/v' class = "a  b"/>tre</A><a data-href='/no'>quattro</a><!-- <a href="/c">c</a> --><a href="">cinque</a><a href="/w" href="/z" disabled>sei</a>""")
+    got = [tuple(r)[3:] for r in H.extract_anchors(p).collect()]
+    assert got == [("/doc?t=l'acqua", "uno", "Accedi all'atto", None), ("/u?a=1&b=2", "due", 'detto "x"', None), ("/v", "tre", None, "a  b"),
+                   (None, "quattro", None, None), (None, "cinque", None, None), ("/w", "sei", None, None)]
+    assert [r["href"] for r in H.extract_links(p).collect()] == ["/doc?t=l'acqua", "/u?a=1&b=2", "/v", "", "/w"]
+    c = _pages(spark, "u", '<h1><!-- no > titolo -->Titolo <b>vero</b><script>var x = "</h1>";</script></h1>')
+    assert c.select(H.element_text("html", "h1").alias("t")).first()["t"] == "Titolo vero"
+
+
+def test_friuli_button_by_id_or_text(spark):
+    page = '<span id="PageBody_lbNumLegge">4</span><span id="lblData_1">4 luglio 2024</span>{}'
+    pages = [(k, f"https://f.example/IndiceLex.aspx?id={k}", page.format(a)) for k, a in enumerate(
+        ['<a id="PageBody_aPdf" href="a.pdf?x=1">Scarica</a>', "<a href='/d'>Testo PDF</a>", '<a href="/d.pdf">Testo</a>', ""])]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert sorted(r["source_url"][-1] for r in RG.extract_friuli(df).collect()) == ["0", "1"]
+
+
+# ------------------------------------------------------------------ the element table
+
+HARD = [
+    '<div class="x y">a<p id=p1>one<p class="k">two <b>bold</b>!</p>tail<ul><li>x<li>y <ul><li>z</ul></ul></div><br/>end <a href="u.pdf">L</a><p>after</p></i>',
+    "<table><thead><tr><td>H</thead><tr><th>a<td>1<td><table><tr><td>in</table><tr><td>2<td><button>go</button><input type='image'></table>",
+    "<h1>uno</h1><h2>due</h2>testo &amp; <b>x</b>y<h3>tre</h3><p>q</p></div>stray</p> fine <template>no</template>",
+    '<a href="/1">x</a><div class="elenco download-list"><p>p <a href="/2">y<span>z</span></a></p></div><strong>Numero:</strong> 7 <p><b>Data BUR</b> 1 <b>Data</b>: 3</p>',
+    "<p>a < b & c <i>d</i></p><ul><li><p>e<li>f</ul>g<div><p>h<table><tr><td><p>i</table>j</div>", "", "solo testo", "<div", "<div><div><div>x",
+]
+
+
+def test_the_element_table_agrees_with_the_tree(spark):
+    from regesto.functions import elements as E
+
+    df = spark.createDataFrame(list(enumerate(HARD)), "page_id int, html string")
+    got = {r["page_id"]: r for r in df.select("page_id", E.scan("html").alias("page")).select(
+        "page_id",
+        E.page_text("page").alias("text"),
+        F.transform(E.elements("page", "p"), lambda e: E.text("page", e)).alias("paras"),
+        F.transform(E.elements("page", "li"), lambda e: E.text("page", e)).alias("items"),
+        F.transform(E.elements("page", "h1", "h2", "h3"), lambda e: F.struct(e["tag"], E.text("page", e), E.next_text("page", e))).alias("heads"),
+        F.transform(E.with_following(E.elements("page", "a"), E.elements("page", "p")), lambda x: F.struct(E.attr("page", x["e"], "href"), E.text("page", x["next"]))).alias("links"),
+        E.cells("page").alias("cells"),
+        F.transform(E.elements("page", where=lambda e: E.attr("page", e, "class").isNotNull()), lambda e: E.text("page", e)).alias("blocks"),
+    ).collect()}
+    for k, html in enumerate(HARD):
+        dom, r = parse_html(html), got[k]
+        assert r["text"] == dom["text"] and r["paras"] == [p["text"] for p in dom["paras"]] and r["items"] == dom["items"], html
+        assert [tuple(h) for h in r["heads"]] == [(h["tag"], h["text"], h["next_text"]) for h in dom["headings"]], html
+        assert [tuple(x) for x in r["links"]] == [(x["href"], x["next_para"]) for x in dom["links"]], html
+        cells = [(c["tbl"], c["row"], c["col"], c["text"], c["has_button"]) for c in dom["cells"] if not c["is_header"]]
+        assert [tuple(c) for c in r["cells"]] == cells, html
+        assert r["blocks"] == [b["text"] for b in dom["blocks"] if b["cls"]], html
+
+
+def test_element_table_of_deep_and_of_long_pages(spark):
+    import time
+
+    from regesto.functions import elements as E
+
+    deep = "<div class='x'>" * 2000 + "<a href='/giu'>in fondo</a>" + "</div>" * 2000
+    long = "".join(f"<p><a href='/{k}.pdf'>Legge regionale n. {k} del 01/02/2020</a></p>" for k in range(4000))
+    df = spark.createDataFrame([(deep,), (long,)], "html string").repartition(2).select(E.scan("html").alias("page"))
+    pairs = E.with_container(E.elements("page", "a"), E.elements("page", "p", "div"))
+    t0 = time.perf_counter()
+    got = sorted(df.select(F.transform(pairs, lambda x: F.struct(E.text("page", x["e"]).alias("t"), x["box"]["depth"].alias("d"))).alias("x")).collect(), key=lambda r: len(r["x"]))
+    assert time.perf_counter() - t0 < 20
+    assert [tuple(x) for x in got[0]["x"]] == [("in fondo", 2000)] and len(got[1]["x"]) == 4000 and got[1]["x"][3999]["t"].startswith("Legge regionale n. 3999")
+
+
+def test_aosta_title_is_the_paragraph_of_its_class(spark):
+    p = _pages(spark, "https://a.example/r?page=1", '<a href="dettaglio?pk_lr=1">3 marzo 2020, n. 5</a><p>O</p><p class="z elemento_lista_paginata_banche_dati">Titolo</p>')
+    assert RG.extract_aosta(p).first()["law_title"] == "Titolo"
