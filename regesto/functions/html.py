@@ -30,7 +30,7 @@ _NAME = r"[^\s/>][^\s=/>]*+"
 NAME_REST = r"[^\s/>]*+"
 ATTR = rf"(?:[\s/]*+{_NAME}(?:\s*+=\s*+{VALUE})?+)"
 START_TAG_END = rf"{ATTR}*+[\s/]*+>"
-ANCHOR_RX = rf"(?is)<a(?=[\s/])({ATTR}*+)[\s/]*+>(.*?)</a\s*+>"
+ANCHOR_RX = rf"(?is)<a(?=[\s/>])({ATTR}*+)[\s/]*+>(.*?)</a\s*+>"
 HIDDEN_RX = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
 TAG_RX = r"(?s)<[^>]*>"
 

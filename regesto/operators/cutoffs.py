@@ -109,6 +109,14 @@ def cut_when_no_news(links: DataFrame, source: str = "source", page: str = "page
     )
 
 
+def cut_after_last_page(df: DataFrame, pages: DataFrame, source: str = "source", page: str = "page", has_next: str = "has_next") -> DataFrame:
+    """Numbered pager: the listing ends with the first page (of ``pages``) that offers no later one.
+    Keeps the rows of ``df`` up to that page (inclusive)."""
+    stop = pages.filter(~F.coalesce(_c(has_next), F.lit(False))).groupBy(source).agg(F.min(page).alias("__stop"))
+    by = [c for c in df.columns if c != source][:4]
+    return with_stop(df, stop, source, by, "__stop").filter(F.col("__stop").isNull() | (F.col(page) <= F.col("__stop"))).drop("__stop")
+
+
 def drop_revisits(df: DataFrame, group: str = "year", seq: str = "seq", url: str = "url") -> DataFrame:
     """WIN-4: stop at the first page (in ``seq`` order) whose URL was visited before in the group."""
     first = df.groupBy(group, url).agg(F.min(seq).alias("__first"))

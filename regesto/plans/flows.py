@@ -19,6 +19,7 @@ from regesto.functions import urls as U
 from regesto.operators import cutoffs as C
 from regesto.operators import dedupe as S
 from regesto.operators import joins as J
+from regesto.operators import traversal as V
 from regesto.plans.regions import EXTRACTORS
 
 
@@ -41,13 +42,17 @@ def index_pages(region: str, pages: DataFrame, done_ids: DataFrame | None = None
 
 @dataclass(frozen=True)
 class Listing:
-    """How a region's listing is walked: what its links hold, when it stops, how many pages count."""
+    """How a region's listing is walked: what its links hold, when it stops, how many pages count.
+
+    ``stop``: "empty" (three empty pages in a row), "no_news" (a page without a new link), "pager" (a
+    page that offers no later one)."""
 
     host: str
     link: str
-    stop: str | None = None  # "empty": three empty pages in a row; "no_news": a page without a new link
+    stop: str | None = None
     limit: int | None = None
     by_category: bool = False
+    in_listing: bool = False  # the records stand in the listing itself
 
 
 # Link patterns, stop rules and page limits of the regional listings.
@@ -57,17 +62,70 @@ LISTINGS = {
     "molise": Listing("molise.example", "OpenDocument"),
     "friuli": Listing("fvg.example", "IndiceLex", by_category=True),
     "veneto": Listing("veneto.example", "dettaglio-legge", "no_news"),
-    "aosta": Listing("aosta.example", "dettaglio?pk_lr=", "no_news"),
+    "aosta": Listing("aosta.example", "dettaglio?pk_lr=", "no_news", 50, in_listing=True),
+    "lazio": Listing("lazio.example", "leggiregionalidettaglio", "no_news", 251),
+    "puglia": Listing("puglia.example", "LeggeNavscroll.aspx", None, 107),
+    "trentino": Listing("taa.example", "/content/view/full/", "pager"),
+    "basilicata": Listing("basilicata.example", "", "pager", in_listing=True),
+}
+ELLIPSIS = "..."
+
+
+@dataclass(frozen=True)
+class Walk:
+    """A listing that is walked along next links, one chain per start link of the start pages.
+
+    ``start``: what the address of a start link holds (its text, a number, names the source);
+    ``next_rx``: the text of a next link; ``link`` and ``cls``: the address and class of a law's link."""
+
+    host: str
+    start: str
+    next_rx: str
+    link: str
+    cls: str | None = None
+    limit: int | None = None
+    stop: str | None = None
+    in_listing: bool = False
+
+
+# As above, for listings that are walked along next links.
+WALKS = {
+    "piemonte": Walk("piemonte.example", "elencoLeggi.do", "^»$", "dettaglioLegge.do", "dettaglio", 100, "no_news"),
+    "emilia": Walk("emilia.example", "ricerca", r"Succ\.", "", in_listing=True),
 }
+MARCHE_CATEGORY, MARCHE_PAGE_RX, MARCHE_LAW = "classificazioni.php?arc=vig", r"classificazioni\.php\?.+page=\d+", "dettaglio.php?arc=vig"
+#: Link pattern and years of the listings that unfold as a tree.
+TREES = {"toscana": (r"articolo\?urndoc=", 0, 9999), "liguria": ("articolo|view|id=", 1950, 2050)}
+LOMBARDIA_TREE_CLASSES, LOMBARDIA_YEAR_RX, LOMBARDIA_YEARS = ("treelink", "treelinkselected"), r"\b(19\d{2}|20\d{2})\b", (1970, 2025)
+
+
+def _sourced(listing: DataFrame, region: str) -> DataFrame:
+    return listing if "source" in listing.columns else listing.withColumn("source", F.lit(region))
+
+
+def walked_pages(region: str, listing: DataFrame) -> DataFrame:
+    """The pages of ``listing`` ([source,] page_no, url, html) within the region's page limit and up to
+    the end of its pager."""
+    rule = LISTINGS[region]
+    pages = _sourced(listing, region)
+    if rule.limit is not None:
+        pages = C.page_limit(pages, "page_no", rule.limit)
+    if rule.stop == "pager":
+        anchors = H.extract_anchors(pages, keep=("source", "page_no"))
+        later = (F.trim("text") == (F.col("page_no") + 1).cast("string")) | (F.trim("text") == ELLIPSIS)
+        more = anchors.filter(later).select("source", "page_no").distinct().withColumn("has_next", F.lit(True))
+        offers = pages.select("source", "page_no").distinct().join(more, ["source", "page_no"], "left")
+        kept = C.cut_after_last_page(offers, offers, "source", "page_no", "has_next").select("source", "page_no")
+        pages = pages.join(kept, ["source", "page_no"], "left_semi")
+    return pages
 
 
 def listing_links(region: str, listing: DataFrame) -> DataFrame:
-    """The first link to each law in (page_no, pos) order, as far as the region's listing is walked.
+    """The first link to each law in (source, page_no, pos) order, as far as the region's listing is walked.
 
-    ``listing``: (page_no, url, html[, category])."""
+    ``listing``: ([source,] page_no, url, html[, category])."""
     rule = LISTINGS[region]
-    pages = listing if rule.limit is None else C.page_limit(listing, "page_no", rule.limit)
-    pages = pages.withColumn("source", F.lit(region))
+    pages = walked_pages(region, listing)
     keep = ("source", "page_no", "url", *(("category",) if rule.by_category else ()))
     found = H.extract_anchors(pages, keep=keep).filter(F.col("href").contains(rule.link))
     links = found.select(
@@ -77,30 +135,123 @@ def listing_links(region: str, listing: DataFrame) -> DataFrame:
         counts = links.groupBy("source", "page_no").agg(F.count(F.lit(1)).alias("n_links"))
         seen = pages.select("source", "page_no", F.col("html").isNull().alias("failed")).join(counts, ["source", "page_no"], "left")
         seen = seen.withColumn("n_links", F.coalesce("n_links", F.lit(0)))
-        walked = C.cut_after_empty_pages(seen, "source", "page_no", "n_links", "failed", 3).select("page_no")
-        links = links.join(walked, "page_no", "left_semi")
+        walked = C.cut_after_empty_pages(seen, "source", "page_no", "n_links", "failed", 3).select("source", "page_no")
+        links = links.join(walked, ["source", "page_no"], "left_semi")
     elif rule.stop == "no_news":
         links = C.cut_when_no_news(links, "source", "page_no", "url", pages=pages)
-    return S.distinct_ordered(links.drop("source"), "url", ["page_no", "pos"])
+    return S.distinct_ordered(links, "url", ["source", "page_no", "pos"])
+
 
+def open_details(region: str, links: DataFrame, details: DataFrame) -> DataFrame:
+    """The records of the detail pages (url, html, ...) that ``links`` (url, page_no, link_text, ...) lead to,
+    with the page that each was found on."""
+    extra = [c for c in details.columns if c not in ("url", "page_id", *links.columns)]
+    opened = J.listing_with_detail(links.withColumns({f"list_{c}": F.lit(None) for c in extra}), details, on="url", fields=extra)
+    opened = opened.filter(F.col("html").isNotNull()).withColumn("page_id", F.xxhash64("url"))
+    idx = EXTRACTORS[region](opened.drop("source", "category", *[f"list_{c}" for c in extra]))
+    return _with_page(idx, links.select(F.col("url").alias("source_url"), "page_no"))
 
-def index_listing(region: str, listing: DataFrame, details: DataFrame) -> DataFrame:
+
+def _with_page(idx: DataFrame, places: DataFrame) -> DataFrame:
+    """``idx`` with the page number of ``places`` (source_url, page_no), which has one row per address."""
+    order = idx.columns
+    found = idx.drop("page_no").join(places.select("source_url", F.col("page_no").cast("int").alias("page_no")), "source_url")
+    return found.select(*order)
+
+
+def index_listing(region: str, listing: DataFrame, details: DataFrame | None = None) -> DataFrame:
     """Shape A from its listing on: walk the listing, open each law's detail page (``details``: url,
     html, ...), extract, and note the page (and category) that the law was found on."""
     rule = LISTINGS[region]
+    if rule.in_listing and not rule.link:  # every row of a listing page is a record
+        pages = walked_pages(region, listing)
+        return _with_page(EXTRACTORS[region](pages), pages.select(F.col("url").alias("source_url"), "page_no"))
     links = listing_links(region, listing)
-    if region == "aosta":  # its records are in the listing itself; details only tell repeals
-        walked = listing.join(links.select("page_no").distinct(), "page_no", "left_semi")
+    if rule.in_listing:  # records by links; details only tell repeals
+        walked = _sourced(listing, region).join(links.select("source", "page_no").distinct(), ["source", "page_no"], "left_semi")
         idx = EXTRACTORS[region](walked.withColumn("page_id", F.col("page_no")), details)
-    else:
-        extra = [c for c in details.columns if c not in ("url", "page_id", *links.columns)]
-        opened = J.listing_with_detail(links.withColumns({f"list_{c}": F.lit(None) for c in extra}), details, on="url", fields=extra)
-        opened = opened.filter(F.col("html").isNotNull()).withColumn("page_id", F.col("page_no") * 1_000_000 + F.col("pos"))
-        idx = EXTRACTORS[region](opened.drop("category", *[f"list_{c}" for c in extra]))
-    places = links.select(F.col("url").alias("source_url"), F.col("page_no").cast("int").alias("page_no"))
-    order = idx.columns
-    idx = idx.drop("page_no").join(places, "source_url")
+        return _with_page(idx, links.select(F.col("url").alias("source_url"), "page_no"))
+    idx = open_details(region, links, details)
     if rule.by_category:
+        order = idx.columns
         cats = links.select(F.col("url").alias("source_url"), "category")
-        idx = J.law_with_category(idx.drop("category"), cats, on="source_url")
-    return idx.select(*order)
+        idx = J.law_with_category(idx.drop("category"), cats, on="source_url").select(*order)
+    return idx
+
+
+# ------------------------------------------------------------------ listings along next links
+
+
+def start_links(starts: DataFrame, holds: str) -> DataFrame:
+    """(source, url): the numbered links of the start pages (url, html) whose address holds ``holds``."""
+    found = V.page_anchors(starts).filter(F.col("to").contains(holds) & F.trim("text").rlike("^[0-9]+$"))
+    return found.select(F.trim("text").alias("source"), F.col("to").alias("url")).distinct()
+
+
+def walk_listing(region: str, starts: DataFrame, listing: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(pages, links) of a listing that is walked along next links.
+
+    ``starts``: start pages (url, html); ``listing``: captured listing pages (url, html).  Pages are
+    (source, page_no, url, stop); links are (source, page_no, pos, url, link_text), each law once."""
+    rule = WALKS[region]
+    is_next, is_law = F.trim("text").rlike(rule.next_rx), F.col("to").contains(rule.link)
+    if rule.cls:
+        is_law = is_law & F.array_contains(F.split("cls", r"\s+"), rule.cls)
+    # the anchors travel, the pages do not
+    anchors = V.page_anchors(listing).filter(is_next | is_law).checkpoint()
+    pages = V.walk(start_links(starts, rule.start), V.next_pages(listing, anchors, is_next), rule.limit)
+    links = anchors.filter(is_law).join(pages.select("source", "page_no", "url"), "url")
+    links = links.select("source", "page_no", "pos", F.col("to").alias("url"), F.col("text").alias("link_text"))
+    if rule.stop == "no_news":
+        links = C.cut_when_no_news(links, "source", "page_no", "url", pages=pages)
+    return pages, S.distinct_ordered(links, "url", ["source", "page_no", "pos"])
+
+
+def index_walk(region: str, starts: DataFrame, listing: DataFrame, details: DataFrame | None = None) -> DataFrame:
+    """Shape A along next links: walk every chain of the start pages, then open the details."""
+    pages, links = walk_listing(region, starts, listing)
+    if not WALKS[region].in_listing:
+        return open_details(region, links, details)
+    first = pages.groupBy("url").agg(F.min("page_no").alias("page_no"))
+    # the law's page is the first that shows it
+    marked = listing.join(first.select("url"), "url", "left_semi").withColumn("page_id", F.xxhash64("url"))
+    idx = EXTRACTORS[region](marked)
+    return _with_page(idx, links.select(F.col("url").alias("source_url"), "page_no"))
+
+
+def index_categories(starts: DataFrame, listing: DataFrame, details: DataFrame) -> DataFrame:
+    """Marche: category links of the start pages -> the pages that each category's first page lists ->
+    law links -> details.  Several categories may list a law; it counts once."""
+    anchors = V.page_anchors(listing).filter(F.col("to").rlike(MARCHE_PAGE_RX) | F.col("to").contains(MARCHE_LAW)).checkpoint()
+    categories = V.page_anchors(starts).filter(F.col("to").contains(MARCHE_CATEGORY)).select(F.col("to").alias("source"), F.col("to").alias("url")).distinct()
+    number = U.query_param("to", "page", "0").try_cast("int")
+    pages = anchors.filter(F.col("to").rlike(MARCHE_PAGE_RX)).join(categories, "url").select("source", number.alias("page_no"), F.col("to").alias("url"))
+    first = categories.select("source", F.lit(0).alias("page_no"), "url")
+    pages = S.distinct_ordered(first.unionByName(pages), ["source", "url"], "page_no")
+    links = anchors.filter(F.col("to").contains(MARCHE_LAW)).join(pages, "url")
+    links = links.select("source", "page_no", "pos", F.col("to").alias("url"), F.col("text").alias("link_text"))
+    return open_details("marche", S.distinct_ordered(links, "url", ["source", "page_no", "pos"]), details)
+
+
+def index_tree(region: str, starts: DataFrame, snapshots: DataFrame, details: DataFrame) -> DataFrame:
+    """A tree that unfolds year by year, newest first: ``starts`` (tree, url, html) name the years,
+    ``snapshots`` (tree, year, url, html) are the page after each year was unfolded and hold the
+    links of all years so far.  A law belongs to the first year that shows it (``page_no``)."""
+    pattern, after, until = TREES[region]
+    years = H.extract_anchors(starts, keep=("tree",)).filter(F.trim("text").rlike("^[0-9]{1,9}$")).select("tree", F.trim("text").try_cast("int").alias("year"))
+    years = years.filter((F.col("year") > after) & (F.col("year") <= until)).distinct()
+    shown = V.page_anchors(snapshots, keep=("tree", "year", "url")).filter(F.col("to").rlike(pattern) & ~U.is_script_link("to"))
+    links = shown.join(years, ["tree", "year"], "left_semi").select("tree", "year", "pos", F.col("to").alias("url"), F.col("text").alias("link_text"))
+    links = S.distinct_across(links, "url", "year", "pos").drop("tree").withColumnRenamed("year", "page_no")
+    return open_details(region, links, details)
+
+
+def index_years(starts: DataFrame, listing: DataFrame) -> DataFrame:
+    """Lombardia: the tree links of the start pages (url, html) that name a year -> the listing page
+    (url, html) behind the first link of each year -> records."""
+    cls, (after, until) = LOMBARDIA_TREE_CLASSES, LOMBARDIA_YEARS
+    tree = V.page_anchors(starts).filter(F.arrays_overlap(F.split("cls", r"\s+"), F.array(*[F.lit(c) for c in cls])))
+    tree = tree.withColumn("year", F.regexp_extract("text", LOMBARDIA_YEAR_RX, 1)).filter(F.col("year") != "")
+    tree = tree.filter(F.col("year").cast("int").between(after, until))
+    opened = S.distinct_ordered(tree.select("url", "year", "pos", "to"), ["url", "year"], "pos").select(F.col("to").alias("url")).distinct()
+    return EXTRACTORS["lombardia"](listing.join(opened, "url", "left_semi"))

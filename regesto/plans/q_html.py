@@ -237,7 +237,7 @@ def el_page_links(spark, sf):
     return _scanned(spark, sf, "pages").select("page_id", F.posexplode(links).alias("p0", "href")).select("page_id", (F.col("p0") + 1).alias("pos"), "href")
 
 
-@query("el_law_fields", ORACLES["dom_law_fields"], ops="HTM-0 HTM-7 HTM-9 HTM-11 HTM-12")
+@query("el_law_fields", ORACLES["dom_law_fields"], ops="HTM-0 HTM-7 HTM-9 HTM-11")
 def el_law_fields(spark, sf):
     page = "page"
     h1 = E.first(E.elements(page, "h1"))

@@ -262,69 +262,3 @@ def flow_lazio(spark, sf):
     pages = view(spark, sf, "pages_lazio")
     return FL.index_pages("lazio", pages, done_ids=view(spark, sf, "lazio_done"), id_param="id",
                           inventory=view(spark, sf, "lazio_inventory"))
-
-
-# ------------------------------------------------------------------ listing -> detail -> index
-
-FLOW_PAGES, EMPTY_FROM, EMPTY_TO = 120, 100, 102  # listing pages, and those without a link
-FLOW_REGIONS = ("campania", "umbria", "molise", "friuli", "veneto", "aosta")
-
-
-def _listing(spark, sf, region):
-    """Listing pages (page_no, url, html, category): the laws' links by page, noise, and every fifth
-    law again on the next page."""
-    pages = view(spark, sf, f"pages_{region}")
-    own = F.col("page_id") % FLOW_PAGES + 1
-    text = F.col("link_text") if "link_text" in pages.columns else F.lit("Legge")
-    link = F.col("html") if region == "aosta" else F.concat(F.lit('<li><a href="'), F.replace("url", F.lit("&"), F.lit("&amp;")), F.lit('">'), text, F.lit("</a></li>"))
-    once = pages.select(own.alias("page_no"), "page_id", link.alias("a"))
-    again = once.filter("page_id % 5 = 0").withColumn("page_no", F.least(F.col("page_no") + 1, F.lit(FLOW_PAGES)))
-    both = once.unionByName(again).filter(~F.col("page_no").between(EMPTY_FROM, EMPTY_TO))
-    html = both.groupBy("page_no").agg(F.array_sort(F.collect_list(F.struct("page_id", "a"))).alias("x"))
-    numbers = spark.range(1, FLOW_PAGES + 1).select(F.col("id").alias("page_no"))
-    body = F.coalesce(F.array_join(F.transform("x", lambda x: x["a"]), ""), F.lit("Nessun risultato"))
-    return numbers.join(html, "page_no", "left").select(
-        "page_no",
-        F.concat(F.lit(f"https://{FL.LISTINGS[region].host}/elenco?page="), F.col("page_no").cast("string")).alias("url"),
-        F.concat(F.lit('<html><body><a href="/home">Home</a>'), body, F.lit("</body></html>")).alias("html"),
-        F.concat(F.lit("Materia "), (F.col("page_no") % 5).cast("string")).alias("category"),
-    )
-
-
-def _details(spark, sf, region):
-    if region != "aosta":
-        return view(spark, sf, f"pages_{region}")
-    lh = view(spark, sf, "law_headers")
-    gone = F.when(F.col("law_id") % 17 == 0, F.lit("<p>Legge (abrogata dall’art. 1)</p>")).otherwise(F.lit(""))
-    url = F.concat(F.lit("https://aosta.example/dettaglio?pk_lr="), F.col("law_id").cast("string"))
-    return lh.select(F.col("law_id").alias("page_id"), url.alias("url"), F.concat(F.lit("<html><body>Testo"), gone, F.lit("</body></html>")).alias("html"))
-
-
-def _flow_oracle(region):
-    # a law is met first on its own page, unless that page is empty: then on the next, if it is every fifth
-    own = f"(id % {FLOW_PAGES} + 1)"
-    first = f"""CASE WHEN {own} NOT BETWEEN {EMPTY_FROM} AND {EMPTY_TO} THEN {own}
-                     WHEN id % 5 = 0 AND {own} = {EMPTY_TO} THEN {own} + 1 END"""
-    stops = FL.LISTINGS[region].stop is not None
-    keep = f"page_no < {EMPTY_FROM}" if stops else "page_no IS NOT NULL"
-    keep += " AND id % 17 <> 0" if region == "aosta" else ""
-    cols = [c for c, _ in RG.LAW_INDEX if c not in ("page_no", "category")]
-    category = "concat('Materia ', cast(page_no % 5 as varchar))" if region == "friuli" else "category"
-    key = "pk_lr" if region == "aosta" else "id"
-    return f"""
-SELECT {', '.join(cols)}, cast({category} as varchar) AS category, cast(page_no as int) AS page_no FROM (
-  SELECT *, {first} AS page_no FROM (
-    SELECT * EXCLUDE (page_no), cast(regexp_extract(source_url, '{key}=([0-9]+)', 1) as bigint) AS id FROM ({ORACLE_SELECTS[region]}) x) y) z
-WHERE {keep}"""
-
-
-def _register_flow(region):
-    def fn(spark, sf):
-        return FL.index_listing(region, _listing(spark, sf, region), _details(spark, sf, region))
-
-    more = {"campania": "JON-3 WIN-2 LIM-1", "friuli": "JON-3 JON-4", "aosta": "WIN-3 SET-8", "veneto": "JON-3 WIN-3"}.get(region, "JON-3")
-    query(f"flow_{region}", _flow_oracle(region), views=["law_headers"], ops=f"shape A: REG {region} HTM-2 SET-1 URL-2 {more}")(fn)
-
-
-for _key in FLOW_REGIONS:
-    _register_flow(_key)

@@ -33,4 +33,4 @@ def query(name: str, oracle: str | None = None, views=(), ops: str = ""):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from regesto.plans import q_scalars, q_html, q_ops, q_regions, q_sources  # noqa: F401
+    from regesto.plans import q_scalars, q_html, q_ops, q_regions, q_sources, q_walks  # noqa: F401

@@ -28,6 +28,14 @@ DITD = f"concat({DAY}, '° ', {IT}, ' ', {YEAR})"
 TITLE = "concat('Disposizioni per la regione ', region, ' e norme collegate')"
 FORM = "law_id % 4"
 
+BASILICATA_ROW = f"""concat('<tr><td>', CASE {FORM} WHEN 3 THEN '' WHEN 1 THEN {NO} ELSE concat('n. ', {NO}) END, '</td><td>',
+            CASE WHEN {FORM} = 3 THEN '' ELSE {DMY} END, '</td><td>', {TITLE},
+            '</td><td><input type="image" src="/img/Btn_Selezione.png"></td></tr>')"""
+EMILIA_BUTTON = f"""concat('<a class="hitelement_button" title="Accedi al documento ',
+            CASE {FORM} WHEN 0 THEN concat('Legge regionale ', {DIT}, ', n.', {NO}, ' sull', chr(39), 'acqua')
+                        WHEN 2 THEN concat('Legge regionale ', {DITD}, ', n.', {NO}) ELSE hdr END,
+            '" href=', chr(39), '/doc/', {ID}, chr(39), '>Apri</a>')"""
+
 
 def _page(url: str, html: str, more: str = "") -> str:
     return f"SELECT law_id AS page_id, {url} AS url, {html} AS html{more} FROM law_headers"
@@ -37,10 +45,7 @@ PAGES: dict[str, str] = {
     "basilicata": _page(
         f"concat('https://basilicata.example/elenco?p=', {ID})",
         f"""concat('<html><body><table id="menu"><tr><td>9</td><td>01/01/2001</td><td>Altra tabella</td><td><input type="image" src="/img/Btn_Selezione.png"></td></tr></table>',
-            '<table id="ctl00_GVElenco"><tr><td>8</td><td>02/02/2002</td><td>Riga con altro bottone</td><td><button>Apri</button></td></tr><tr><th>Numero</th><th>Data</th><th>Oggetto</th><th></th></tr><tr><td>',
-            CASE {FORM} WHEN 3 THEN '' WHEN 1 THEN {NO} ELSE concat('n. ', {NO}) END, '</td><td>',
-            CASE WHEN {FORM} = 3 THEN '' ELSE {DMY} END, '</td><td>', {TITLE},
-            '</td><td><input type="image" src="/img/Btn_Selezione.png"></td></tr></table></body></html>')"""),
+            '<table id="ctl00_GVElenco"><tr><td>8</td><td>02/02/2002</td><td>Riga con altro bottone</td><td><button>Apri</button></td></tr><tr><th>Numero</th><th>Data</th><th>Oggetto</th><th></th></tr>', {BASILICATA_ROW}, '</table></body></html>')"""),
     "campania": _page(
         f"concat('https://campania.example/dettaglio-documento?', CASE WHEN law_id % 13 = 5 THEN 'codice=' ELSE 'id=' END, {ID})",
         f"""concat('<html><body><h1>', {TITLE}, ' e attivit&agrave;</h1><div class="testo"><p>', hdr,
@@ -141,10 +146,7 @@ PAGES: dict[str, str] = {
             '</p><a href="dettaglio?pk_lr=', {ID}, '">Aggiornamento</a><p>Aaa seconda voce</p></div></body></html>')"""),
     "emilia": _page(
         f"concat('https://emilia.example/ricerca?p=', {ID})",
-        f"""concat('<html><body><a class="hitelement_button" title="Accedi al documento ',
-            CASE {FORM} WHEN 0 THEN concat('Legge regionale ', {DIT}, ', n.', {NO}, ' sull', chr(39), 'acqua')
-                        WHEN 2 THEN concat('Legge regionale ', {DITD}, ', n.', {NO}) ELSE hdr END,
-            '" href=', chr(39), '/doc/', {ID}, chr(39), '>Apri</a><a href="/altro">Altro</a><a title="Altra pagina" href="/altro2">Altra</a></body></html>')"""),
+        f"""concat('<html><body>', {EMILIA_BUTTON}, '<a href="/altro">Altro</a><a title="Altra pagina" href="/altro2">Altra</a></body></html>')"""),
 }
 
 # Calabria's probe captures: one per (year, number) of the orders grid.
