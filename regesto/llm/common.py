@@ -113,7 +113,12 @@ class ChunkEncoder:
 
         self.hash = xxhash.xxh3_64_intdigest
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # the special tokens of the file stand for themselves wherever a text holds them, before any
+        # normalization; a chunk has no space, so one with a space in front names a special token
+        found = {t.content: k for k, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not t.normalized}
+        self.special = {f" {token}": k for token, k in found.items()}
+        self.special_rx = re.compile("|".join(map(re.escape, sorted(found, key=len, reverse=True))) or r"(?!)")
+        self.tokenizer.encode_special_tokens = True  # what only looks like one, lower-cased, is text
         self.model = self.tokenizer.model
         self.cap = cap
         self._forget()
@@ -135,9 +140,12 @@ class ChunkEncoder:
 
     def _learn(self, new: list[str]) -> None:
         """Append the ids of ``new`` chunks."""
-        plain, plain_of, other, other_of = [], [], [], []
+        plain, plain_of, other, other_of, alone, alone_of = [], [], [], [], [], []
         for k, chunk in enumerate(new):
-            if m := PLAIN.fullmatch(chunk):
+            if chunk[:1] == " ":
+                alone.append(self.special[chunk])
+                alone_of.append(k)
+            elif m := PLAIN.fullmatch(chunk):
                 plain.append(m[1])
                 plain_of.append(k)
                 if m[2]:
@@ -149,8 +157,8 @@ class ChunkEncoder:
         letters = "\n".join(plain).lower().encode().decode("latin-1").translate({b: c for b, c in BYTE_ALPHABET.items() if b != 10})
         tokenize = self.model.tokenize
         found = [tokenize(w) for w in letters.split("\n")] if plain else []
-        ids = [np.fromiter((t.id for w in found for t in w), self.ids.dtype)]
-        of = [np.repeat(np.array(plain_of, np.int64), np.fromiter(map(len, found), np.int64, len(found)))]
+        ids = [np.array(alone, self.ids.dtype), np.fromiter((t.id for w in found for t in w), self.ids.dtype)]
+        of = [np.array(alone_of, np.int64), np.repeat(np.array(plain_of, np.int64), np.fromiter(map(len, found), np.int64, len(found)))]
         for lo in range(0, len(other), 20_000):
             got = self.tokenizer.encode(other[lo : lo + 20_000], is_pretokenized=True, add_special_tokens=False)
             ids.append(np.asarray(got.ids, self.ids.dtype))
@@ -162,6 +170,12 @@ class ChunkEncoder:
         self.lens = np.concatenate([self.lens, lens])
         self.ids = np.concatenate([self.ids, np.concatenate(ids)[np.argsort(of, kind="stable")]])
 
+    @staticmethod
+    def _chunks(t: str) -> list[str]:
+        if not EXOTIC.search(t):
+            t = t.lower()  # as the normalizer would, and fewer chunks are distinct
+        return t.replace("\n", " ").split(" ")
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of ``texts`` one after the other, and the number of ids of each text."""
         if len(self.known) > self.cap:
@@ -169,10 +183,13 @@ class ChunkEncoder:
         chunks: list[str] = []
         ends = np.zeros(len(texts) + 1, np.int64)
         for k, t in enumerate(texts):
+            at = 0
+            for m in self.special_rx.finditer(t or ""):
+                chunks += self._chunks(t[at : m.start()])
+                chunks.append(f" {m[0]}")
+                at = m.end()
             if t:
-                if not EXOTIC.search(t):
-                    t = t.lower()  # as the normalizer would, and fewer chunks are distinct
-                chunks += t.replace("\n", " ").split(" ")
+                chunks += self._chunks(t[at:] if at else t)
             ends[k + 1] = len(chunks)
         codes, names = pd.factorize(np.fromiter(map(self.hash, chunks), np.uint64, len(chunks)))
         order = np.argsort(names)

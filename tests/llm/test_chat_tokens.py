@@ -22,7 +22,6 @@ WORD_BPE = tokenizer_file("word_bpe_49k.json")
 @pytest.fixture(scope="module")
 def plain():
     t = Tokenizer.from_file(WORD_BPE)
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -133,7 +132,7 @@ def test_token_count_edges(spark, edge_docs, no_docs):
 
 
 def test_chunks_encode_like_whole_texts(plain):
-    odd = ["İstanbul ǅ ﬁ it's <|endoftext|> x́y é e ́ ΑΣ ΣΑΣ. don't!! a,b 123 \x1c z q\xa0　 🙂 ñÑ, ß. ẞ", " ", "", None, "\n\n a\n", "ÀÉ. ŸŽ? ĳ"]
+    odd = ["İstanbul ǅ ﬁ it's <|endoftext|> x́y é e ́ ΑΣ ΣΑΣ. don't!! a,b 123 \x1c z q\xa0　 🙂 ñÑ, ß. ẞ", " ", "", None, "\n\n a\n", "ÀÉ. ŸŽ? ĳ", "<|startoftext|><|endoftext|>x<|ENDOFTEXT|> <|endoftext|", "A<|endoftext|>B <|endoftext|>", " <|endoftext|>\n"]
     odd += [r[1] for r in edge_rows()]
     enc = ChunkEncoder(WORD_BPE, cap=50)
     for _ in range(3):
