@@ -14,6 +14,7 @@ from regesto.plans.registry import query
 from regesto.sources import readers as R
 from regesto.sources import sinks as W
 from regesto.sources.fixtures import view
+from regesto.streaming import stateful as SF
 from regesto.streaming import stream as ST
 
 
@@ -155,3 +156,42 @@ def str_status_counts(spark, sf):
     res = spark.read.parquet(out)
     last = res.agg(F.max("batch_id").alias("b"))
     return res.join(last, res.batch_id == last.b).select("status", "n")
+
+
+# ---------------------------------------------------------------- keyed state with timers
+WAIT = "12 hours"  # longer than a key's attempts take, shorter than the log
+
+
+def _in_slices(spark, log, start, out_schema: str):
+    """The log arrives in three slices of time, the stream starts anew for each; a last row far ahead
+    moves the watermark past every timer."""
+    SF.use_rocksdb(spark)
+    src, out, ckpt = (ST.scratch_dir(spark, n) for n in ("attempts", "outcomes", "ckpt"))
+    sliced = log.withColumn("slice", F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2)))  # the log is of one month
+    end = log.limit(0).select(*log.columns).unionByName(spark.range(1).select(F.lit(-1).cast("long").alias("k"), *[
+        (F.lit("2100-01-01").cast("timestamp") if c == "ts" else F.lit("Failed") if c == "status" else F.lit(1)).cast(t).alias(c) for c, t in log.dtypes if c != "k"]))
+    for k in range(4):
+        (sliced.filter(F.col("slice") == k).drop("slice") if k < 3 else end).write.mode("append").parquet(src)
+        ST.run_to_parquet(start(ST.stream_pages(spark, src, log.schema)), out, ckpt)
+    return spark.read.schema(out_schema).parquet(out)
+
+
+@query("str_outcomes", """
+SELECT k, cast(coalesce(min(CASE WHEN status <> 'Failed' THEN attempt END), max(attempt)) as int) AS attempt,
+  arg_min(status, CASE WHEN status <> 'Failed' THEN attempt ELSE 100 - attempt END) AS status,
+  CASE WHEN count(CASE WHEN status <> 'Failed' THEN 1 END) > 0 THEN 'final' WHEN max(attempt) = 3 THEN 'tries' ELSE 'timeout' END AS why
+FROM attempt_log WHERE attempt <= 3 GROUP BY k""", views=["attempt_log"], ops="STR-1 WIN-6")
+def str_outcomes(spark, sf):
+    """Outcome per key by state and timers, over three restarts."""
+    log = view(spark, sf, "attempt_log")
+    return _in_slices(spark, log, lambda s: SF.stream_outcomes(s, wait=WAIT), "k long, attempt int, status string, why string")
+
+
+@query("str_first_record", """
+SELECT k, page_no, event_id, status FROM (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY page_no, event_id) AS r FROM attempt_log) WHERE r = 1""", views=["attempt_log"], ops="STR-1 STR-2")
+def str_first_record(spark, sf):
+    """The first record of each key by (page, position), whatever the order of arrival."""
+    log = view(spark, sf, "attempt_log").drop("attempt")
+    found = _in_slices(spark, log, lambda s: SF.first_records(s, "k", ["page_no", "event_id"], wait=WAIT), "k long, page_no int, event_id long, status string, ts timestamp")
+    return found.drop("ts")

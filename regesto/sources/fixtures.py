@@ -59,6 +59,12 @@ SELECT user_id AS k, event_id, ts,
        cast(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) as int) AS attempt,
        CASE event_type WHEN 'error' THEN 'Failed' WHEN 'view' THEN 'Skipped' ELSE 'Downloaded' END AS status
 FROM events""",
+    # up to four attempts per key, in time order; some keys have fewer and no final one
+    "attempt_log": """
+SELECT cast(floor(event_id / 4) as bigint) AS k, cast(event_id % 4 + 1 as int) AS attempt,
+       CASE event_type WHEN 'view' THEN 'Skipped' WHEN 'purchase' THEN 'Downloaded' ELSE 'Failed' END AS status,
+       cast(event_id * 7 % 5 as int) AS page_no, event_id, cast(ts as timestamp) AS ts
+FROM events WHERE event_id % 4 <= floor(event_id / 4) % 4""",
     "repeal_text": """
 SELECT doc_id,
        concat(text, CASE doc_id % 5

@@ -25,7 +25,7 @@ REGIONS = {
 ALSO = {
     "SNK-4": ("stream_upsert_index",), "HTM-9": ("label_value",), "PRD-1": ("is_repealed_strict",), "PRD-2": ("is_repealed_phrase",),
     "PRD-3": ("is_valid_capture",), "URL-6": ("is_script_link",), "SRT-2": ("year_number_keys",), "SRT-3": ("date_order_keys",),
-    "HTM-0": ("scan",), "HTM-6": ("cells",), "HTM-11": ("next_text", "with_following"), "HTM-13": ("documents",),
+    "STR-2": ("first_records",), "WIN-6": ("stream_outcomes",), "HTM-0": ("scan",), "HTM-6": ("cells",), "HTM-11": ("next_text", "with_following"), "HTM-13": ("documents",),
     "NUM-2": ("law_no_text_chain",), "HTM-7": ("text_without",), "REG-ALL": ("all_regions",), "DAT-3": ("it_date", "any_date"),
 }
 
