@@ -9,12 +9,13 @@ cell left out and what the other cells hold; similar sets share at least one.
 
 1. Equal sets are one node.  Signatures are counted; a Bloom filter of a fixed size lets only those
    go on that several nodes may share.
-2. Each node is compared with the least node of the signature it shares most and with the least of
-   all such; what is confirmed on full sets gives components.
+2. In turns, a node of each component (at first, each node) is compared with one of the component
+   that it shares most signatures with and with one of the least such; what is confirmed on full sets
+   gives larger components.  A turn makes at most two pairs a component; one without a link is the last.
 3. The rest: whatever shares a signature and lies in different components.  A set carries a parity
    sketch (for each of M hash buckets, whether it holds an odd number of shingles).  Two sketches
    never differ in more bits than the sets in shingles, so a pair that the sketches rule out is no
-   link; the others are confirmed too.  Only such pairs leave the task.
+   link; the others are confirmed too.  Only such pairs leave the task, mostly from one bucket each.
 
 No step loses a link; shingles, sets and signatures are named by 64-bit hashes.  A signature that
 very many nodes share is joined by many tasks (step 2) and cut into blocks that meet pairwise (3).
@@ -40,6 +41,9 @@ CELLS = 3
 BLOCK = 4096
 BUCKET = 128
 PAIRS_BYTES = 1 << 22  # of sketches that are compared at a time
+FIRSTS = 8  # least signatures of a node that travel with it, to tell which bucket a pair belongs to
+SETTLED = 10  # a turn that joins fewer than one in so many open components is the last
+HOPS = 3  # links that a node looks ahead for its component between turns
 
 _MUL = U(0x9E3779B97F4A7C15)
 
@@ -178,7 +182,7 @@ def shared_entries(rows: DataFrame, places: DataFrame, bands: Bands, words: int)
     return named.mapInArrow(entries, "sig long, node long, band int")
 
 
-def proposals(entries: DataFrame) -> DataFrame:
+def first_proposals(entries: DataFrame) -> DataFrame:
     """a, b: each node with the least node of the signature it shares most, and with the least of all."""
     least = entries.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub != top").select("sig", "hub")
     votes = entries.join(least, "sig").where("node != hub").groupBy("node", "hub").agg(F.count("*").alias("votes"))
@@ -186,6 +190,58 @@ def proposals(entries: DataFrame) -> DataFrame:
     return best.select(F.col("node").alias("a"), F.explode(F.array_distinct(F.array("best.hub", "least"))).alias("b"))
 
 
+def nearby(links: DataFrame) -> DataFrame:
+    """node, root: the least node within ``HOPS`` links of each node of ``links`` (a, b).
+
+    Nodes of one root are connected, though not all that are have one root: enough between turns."""
+    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = materialise(both.where("a != b").distinct(), "link-ends")
+    roots = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("root"))
+    for _ in range(HOPS - 1):
+        seen = both.join(roots.select(F.col("node").alias("b"), "root"), "b").groupBy("a").agg(F.min("root").alias("m"))
+        roots = seen.join(roots.select(F.col("node").alias("a"), "root"), "a").select(F.col("a").alias("node"), F.least("m", "root").alias("root"))
+    return roots
+
+
+def open_entries(entries: DataFrame, parts: DataFrame) -> DataFrame:
+    """sig, node, band, root (the node's component) of the signatures that several components share."""
+    known = entries.drop("root").join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = known.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("sig")
+    return known.join(mixed, "sig")
+
+
+def proposals(opened: DataFrame, turn: int) -> DataFrame:
+    """a, b: a node of each component with one of the least component of the signatures that it
+    shares most, and with one of the least of all; ``turn`` changes which nodes stand for theirs."""
+    rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("rank"), F.col("node").alias("node"))
+    chosen = opened.groupBy("sig", "root").agg(F.min(rank).alias("rep")).select("sig", "root", F.col("rep.node").alias("node"))
+    least = chosen.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    hubs = chosen.join(least.select("sig", F.col("lo").alias("root")), ["sig", "root"]).select("sig", F.col("root").alias("other"), F.col("node").alias("hub"))
+    votes = chosen.join(hubs, "sig").where("root != other").groupBy("root", "other").agg(F.count("*").alias("votes"), F.min(F.struct("node", "hub")).alias("pair"))
+    best = votes.groupBy("root").agg(
+        F.min(F.struct((-F.col("votes")).alias("v"), F.col("other").alias("o"), F.col("pair").alias("pair"))).alias("best"),
+        F.min(F.struct(F.col("other").alias("o"), F.col("pair").alias("pair"))).alias("least"),
+    )
+    return best.select(F.explode(F.array_distinct(F.array("best.pair", "least.pair"))).alias("p")).select(F.col("p.node").alias("a"), F.col("p.hub").alias("b"))
+
+
+def possible(pairs: DataFrame, nodes: DataFrame, bands: Bands) -> DataFrame:
+    """The (a, b) of ``pairs`` that sizes and sketches allow."""
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("odd").alias(f"odd_{c}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "odd_a", "odd_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "odd_a", SEGMENT):
+            n_a, n_b = (np.asarray(batch.column(c)).astype(np.int64) for c in ("n_a", "n_b"))
+            differ = np.zeros(batch.num_rows, np.int64)
+            for k, (x, y) in enumerate(zip(batch.column("odd_a").to_pylist(), batch.column("odd_b").to_pylist())):
+                bits = 8 * min(len(x), len(y))
+                differ[k] = np.bitwise_count(folded(x, bits) ^ folded(y, bits)).sum(dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(differ <= bands.allowed(n_a, n_b)))
+
+    return joined.mapInArrow(run, "a long, b long")
+
+
 def confirm(pairs: DataFrame, rows: DataFrame, places: DataFrame, percent: int, words: int) -> DataFrame:
     """The (a, b) of ``pairs`` whose full sets are similar enough.
 
@@ -221,16 +277,18 @@ def confirm(pairs: DataFrame, rows: DataFrame, places: DataFrame, percent: int,
     return materialise(stream.mapInArrow(run, "a long, b long"), "links")
 
 
-def rest(entries: DataFrame, parts: DataFrame, nodes: DataFrame, bands: Bands, block: int = BLOCK) -> DataFrame:
-    """a, b: pairs that share a signature, lie in different components and pass the sketches."""
-    known = entries.join(parts, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = known.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    opened = known.join(mixed.where("lo != hi").select("sig", "blocks"), "sig")
+def rest(entries: DataFrame, nodes: DataFrame, bands: Bands, block: int = BLOCK) -> DataFrame:
+    """a, b: pairs of ``open_entries`` that share a signature, lie in different components and pass the sketches."""
+    blocks = entries.groupBy("sig").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    opened = entries.join(blocks, "sig")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("own")
     dealt = opened.select("*", own).select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("met"))
     side = F.when(F.col("own") == F.col("met"), 2).otherwise((F.col("own") > F.col("met")).cast("int"))
     bucket = F.xxhash64("sig", F.least("own", "met"), F.greatest("own", "met"))
-    dealt = dealt.select("band", bucket.alias("bucket"), side.alias("side"), "node", "root").join(nodes.select("node", "n_shingles", "odd"), "node")
+    # a node has as many signatures as half its shingles at most
+    firsts = entries.groupBy("node").agg(F.slice(F.array_sort(F.collect_list("sig")), 1, FIRSTS).alias("firsts"))
+    dealt = dealt.select("band", "sig", bucket.alias("bucket"), side.alias("side"), "node", "root")
+    dealt = dealt.join(nodes.select("node", "n_shingles", "odd").join(firsts, "node"), "node")
     stream = dealt.repartition("bucket").sortWithinPartitions("band", "bucket", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +297,18 @@ def rest(entries: DataFrame, parts: DataFrame, nodes: DataFrame, bands: Bands, b
             bucket_, side_, node, root, n = (np.asarray(batch.column(c)).astype(np.int64) for c in ("bucket", "side", "node", "root", "n_shingles"))
             bits = int(bands.bits[batch.column("band")[0].as_py()])
             odd = np.stack([folded(x, bits) for x in batch.column("odd").to_pylist()])
+            sig = np.asarray(batch.column("sig")).astype(np.int64)
+            firsts_ = np.arange(-1, -1 - len(sig), -1)[:, None].repeat(FIRSTS, 1)  # no two fill in alike
+            for k, own_ in enumerate(batch.column("firsts").to_pylist()):
+                firsts_[k, : len(own_)] = own_
             step = max(1, PAIRS_BYTES * 8 // bits)
+
+            def here(i, j):
+                """Pairs that no other bucket tells: by the least signature that both show, or by none."""
+                shared = (firsts_[i][:, :, None] == firsts_[j][:, None, :]).any(2)
+                least = np.where(shared, firsts_[i], np.iinfo(np.int64).max).min(1)
+                return ~shared.any(1) | (least == sig[i])
+
             at, a, b = np.arange(len(node)), [], []
             for reach in range(1, len(node)):
                 at = at[at + reach < len(node)]
@@ -253,6 +322,7 @@ def rest(entries: DataFrame, parts: DataFrame, nodes: DataFrame, bands: Bands, b
                     some = i[lo : lo + step]
                     differ = np.bitwise_count(odd[some] ^ odd[some + reach]).sum(1, dtype=np.int64)
                     some = some[differ <= most[lo : lo + step]]
+                    some = some[here(some, some + reach)]
                     a.append(node[some])
                     b.append(node[some + reach])
             a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (a, b))
@@ -297,9 +367,19 @@ def jaccard_groups(docs: DataFrame, percent: int = PERCENT, words: int = WORDS,
     nodes = worded.groupBy("node").agg(place, F.first("n_shingles").alias("n_shingles"), F.first("odd").alias("odd"))
     nodes = materialise(nodes.select("node", "place.did", "place.th", "n_shingles", "odd"), "set-nodes")
     entries = materialise(shared_entries(rows, nodes, bands, words), "shared-signatures")
-    links = confirm(proposals(entries), rows, nodes, percent, words)
-    parts = materialise(components(links), "components")
-    more = materialise(rest(entries, parts, nodes, bands, block), "open-pairs")
+    proposed = materialise(possible(first_proposals(entries), nodes, bands), "proposals")
+    links = confirm(proposed, rows, nodes, percent, words)
+    turn, settled = 0, False
+    while True:
+        entries = materialise(open_entries(entries, materialise(nearby(links), "node-roots")), "open-signatures")
+        if settled:
+            break
+        turn += 1
+        proposed = materialise(possible(proposals(entries, turn), nodes, bands), "proposals")
+        found = confirm(proposed, rows, nodes, percent, words)
+        links = links.unionByName(found)
+        settled = found.count() * SETTLED <= entries.select("root").distinct().count()
+    more = materialise(rest(entries, nodes, bands, block), "open-pairs")
     links = links.unionByName(confirm(more, rows, nodes, percent, words))
     parts = materialise(components(links), "components")
     grouped = worded.select("did", "node").join(parts, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("did").alias("component"))

@@ -156,8 +156,9 @@ def varied(rng):
 @pytest.mark.parametrize("percent, block, proposed", [(85, 4096, True), (85, 8, False), (70, 16, False), (95, 4096, True)])
 def test_the_join_matches_brute_force(spark, monkeypatch, percent, block, proposed):
     if not proposed:  # every link must come from the rest
-        keep = ngram_join.proposals
-        monkeypatch.setattr(ngram_join, "proposals", lambda entries: keep(entries).limit(0))
+        keep, first = ngram_join.proposals, ngram_join.first_proposals
+        monkeypatch.setattr(ngram_join, "proposals", lambda opened, turn: keep(opened, turn).limit(0))
+        monkeypatch.setattr(ngram_join, "first_proposals", lambda entries: first(entries).limit(0))
     texts = varied(random.Random(percent))
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = rows(ngram_join.jaccard_groups(df, percent, block=block))
