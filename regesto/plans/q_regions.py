@@ -199,12 +199,12 @@ def _captures(spark, sf):
     return caps.withColumn("headers", F.create_map(F.lit("Content-Disposition"), "content_disposition")).drop("body_text", "content_disposition")
 
 
-def _calabria(spark, sf):
+def calabria(spark, sf):
     return RG.extract_calabria(_captures(spark, sf))
 
 
 query("reg_calabria", CALABRIA_ORACLE, views=["calabria_captures"],
-      ops="REG calabria SRC-5 WIN-1 PRD-3 HTM-14 HTM-15 DAT-7")(_calabria)
+      ops="REG calabria SRC-5 WIN-1 PRD-3 HTM-14 HTM-15 DAT-7")(calabria)
 
 
 @query("src_read_captures", """
@@ -223,7 +223,7 @@ def src_read_captures(spark, sf):
 def all_regions(spark, sf):
     """REG-ALL: every region into one canonical index (SET-5)."""
     parts = [RG.EXTRACTORS[k](view(spark, sf, f"pages_{k}")) for k in RG.EXTRACTORS]
-    parts.append(_calabria(spark, sf))
+    parts.append(calabria(spark, sf))
     return S.union_indexes(*parts)
 
 

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from regesto.functions import dates as D
 from regesto.functions import keys as K
 from regesto.operators import joins as J
+from regesto.operators import state as OS
 from regesto.plans import regions as RG
-from regesto.plans.q_regions import ORACLE_SELECTS
+from regesto.plans.q_regions import CALABRIA_ORACLE, ORACLE_SELECTS, calabria
 from regesto.plans.q_scalars import LAW_HEADERS_ORACLE, law_index_from_headers
 from regesto.plans.registry import query
 from regesto.sources import readers as R
 from regesto.sources import sinks as W
-from regesto.sources.fixtures import view
+from regesto.sources.fixtures import table, view
 from regesto.streaming import stateful as SF
 from regesto.streaming import stream as ST
 
@@ -35,29 +36,28 @@ def snk_index_roundtrip(spark, sf):
     return back.select(*idx.columns)
 
 
-_CONFORM = ("liguria", "toscana", "lombardia", "puglia", "umbria", "emilia", "marche", "friuli", "aosta", "veneto")
-
-
-def _shape_sql(region):
-    """Every shape as rows (region, column, value): the shapes differ in their columns."""
+def _record_sql(region):
+    """Every record of a region in its own shape, as one string of column=value."""
     present = {c for c, _ in RG.LAW_INDEX}
-    cells = [f"SELECT '{disp}' AS column_name, {f'cast({canon} as varchar)' if canon in present else chr(39) * 2} AS value FROM t" for disp, canon in RG.DISPLAY_COLUMNS[region].items()]
-    return f"SELECT '{region}' AS region, column_name, value FROM (WITH t AS ({ORACLE_SELECTS[region]}) {' UNION ALL '.join(cells)})"
+    cells = [f"'{disp}=' || {f'cast({canon} as varchar)' if canon in present else chr(39) * 2}" for disp, canon in RG.DISPLAY_COLUMNS[region].items()]
+    source = CALABRIA_ORACLE if region == "calabria" else ORACLE_SELECTS[region]
+    return f"SELECT '{region}' AS region, concat_ws(' | ', {', '.join(cells)}) AS record FROM ({source})"
 
 
-@query("snk_conform", f"SELECT region, column_name, value, count(*) AS n FROM ({' UNION ALL '.join(map(_shape_sql, _CONFORM))}) GROUP BY ALL",
-       views=["law_headers"], ops="SNK-2 SNK-5")
+@query("snk_conform", f"SELECT region, record, count(*) AS n FROM ({' UNION ALL '.join(map(_record_sql, RG.DISPLAY_COLUMNS))}) GROUP BY ALL",
+       views=["law_headers", "calabria_captures"], ops="SNK-2 SNK-5")
 def snk_conform(spark, sf):
+    """All 18 shapes, whole records."""
     parts = []
-    for region in _CONFORM:
-        idx = W.drop_internal(RG.EXTRACTORS[region](view(spark, sf, f"pages_{region}")), ["not_a_column"])
-        shaped = RG.conform(idx, region)
-        cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("value")) for c in shaped.columns])).alias("x")
-        parts.append(shaped.select(F.lit(region).alias("region"), cells).select("region", "x.*"))
+    for region in RG.DISPLAY_COLUMNS:
+        idx = calabria(spark, sf) if region == "calabria" else RG.EXTRACTORS[region](view(spark, sf, f"pages_{region}"))
+        shaped = RG.conform(W.drop_internal(idx, ["not_a_column"]), region)
+        record = F.concat_ws(" | ", *[F.concat(F.lit(f"{c}="), F.col(f"`{c}`")) for c in shaped.columns])
+        parts.append(shaped.select(F.lit(region).alias("region"), record.alias("record")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.groupBy("region", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return out.groupBy("region", "record").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("src_state_todo", "SELECT y, n FROM probe_grid WHERE NOT found AND y >= 1997", views=["probe_grid"],
@@ -72,6 +72,69 @@ def src_state_todo(spark, sf):
     return todo.select("y", "n")
 
 
+@query("src_bitmap_todo", """
+SELECT g.y, g.n, c.done FROM probe_grid g JOIN (SELECT y, count(CASE WHEN found THEN 1 END) AS done FROM probe_grid GROUP BY y) c ON c.y = g.y
+WHERE NOT g.found""", views=["probe_grid"], ops="JON-1")
+def src_bitmap_todo(spark, sf):
+    """The same rows as the anti join: three batches of bitmaps, one of them merged twice, then a bit test."""
+    g = view(spark, sf, "probe_grid")
+    batches = [OS.done_bitmaps(g.filter(F.col("found") & (F.col("n") % 3 == k))) for k in range(3)]
+    path = ST.scratch_dir(spark, "bitmaps")
+    OS.merge_bitmaps(*batches, batches[0]).write.parquet(path)
+    bitmaps = spark.read.parquet(path)
+    done = OS.done_counts(bitmaps).select(F.col("year").alias("y"), F.col("n").alias("done"))
+    return OS.todo_by_bit(g.select("y", "n"), bitmaps).join(done, "y").select("y", "n", "done")
+
+
+@query("agg_sketch_links", """
+SELECT 'years' AS what, cast(count(DISTINCT d) as bigint) AS exact, true AS close, true AS same FROM law_headers
+UNION ALL SELECT 'titles', count(DISTINCT concat(region, cast(no as varchar), cast(d as varchar))), true, true FROM law_headers""",
+       views=["law_headers"], ops="AGG-7")
+def agg_sketch_links(spark, sf):
+    """Sketches per (region, year) that union over runs: the union estimates what a sketch of all rows
+    does, within five standard errors of the exact count."""
+    lh = view(spark, sf, "law_headers").select("region", F.year("d").alias("year"), F.col("d").cast("string").alias("years"),
+                                               F.concat("region", F.col("no").cast("string"), F.col("d").cast("string")).alias("titles"), (F.col("law_id") % 4).alias("run"))
+    out = None
+    for what in ("years", "titles"):
+        runs = OS.distinct_sketches(lh, ["run", "region", "year"], what)
+        merged = OS.sketch_estimates(OS.merge_sketches(OS.merge_sketches(runs, ["region", "year"])))
+        whole = OS.sketch_estimates(OS.merge_sketches(OS.distinct_sketches(lh, [], what))).select(F.col("n").alias("whole"))
+        exact = lh.groupBy(F.lit(what).alias("what")).agg(F.count_distinct(what).alias("exact"))
+        merged, whole = merged.withColumn("what", F.lit(what)), whole.withColumn("what", F.lit(what))
+        error = 5 * 1.04 / 2 ** (OS.LG_K / 2)
+        row = exact.join(merged, "what").join(whole, "what").select(
+            "what", "exact", (F.abs(F.col("n") - F.col("exact")) <= F.col("exact") * error + 1).alias("close"),
+            (F.abs(F.col("n") - F.col("whole")) <= F.col("whole") * error + 1).alias("same"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("src_read_archive", """
+SELECT url, cast(200 + page_id % 3 * 102 as int) AS status, 'text/html; charset=utf-8' AS kind, md5(html) AS html_md5, true AS complete
+FROM pages WHERE page_id % 2 = 0 OR regexp_matches(url, 'e')""", ops="SRC-1 SRC-2")
+def src_read_archive(spark, sf):
+    """Archives of many records, read by byte ranges; an address filter at the scan."""
+    pages = table(spark, sf, "pages").withColumn("status", (200 + F.col("page_id") % 3 * 102).cast("int"))
+    path = ST.scratch_dir(spark, "archive")
+    R.write_archive(pages.withColumn("url", F.when(F.col("page_id") % 2 == 0, F.concat("url", F.lit("#even"))).otherwise(F.col("url"))), path)
+    found = R.read_archive(spark, path, "#even$|e")
+    return found.select(F.regexp_replace("url", "#even$", "").alias("url"), "status", F.col("headers")["content-type"].alias("kind"), F.md5("html").alias("html_md5"), "complete")
+
+
+@query("snk_bucketed_index", """
+SELECT law_id, concat('https://leggi.example/', cast(law_id as string)) AS source_url, law_id % 3 <> 0 AS known FROM law_headers
+WHERE law_id % 3 = 0 OR law_id % 5 <> 0""", views=["law_headers"], ops="SNK-1 JON-1 JON-2")
+def snk_bucketed_index(spark, sf):
+    """The daily join against a bucketed index: what is new, and what is known but due again."""
+    laws = view(spark, sf, "law_headers").select("law_id", F.concat(F.lit("https://leggi.example/"), F.col("law_id").cast("string")).alias("source_url"))
+    path = ST.scratch_dir(spark, "bucketed")
+    name = "law_index_" + path.rsplit("-", 1)[1]
+    index = W.write_bucketed_index(laws.filter("law_id % 3 <> 0"), path, name, buckets=8)
+    todo = J.todo(laws, index.filter("law_id % 5 = 0"), on="source_url")
+    return J.mark_existing(todo, index, "source_url", "source_url", flag="known")
+
+
 @query("src_page_grid", """
 SELECT y.year, cast(p.range AS int) AS page,
        concat('https://aosta.example/ricerca?anno=', cast(y.year as string), '&page=', cast(p.range as string)) AS url
@@ -146,6 +209,24 @@ def str_upsert(spark, sf):
     return ST.read_upserted_index(spark, log, key="url").select("url", "page_no", "pos", "version", "title")
 
 
+@query("str_merge", f"""
+SELECT url, page_no, pos, version, title FROM (
+  SELECT *, row_number() OVER (PARTITION BY url ORDER BY version DESC, page_no, pos) AS r FROM (
+    SELECT url, page_no, pos, cast(page_no % {_VERSIONS} as int) AS version,
+           concat('Versione ', cast(page_no % {_VERSIONS} as string), ' da ', cast(page_no as string)) AS title FROM listing))
+WHERE r = 1""", views=["listing"], ops="STR-1 STR-3 SNK-4 SET-7")
+def str_merge(spark, sf):
+    """As ``str_upsert``, but a batch rewrites only the buckets that it touches and leaves no log."""
+    version = (F.col("page_no") % _VERSIONS).cast("int")
+    title = F.concat(F.lit("Versione "), version.cast("string"), F.lit(" da "), F.col("page_no").cast("string"))
+    li = view(spark, sf, "listing").select("url", "page_no", "pos", version.alias("version"), title.alias("title"))
+    src, path, ckpt = (ST.scratch_dir(spark, n) for n in ("versions", "merged-index", "ckpt"))
+    for v in range(_VERSIONS):
+        li.filter(F.col("version") == v).write.mode("append").parquet(src)
+        ST.stream_merge_index(ST.stream_pages(spark, src, li.schema), path, ckpt, key="url", order=["page_no", "pos"], buckets=16).awaitTermination()
+    return ST.read_merged_index(spark, path).select("url", "page_no", "pos", "version", "title")
+
+
 @query("str_status_counts", "SELECT status, count(*) AS n FROM fetch_log GROUP BY status", views=["fetch_log"], ops="STR-4")
 def str_status_counts(spark, sf):
     fl = view(spark, sf, "fetch_log")

@@ -37,6 +37,42 @@ def read_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return df.select(F.xxhash64(url).alias("page_id"), url.alias("url"), F.col("value").alias("html"))
 
 
+# What an archive's records begin with, and the names of the headers that count.
+ARCHIVE_MARK = "WARC/1.0\r\n"
+ARCHIVE_URI, HTTP_MARK = "WARC-Target-URI", "HTTP/"
+
+
+def read_archive(spark: SparkSession, path: str, url_pattern: str | None = None) -> DataFrame:
+    """SRC-1 / SRC-2: page archives of many records per file -> (url, status, headers, html, complete).
+
+    The text reader splits an archive by byte ranges at the records' first lines, so one file is read
+    by many tasks and no record by two.  ``url_pattern`` is tested on the record as the scan yields it,
+    before anything else is parsed.  Records that are no responses are left out; ``complete`` tells
+    whether the body is as long as its Content-Length says.  Archives must be uncompressed."""
+    raw = spark.read.option("lineSep", ARCHIVE_MARK).text(path)
+    url = F.regexp_extract("value", rf"(?i)^[^\x00]*?{ARCHIVE_URI}:[ \t]*([^\r\n]*)", 1)
+    parts = raw.filter(F.col("value").contains("\r\n\r\n" + HTTP_MARK))
+    if url_pattern:
+        parts = parts.filter(url.rlike(url_pattern))
+    # a record: its own headers, an empty line, the response's status and headers, an empty line, the body
+    cut = F.split("value", "\r\n\r\n", 3)
+    x = parts.select(url.alias("url"), F.get(cut, F.lit(1)).alias("head"), F.regexp_replace(F.coalesce(F.get(cut, F.lit(2)), F.lit("")), r"\r\n\r\n\z", "").alias("html"))
+    lines = F.slice(F.split("head", "\r\n"), F.lit(2), F.greatest(F.size(F.split("head", "\r\n")) - 1, F.lit(0)))
+    pairs = F.transform(lines, lambda line: F.struct(F.lower(F.trim(F.substring_index(line, ":", 1))).alias("key"), F.trim(F.regexp_replace(line, "^[^:]*:", "")).alias("value")))
+    names = F.transform(pairs, lambda p: p["key"])
+    headers = F.map_from_entries(F.filter(pairs, lambda p, i: F.array_position(names, p["key"]) == i + 1))
+    x = x.select("url", F.regexp_extract("head", r"^HTTP/\S+ (\d{3})", 1).try_cast("int").alias("status"), headers.alias("headers"), "html")
+    length = F.try_element_at("headers", F.lit("content-length")).try_cast("long")
+    return x.withColumn("complete", F.coalesce(length == F.octet_length("html"), F.lit(False)))
+
+
+def write_archive(pages: DataFrame, path: str) -> None:
+    """Pages (url, status, html) as archives that ``read_archive`` reads; one file per task."""
+    head = F.concat(F.lit("HTTP/1.1 "), F.col("status").cast("string"), F.lit(" -\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.octet_length("html").cast("string"))
+    record = F.concat(F.lit(f"{ARCHIVE_MARK}WARC-Type: response\r\n{ARCHIVE_URI}: "), F.col("url"), F.lit("\r\n\r\n"), head, F.lit("\r\n\r\n"), F.col("html"))
+    pages.select(record.alias("value")).write.option("lineSep", "\r\n\r\n").text(path)
+
+
 def read_captures(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """SRC-2: binary captures ``(url, status, headers, body, ...)``.  ``fmt='binaryFile'`` reads raw
     files; what was never captured with them, status and headers, is NULL."""

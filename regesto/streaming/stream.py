@@ -93,6 +93,46 @@ def stream_upsert_index(records: DataFrame, log_path: str, checkpoint: str, avai
     return w.start()
 
 
+#: Folders of a merged index; a batch rewrites those that its keys fall in.
+MERGE_BUCKETS = 64
+
+
+def _bucket(key: str, buckets: int):
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def merge_batch(batch: DataFrame, batch_id: int, path: str, key: str = "source_url", order=None, buckets: int = MERGE_BUCKETS) -> None:
+    """SNK-4, bucket-wise: one micro-batch into the index at ``path``, last writer wins per key.
+
+    Only the buckets that the batch touches are read and written (dynamic partition overwrite, from a
+    staged copy), so there is no log to fold; a replayed batch gives the same files.  The list of
+    touched buckets, ``buckets`` numbers at most, is all that the driver sees."""
+    spark = batch.sparkSession
+    if order is not None:
+        batch = distinct_ordered(batch, key, order)
+    new = batch.withColumn("batch_id", F.lit(batch_id).cast("long")).withColumn("bucket", _bucket(key, buckets)).checkpoint()
+    touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]
+    if not touched:
+        return
+    if path_exists(spark, path):
+        new = new.unionByName(spark.read.schema(new.schema).parquet(path).filter(F.col("bucket").isin(touched)))
+    staged = scratch_dir(spark, "merge")
+    last_writer_wins(new, key, "batch_id").write.parquet(staged)
+    merged = spark.read.schema(new.schema).parquet(staged)
+    merged.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+
+
+def stream_merge_index(records: DataFrame, path: str, checkpoint: str, key: str = "source_url", order=None, buckets: int = MERGE_BUCKETS):
+    """STR-3 over ``merge_batch``: start the stream that merges everything available now."""
+    w = records.writeStream.foreachBatch(lambda df, bid: merge_batch(df, bid, path, key, order, buckets)).option("checkpointLocation", checkpoint)
+    return w.trigger(availableNow=True).start()
+
+
+def read_merged_index(spark: SparkSession, path: str) -> DataFrame:
+    """The index that ``merge_batch`` keeps: one row per key."""
+    return spark.read.parquet(path).drop("bucket", "batch_id")
+
+
 def stream_status_counts(stream: DataFrame, status: str = "status") -> DataFrame:
     """STR-4: live totals per status (``outputMode('complete')``)."""
     return stream.groupBy(status).agg(F.count(F.lit(1)).alias("n"))
