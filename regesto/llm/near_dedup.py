@@ -416,7 +416,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without all but one of each group: the least (doc_id, text hash) stays.
 
-    Rows without words stay.  Of equal rows that are the least, one stays.  Only rows that may be
+    Rows without words stay.  Of rows with one id and text that are the least, the one whose other
+    columns come first (as JSON) stays.  Only rows that may be
     listed as lost or repeated are shuffled.
     """
     found = materialise(near_groups(docs, percent), "near-groups").where("root is not null")
@@ -431,7 +432,7 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     some, others = split(key, listed)
     marked = some.drop("packed_text").join(listed, ["did", "th"], "left")
     once = marked.where("lost is null").select("rest")
-    again = marked.where("not lost").groupBy("did", "th").agg(F.first("rest").alias("rest")).select("rest")
+    again = marked.where("not lost").groupBy("did", "th").agg(F.min_by("rest", F.to_json("rest")).alias("rest")).select("rest")
     return others.select("rest").unionByName(once).unionByName(again).select("rest.*")
 
 

@@ -9,7 +9,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from tests_llm_brute import edge_docs, edge_rows, no_docs, rows  # noqa: F401
+from tests_llm_brute import check_packing, edge_docs, edge_rows, no_docs, rows  # noqa: F401
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from regesto.llm import chat, packing, token_counts, token_files
@@ -221,28 +221,6 @@ def test_the_plan_leaves_the_gaps_of_best_fit_decreasing():
         assert sorted(capacity - u for u in used.values()) == gaps_of_best_fit(lengths, capacity)
 
 
-def check_packing(got, docs, plain, capacity):
-    want = collections.Counter()
-    total = full = 0
-    for i, t in docs:
-        ids = [*plain(t), 0]
-        total += len(ids)
-        for p in range(0, len(ids), capacity):
-            part = ids[p : p + capacity]
-            want[(i, p // capacity, p, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))] += 1
-    assert collections.Counter(r[:5] for r in got) == want
-    by = collections.defaultdict(list)
-    for r in got:
-        by[r[5]].append((r[6], r[3]))
-    for parts in by.values():
-        end = 0
-        for offset, n in sorted(parts):
-            assert offset == end
-            end += n
-        assert end <= capacity
-    return len(by), -(-total // capacity)
-
-
 def test_packing_edges(spark, edge_docs, no_docs, plain):
     got = rows(packing.pack_documents(edge_docs, WORD_BPE, 64), "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
     used, least = check_packing(got, [r[:2] for r in edge_rows()], plain, 64)

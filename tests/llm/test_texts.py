@@ -8,13 +8,14 @@ import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 from tests_llm_brute import (  # noqa: F401
-    contaminated, cut_repeats, edge_docs, edge_rows, kept_bytes, near_groups, no_docs, quality, rows, shingle_set, substring_digest,
+    check_packing, contaminated, cut_repeats, edge_docs, edge_rows, kept_bytes, near_groups, no_docs, quality, rows, shingle_set, substring_digest,
 )
 
 import corpus_pipeline
 from regesto.llm import QUERIES, decontaminate, load_all, near_dedup, quality_model, quality_rules, substring_dedup, toxicity
-from regesto.llm.common import table
+from regesto.llm.common import table, tokenizer_file
 
 SF, SF01, SF1 = "/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
@@ -340,4 +341,28 @@ def test_pipeline_stages_match_brute_force(spark):
     assert four.columns == docs.columns and sorted(rows(four.select("doc_id", "text"))) == left
 
     packed = corpus_pipeline.run(spark, SF)
-    assert {r[0] for r in rows(packed, "doc_id")} == {d for d, _ in left}
+    tokenizer = Tokenizer.from_file(tokenizer_file("word_bpe_49k.json"))
+    places = rows(packed, "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    check_packing(places, left, lambda t: tokenizer.encode(t, add_special_tokens=False).ids, 2048)
+
+
+def test_the_decontamination_stage_matches_brute_force(spark):
+    rng = random.Random(9)
+    items = rows(table(spark, SF, "benchmark").select("item_id", "text"))
+    docs = [d for d in rows(table(spark, SF, "documents")) if len(d[1]) < 900][:40]
+    vocab = [w for d in docs for w in d[1].split()]
+    for k, (_, text) in enumerate(items[:12]):  # leaks at, below and above the allowed distance
+        words = text.split()
+        leak = edited(words, k % 4 * decontaminate.edits(len(words)) // 2, rng, vocab)
+        docs.append((10_000 + k, " ".join(rng.sample(vocab, 20) + leak + rng.sample(vocab, 20)), "en", "s", 0))
+    df = spark.createDataFrame(docs, table(spark, SF, "documents").schema)
+    clean = dict(corpus_pipeline.STAGES)["benchmark_decontamination"](spark, df, SF)
+    assert sorted(rows(clean)) == sorted(d for d in docs if not contaminated(d[1], items))
+
+
+def test_of_rows_with_one_id_and_text_the_least_stays(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    data = [(1, text, "fr", "b"), (1, text, "en", "z"), (1, text, "en", "a"), (2, text, "de", "a")]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, lang string, source string").repartition(4)
+        assert rows(near_dedup.keep_one(df)) == [(1, text, "en", "a")]

@@ -4,7 +4,9 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
+import numpy as np
 import pytest
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -140,3 +142,25 @@ def contaminated(t, items, percent=20):
         if item and min(row) <= len(item) * percent // 100:
             out[item_id] = min(row)
     return out
+
+
+def check_packing(got, docs, plain, capacity):
+    want = collections.Counter()
+    total = full = 0
+    for i, t in docs:
+        ids = [*plain(t), 0]
+        total += len(ids)
+        for p in range(0, len(ids), capacity):
+            part = ids[p : p + capacity]
+            want[(i, p // capacity, p, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))] += 1
+    assert collections.Counter(r[:5] for r in got) == want
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r[5]].append((r[6], r[3]))
+    for parts in by.values():
+        end = 0
+        for offset, n in sorted(parts):
+            assert offset == end
+            end += n
+        assert end <= capacity
+    return len(by), -(-total // capacity)
