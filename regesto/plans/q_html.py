@@ -10,7 +10,7 @@ from regesto.functions import keys as K
 from regesto.functions import urls as U
 from regesto.plans.q_scalars import norm_ws_sql
 from regesto.plans.registry import ORACLES, query
-from regesto.sources.fixtures import VIEW_DEPS, VIEW_SQL, table, view
+from regesto.sources.fixtures import VIEW_DEPS, VIEW_SQL, many, table, view
 
 
 def sql_str(s: str) -> str:
@@ -49,7 +49,7 @@ FROM (SELECT page_id, url, unnest(arr) AS href, unnest(range(1, len(arr) + 1)) A
       FROM (SELECT page_id, url, {_page_links(1)} AS arr FROM pages))
 WHERE NOT (href IS NULL OR trim(href) = '' OR contains(lower(href), 'javascript'))""", ops="HTM-1 URL-1 URL-6")
 def html_links(spark, sf):
-    links = H.extract_links(table(spark, sf, "pages"))
+    links = H.extract_links(many(table(spark, sf, "pages")))
     return U.drop_script_links(links).select(
         "page_id", "url", "pos", "href", U.absolutise("href", BASE).alias("abs_url")
     )
@@ -61,7 +61,7 @@ SELECT page_id, url, cast(pos as int) AS pos, nullif(href, '') AS href, {inner_t
 FROM (SELECT page_id, url, unnest(aa) AS href, unnest(tt) AS t, unnest(range(1, len(aa) + 1)) AS pos
       FROM (SELECT page_id, url, {_page_links(1)} AS aa, {_page_links(2)} AS tt FROM pages))""", ops="HTM-2")
 def html_anchors(spark, sf):
-    return H.extract_anchors(table(spark, sf, "pages"))
+    return H.extract_anchors(many(table(spark, sf, "pages")))
 
 
 # four anchors per law, with every kind of quote; what a browser reads stands beside them
@@ -113,7 +113,7 @@ def _elem_sql(tag: str) -> str:
 SELECT page_id, {inner_text_sql(_PT)} AS page_text, strlen(html) > 2000 AS big_enough
 FROM pages""", ops="HTM-3")
 def html_page_text(spark, sf):
-    p = table(spark, sf, "pages")
+    p = many(table(spark, sf, "pages"))
     return p.select("page_id", H.page_text("html").alias("page_text"), (F.octet_length("html") > 2000).alias("big_enough"))
 
 
@@ -129,7 +129,7 @@ SELECT page_id,
   list_filter(list_transform({_LANG_VALS}, lambda v: nullif(regexp_extract(v, '^([a-z]+)', 1), '')), lambda v: v IS NOT NULL)[1] AS lang
 FROM pages""", ops="HTM-4 HTM-5 HTM-8 HTM-10")
 def html_elements(spark, sf):
-    p = table(spark, sf, "pages")
+    p = many(table(spark, sf, "pages"))
     return p.select(
         "page_id",
         H.element_text("html", "h1").alias("h1"),
@@ -145,7 +145,7 @@ FROM (SELECT page_id, unnest(arr) AS href, unnest(range(1, len(arr) + 1)) AS pos
       FROM (SELECT page_id, {_page_links(1)} AS arr FROM pages))""", ops="HTM-0")
 def dom_page_links(spark, sf):
     """The one Arrow pass over the given pages."""
-    dom = H.parse_dom(table(spark, sf, "pages"), parts=("links",))
+    dom = H.parse_dom(many(table(spark, sf, "pages")), parts=("links",))
     return dom.select("page_id", F.explode("dom.links").alias("l")).select("page_id", F.col("l.pos").cast("int").alias("pos"), F.col("l.href").alias("href"))
 
 
@@ -226,7 +226,7 @@ def dom_documents(spark, sf):
 
 
 def _scanned(spark, sf, name):
-    pages = view(spark, sf, name) if name in VIEW_SQL else table(spark, sf, name)
+    pages = view(spark, sf, name) if name in VIEW_SQL else many(table(spark, sf, name))
     return pages.select("page_id", E.scan("html").alias("page"))
 
 

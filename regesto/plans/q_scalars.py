@@ -10,7 +10,7 @@ from regesto.functions import numbers as N
 from regesto.functions import text as T
 from regesto.functions import urls as U
 from regesto.plans.registry import query
-from regesto.sources.fixtures import IT_MONTHS_CSV, many, table, view
+from regesto.sources.fixtures import IT_MONTHS_CSV, many, spread, table, view
 
 # DuckDB spellings shared by the oracles below.
 WS = r"[\s\x{00A0}\x{0085}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x0B]"
@@ -60,7 +60,7 @@ FROM law_headers"""
 @query("law_headers_index", LAW_HEADERS_ORACLE, views=["law_headers"],
        ops="HDR-1 HDR-2 DAT-1 DAT-2 DAT-3 DAT-6 TXT-11 KEY-1")
 def law_headers_index(spark, sf):
-    return law_index_from_headers(many(view(spark, sf, "law_headers")))
+    return law_index_from_headers(spread(view(spark, sf, "law_headers")))
 
 
 UNSAFE_SQL = r"""'[\\/*?:"<>|]'"""

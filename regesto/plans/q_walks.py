@@ -15,7 +15,7 @@ from regesto.plans import regions as RG
 from regesto.plans.q_regions import ORACLE_SELECTS
 from regesto.plans.registry import query
 from regesto.sources import region_pages as RP
-from regesto.sources.fixtures import many, view
+from regesto.sources.fixtures import spread, view
 
 COLS = [c for c, _ in RG.LAW_INDEX if c not in ("page_no", "category")]
 
@@ -138,7 +138,7 @@ def flow_basilicata(spark, sf):
     offered = (F.col("source") % 3 != 0) | (F.col("page_no") < LAST_OFFERED)
     cell = F.when(offered & (F.col("page_no") % 10 == 0), F.lit(FL.ELLIPSIS)).when(offered, _text(F.col("page_no") + 1))
     pager = F.coalesce(F.concat(F.lit('<tr><td><a href="#">'), cell, F.lit("</a></td></tr>")), F.lit(""))
-    pages = many(_joined(laws, ["source", "page_no"])).select(
+    pages = spread(_joined(laws, ["source", "page_no"])).select(
         "source", "page_no", F.concat(F.lit("https://basilicata.example/elenco?s="), _text("source"), F.lit("&page="), _text("page_no")).alias("url"),
         _html('<table id="ctl00_GVElenco"><tr><th>Numero</th></tr>', F.col("items"), pager, "</table>").alias("html"),
     )
@@ -171,7 +171,7 @@ def _chain(pages: DataFrame, a: Column, base: str, next_text: str) -> tuple[Data
     listing = _joined(shown, ["source", "page_no"]).select(url(F.col("page_no")).alias("url"), _html('<a href="/home">»  Home</a>', F.col("items"), more).alias("html"))
     names = x.select("source").distinct().withColumn("a", _link(url(F.lit(1)), _text("source")))
     starts = _joined(names.withColumn("at", F.floor(F.col("source") / STARTS)), ["at"], "source")
-    return starts.select(F.concat(F.lit(base), F.lit("indice-"), _text("at")).alias("url"), _html(F.col("items")).alias("html")), many(listing)
+    return starts.select(F.concat(F.lit(base), F.lit("indice-"), _text("at")).alias("url"), _html(F.col("items")).alias("html")), spread(listing)
 
 
 def _piemonte(spark, sf):
@@ -239,7 +239,7 @@ def flow_marche(spark, sf):
     listing = _joined(shown, ["cat", "page_no"]).select(F.concat(F.lit(base), url).alias("url"), _html(F.col("items"), F.when(F.col("page_no") == 0, others).otherwise("")).alias("html"))
     names = x.select("cat").distinct().select(F.floor(F.col("cat") / STARTS).alias("at"), "cat", _link(cat, F.concat(F.lit("Materia "), _text("cat"))).alias("a"))
     starts = _joined(names, ["at"], "cat").select(F.concat(F.lit(base + "indice.php?n="), _text("at")).alias("url"), _html(F.col("items")).alias("html"))
-    return FL.index_categories(starts, many(listing), details)
+    return FL.index_categories(starts, spread(listing), details)
 
 
 OF_TREE, OF_YEAR, FIRST_YEAR = 400, 50, 2044
@@ -261,7 +261,7 @@ def _tree(spark, sf, region):
     snapshots = snapshots.filter(~((F.col("tree") % 3 == 2) & (F.col("year") == FIRST_YEAR + 1)))
     names = F.array_join(F.transform(F.sequence(F.lit(FIRST_YEAR), F.lit(NEWEST)), lambda y: _link(F.lit("#"), _text(y))), "")
     starts = x.select("tree").distinct().select("tree", F.lit(base).alias("url"), _html(names, '<a href="#">Indice 1</a>').alias("html"))
-    return starts, many(snapshots), details
+    return starts, spread(snapshots), details
 
 
 def _tree_oracle(region, key):
@@ -304,4 +304,4 @@ def flow_lombardia(spark, sf):
                       _link(F.lit("/vecchio?anno=1"), year))
     names = x.select("leaf").distinct().select(F.floor(F.col("leaf") / LEAF_YEARS).alias("tree"), "leaf", folder.alias("a"))
     starts = _joined(names, ["tree"], "leaf").select(F.concat(F.lit("https://lombardia.example/albero?n="), _text("tree")).alias("url"), _html(F.col("items")).alias("html"))
-    return FL.index_years(starts, many(listing.drop("leaf")))
+    return FL.index_years(starts, spread(listing.drop("leaf")))

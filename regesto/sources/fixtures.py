@@ -110,11 +110,6 @@ FROM law_headers"""
 VIEW_DEPS: dict[str, tuple[str, ...]] = {"law_pages": ("law_headers",)}
 
 
-def register_base(spark: SparkSession, sf_dir: str, names=BASE_TABLES) -> None:
-    for t in names:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table, read lazily (column pruning and filters reach the scan)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -135,22 +130,35 @@ def _closure(names) -> list[str]:
 
 
 def many(df: DataFrame) -> DataFrame:
-    """The rows in one partition per core: these tables come as one file of one row group, a real
-    table as many files."""
+    """A scan in as many partitions as there are cores at least.  These tables come as one file of one
+    row group, which one task reads; a real table has many, and is left as it lies."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Made-up pages over all cores: so few that one task would get them all."""
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Build a derived view as a Spark DataFrame from the shared SQL text."""
+    """Build a derived view as a Spark DataFrame from the shared SQL text.
+
+    Pages are made after their source columns have been dealt out, so no page is shuffled."""
     deps = _closure([name])
     text = " ".join(VIEW_SQL[n] for n in deps)
-    register_base(spark, sf_dir, [t for t in BASE_TABLES if re.search(rf"\b{t}\b", text)])
+    for t in BASE_TABLES:
+        if re.search(rf"\b{t}\b", text):
+            base = table(spark, sf_dir, t)
+            (many(base.select(*_columns(base, text))) if "pages" in name else base).createOrReplaceTempView(t)
     for n in deps[:-1]:
         spark.sql(VIEW_SQL[n]).createOrReplaceTempView(n)
-    out = spark.sql(VIEW_SQL[name])
-    if "pages" in name:
-        out = many(out)
-    return out
+    return spark.sql(VIEW_SQL[name])
+
+
+def _columns(df: DataFrame, text: str) -> list[str]:
+    """The columns that the SQL names: only those are dealt out."""
+    return [c for c in df.columns if re.search(rf"\b{c}\b", text)]
 
 
 def with_views(names, body: str) -> str:
