@@ -90,12 +90,15 @@ def held_out(doc_id: str | Column, folds: int, fold: int) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> tuple[np.ndarray, np.ndarray, float]:
     """(buckets, weights, bias) from ``docs`` (doc_id, text) and ``labels`` (doc_id, label 0/1).
 
-    Null ids and other labels are left out; several labels of one id count as the largest.
+    Null ids and other labels are left out; several labels of one id count as the largest, and of
+    several texts of one id that of least hash is learnt.
     """
     spark = docs.sparkSession
     known = labels.where("doc_id is not null and label in (0, 1)").groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = known.withColumn("_order", F.xxhash64("doc_id")).orderBy("_order", "doc_id").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most `sample` ids
+    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    # one text of each id, at most `sample` rows whatever the table repeats
+    rows = rows.groupBy("doc_id", "_order", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
