@@ -215,7 +215,8 @@ def index_walk(region: str, starts: DataFrame, listing: DataFrame, details: Data
     first = pages.groupBy("url").agg(F.min("page_no").alias("page_no"))
     # the law's page is the first that shows it
     marked = listing.join(first.select("url"), "url", "left_semi").withColumn("page_id", F.xxhash64("url"))
-    idx = EXTRACTORS[region](marked)
+    # a page that shows a law again adds nothing
+    idx = S.distinct_ordered(EXTRACTORS[region](marked), "source_url", ["law_title"])
     return _with_page(idx, links.select(F.col("url").alias("source_url"), "page_no"))
 
 

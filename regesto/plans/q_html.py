@@ -90,12 +90,12 @@ def html_quotes(spark, sf):
 
 
 @query("html_attr_values", f"""
-SELECT page_id, list(href ORDER BY pos) AS hrefs, regexp_extract(max(CASE WHEN pos = 2 THEN href END), 'b=([0-9]+)', 1) AS second
+SELECT page_id, string_agg(href, ' | ' ORDER BY pos) AS hrefs, regexp_extract(max(CASE WHEN pos = 2 THEN href END), 'b=([0-9]+)', 1) AS second
 FROM ({_ATTR_ROWS}) x WHERE href IS NOT NULL GROUP BY page_id""", views=["law_headers"], ops="HTM-1 HTM-10")
 def html_attr_values(spark, sf):
     p = view(spark, sf, "attr_pages")
     links = H.extract_links(p, keep=("page_id", "html"))
-    hrefs = F.transform(F.array_sort(F.collect_list(F.struct("pos", "href"))), lambda x: x["href"])
+    hrefs = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "href"))), lambda x: x["href"]), " | ")
     return links.groupBy("page_id").agg(hrefs.alias("hrefs"), F.min(H.attr_regex("html", "a", "href", r"b=(\d+)")).alias("second"))
 
 

