@@ -47,10 +47,16 @@ def _strings(values) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def _rules() -> Column:
-    """Constant map: start tag -> struct(ends, keeps)."""
-    pairs = [x for tag, (ends, keeps) in _ENDS.items() for x in (F.lit(tag), F.struct(_strings(ends).alias("ends"), _strings(keeps).alias("keeps")))]
-    return F.create_map(*pairs)
+def _rule(name: Column, which: int) -> Column:
+    """What an opening tag ends (0) or what keeps that open (1), NULL for most tags."""
+    kinds: dict = {}
+    for tag, rule in _ENDS.items():
+        kinds.setdefault(tuple(map(tuple, rule)), []).append(tag)
+    out = None
+    for rule, tags in kinds.items():
+        cond, value = name.isin(tags), _strings(rule[which])
+        out = F.when(cond, value) if out is None else out.when(cond, value)
+    return out
 
 
 def _elements(tokens: Column) -> Column:
@@ -59,50 +65,69 @@ def _elements(tokens: Column) -> Column:
     n = F.size(tokens)
 
     def describe(t, i):
-        name = F.lower(F.regexp_extract(t, _NAME_RX, 1))
-        end = t.startswith("</")
-        alone = t.endswith("/>") | name.isin(VOID)
-        rule = _rules()[name]
-        return F.struct(
-            (i + 1).alias("pos"), name.alias("tag"), end.alias("end"), alone.alias("alone"),
-            F.when(end, F.array(name)).otherwise(F.coalesce(rule["ends"], none)).alias("ends"),
-            F.when(end, none).otherwise(F.coalesce(rule["keeps"], none)).alias("keeps"),
-        )
+        def of(name):
+            end = t.startswith("</")
+            return F.struct(
+                (i + 1).alias("pos"), name.alias("tag"), end.alias("end"), (t.endswith("/>") | name.isin(VOID)).alias("alone"),
+                F.when(end, F.array(name)).otherwise(F.coalesce(_rule(name, 0), none)).alias("ends"),
+                F.when(end, none).otherwise(F.coalesce(_rule(name, 1), none)).alias("keeps"),
+            )
+
+        return F.when(t.startswith("<") & (t != "<"), let(F.lower(F.regexp_extract(t, _NAME_RX, 1)), of))
 
     tags = F.filter(F.transform(tokens, describe), lambda t: t["tag"] != "")
     entry = "struct<open:int,tag:string>"
-    done = "struct<open:int,close:int,depth:int,tag:string>"
+
+    def written(*parts):
+        """An element as text: growing a string copies bytes, growing an array would copy objects."""
+        return F.concat(F.concat_ws(" ", *[x.cast("string") for x in parts]), F.lit("/"))
 
     def step(acc, t):
         stack = acc["stack"]  # innermost first
-        decides = lambda x: F.array_contains(t["ends"], x["tag"]) | F.array_contains(t["keeps"], x["tag"])
         top = F.get(stack, F.lit(0))
-        inner = F.try_element_at(F.filter(stack, decides), F.lit(1))
-        place = F.when(F.array_contains(t["ends"], inner["tag"]), F.array_position(stack, inner)).otherwise(F.lit(0)).cast("int")
-        # mostly the innermost element decides, whatever the depth
+        opened = F.struct(t["pos"].alias("open"), t["tag"].alias("tag"))
+        # most tags open an element and end none, or end the innermost one
+        plain = F.struct(F.concat(F.array(opened), stack).alias("stack"), acc["done"].alias("done"))
+        innermost = written(top["open"], t["pos"], F.size(stack), top["tag"])
+        ended = F.struct(F.slice(stack, F.lit(2), F.size(stack)).alias("stack"), F.concat(acc["done"], innermost).alias("done"))
+        return (
+            F.when((F.size(t["ends"]) == 0) & ~t["alone"], plain)
+            .when(t["end"] & (F.size(stack) > 0) & (top["tag"] == t["tag"]), ended)
+            .otherwise(general(acc, t, top))
+        )
+
+    def general(acc, t, top):
+        stack = acc["stack"]
+        decides = lambda x: F.array_contains(t["ends"], x["tag"]) | F.array_contains(t["keeps"], x["tag"])
+        inner = F.filter(stack, decides)
+        place = let(F.try_element_at(inner, F.lit(1)), lambda x: F.when(F.array_contains(t["ends"], x["tag"]), F.array_position(stack, x)).otherwise(F.lit(0)).cast("int"))
         closes = F.when(F.size(t["ends"]) == 0, F.lit(0)).when(decides(top), F.array_contains(t["ends"], top["tag"]).cast("int")).otherwise(place)
 
         def close(k):
             size = F.size(stack)
-            ended = F.transform(F.slice(stack, F.lit(1), k), lambda x, i: F.struct(x["open"].alias("open"), t["pos"].alias("close"), (size - i).alias("depth"), x["tag"].alias("tag")))
+            ended = F.array_join(F.transform(F.slice(stack, F.lit(1), k), lambda x, i: written(x["open"], t["pos"], size - i, x["tag"])), "")
             left = F.slice(stack, k + 1, size)
-            alone = F.struct(t["pos"].alias("open"), t["pos"].alias("close"), (size - k + 1).alias("depth"), t["tag"].alias("tag"))
+            alone = F.when(~t["end"] & t["alone"], written(t["pos"], t["pos"], size - k + 1, t["tag"])).otherwise("")
             opened = F.struct(t["pos"].alias("open"), t["tag"].alias("tag"))
             return F.struct(
-                F.when(t["end"] | t["alone"], left).otherwise(F.concat(F.array(opened), left)).cast(f"array<{entry}>").alias("stack"),
-                F.concat(acc["done"], F.when(~t["end"] & t["alone"], F.concat(ended, F.array(alone))).otherwise(ended)).cast(f"array<{done}>").alias("done"),
+                F.when(t["end"] | t["alone"], left).otherwise(F.concat(F.array(opened), left)).alias("stack"),
+                F.concat(acc["done"], ended, alone).alias("done"),
             )
 
         return let(F.coalesce(closes, F.lit(0)), close)
 
-    zero = F.struct(F.array().cast(f"array<{entry}>").alias("stack"), F.array().cast(f"array<{done}>").alias("done"))
+    zero = F.struct(F.array().cast(f"array<{entry}>").alias("stack"), F.lit("").alias("done"))
 
     def finish(acc):
         stack = acc["stack"]
-        rest = F.transform(stack, lambda x, i: F.struct(x["open"].alias("open"), (n + 1).alias("close"), (F.size(stack) - i).alias("depth"), x["tag"].alias("tag")))
-        return F.array_sort(F.concat(acc["done"], rest.cast(f"array<{done}>")))
+        rest = F.array_join(F.transform(stack, lambda x, i: written(x["open"], n + 1, F.size(stack) - i, x["tag"])), "")
+        return F.concat(acc["done"], rest)
 
-    return F.aggregate(tags, zero, step, finish)
+    def element(text_):
+        return let(F.split(text_, " "), lambda x: F.struct(x[0].cast("int").alias("open"), x[1].cast("int").alias("close"), x[2].cast("int").alias("depth"), x[3].alias("tag")))
+
+    each = F.filter(F.split(F.aggregate(tags, zero, step, finish), "/"), lambda x: x != "")
+    return F.array_sort(F.transform(each, element))
 
 
 def scan(html="html") -> Column:
@@ -111,6 +136,12 @@ def scan(html="html") -> Column:
     return let(F.regexp_extract_all(shown, F.lit(TOKEN_RX), F.lit(0)), lambda t: F.struct(t.alias("tokens"), _elements(t).alias("els")))
 
 
+def once(c: Column) -> Column:
+    """The same value from a generator: what reads it later is not pushed below, where it would compute
+    the value anew for each use."""
+    return F.explode(F.array(c))
+
+
 # ------------------------------------------------------------------ conditions on an element
 
 
@@ -179,7 +210,7 @@ def _matched(els: Column, others: Column, key: str, backwards: bool, name: str)
 
     def step(acc, x):
         found = F.concat(acc["found"], F.array(F.struct(x["e"].alias("e"), acc["met"].alias(name))))
-        return F.struct(F.when(x["own"], acc["met"]).otherwise(x["e"]).alias("met"), F.when(x["own"], found).otherwise(acc["found"]).cast(pair).alias("found"))
+        return F.struct(F.when(x["own"], acc["met"]).otherwise(x["e"]).alias("met"), F.when(x["own"], found).otherwise(acc["found"]).alias("found"))
 
     zero = F.struct(F.lit(None).cast(_ELEMENT).alias("met"), F.array().cast(pair).alias("found"))
     return F.array_sort(F.aggregate(F.reverse(merged) if backwards else merged, zero, step, lambda acc: acc["found"]))
@@ -224,7 +255,7 @@ def text_between(page, lo: Column, hi: Column, without: Column | None = None) ->
 
 def text(page, e: Column, without: Column | None = None) -> Column:
     """Text of an element, NULL if there is no element."""
-    return F.when(e.isNotNull(), text_between(page, e["open"], e["close"], without))
+    return let(e, lambda x: F.when(x.isNotNull(), text_between(page, x["open"], x["close"], without)))
 
 
 def page_text(page) -> Column:
@@ -243,8 +274,9 @@ def next_text(page, e: Column) -> Column:
     def after(x):
         ended = F.get(tokens, x["close"] - 1)
         own = ended.startswith("</") & (F.lower(F.regexp_extract(ended, _NAME_RX, 1)) == x["tag"])
-        at = F.when(own | (x["open"] == x["close"]), x["close"] + 1).otherwise(x["close"])
-        t = F.get(tokens, at - 1)
+        return let(F.when(own | (x["open"] == x["close"]), x["close"] + 1).otherwise(x["close"]), lambda at: let(F.get(tokens, at - 1), lambda t: node(at, t)))
+
+    def node(at, t):
         element = first(elements(page, where=lambda y: y["open"] == at))
         return F.when(t.startswith("</"), F.lit(None)).when(t.startswith("<") & (t != "<"), text(page, element)).otherwise(norm_ws(H.unescape(t)))
 
@@ -258,11 +290,13 @@ def label_value(page, label: str, exclude: tuple[str, ...] = (), digits: bool =
         return F.struct(text(page, e).alias("label"), let(nearest(page, e, *LABEL_BLOCKS), lambda b: F.coalesce(text(page, b), page_text(page))).alias("block_text"))
 
     def wanted(e):
-        name = F.lower(text(page, e))
-        cond = name.contains(label.lower())
-        for w in exclude:
-            cond = cond & ~name.contains(w.lower())
-        return cond
+        def named(name):
+            cond = name.contains(label.lower())
+            for w in exclude:
+                cond = cond & ~name.contains(w.lower())
+            return cond
+
+        return let(F.lower(text(page, e)), named)
 
     hit = first(elements(page, "strong", "b", where=wanted))
     return let(F.transform(F.filter(F.array(hit), lambda e: e.isNotNull()), entry), lambda found: H.value_of_label(F.try_element_at(found, F.lit(1)), digits))

@@ -227,7 +227,7 @@ def dom_documents(spark, sf):
 
 def _scanned(spark, sf, name):
     pages = view(spark, sf, name) if name in VIEW_SQL else many(table(spark, sf, name))
-    return pages.select("page_id", E.scan("html").alias("page"))
+    return pages.select("page_id", E.once(E.scan("html")).alias("page"))
 
 
 @query("el_page_links", ORACLES["dom_page_links"], ops="HTM-0")

@@ -108,7 +108,7 @@ def _page(pages: DataFrame, url_filter: str | None = None, keep=("url",)) -> Dat
     """The element table of each page as column ``page``; the URL filter reaches the scan."""
     if url_filter:
         pages = pages.filter(F.col("url").rlike(url_filter))
-    return pages.select(*keep, E.scan("html").alias("page"))
+    return pages.select(*keep, E.once(E.scan("html")).alias("page"))
 
 
 def _text_of(page, *tags: str, where=None) -> Column:
@@ -399,7 +399,7 @@ def extract_piemonte(pages: DataFrame, payload: str | None = None, min_bytes: in
     if payload is not None:
         p = P.min_size(p, payload, min_bytes)
     p = _page(p)
-    p = P.drop_repealed_strict(p.withColumn("__t", E.page_text("page")), "__t")
+    p = P.drop_repealed_strict(p.select("*", E.once(E.page_text("page")).alias("__t")), "__t")
     lead = F.coalesce(_text_of("page", where=lambda e: E.has_class("page", e, "lead")), F.col("__t"))
     title = E.text_without("page", E.first(E.elements("page", where=lambda e: E.has_attr("page", e, "id", "titoloAtto"))), "bur")
     p = p.select("url", nz(title).alias("title"), lead.alias("lead"))
