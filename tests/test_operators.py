@@ -167,3 +167,19 @@ def test_a_hot_group_is_dealt_over_many_tasks(spark):
 def test_number_rows_has_one_shuffle(spark):
     plan = C.number_rows(spark.range(0, 100), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort" not in plan  # the checkpointed rows are not sorted again
+
+
+def test_the_key_grid_is_not_broadcast(spark):
+    """A few years explode into all keys: sized by the years, the grid went through the driver."""
+    from regesto.plans import regions as RG
+
+    keys = spark.range(4000).select((F.col("id") % 4 + 2020).cast("int").alias("y"), (F.col("id") / 4).cast("int").alias("n"))
+    headers = F.create_map(F.lit("Content-Disposition"), F.lit('attachment; filename="Legge 3 marzo 2021.pdf"'))
+    caps = keys.select("y", (F.col("n") + 1).alias("n"), F.lit(200).alias("status"),
+                       headers.alias("headers"), F.encode(F.lit("%PDF-1.4"), "UTF-8").alias("body"), F.lit("LEGGE REGIONALE\nUn titolo lungo della legge").alias("first_page_text"))
+    out = RG.extract_calabria(caps)
+    assert len(out.collect()) == 4000
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    joins = [line for line in final.splitlines() if "SortMergeJoin" in line]
+    assert any("LeftAnti" in j for j in joins) and len(joins) >= 2, final
