@@ -62,7 +62,7 @@ LISTINGS = {
     "molise": Listing("molise.example", "OpenDocument"),
     "friuli": Listing("fvg.example", "IndiceLex", by_category=True),
     "veneto": Listing("veneto.example", "dettaglio-legge", "no_news"),
-    "aosta": Listing("aosta.example", "dettaglio?pk_lr=", "no_news", 50, in_listing=True),
+    "aosta": Listing("aosta.example", "dettaglio?pk_lr=", "no_news", in_listing=True),
     "lazio": Listing("lazio.example", "leggiregionalidettaglio", "no_news", 251),
     "puglia": Listing("puglia.example", "LeggeNavscroll.aspx", None, 107),
     "trentino": Listing("taa.example", "/content/view/full/", "pager"),

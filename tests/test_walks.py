@@ -101,3 +101,14 @@ def test_marche_categories(spark):
     details = [(k, base + f"dettaglio.php?arc=vig&id={k}", f"<h1>T{k}</h1><p>n. {k}</p>") for k in (1, 2, 3)]
     got = FL.index_categories(starts, spark.createDataFrame(listing, "url string, html string"), spark.createDataFrame(details, "page_id int, url string, html string"))
     assert sorted(rows(got.withColumn("t", F.col("law_title")), "t", "page_no")) == [("T1", 0), ("T2", 2)]
+
+
+def test_aosta_walks_its_whole_listing(spark):
+    """Sixty pages of one law each: no page limit cuts them, the first page without news ends the walk."""
+    law = lambda k: f"<a href='dettaglio?pk_lr={k}'>3 marzo 2001, n. {k}</a><p class='elemento_lista_paginata_banche_dati'>Titolo {k}</p>"
+    shown = {**{p: p for p in range(1, 61)}, 61: 60, 62: 62}  # page 61 shows a law again
+    pages = [(p, f"https://aosta.example/elenco?page={p}", f"<html><body>{law(k)}</body></html>") for p, k in shown.items()]
+    listing = spark.createDataFrame(pages, "page_no int, url string, html string")
+    details = spark.createDataFrame([("https://aosta.example/dettaglio?pk_lr=7", "Legge (abrogata dall’art. 1)")], "url string, html string")
+    got = {int(r["law_number"]): r["page_no"] for r in FL.index_listing("aosta", listing, details).collect()}
+    assert got == {k: k for k in range(1, 61) if k != 7}
