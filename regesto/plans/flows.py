@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from regesto.functions import html as H
@@ -21,6 +21,7 @@ from regesto.operators import dedupe as S
 from regesto.operators import joins as J
 from regesto.operators import traversal as V
 from regesto.plans.regions import EXTRACTORS
+from regesto.session import ensure_checkpoint_dir
 
 
 def index_pages(region: str, pages: DataFrame, done_ids: DataFrame | None = None, id_param: str = "id",
@@ -103,20 +104,32 @@ def _sourced(listing: DataFrame, region: str) -> DataFrame:
     return listing if "source" in listing.columns else listing.withColumn("source", F.lit(region))
 
 
+def _limited(region: str, listing: DataFrame) -> DataFrame:
+    """The pages of ``listing`` ([source,] page_no, url, html) within the region's page limit."""
+    pages, limit = _sourced(listing, region), LISTINGS[region].limit
+    return pages if limit is None else C.page_limit(pages, "page_no", limit)
+
+
+def _offers_later() -> Column:
+    """Whether an anchor (page_no, text) is the pager's link to a later page."""
+    return (F.trim("text") == (F.col("page_no") + 1).cast("string")) | (F.trim("text") == ELLIPSIS)
+
+
+def _up_to_last(rows: DataFrame, pages: DataFrame, later: DataFrame) -> DataFrame:
+    """The ``rows`` of the pages up to the first that has no link in ``later``."""
+    more = later.select("source", "page_no").distinct().withColumn("has_next", F.lit(True))
+    offers = pages.select("source", "page_no").distinct().join(more, ["source", "page_no"], "left")
+    kept = C.cut_after_last_page(offers, offers, "source", "page_no", "has_next").select("source", "page_no")
+    return rows.join(kept, ["source", "page_no"], "left_semi")
+
+
 def walked_pages(region: str, listing: DataFrame) -> DataFrame:
     """The pages of ``listing`` ([source,] page_no, url, html) within the region's page limit and up to
     the end of its pager."""
-    rule = LISTINGS[region]
-    pages = _sourced(listing, region)
-    if rule.limit is not None:
-        pages = C.page_limit(pages, "page_no", rule.limit)
-    if rule.stop == "pager":
-        anchors = H.extract_anchors(pages, keep=("source", "page_no"))
-        later = (F.trim("text") == (F.col("page_no") + 1).cast("string")) | (F.trim("text") == ELLIPSIS)
-        more = anchors.filter(later).select("source", "page_no").distinct().withColumn("has_next", F.lit(True))
-        offers = pages.select("source", "page_no").distinct().join(more, ["source", "page_no"], "left")
-        kept = C.cut_after_last_page(offers, offers, "source", "page_no", "has_next").select("source", "page_no")
-        pages = pages.join(kept, ["source", "page_no"], "left_semi")
+    pages = _limited(region, listing)
+    if LISTINGS[region].stop == "pager":
+        later = H.extract_anchors(pages, keep=("source", "page_no")).filter(_offers_later())
+        pages = _up_to_last(pages, pages, later)
     return pages
 
 
@@ -125,9 +138,16 @@ def listing_links(region: str, listing: DataFrame) -> DataFrame:
 
     ``listing``: ([source,] page_no, url, html[, category])."""
     rule = LISTINGS[region]
-    pages = walked_pages(region, listing)
+    ensure_checkpoint_dir(listing.sparkSession)
+    pages = _limited(region, listing)
     keep = ("source", "page_no", "url", *(("category",) if rule.by_category else ()))
-    found = H.extract_anchors(pages, keep=keep).filter(F.col("href").contains(rule.link))
+    found, is_law = H.extract_anchors(pages, keep=keep), F.col("href").contains(rule.link)
+    # each page is read once: the anchors travel, the pages do not
+    if rule.stop == "pager":
+        found = found.filter(is_law | _offers_later()).checkpoint()
+        found = _up_to_last(found, pages, found.filter(_offers_later())).filter(is_law)
+    else:
+        found = found.filter(is_law).checkpoint()
     links = found.select(
         *[c for c in keep if c != "url"], "pos", U.url_join(F.col("url"), F.col("href")).alias("url"), F.col("text").alias("link_text")
     )
@@ -145,8 +165,11 @@ def listing_links(region: str, listing: DataFrame) -> DataFrame:
 def open_details(region: str, links: DataFrame, details: DataFrame) -> DataFrame:
     """The records of the detail pages (url, html, ...) that ``links`` (url, page_no, link_text, ...) lead to,
     with the page that each was found on."""
+    ensure_checkpoint_dir(links.sparkSession)
+    links = links.checkpoint()  # read here and for the page numbers
     extra = [c for c in details.columns if c not in ("url", "page_id", *links.columns)]
-    opened = J.listing_with_detail(links.withColumns({f"list_{c}": F.lit(None) for c in extra}), details, on="url", fields=extra)
+    # pages are larger than Spark takes them for, so they are not broadcast
+    opened = J.listing_with_detail(links.withColumns({f"list_{c}": F.lit(None) for c in extra}), details.hint("merge"), on="url", fields=extra)
     opened = opened.filter(F.col("html").isNotNull()).withColumn("page_id", F.xxhash64("url"))
     idx = EXTRACTORS[region](opened.drop("source", "category", *[f"list_{c}" for c in extra]))
     return _with_page(idx, links.select(F.col("url").alias("source_url"), "page_no"))

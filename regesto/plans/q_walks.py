@@ -15,7 +15,7 @@ from regesto.plans import regions as RG
 from regesto.plans.q_regions import ORACLE_SELECTS
 from regesto.plans.registry import query
 from regesto.sources import region_pages as RP
-from regesto.sources.fixtures import spread, view
+from regesto.sources.fixtures import table, tasks, view
 
 COLS = [c for c, _ in RG.LAW_INDEX if c not in ("page_no", "category")]
 
@@ -32,10 +32,17 @@ def _link(url: Column, text: Column | None = None, more: str = "") -> Column:
     return F.concat(F.lit(f"<li><a{more} href=\""), F.replace(url, F.lit("&"), F.lit("&amp;")), F.lit('">'), F.lit("Legge") if text is None else text, F.lit("</a></li>"))
 
 
-def _joined(rows: DataFrame, by, order: str = "page_id") -> DataFrame:
-    """(by, items): the ``a`` of the rows of each page, in order; a page has a fixed number at most."""
+def _tasks(spark, sf) -> int:
+    """Tasks for the listing pages: they grow in number with the laws."""
+    return tasks(table(spark, sf, "orders"))
+
+
+def _joined(rows: DataFrame, by, order: str = "page_id", n: int | None = None) -> DataFrame:
+    """(by, items): the ``a`` of the rows of each page, in order; a page has a fixed number at most.
+    The pages are made, and read, by ``n`` tasks: the rows are small, so Spark would take few."""
+    dealt = rows if n is None else rows.repartition(n, *by)
     items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, "a"))), lambda x: x["a"]), "")
-    return rows.groupBy(*by).agg(items.alias("items"))
+    return dealt.groupBy(*by).agg(items.alias("items"))
 
 
 def _oracle(region: str, page: str, keep: str, key: str = "id=", category: str = "category") -> str:
@@ -66,14 +73,19 @@ def _listing(spark, sf, region):
     again = once.filter("page_id % 5 = 0").withColumn("page_no", F.least(F.col("page_no") + 1, F.lit(FLOW_PAGES)))
     both = once.unionByName(again).filter(~F.col("page_no").between(EMPTY_FROM, EMPTY_TO))
     numbers = pages.select("source").distinct().select("source", F.explode(F.sequence(F.lit(1), F.lit(FLOW_PAGES))).alias("page_no"))
+    # a page without a law has a row too, so the pages come from one grouping
+    rows = both.unionByName(numbers, allowMissingColumns=True).repartition(_tasks(spark, sf), "source", "page_no")
+    laws = F.array_sort(F.collect_list(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "a"))))
+    made = rows.groupBy("source", "page_no").agg(laws.alias("laws"))
+    items = F.when(F.size("laws") > 0, F.array_join(F.transform("laws", lambda x: x["a"]), ""))
     offered = (F.col("source") % 3 != 0) | (F.col("page_no") < LAST_OFFERED)
     number = _text(F.col("page_no") + 1)
     pager = F.when(offered & (F.col("page_no") % 10 == 0), _link(F.lit("?"), F.lit(FL.ELLIPSIS))).when(offered, _link(F.lit("?"), number)).otherwise("")
-    return numbers.join(_joined(both, ["source", "page_no"]), ["source", "page_no"], "left").select(
+    return made.select(
         "source",
         "page_no",
         F.concat(F.lit(f"https://{rule.host}/elenco?s="), _text("source"), F.lit("&page="), _text("page_no")).alias("url"),
-        _html('<a href="/home">Home</a>', F.coalesce("items", F.lit("Nessun risultato")), pager if rule.stop == "pager" else "").alias("html"),
+        _html('<a href="/home">Home</a>', F.coalesce(items, F.lit("Nessun risultato")), pager if rule.stop == "pager" else "").alias("html"),
         F.concat(F.lit("Materia "), _text(F.col("page_no") % 5)).alias("category"),
     )
 
@@ -138,7 +150,7 @@ def flow_basilicata(spark, sf):
     offered = (F.col("source") % 3 != 0) | (F.col("page_no") < LAST_OFFERED)
     cell = F.when(offered & (F.col("page_no") % 10 == 0), F.lit(FL.ELLIPSIS)).when(offered, _text(F.col("page_no") + 1))
     pager = F.coalesce(F.concat(F.lit('<tr><td><a href="#">'), cell, F.lit("</a></td></tr>")), F.lit(""))
-    pages = spread(_joined(laws, ["source", "page_no"])).select(
+    pages = _joined(laws, ["source", "page_no"], n=_tasks(spark, sf)).select(
         "source", "page_no", F.concat(F.lit("https://basilicata.example/elenco?s="), _text("source"), F.lit("&page="), _text("page_no")).alias("url"),
         _html('<table id="ctl00_GVElenco"><tr><th>Numero</th></tr>', F.col("items"), pager, "</table>").alias("html"),
     )
@@ -156,7 +168,7 @@ _CHAIN_PAGE = f"((id % {OF_CHAIN}) // {PER_PAGE} + 1)"
 _CHAIN_KIND = f"((id // {OF_CHAIN}) % 5)"
 
 
-def _chain(pages: DataFrame, a: Column, base: str, next_text: str) -> tuple[DataFrame, DataFrame]:
+def _chain(pages: DataFrame, a: Column, base: str, next_text: str, n: int) -> tuple[DataFrame, DataFrame]:
     """(start pages, listing pages) of chains: 0 is long, 1 turns back, 2 leads to a page that is not
     there, 3 ends and has an empty page, 4 shows a page twice."""
     x = pages.withColumn("source", F.floor(F.col("page_id") / OF_CHAIN)).withColumn("page_no", F.floor(F.col("page_id") % OF_CHAIN / PER_PAGE).cast("int") + 1)
@@ -168,16 +180,16 @@ def _chain(pages: DataFrame, a: Column, base: str, next_text: str) -> tuple[Data
     url = lambda n: F.concat(F.lit(base), _text("source"), F.lit("&pag="), _text(n))
     to = F.when((kind == 1) & (F.col("page_no") == LOOP_AT), F.lit(LOOP_TO)).when((kind == 2) & (F.col("page_no") == LOST_AT), F.lit(9999)).otherwise(F.col("page_no") + 1)
     more = F.when((F.col("page_no") == CHAIN) | ((kind == 3) & (F.col("page_no") == END_AT)), "").otherwise(_link(url(to), F.lit(next_text)))
-    listing = _joined(shown, ["source", "page_no"]).select(url(F.col("page_no")).alias("url"), _html('<a href="/home">»  Home</a>', F.col("items"), more).alias("html"))
+    listing = _joined(shown, ["source", "page_no"], n=n).select(url(F.col("page_no")).alias("url"), _html('<a href="/home">»  Home</a>', F.col("items"), more).alias("html"))
     names = x.select("source").distinct().withColumn("a", _link(url(F.lit(1)), _text("source")))
     starts = _joined(names.withColumn("at", F.floor(F.col("source") / STARTS)), ["at"], "source")
-    return starts.select(F.concat(F.lit(base), F.lit("indice-"), _text("at")).alias("url"), _html(F.col("items")).alias("html")), spread(listing)
+    return starts.select(F.concat(F.lit(base), F.lit("indice-"), _text("at")).alias("url"), _html(F.col("items")).alias("html")), listing
 
 
 def _piemonte(spark, sf):
     pages = view(spark, sf, "pages_piemonte")
     a = F.concat(_link(F.col("url"), None, ' class="dettaglio"'), _link(F.concat(F.col("url"), F.lit("&stampa=1"))))
-    starts, listing = _chain(pages.select("page_id", "url"), a, "https://piemonte.example/elencoLeggi.do?anno=", "»")
+    starts, listing = _chain(pages.select("page_id", "url"), a, "https://piemonte.example/elencoLeggi.do?anno=", "»", _tasks(spark, sf))
     return starts, listing, pages
 
 
@@ -211,7 +223,7 @@ def walk_piemonte(spark, sf):
 def flow_emilia(spark, sf):
     """Records in the listing; no page cap: a chain ends with its last page or where it turns back."""
     laws = view(spark, sf, "law_headers").select(F.col("law_id").alias("page_id"), F.expr(RP.EMILIA_BUTTON).alias("b"))
-    starts, listing = _chain(laws, F.col("b"), "https://emilia.example/ricerca?anno=", "Succ. >>")
+    starts, listing = _chain(laws, F.col("b"), "https://emilia.example/ricerca?anno=", "Succ. >>", _tasks(spark, sf))
     return FL.index_walk("emilia", starts, listing)
 
 
@@ -236,10 +248,10 @@ def flow_marche(spark, sf):
     listed = F.when(F.col("cat") % 4 == 3, F.lit(LISTED - 1)).otherwise(F.lit(PAGES_OF_CATEGORY - 1))
     others = F.array_join(F.transform(F.sequence(F.lit(1), listed), lambda p: _link(F.concat(cat, F.lit("&page="), _text(p)), _text(p))), "")
     base = "https://marche.example/"
-    listing = _joined(shown, ["cat", "page_no"]).select(F.concat(F.lit(base), url).alias("url"), _html(F.col("items"), F.when(F.col("page_no") == 0, others).otherwise("")).alias("html"))
+    listing = _joined(shown, ["cat", "page_no"], n=_tasks(spark, sf)).select(F.concat(F.lit(base), url).alias("url"), _html(F.col("items"), F.when(F.col("page_no") == 0, others).otherwise("")).alias("html"))
     names = x.select("cat").distinct().select(F.floor(F.col("cat") / STARTS).alias("at"), "cat", _link(cat, F.concat(F.lit("Materia "), _text("cat"))).alias("a"))
     starts = _joined(names, ["at"], "cat").select(F.concat(F.lit(base + "indice.php?n="), _text("at")).alias("url"), _html(F.col("items")).alias("html"))
-    return FL.index_categories(starts, spread(listing), details)
+    return FL.index_categories(starts, listing, details)
 
 
 OF_TREE, OF_YEAR, FIRST_YEAR = 400, 50, 2044
@@ -257,11 +269,11 @@ def _tree(spark, sf, region):
     x = x.withColumn("own", F.when(F.col("page_id") % 20 == 0, F.lit(NEWEST)).otherwise(F.col("own")))
     shown = x.withColumn("year", F.explode(F.sequence(F.lit(FIRST_YEAR), F.col("own"))))  # also under all older years
     base = f"https://{region}.example/"
-    snapshots = _joined(shown, ["tree", "year"]).select("tree", "year", F.lit(base).alias("url"), _html('<a href="javascript:view()">x</a>', F.col("items")).alias("html"))
+    snapshots = _joined(shown, ["tree", "year"], n=_tasks(spark, sf)).select("tree", "year", F.lit(base).alias("url"), _html('<a href="javascript:view()">x</a>', F.col("items")).alias("html"))
     snapshots = snapshots.filter(~((F.col("tree") % 3 == 2) & (F.col("year") == FIRST_YEAR + 1)))
     names = F.array_join(F.transform(F.sequence(F.lit(FIRST_YEAR), F.lit(NEWEST)), lambda y: _link(F.lit("#"), _text(y))), "")
     starts = x.select("tree").distinct().select("tree", F.lit(base).alias("url"), _html(names, '<a href="#">Indice 1</a>').alias("html"))
-    return starts, spread(snapshots), details
+    return starts, snapshots, details
 
 
 def _tree_oracle(region, key):
@@ -298,10 +310,10 @@ def flow_lombardia(spark, sf):
     a = F.concat(F.lit('<li><a href="/web/leggi?view=showdoc&amp;iddoc='), _text("law_id"), F.lit('">'), F.col("hdr"), F.lit("</a></li>"))
     x = laws.select(F.col("law_id").alias("page_id"), a.alias("a"), F.floor(F.col("law_id") / OF_LEAF).alias("leaf"))
     url = F.concat(F.lit("https://lombardia.example/leggi?anno="), _text("leaf"))
-    listing = _joined(x, ["leaf"]).select("leaf", url.alias("url"), F.col("leaf").alias("page_id"), _html(F.col("items")).alias("html"))
+    listing = _joined(x, ["leaf"], n=_tasks(spark, sf)).select("leaf", url.alias("url"), F.col("leaf").alias("page_id"), _html(F.col("items")).alias("html"))
     year = _text(F.col("leaf") % LEAF_YEARS + LEAF_FIRST)
     folder = F.concat(_link(url, F.concat(F.lit("Anno "), year, F.lit(" (40)")), ' class="nodo treelink"'), _link(F.lit("/altro?anno=0"), F.concat(F.lit("ancora "), year), " class='treelinkselected'"),
                       _link(F.lit("/vecchio?anno=1"), year))
     names = x.select("leaf").distinct().select(F.floor(F.col("leaf") / LEAF_YEARS).alias("tree"), "leaf", folder.alias("a"))
     starts = _joined(names, ["tree"], "leaf").select(F.concat(F.lit("https://lombardia.example/albero?n="), _text("tree")).alias("url"), _html(F.col("items")).alias("html"))
-    return FL.index_years(starts, spread(listing.drop("leaf")))
+    return FL.index_years(starts, listing.drop("leaf"))

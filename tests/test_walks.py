@@ -112,3 +112,27 @@ def test_aosta_walks_its_whole_listing(spark):
     details = spark.createDataFrame([("https://aosta.example/dettaglio?pk_lr=7", "Legge (abrogata dall’art. 1)")], "url string, html string")
     got = {int(r["law_number"]): r["page_no"] for r in FL.index_listing("aosta", listing, details).collect()}
     assert got == {k: k for k in range(1, 61) if k != 7}
+
+
+def test_pages_are_dealt_by_their_number(spark, tmp_path):
+    """A task makes and reads a bounded number of pages, and a listing is not left to one task."""
+    from regesto.plans import q_walks as W
+    from regesto.sources.fixtures import PAGES_PER_TASK, many
+
+    cores = spark.sparkContext.defaultParallelism
+    rows_ = (cores + 2) * PAGES_PER_TASK
+    spark.range(rows_).coalesce(1).write.parquet(str(tmp_path / "big"))
+    assert many(spark.read.parquet(str(tmp_path / "big"))).rdd.getNumPartitions() == cores + 2
+    for region in ("molise", "trentino"):
+        listing = W._listing(spark, "/root/testdata/sf0.01", region)
+        sizes = listing.select("html").rdd.mapPartitions(lambda rs: [sum(1 for _ in rs)]).collect()
+        assert len(sizes) >= cores and max(sizes) < sum(sizes) / 2
+
+
+def test_anchor_attributes_one_by_one(spark):
+    """Of two with one name the first counts, also without a value; a name inside another is none."""
+    from regesto.functions import html as H
+
+    html = """<a data-href="/no" HREF='/a?x=1&amp;y=2' href="/second" title=t>A</a><a href title="href=/x" href="/no">B</a><a class="x y"name=n>C</a><a href="/d"class=k>D</a>"""
+    got = H.extract_anchors(spark.createDataFrame([(1, html)], "page_id int, html string"), keep=("page_id",)).orderBy("pos")
+    assert rows(got, "href", "text", "title", "cls") == [("/a?x=1&y=2", "A", "t", None), (None, "B", "href=/x", None), (None, "C", None, "x y"), ("/d", "D", None, "k")]
