@@ -134,8 +134,9 @@ PAGES_PER_TASK = 50_000
 
 
 def tasks(df: DataFrame) -> int:
-    """Tasks for the pages made of a scan's rows: one per core at least, more as the table grows."""
-    return max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PAGES_PER_TASK))
+    """Tasks for the pages made of a scan's rows: one per core, or as many rounds of that as the table needs."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return cores * max(1, -(-df.count() // (cores * PAGES_PER_TASK)))
 
 
 def many(df: DataFrame) -> DataFrame:
