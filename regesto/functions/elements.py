@@ -1,4 +1,4 @@
-"""The interval-numbered element table of a page (HTM-0, native form).
+"""The interval-numbered element table of a page (HTM-0).
 
 ``scan(html)`` numbers a page's tokens (tags and the texts between them) and gives every element
 the numbers of its first and last token::
@@ -9,13 +9,17 @@ An element is inside another if its numbers lie between the other's; what follow
 numbers; its text is what stands between its numbers.  So selectors are comparisons of numbers,
 and a text is built for the elements that a selector picks, not for every ancestor or link.
 
-The scan is one regex over the page and one fold over its tags with the stack of open elements.
-What an unclosed ``<p>``, ``<li>``, cell or row ends at is a table (``_ENDS``); a stray end tag ends
-nothing.  Built-in functions only; keep the result in a projection of its own and select from that.
+The scan is one regex over the page and one walk over its tag names with the stack of open elements
+(``_scan``, an Arrow function); pages with the same tags share the walk.  What an unclosed ``<p>``,
+``<li>``, cell or row ends at is a table (``_ENDS``); a stray end tag ends nothing.  Selectors are
+built-in functions; keep the result in a projection of its own and select from that.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,103 +41,29 @@ _ENDS = {
     "tr": (["tr"], ["table"]),
 }
 
-TOKEN_RX = rf"(?s)</[a-zA-Z][^>]*+>|<[a-zA-Z]{H.NAME_REST}{H.START_TAG_END}|<[!?][^>]*+>|[^<]++|<"
+TOKEN_RX = rf"(?s)[^<]++|</[a-zA-Z][^>]*+>|<[a-zA-Z]{H.NAME_REST}{H.START_TAG_END}|<[!?][^>]*+>|<"
 _NAME_RX = r"(?s)^</?([a-zA-Z][^\s/>]*)"
 _INLINE_RX = rf"(?i)^</?(?:{'|'.join(INLINE)})(?=[\s/>])"
 _UNSEEN_RX = r"(?is)<(template|noscript)\b[^>]*+>.*?(?:</\1\s*+>|\z)"
 
 
-def _strings(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+_ELEMENT = "struct<open:int,close:int,depth:int,tag:string>"
 
 
-def _rule(name: Column, which: int) -> Column:
-    """What an opening tag ends (0) or what keeps that open (1), NULL for most tags."""
-    kinds: dict = {}
-    for tag, rule in _ENDS.items():
-        kinds.setdefault(tuple(map(tuple, rule)), []).append(tag)
-    out = None
-    for rule, tags in kinds.items():
-        cond, value = name.isin(tags), _strings(rule[which])
-        out = F.when(cond, value) if out is None else out.when(cond, value)
-    return out
-
-
-def _elements(tokens: Column) -> Column:
-    """Elements in page order: open, close (1-based tokens), depth, tag."""
-    none = F.array().cast("array<string>")
-    n = F.size(tokens)
-
-    def describe(t, i):
-        def of(name):
-            end = t.startswith("</")
-            return F.struct(
-                (i + 1).alias("pos"), name.alias("tag"), end.alias("end"), (t.endswith("/>") | name.isin(VOID)).alias("alone"),
-                F.when(end, F.array(name)).otherwise(F.coalesce(_rule(name, 0), none)).alias("ends"),
-                F.when(end, none).otherwise(F.coalesce(_rule(name, 1), none)).alias("keeps"),
-            )
-
-        return F.when(t.startswith("<") & (t != "<"), let(F.lower(F.regexp_extract(t, _NAME_RX, 1)), of))
-
-    tags = F.filter(F.transform(tokens, describe), lambda t: t["tag"] != "")
-    entry = "struct<open:int,tag:string>"
-
-    def written(*parts):
-        """An element as text: growing a string copies bytes, growing an array would copy objects."""
-        return F.concat(F.concat_ws(" ", *[x.cast("string") for x in parts]), F.lit("/"))
-
-    def step(acc, t):
-        stack = acc["stack"]  # innermost first
-        top = F.get(stack, F.lit(0))
-        opened = F.struct(t["pos"].alias("open"), t["tag"].alias("tag"))
-        # most tags open an element and end none, or end the innermost one
-        plain = F.struct(F.concat(F.array(opened), stack).alias("stack"), acc["done"].alias("done"))
-        innermost = written(top["open"], t["pos"], F.size(stack), top["tag"])
-        ended = F.struct(F.slice(stack, F.lit(2), F.size(stack)).alias("stack"), F.concat(acc["done"], innermost).alias("done"))
-        return (
-            F.when((F.size(t["ends"]) == 0) & ~t["alone"], plain)
-            .when(t["end"] & (F.size(stack) > 0) & (top["tag"] == t["tag"]), ended)
-            .otherwise(general(acc, t, top))
-        )
-
-    def general(acc, t, top):
-        stack = acc["stack"]
-        decides = lambda x: F.array_contains(t["ends"], x["tag"]) | F.array_contains(t["keeps"], x["tag"])
-        inner = F.filter(stack, decides)
-        place = let(F.try_element_at(inner, F.lit(1)), lambda x: F.when(F.array_contains(t["ends"], x["tag"]), F.array_position(stack, x)).otherwise(F.lit(0)).cast("int"))
-        closes = F.when(F.size(t["ends"]) == 0, F.lit(0)).when(decides(top), F.array_contains(t["ends"], top["tag"]).cast("int")).otherwise(place)
-
-        def close(k):
-            size = F.size(stack)
-            ended = F.array_join(F.transform(F.slice(stack, F.lit(1), k), lambda x, i: written(x["open"], t["pos"], size - i, x["tag"])), "")
-            left = F.slice(stack, k + 1, size)
-            alone = F.when(~t["end"] & t["alone"], written(t["pos"], t["pos"], size - k + 1, t["tag"])).otherwise("")
-            opened = F.struct(t["pos"].alias("open"), t["tag"].alias("tag"))
-            return F.struct(
-                F.when(t["end"] | t["alone"], left).otherwise(F.concat(F.array(opened), left)).alias("stack"),
-                F.concat(acc["done"], ended, alone).alias("done"),
-            )
-
-        return let(F.coalesce(closes, F.lit(0)), close)
-
-    zero = F.struct(F.array().cast(f"array<{entry}>").alias("stack"), F.lit("").alias("done"))
-
-    def finish(acc):
-        stack = acc["stack"]
-        rest = F.array_join(F.transform(stack, lambda x, i: written(x["open"], n + 1, F.size(stack) - i, x["tag"])), "")
-        return F.concat(acc["done"], rest)
-
-    def element(text_):
-        return let(F.split(text_, " "), lambda x: F.struct(x[0].cast("int").alias("open"), x[1].cast("int").alias("close"), x[2].cast("int").alias("depth"), x[3].alias("tag")))
-
-    each = F.filter(F.split(F.aggregate(tags, zero, step, finish), "/"), lambda x: x != "")
-    return F.array_sort(F.transform(each, element))
+def _strings(values) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
 def scan(html="html") -> Column:
     """The element table of a page; comments, scripts, styles and hidden templates are not in it."""
-    shown = F.regexp_replace(H.visible(html), _UNSEEN_RX, " ")
-    return let(F.regexp_extract_all(shown, F.lit(TOKEN_RX), F.lit(0)), lambda t: F.struct(t.alias("tokens"), _elements(t).alias("els")))
+    from pyspark import cloudpickle
+
+    from regesto.functions import _scan
+
+    # ship the per-page helper with the task (by value), so executors need no copy of this package
+    cloudpickle.register_pickle_by_value(_scan)
+    shown = H.without(H.visible(html), _UNSEEN_RX, "<template", "<noscript")
+    return F.arrow_udf(_scan.scanner(TOKEN_RX, frozenset(VOID), _ENDS), f"struct<tokens:array<string>,els:array<{_ELEMENT}>>")(shown)
 
 
 def once(c: Column) -> Column:
@@ -158,7 +88,11 @@ def classes(page, e: Column) -> Column:
 
 def _mentions(page, e: Column, *words: str) -> Column:
     """Whether the start tag holds one of the words: most do not, and need no closer look."""
-    return let(F.get(col_of(page)["tokens"], e["open"] - 1), lambda t: F.greatest(*[F.contains(t, F.lit(w)) for w in words], F.lit(False)))
+    def any_of(t):
+        return reduce(or_, [F.contains(t, F.lit(w)) for w in words], F.lit(False))
+
+    tag = F.get(col_of(page)["tokens"], e["open"] - 1)
+    return any_of(tag) if len(words) < 2 else let(tag, any_of)
 
 
 def has_class(page, e: Column, *names: str) -> Column:
@@ -197,9 +131,6 @@ def following(page, e: Column, *tags: str, where=None) -> Column:
     return first(elements(page, *tags, where=after))
 
 
-_ELEMENT = "struct<open:int,close:int,depth:int,tag:string>"
-
-
 def _matched(els: Column, others: Column, key: str, backwards: bool, name: str) -> Column:
     """struct(e, <name>): each of ``els`` with the last of ``others`` that a walk over the page met before it."""
     def keyed(xs, field, own: bool):
@@ -241,16 +172,16 @@ def text_between(page, lo: Column, hi: Column, without: Column | None = None) ->
     ``without``; white space collapsed, '' where there is none."""
     tokens = F.slice(col_of(page)["tokens"], lo + 1, F.greatest(hi - lo - 1, F.lit(0)))
 
-    def shown(t, i):
-        # an inline tag joins what it parts; a sign of its own, so no reference grows together
-        piece = F.when(~t.startswith("<") | (t == "<"), t).when(t.rlike(_INLINE_RX), F.lit("\x00")).otherwise(F.lit(" "))
-        if without is None:
-            return piece
-        at = lo + 1 + i
-        return F.when(F.exists(without, lambda x: at.between(x["open"], x["close"])), F.lit("\x00")).otherwise(piece)
+    # an inline tag joins what it parts; a sign of its own, so no reference grows together
+    def piece(t):
+        return F.when(~t.startswith("<") | (t == "<"), t).when(t.rlike(_INLINE_RX), F.lit("\x00")).otherwise(F.lit(" "))
+
+    def less(out):
+        at = lambda i: lo + 1 + i
+        return F.transform(tokens, lambda t, i: F.when(F.exists(out, lambda x: at(i).between(x["open"], x["close"])), F.lit("\x00")).otherwise(piece(t)))
 
-    joined = F.array_join(F.transform(tokens, shown), "")
-    return norm_ws(F.replace(H.unescape(joined), F.lit("\x00"), F.lit("")))
+    shown = F.transform(tokens, piece) if without is None else let(without, less)
+    return norm_ws(F.replace(H.unescape(F.array_join(shown, "")), F.lit("\x00"), F.lit("")))
 
 
 def text(page, e: Column, without: Column | None = None) -> Column:
@@ -307,36 +238,37 @@ def documents(page, *cls: str) -> Column:
     links = elements(page, "a", where=lambda a: attr(page, a, "href").isNotNull())
     boxes = elements(page, where=lambda e: has_class(page, e, *cls))
 
-    def chosen(bs):
-        primary = F.filter(links, lambda a: F.exists(bs, lambda b: contains(b, a)))
-        other = F.filter(links, lambda a: F.lower(attr(page, a, "href")).endswith(".pdf"))
+    def chosen(p):
+        primary = F.filter(p["links"], lambda a: F.exists(p["boxes"], lambda b: contains(b, a)))
+        other = F.filter(p["links"], lambda a: F.lower(attr(page, a, "href")).endswith(".pdf"))
         return let(primary, lambda p: F.when(F.size(p) > 0, p).otherwise(other))
 
-    return let(boxes, chosen)
+    return let(F.struct(links.alias("links"), boxes.alias("boxes")), chosen)
 
 
 def cells(page, skip_header: bool = True) -> Column:
     """HTM-6: struct(tbl, row, col, text, has_button) of every table cell; ``tbl`` counts the page's
     tables, a row belongs to the innermost table around it, header rows are left out if asked."""
-    tables = elements(page, "table")
-    rows = elements(page, "tr")
+    any_button = lambda y: (y["tag"] == "button") | attr(page, y, "type").isin("button", "submit", "image")
+    parts = F.struct(  # found once, not for every row and cell
+        elements(page, "table").alias("tables"), elements(page, "tr").alias("rows"), elements(page, "td", "th").alias("cells"),
+        elements(page, "thead").alias("heads"), elements(page, "button", "input", where=any_button).alias("buttons"),
+    )
 
-    def of_table(t, k):
-        own = F.filter(rows, lambda r: contains(t, r) & (F.array_max(F.transform(F.filter(tables, lambda x: contains(x, r)), lambda x: x["open"])) == t["open"]))
-        return F.transform(own, lambda r, i: F.struct((k + 1).alias("tbl"), (i + 1).alias("row"), r.alias("r")))
+    def of_table(p, t, k):
+        # no table in this one holds the row
+        own = F.filter(p["rows"], lambda r: contains(t, r) & ~F.exists(p["tables"], lambda x: contains(t, x) & contains(x, r)))
+        return F.flatten(F.transform(own, lambda r, i: of_row(p, k, r, i)))
 
-    def of_row(x):
-        r = x["r"]
-        tds = elements(page, "td", "th", where=lambda c: contains(r, c) & (c["depth"] == r["depth"] + 1))
-        header = lambda cs: ((F.size(cs) > 0) & F.forall(cs, lambda c: c["tag"] == "th")) | nearest(page, r, "thead").isNotNull()
+    def of_row(p, k, r, i):
+        tds = F.filter(p["cells"], lambda c: contains(r, c) & (c["depth"] == r["depth"] + 1))
+        header = lambda cs: ((F.size(cs) > 0) & F.forall(cs, lambda c: c["tag"] == "th")) | F.exists(p["heads"], lambda h: contains(h, r))
 
-        def described(c, i):
-            inside = lambda *tags, where: F.size(elements(page, *tags, where=lambda y: contains(c, y) & where(y))) > 0
-            button = inside("button", where=lambda y: F.lit(True)) | inside("input", where=lambda y: attr(page, y, "type").isin("button", "submit", "image"))
-            return F.struct(x["tbl"].alias("tbl"), x["row"].alias("row"), (i + 1).alias("col"), text(page, c).alias("text"), F.coalesce(button, F.lit(False)).alias("has_button"))
+        def described(c, j):
+            button = F.exists(p["buttons"], lambda y: contains(c, y))
+            return F.struct((k + 1).alias("tbl"), (i + 1).alias("row"), (j + 1).alias("col"), text(page, c).alias("text"), button.alias("has_button"))
 
         keep = (lambda cs: F.when(header(cs), F.slice(cs, 1, 0)).otherwise(cs)) if skip_header else (lambda cs: cs)
         return let(tds, lambda cs: F.transform(keep(cs), described))
 
-    return F.flatten(F.transform(F.flatten(F.transform(tables, of_table)), of_row))
-
+    return let(parts, lambda p: F.flatten(F.transform(p["tables"], lambda t, k: of_table(p, t, k))))

@@ -354,3 +354,38 @@ def test_element_table_of_deep_and_of_long_pages(spark):
 def test_aosta_title_is_the_paragraph_of_its_class(spark):
     p = _pages(spark, "https://a.example/r?page=1", '<a href="dettaglio?pk_lr=1">3 marzo 2020, n. 5</a><p>O</p><p class="z elemento_lista_paginata_banche_dati">Titolo</p>')
     assert RG.extract_aosta(p).first()["law_title"] == "Titolo"
+
+
+def test_pages_of_one_form_share_the_walk(monkeypatch):
+    """The Arrow function numbers pages with the same tags once, and any page as the rules say."""
+    import pyarrow as pa
+
+    from regesto.functions import _scan
+    from regesto.functions import elements as E
+
+    walked, nest = [], _scan.nest
+    monkeypatch.setattr(_scan, "nest", lambda *a: walked.append(a) or nest(*a))
+    run = _scan.scanner(E.TOKEN_RX, frozenset(E.VOID), E._ENDS)
+    pages = [f'<div id="{k}"><p class=c{k}>uno{k}<p>due<br>&lt; {k} < 3</div>' for k in range(700)]
+    odd = [None, "", "x", "</p><LI>a<li>b</ul><td/>", '<a href="x>y"/><b', "<table><tr><td>1<td>2<tr><th>3</table>"]
+    got = run(pa.array(pages + odd)).to_pylist()
+    assert len(walked) <= 2 + len(odd)
+    form = [(1, 10, 1, "div"), (2, 4, 2, "p"), (4, 10, 2, "p"), (6, 6, 3, "br")]
+    assert [[tuple(e.values()) for e in g["els"]] for g in got[:700]] == [form] * 700
+    assert ["".join(g["tokens"]) for g in got[:700]] == pages
+    assert got[700] == {"tokens": None, "els": None} and got[701] == {"tokens": [], "els": []} and got[702] == {"tokens": ["x"], "els": []}
+    els = [[tuple(e.values()) for e in g["els"]] for g in got[703:]]
+    assert els[0] == [(2, 4, 1, "li"), (4, 8, 1, "li"), (7, 7, 2, "td")]
+    assert els[1] == [(1, 1, 1, "a")] and got[704]["tokens"] == ['<a href="x>y"/>', "<", "b"]
+    assert [e[3] for e in els[2]] == ["table", "tr", "td", "td", "tr", "th"]
+
+
+def test_cells_of_nested_tables_and_marked_anchors(spark):
+    from regesto.functions import elements as E
+
+    p = _pages(spark, "u", "<table><thead><tr><td>h</td></tr></thead><tr><td>a<table><tr><td>b &amp; c<input type=submit></td></tr></table></td><td>d</td></tr></table>"
+               '<a class="x hit" title="t" href="/1">1</a><a href="/2">2</a><a class="h&#105;t" href="/3">3</a><a title="hit">4</a>')
+    cells = p.select(E.once(E.scan("html")).alias("page")).select(F.explode(E.cells("page")).alias("c")).select("c.*").collect()
+    assert [tuple(r) for r in cells] == [(1, 2, 1, "a b & c", True), (1, 2, 2, "d", False), (2, 1, 1, "b & c", True)]
+    assert [tuple(r) for r in H.anchors_with(p, "hit", keep=()).collect()] == [("/1", "t", "x hit"), ("/3", None, "hit"), (None, "hit", None)]
+    assert p.select(H.unescape(F.lit("a &amp; b &amp;amp;")).alias("x")).first()["x"] == "a & b &amp;"
