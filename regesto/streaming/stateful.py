@@ -30,41 +30,46 @@ def use_rocksdb(spark: SparkSession) -> None:
 
 
 class _Waiting(StatefulProcessor):
-    """A record per key that waits for a timer, then a mark for some time."""
+    """A record per key that waits for a timer, then a mark for some time.
+
+    A key has one value: the record, its only timer, and whether the key is done.  Every call of the
+    state is a message to the JVM, so a key's state is read once and written once."""
 
     def __init__(self, record: str, out: list[str], wait_ms: int, keep_ms: int):
         self.record, self.out, self.wait_ms, self.keep_ms = record, Row(*out), wait_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState("held", self.record)
-        self.done = handle.getValueState("done", "done boolean")
+        self.state = handle.getValueState("state", f"{self.record}, __timer long, __done boolean")
 
     def close(self) -> None:
         pass
 
-    def wait_until(self, at_ms: int) -> None:
-        """The key's only timer."""
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(at_ms)
+    def hold(self, record: tuple, old_ms: int | None, at_ms: int, done: bool = False) -> None:
+        """The key's record and its only timer, in place of the one at ``old_ms``."""
+        if old_ms != at_ms:
+            if old_ms is not None:
+                self.handle.deleteTimer(old_ms)
+            self.handle.registerTimer(at_ms)
+        self.state.update((*record, at_ms, done))
 
-    def finish(self, at_ms: int) -> None:
+    def finish(self, at_ms: int, held, old_ms: int | None) -> None:
         """From now on the key's records are ignored, for the time that the mark is kept."""
-        self.held.clear()
-        self.done.update((True,))
-        self.wait_until(at_ms + self.keep_ms)
+        self.hold((None,) * len(held), old_ms, at_ms + self.keep_ms, True)
 
     def on_timeout(self, key, held) -> Row:
         raise NotImplementedError
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.done.exists():
-            self.done.clear()
-        elif self.held.exists():
-            out = self.on_timeout(key, self.held.get())
-            self.finish(expiredTimerInfo.getExpiryTimeInMs())
-            yield out
+        state = self.state.get()
+        if state is None:
+            return
+        *held, timer, done = state
+        if done:
+            self.state.clear()
+        else:
+            self.finish(expiredTimerInfo.getExpiryTimeInMs(), held, None)  # the expired timer goes by itself
+            yield self.on_timeout(key, held)
 
 
 class FirstRecord(_Waiting):
@@ -75,15 +80,17 @@ class FirstRecord(_Waiting):
         self.columns, self.n_order = columns, n_order
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        seen = [(r["__ms"], tuple(r[c] for c in self.columns)) for r in rows]
-        if self.done.exists():
+        state = self.state.get()
+        if state is not None and state[-1]:
             return iter(())
-        first = not self.held.exists()
+        seen = [(r["__ms"], tuple(r[c] for c in self.columns)) for r in rows]
+        held = [] if state is None else [tuple(state)[:-2]]
         order = lambda t: tuple((x is not None, x) for x in t[: self.n_order])  # noqa: E731  nulls first, as Spark sorts
-        best = min([x for _, x in seen] + ([] if first else [tuple(self.held.get())]), key=order)
-        self.held.update(best)
-        if first:
-            self.wait_until(min(ms for ms, _ in seen) + self.wait_ms)
+        best = min([x for _, x in seen] + held, key=order)
+        if state is None:
+            self.hold(best, None, min(ms for ms, _ in seen) + self.wait_ms)
+        elif best is not held[0]:
+            self.hold(best, state[-2], state[-2])
         return iter(())
 
     def on_timeout(self, key, held) -> Row:
@@ -99,21 +106,20 @@ class Outcome(_Waiting):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         tries = sorted((r["attempt"], r["status"], r["__ms"]) for r in rows if r["attempt"] <= self.max_tries)
-        if self.done.exists() or not tries:
+        state = self.state.get() if tries else None
+        if not tries or state is not None and state[-1]:
             return
+        held, timer = (None, None) if state is None else (tuple(state)[:-2], state[-2])
         ended = next((t for t in tries if t[1] in self.final), None)
         last = max(t[2] for t in tries)
         if ended:
-            self.finish(last)
+            self.finish(last, ended[:2], timer)
             yield self.out(*key, ended[0], ended[1], "final")
         elif tries[-1][0] == self.max_tries:
-            self.finish(last)
+            self.finish(last, tries[-1][:2], timer)
             yield self.out(*key, tries[-1][0], tries[-1][1], "tries")
         else:
-            held = self.held.get() if self.held.exists() else None
-            if held is None or tries[-1][0] > held[0]:
-                self.held.update(tries[-1][:2])
-            self.wait_until(last + self.wait_ms)
+            self.hold(tries[-1][:2] if held is None or tries[-1][0] > held[0] else held, timer, last + self.wait_ms)
 
     def on_timeout(self, key, held) -> Row:
         return self.out(*key, held[0], held[1], "timeout")

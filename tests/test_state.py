@@ -134,3 +134,71 @@ def test_outcomes_by_state_and_timers(spark):
     assert got[3] == {(9, 2, "Skipped", "final"), (7, 1, "Skipped", "final")}
     assert (3, 1, "Failed", "timeout") in got[4] | got[5]
     assert states[-1] is None or states[-1] <= 6  # old keys leave nothing behind
+
+
+class _Handle:
+    """A key's state and timers in memory; counts the calls, each of which is a message to the JVM."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, set(), 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def _call(self):
+        self.calls += 1
+
+    def get(self):
+        self._call()
+        return self.value
+
+    def exists(self):
+        self._call()
+        return self.value is not None
+
+    def update(self, value):
+        self._call()
+        self.value = value
+
+    def clear(self):
+        self._call()
+        self.value = None
+
+    def listTimers(self):
+        self._call()
+        return iter(self.timers)
+
+    def deleteTimer(self, ms):
+        self._call()
+        self.timers.discard(ms)
+
+    def registerTimer(self, ms):
+        self._call()
+        self.timers.add(ms)
+
+
+def test_a_keys_state_is_read_and_written_once():
+    class Expired:
+        def __init__(self, ms):
+            self.getExpiryTimeInMs = lambda: ms
+
+    def fire(p, h):
+        ms = h.timers.pop()
+        return [tuple(r) for r in p.handleExpiredTimer((7,), None, Expired(ms))]
+
+    h, p = _Handle(), SF.FirstRecord("k", "a int, b string", ["a", "b"], 1, 10, 100)
+    p.init(h)
+    give = lambda *rows: list(p.handleInputRows((7,), iter([{"__ms": ms, "a": a, "b": b} for ms, a, b in rows]), None))
+    assert give((5, 3, "x"), (6, 2, "y")) == [] and h.timers == {15} and h.calls == 3
+    assert give((8, 1, "z")) == [] and give((9, 4, "w")) == [] and h.timers == {15} and h.calls == 6
+    assert fire(p, h) == [(7, 1, "z")] and h.timers == {115} and h.calls == 9
+    assert give((20, 0, "v")) == [] and h.calls == 10
+    assert fire(p, h) == [] and h.value is None and not h.timers
+    h, p = _Handle(), SF.Outcome("k", 10, 100)
+    p.init(h)
+    give = lambda *rows: [tuple(r) for r in p.handleInputRows((7,), iter([{"attempt": a, "status": s, "__ms": ms} for a, s, ms in rows]), None)]
+    assert give((2, "Failed", 5)) == [] and h.timers == {15} and h.calls == 3
+    assert give((1, "Failed", 8)) == [] and h.timers == {18} and h.value[:2] == (2, "Failed")
+    assert give((4, "Skipped", 9)) == [] and h.timers == {18}
+    assert give((3, "Skipped", 12)) == [(7, 3, "Skipped", "final")] and h.timers == {112}
+    assert give((1, "Skipped", 13)) == [] and fire(p, h) == [] and h.value is None
