@@ -582,18 +582,20 @@ def extract_aosta(pages: DataFrame, details: DataFrame | None = None) -> DataFra
 
 def extract_emilia(pages: DataFrame, base: str = "https://emilia.example") -> DataFrame:
     """``a.hitelement_button`` titles less the prefix; ``Legge regionale <date>, n.<no>``; zero-padded display."""
-    a = H.extract_anchors(_flat(pages), keep=("page_id", "url"))
+    a = H.anchors_with(_flat(pages), "hitelement_button")
     button = F.array_contains(F.split(F.coalesce("cls", F.lit("")), r"\s+"), "hitelement_button")
     a = a.filter(F.col("title").isNotNull() & button)
     full = T.strip_phrase(F.col("title"), "Accedi al documento ")
-    x = a.select(full.alias("full"), U.absolutise(F.col("href"), base).alias("src"))
-    no = rx("full", EMILIA_RX, 2)
-    raw = rx("full", EMILIA_RX, 1)
+    read = lambda t: F.struct(t.alias("full"), rx(t, EMILIA_RX, 2).alias("no"), rx(t, EMILIA_RX, 1).alias("raw"))
+    x = a.select(U.absolutise(F.col("href"), base).alias("src"), E.once(let(full, read)).alias("x")).select("src", "x.*")
+    no, raw = F.col("no"), F.col("raw")
     parts = F.split(F.trim(F.coalesce(raw, F.lit(""))), r"\s+")
     day = F.regexp_replace(F.try_element_at(parts, F.lit(1)), "°", "")
     mon = F.lower(F.try_element_at(parts, F.lit(2)))
     yr = F.regexp_replace(F.try_element_at(parts, F.lit(3)), r"[,.]", "")
-    d = D.make_date(yr, D.month_number(mon), day)
+    x = x.select("full", "src", "no", "raw", E.once(F.struct(day.alias("day"), mon.alias("mon"), yr.alias("yr"), D.make_date(yr, D.month_number(mon), day).alias("d"))).alias("x"))
+    x = x.select("full", "src", "no", "raw", "x.*")
+    day, mon, yr, d = (F.col(c) for c in ("day", "mon", "yr", "d"))
     shown = F.when(d.isNotNull(), F.concat_ws(" ", T.zfill2(day), mon, yr)).otherwise(F.coalesce(raw, F.lit("Unknown")))
     return to_law_index(
         x, region=F.lit("Emilia-Romagna"), law_title=F.col("full"), law_number=F.coalesce(no, F.lit("Unknown")),
