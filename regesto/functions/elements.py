@@ -62,7 +62,7 @@ def scan(html="html") -> Column:
 
     # ship the per-page helper with the task (by value), so executors need no copy of this package
     cloudpickle.register_pickle_by_value(_scan)
-    shown = H.without(H.visible(html), _UNSEEN_RX, "<template", "<noscript")
+    shown = H.without(H.visible(html), _UNSEEN_RX, "template", "noscript")
     return F.arrow_udf(_scan.scanner(TOKEN_RX, frozenset(VOID), _ENDS), f"struct<tokens:array<string>,els:array<{_ELEMENT}>>")(shown)
 
 
@@ -75,13 +75,21 @@ def once(c: Column) -> Column:
 # ------------------------------------------------------------------ conditions on an element
 
 
+def _attr_rx(name: str) -> str:
+    return rf"(?is)^<[a-z]{H.NAME_REST}(?:(?![\s/]*+{name}[\s=/>]){H.ATTR})*+[\s/]*+{name}(?=[\s=/>])(?:\s*+=\s*+({H.VALUE}))?+"
+
+
 def attr(page, e: Column, name: str) -> Column:
     """The value of an attribute of an element, NULL if it has none."""
-    tag = F.get(col_of(page)["tokens"], e["open"] - 1)
-    rx = rf"(?is)^<[a-z]{H.NAME_REST}(?:(?![\s/]*+{name}[\s=/>]){H.ATTR})*+[\s/]*+{name}(?=[\s=/>])(?:\s*+=\s*+({H.VALUE}))?+"
+    tag, rx = F.get(col_of(page)["tokens"], e["open"] - 1), _attr_rx(name)
     return let(tag, lambda t: F.when(t.rlike(rx), H.unquote(F.regexp_extract(t, rx, 1))))
 
 
+def value(page, e: Column, name: str) -> Column:
+    """The value of an attribute of an element, '' if it has none: one search."""
+    return H.unquote(F.regexp_extract(F.get(col_of(page)["tokens"], e["open"] - 1), _attr_rx(name), 1))
+
+
 def classes(page, e: Column) -> Column:
     return F.split(F.coalesce(attr(page, e, "class"), F.lit("")), r"\s+")
 
@@ -105,6 +113,11 @@ def has_attr(page, e: Column, name: str, value: str) -> Column:
     return _mentions(page, e, value) & F.coalesce(attr(page, e, name) == value, F.lit(False))
 
 
+def holds(page, e: Column, name: str, part: str) -> Column:
+    """Whether an attribute's value holds ``part``; a reference may hide it, so a tag with one is read as well."""
+    return _mentions(page, e, part, "&") & F.contains(value(page, e, name), F.lit(part))
+
+
 def contains(outer: Column, e: Column) -> Column:
     """Whether ``e`` lies inside ``outer``."""
     return (outer["open"] < e["open"]) & (e["open"] < outer["close"])
@@ -122,6 +135,15 @@ def first(found: Column) -> Column:
     return F.try_element_at(found, F.lit(1))
 
 
+def first_holding(page, tag: str, name: str, part: str) -> Column:
+    """struct(e, value) of the elements of a tag whose attribute ``name`` holds ``part``, in page order; of
+    those with one value the first.  Two sorts, whatever their number."""
+    read = F.transform(elements(page, tag, where=lambda e: _mentions(page, e, part, "&")), lambda e: F.struct(value(page, e, name).alias("value"), e.alias("e")))
+    sorted_ = F.array_sort(F.filter(read, lambda x: F.contains(x["value"], F.lit(part))))
+    news = lambda xs: F.filter(xs, lambda x, i: (i == 0) | (F.get(xs, i - 1)["value"] != x["value"]))
+    return F.array_sort(F.transform(let(sorted_, news), lambda x: F.struct(x["e"].alias("e"), x["value"].alias("value"))))
+
+
 def following(page, e: Column, *tags: str, where=None) -> Column:
     """The first element of these tags that begins after ``e`` has ended."""
     def after(x):

@@ -113,14 +113,13 @@ def attr_value(attrs, name: str) -> Column:
 
 def visible(html) -> Column:
     """The html without comments, scripts and styles."""
-    return without(html, HIDDEN_RX, "<!--", "<script", "<style")
+    return without(html, HIDDEN_RX, "!--", "script", "style")
 
 
 def without(html, rx_: str, *marks: str) -> Column:
-    """The html less what the pattern finds; most pages hold none of its ``marks`` (lower case) and need no search."""
-    def held(x):
-        return let(F.lower(x), lambda low: reduce(or_, [F.contains(low, F.lit(m)) for m in marks]))
-
+    """The html less what the pattern finds; most pages hold none of its ``marks`` (what follows a ``<``) and need no search."""
+    begins = sorted({f"<{c}" for m in marks for c in (m[0], m[0].upper())})  # a search for bytes, before that for a pattern
+    held = lambda x: reduce(or_, [F.contains(x, F.lit(b)) for b in begins]) & x.rlike(rf"(?i)<(?:{'|'.join(marks)})")
     return let(html, lambda x: F.when(held(x), F.regexp_replace(x, rx_, " ")).otherwise(x))
 
 
@@ -215,6 +214,12 @@ def anchors_with(pages: DataFrame, mark: str, html: str = "html", keep=("page_id
     return pages.select(*keep, F.inline(found)).filter(reduce(or_, [F.contains(c, F.lit(mark)) for c in ("href", "title", "cls")]))
 
 
+def hrefs_with(html, mark: str) -> Column:
+    """The distinct addresses of a page's anchors that hold ``mark``, in page order: other tags are not read."""
+    tags = F.filter(F.regexp_extract_all(visible(html), F.lit(ANCHOR_RX), F.lit(1)), lambda a: F.contains(a, F.lit(mark)) | F.contains(a, F.lit("&")))
+    return F.array_distinct(F.filter(F.transform(tags, lambda a: attr_value(a, "href")), lambda h: F.contains(h, F.lit(mark))))
+
+
 # ----------------------------------------------------------------------------- parse_dom (one Arrow pass)
 
 _STR = T.StringType()

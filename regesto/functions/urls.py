@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from regesto.functions._util import col_of, nz
+from regesto.functions._util import col_of, let, nz
 
 
 def absolutise(href, base: str) -> Column:
@@ -30,7 +30,7 @@ def remove_dots(path: Column) -> Column:
     kept = F.aggregate(F.slice(parts, F.lit(2), F.size(parts) - 1), F.array().cast("array<string>"), step)
     tail = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
     joined = F.concat(F.lit("/"), F.array_join(kept, "/"), tail)
-    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.when(joined == "//", F.lit("/")).otherwise(joined)).otherwise(path)
+    return F.when(F.contains(path, F.lit("/.")) & path.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.when(joined == "//", F.lit("/")).otherwise(joined)).otherwise(path)
 
 
 def url_join(base, href) -> Column:
@@ -40,24 +40,36 @@ def url_join(base, href) -> Column:
     ``?query`` -> base path + query; ``#frag`` -> base without fragment + fragment; relative ->
     base directory + path; dot segments of the path are removed, to any depth.
     """
-    b = col_of(base) if not isinstance(base, str) else F.lit(base)
     h = col_of(href)
+    return let(base_parts(col_of(base) if not isinstance(base, str) else F.lit(base)), lambda b: let(h, lambda x: resolve(b, x)))
+
+
+def base_parts(b: Column) -> Column:
+    """What ``resolve`` needs of a base address: found once for all links of a page."""
     scheme = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*):", 1)
     origin = F.regexp_extract(b, r"^([a-zA-Z][a-zA-Z0-9+.\-]*://[^/?#]*)", 1)
     no_frag = F.regexp_replace(b, r"#.*$", "")
     no_query = F.regexp_replace(no_frag, r"\?.*$", "")
     base_path = F.substr(no_query, F.length(origin) + 1)
     directory = F.concat(F.lit("/"), F.regexp_extract(base_path, r"^/?(.*/)?[^/]*$", 1))
+    return F.struct(scheme.alias("scheme"), origin.alias("origin"), no_frag.alias("no_frag"), no_query.alias("no_query"), directory.alias("directory"))
+
+
+def resolve(b: Column, h: Column) -> Column:
+    """``url_join`` from the parts of the base."""
     h_path = F.regexp_extract(h, r"^([^?#]*)", 1)
-    h_rest = F.substr(h, F.length(h_path) + 1)
-    path = F.when(h.startswith("/"), h_path).otherwise(F.concat(directory, h_path))
+
+    def joined(own):
+        path = F.when(h.startswith("/"), own).otherwise(F.concat(b["directory"], own))
+        return let(path, lambda p: F.concat(b["origin"], remove_dots(p), F.substr(h, F.length(own) + 1)))
+
     return (
         F.when(h.rlike(r"^[a-zA-Z][a-zA-Z0-9+.\-]*:"), h)
-        .when(h.startswith("//"), F.concat(scheme, F.lit(":"), h))
-        .when(h.startswith("?"), F.concat(no_query, h))
-        .when(h.startswith("#"), F.concat(no_frag, h))
-        .when(h == "", no_frag)
-        .otherwise(F.concat(origin, remove_dots(path), h_rest))
+        .when(h.startswith("//"), F.concat(b["scheme"], F.lit(":"), h))
+        .when(h.startswith("?"), F.concat(b["no_query"], h))
+        .when(h.startswith("#"), F.concat(b["no_frag"], h))
+        .when(h == "", b["no_frag"])
+        .otherwise(let(h_path, joined))
     )
 
 

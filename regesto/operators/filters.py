@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from regesto.functions._util import col_of
+from regesto.functions._util import col_of, let
 from regesto.functions.text import norm_quotes
 
 # The strict repeal mark (parenthesised "Abrogata", any case and spacing).
@@ -40,8 +40,7 @@ def is_repealed_phrase(c, phrases=REPEAL_PHRASES) -> Column:
 
     Both sides are lower-cased (quirk Q3: one listed phrase has a capital and
     could never match lower-cased text)."""
-    t = norm_quotes(c)
-    return reduce(lambda a, b: a | b, [t.contains(p.lower()) for p in phrases])
+    return let(norm_quotes(c), lambda t: reduce(lambda a, b: a | b, [t.contains(p.lower()) for p in phrases]))
 
 
 def drop_repealed_phrases(df: DataFrame, text: str = "text", phrases=REPEAL_PHRASES) -> DataFrame:

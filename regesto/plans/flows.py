@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from regesto.functions import html as H
 from regesto.functions import keys as K
 from regesto.functions import urls as U
+from regesto.functions._util import let
 from regesto.operators import cutoffs as C
 from regesto.operators import dedupe as S
 from regesto.operators import joins as J
@@ -162,6 +163,19 @@ def listing_links(region: str, listing: DataFrame) -> DataFrame:
     return S.distinct_ordered(links, "url", ["source", "page_no", "pos"])
 
 
+def first_pages(region: str, listing: DataFrame) -> DataFrame:
+    """(url, source, page_no): the page where each law is met first, as far as the region's listing is
+    walked.  Of ``listing`` ([source,] page_no, url, html) only the addresses of the laws travel."""
+    rule = LISTINGS[region]
+    ensure_checkpoint_dir(listing.sparkSession)
+    urls = let(U.base_parts(F.col("url")), lambda b: F.transform(H.hrefs_with("html", rule.link), lambda h: U.resolve(b, h)))
+    pages = _limited(region, listing).select("source", "page_no", urls.alias("urls")).checkpoint()
+    links = pages.select("source", "page_no", F.explode("urls").alias("url"))
+    if rule.stop == "no_news":
+        links = C.cut_when_no_news(links, "source", "page_no", "url", pages=pages)
+    return S.distinct_ordered(links, "url", ["source", "page_no"]).checkpoint()
+
+
 def open_details(region: str, links: DataFrame, details: DataFrame) -> DataFrame:
     """The records of the detail pages (url, html, ...) that ``links`` (url, page_no, link_text, ...) lead to,
     with the page that each was found on."""
@@ -189,11 +203,12 @@ def index_listing(region: str, listing: DataFrame, details: DataFrame | None = N
     if rule.in_listing and not rule.link:  # every row of a listing page is a record
         pages = walked_pages(region, listing)
         return _with_page(EXTRACTORS[region](pages), pages.select(F.col("url").alias("source_url"), "page_no"))
-    links = listing_links(region, listing)
     if rule.in_listing:  # records by links; details only tell repeals
+        links = first_pages(region, listing)
         walked = _sourced(listing, region).join(links.select("source", "page_no").distinct(), ["source", "page_no"], "left_semi")
         idx = EXTRACTORS[region](walked.withColumn("page_id", F.col("page_no")), details)
         return _with_page(idx, links.select(F.col("url").alias("source_url"), "page_no"))
+    links = listing_links(region, listing)
     idx = open_details(region, links, details)
     if rule.by_category:
         order = idx.columns

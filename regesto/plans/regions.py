@@ -549,18 +549,23 @@ def extract_aosta(pages: DataFrame, details: DataFrame | None = None) -> DataFra
 
     A law is dropped when a repeal phrase stands anywhere in its whole title, or in the text of its
     detail page (``details``: url, html)."""
-    laws = E.elements("page", "a", where=lambda a: F.coalesce(E.attr("page", a, "href"), F.lit("")).contains(AOSTA_LINK))
-    paras = E.elements("page", "p", where=lambda e: F.coalesce(E.attr("page", e, "class"), F.lit("")).contains(AOSTA_TITLE_CLASS))
-    pairs = F.transform(E.with_following(laws, paras), lambda x: F.struct(
-        x["e"]["open"].alias("pos"), E.attr("page", x["e"], "href").alias("href"), E.text("page", x["e"]).alias("text"), E.text("page", x["next"]).alias("next_para")))
-    links = _page(pages, keep=("page_id", "url")).select("page_id", "url", F.explode(pairs).alias("l"))
-    hdr = F.trim(F.col("l.text"))
-    src = U.url_join(F.col("url"), F.col("l.href"))
-    title = F.trim(F.coalesce(F.col("l.next_para"), hdr))
-    day, mon, yr = rx(hdr, AOSTA_DATE_RX, 1), rx(hdr, AOSTA_DATE_RX, 2), rx(hdr, AOSTA_DATE_RX, 3)
-    d = D.make_date(yr, D.month_number(mon), day)
-    x = links.select("page_id", F.col("l.pos").alias("pos"), src.alias("src"), title.alias("title"), F.coalesce(N.law_no_alt(hdr), F.lit("0")).alias("no"),
-                     F.when(day.isNotNull(), F.concat_ws(" ", day, mon, yr)).alias("shown"), d.alias("d"))
+    paras = E.elements("page", "p", where=lambda e: E.holds("page", e, "class", AOSTA_TITLE_CLASS))
+    # a page's later links to a law are no records, so their texts are not built
+    found = F.struct(E.first_holding("page", "a", "href", AOSTA_LINK).alias("laws"), U.base_parts(F.col("url")).alias("base"))
+    pairs = let(found, lambda f: F.transform(E.with_following(F.transform(f["laws"], lambda x: x["e"]), paras), lambda x, i: F.struct(
+        x["e"]["open"].alias("pos"), let(F.get(f["laws"], i)["value"], lambda h: U.resolve(f["base"], h)).alias("src"),
+        F.trim(E.text("page", x["e"])).alias("hdr"), E.text("page", x["next"]).alias("next_para"))))
+    links = _page(pages, keep=("page_id", "url")).select("page_id", F.inline(pairs))
+    hdr, title = F.col("hdr"), F.trim(F.coalesce("next_para", "hdr"))
+
+    def dated(m):
+        return let(F.struct(*[rx(m, AOSTA_DATE_RX, k).alias(c) for k, c in enumerate(("day", "mon", "yr"), 1)]), lambda p: F.struct(
+            F.concat_ws(" ", p["day"], p["mon"], p["yr"]).alias("shown"), D.make_date(p["yr"], D.month_number(p["mon"]), p["day"]).alias("d")))
+
+    # the header is searched once, the short match again for its parts
+    date = E.once(let(rx(hdr, AOSTA_DATE_RX, 0), lambda m: F.when(m.isNotNull(), dated(m))))
+    x = links.select("page_id", "pos", "src", title.alias("title"), F.coalesce(N.law_no_alt(hdr), F.lit("0")).alias("no"), date.alias("date"))
+    x = x.select("page_id", "pos", "src", "title", "no", "date.shown", "date.d")
     x = S.distinct_ordered(x, "src", ["page_id", "pos"])
     x = P.drop_repealed_phrases(x, "title")
     if details is not None:

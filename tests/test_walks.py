@@ -136,3 +136,47 @@ def test_anchor_attributes_one_by_one(spark):
     html = """<a data-href="/no" HREF='/a?x=1&amp;y=2' href="/second" title=t>A</a><a href title="href=/x" href="/no">B</a><a class="x y"name=n>C</a><a href="/d"class=k>D</a>"""
     got = H.extract_anchors(spark.createDataFrame([(1, html)], "page_id int, html string"), keep=("page_id",)).orderBy("pos")
     assert rows(got, "href", "text", "title", "cls") == [("/a?x=1&y=2", "A", "t", None), (None, "B", "href=/x", None), (None, "C", None, "x y"), ("/d", "D", None, "k")]
+
+
+def test_aosta_meets_a_law_on_its_first_page(spark):
+    """Links to a law that come again on a page, on a later one or in another listing add nothing; what only one of
+    the two readings of a page shows (hidden or unclosed links) is no record."""
+    law = lambda k, more="": f"<a href='dettaglio?pk_lr={k}'>3 marzo 2001, n. {k}</a>{more}<p class='elemento_lista_paginata_banche_dati'>Titolo {k}</p>"
+    again = "<a href='dettaglio?pk_lr=1'>Aggiornamento</a>"
+    pages = [
+        ("a", 1, law(1, again) + law(2) + again + "<p class='elemento_lista_paginata_banche_dati'>Altro</p>"),
+        ("a", 2, law(1) + law(3, "<noscript><a href='dettaglio?pk_lr=9'>n. 9</a></noscript>")),
+        ("a", 3, law(2) + law(3)),  # no news: the walk ends before it
+        ("a", 4, law(4)),
+        ("b", 1, law(1)),  # all met in another listing, so never read
+        ("b", 2, law(5) + "<a href='dettaglio?pk_lr=6'>n. 6" + law(7)),
+    ]
+    listing = spark.createDataFrame([(s, n, f"https://aosta.example/elenco?s={s}&page={n}", h) for s, n, h in pages], "source string, page_no int, url string, html string")
+    details = spark.createDataFrame([("https://aosta.example/dettaglio?pk_lr=2", "(Abrogata dall’art. 1)")], "url string, html string")
+    met = {int(r["url"].rsplit("=", 1)[1]): (r["source"], r["page_no"]) for r in FL.first_pages("aosta", listing).collect()}
+    assert met == {1: ("a", 1), 2: ("a", 1), 3: ("a", 2), 9: ("a", 2), 5: ("b", 2), 6: ("b", 2)}
+    got = {r["source_url"].rsplit("=", 1)[1]: (r["law_title"], r["page_no"]) for r in FL.index_listing("aosta", listing, details).collect()}
+    assert got == {"1": ("Titolo 1", 1), "3": ("Titolo 3", 2), "5": ("Titolo 5", 2), "6": ("n. 63 marzo 2001, n. 7 Titolo 7", 2)}
+
+
+def test_aosta_reads_a_page_part_once(spark):
+    """The details are dealt before they are read, a text is folded once for all phrases, a base is parsed once for a
+    page's links, and of a page's links to one law the first alone becomes a row with texts."""
+    from regesto.functions import elements as E
+    from regesto.operators import filters as P
+    from regesto.plans import q_walks as W
+    from regesto.plans import regions as RG
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    details = W._details(spark, "/root/testdata/sf0.01", "aosta")
+    asked = details.filter(P.is_repealed_phrase("html"))
+    assert asked.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism and plan(asked).index("Filter") < plan(asked).index("Repartition")
+    one = spark.createDataFrame([("t",)], "t string")
+    assert plan(one.select(P.is_repealed_phrase("t").alias("gone"))).count("translate(") == 1
+    p = spark.createDataFrame([(1, "https://a.example/x/r?page=1", "<a href='dettaglio?pk_lr=1'>Uno</a><p class='elemento_lista_paginata_banche_dati'>A</p>" * 50 + "<a href='dettaglio?pk&#95;lr=1'>Due</a>")],
+                              "page_id long, url string, html string")
+    laws = p.select(E.once(E.scan("html")).alias("page")).select(E.first_holding("page", "a", "href", RG.AOSTA_LINK).alias("x")).first()["x"]
+    assert [(x["e"]["open"], x["value"]) for x in laws] == [(1, "dettaglio?pk_lr=1")]
+    assert [(r["law_title"], r["source_url"]) for r in RG.extract_aosta(p).collect()] == [("A", "https://a.example/x/dettaglio?pk_lr=1")]
