@@ -2,11 +2,14 @@
 
 import datetime as dt
 
+from conftest import SF001
 from pyspark.sql import functions as F
 
+from regesto.functions import dates as D
 from regesto.functions import html as H
 from regesto.functions import urls as U
 from regesto.functions._dom import parse_html
+from regesto.functions.text import norm_ws
 from regesto.plans import regions as RG
 
 
@@ -389,3 +392,42 @@ def test_cells_of_nested_tables_and_marked_anchors(spark):
     assert [tuple(r) for r in cells] == [(1, 2, 1, "a b & c", True), (1, 2, 2, "d", False), (2, 1, 1, "b & c", True)]
     assert [tuple(r) for r in H.anchors_with(p, "hit", keep=()).collect()] == [("/1", "t", "x hit"), ("/3", None, "hit"), (None, "hit", None)]
     assert p.select(H.unescape(F.lit("a &amp; b &amp;amp;")).alias("x")).first()["x"] == "a & b &amp;"
+
+
+def test_filters_on_what_a_page_says_stay_above_the_deal(spark):
+    """A filter pushed below the deal of a scan's rows makes and reads the pages in its few tasks, once per use of a field."""
+    import __spark_entry__ as entry
+
+    for name in ("reg_campania", "reg_friuli", "reg_trentino"):
+        plan = entry.queries()[name](spark, SF001)._jdf.queryExecution().optimizedPlan()
+        filters = [plan.apply(i) for i in range(200) if plan.apply(i) is not None and plan.apply(i).nodeName() == "Filter"]
+        conditions = [f.condition().sql() for f in filters]
+        assert conditions
+        assert not [c for c in conditions if "html>" in c or "aggregate(" in c or c.count("transform(") > 2], name
+
+
+def test_text_without_and_with_references_is_the_same(spark):
+    """Tags and white space go in one search where no reference stands; page by page as in plain Python."""
+    import random
+    import re
+
+    rng = random.Random(4)
+    parts = [" ", "  ", "\n", "\t", "\u00a0", "\u3000", "<", ">", "<b>", "</b>", "<br/>", "<i x='1\n2'>", "a", "è", "<!--", "-->", "<SCRIPT>", "</script>", "<style>", "</style >", "9"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    flat = lambda t: re.sub(r"\s+", " ", re.sub(r"<[^>]*>", " ", t)).strip(" ")
+    page = lambda t: re.sub(r"(?s)<!--.*?-->", " ", re.sub(r"(?is)<style\b.*?</style\s*>", " ", re.sub(r"(?is)<script\b.*?</script\s*>", " ", t)))
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, html string")
+    got = df.select("i", H.inner_text("html").alias("a"), H.inner_text(F.concat("html", F.lit("&lt;"))).alias("b"), H.page_text("html").alias("c"), norm_ws("html").alias("d")).collect()
+    for r in got:
+        t = texts[r["i"]]
+        assert (r["a"], r["c"], r["d"]) == (flat(t), flat(page(t)), re.sub(r"\s+", " ", t).strip(" ")), repr(t)
+        assert r["b"] == flat(t + "\x01").replace("\x01", "<"), repr(t)
+    assert spark.createDataFrame([(None,)], "html string").select(H.inner_text("html").alias("a")).first()["a"] == ""
+
+
+def test_missing_parts_make_no_date(spark):
+    df = spark.createDataFrame([("2001", "2", "28"), ("2001", "2", "30"), ("2001", None, "3"), ("", None, ""), (None, "2", "3"), ("", "2", "3")], "y string, m string, d string")
+    assert [str(r[0]) for r in df.select(D.make_date("y", "m", "d")).collect()] == ["2001-02-28"] + ["None"] * 5
+    texts = ["del 1° marzo 1999, poi 2 aprile 2000", "31 febbraio 2001", "il 5-6-2010", "32/13/2010", "senza data", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [str(r[0]) for r in df.select(D.any_date("t")).collect()] == ["1999-03-01", "None", "2010-06-05", "None", "None", "None", "None"]
