@@ -23,7 +23,7 @@ REGIONS = {
 
 #: Functions that are the operator in its Column form, or under the name that this library gives it.
 ALSO = {
-    "HTM-2": ("hrefs_with", "anchors_with"), "URL-2": ("resolve",), "SNK-4": ("stream_upsert_index", "stream_merge_index"), "HTM-9": ("label_value",), "PRD-1": ("is_repealed_strict",), "PRD-2": ("is_repealed_phrase",),
+    "HTM-2": ("hrefs_with", "anchors_with"), "HTM-4": ("shown_text",), "URL-2": ("resolve",), "SNK-4": ("stream_upsert_index", "stream_merge_index"), "HTM-9": ("label_value",), "PRD-1": ("is_repealed_strict",), "PRD-2": ("is_repealed_phrase",),
     "PRD-3": ("is_valid_capture",), "URL-6": ("is_script_link",), "SRT-2": ("year_number_keys",), "SRT-3": ("date_order_keys",),
     "STR-2": ("first_records",), "STR-3": ("stream_merge_index",), "WIN-6": ("stream_outcomes",), "SRC-1": ("read_archive",), "SRC-2": ("read_archive",),
     "SNK-1": ("write_bucketed_index",), "JON-1": ("todo_by_bit",), "AGG-7": ("distinct_sketches",), "SET-7": ("merge_batch",), "HTM-0": ("scan",), "HTM-6": ("cells",), "HTM-11": ("next_text", "with_following"), "HTM-13": ("documents",),
